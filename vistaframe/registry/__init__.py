@@ -1,4 +1,4 @@
 """All registered queries. Importing the theme modules fills the tables."""
 
-from . import aggs, verbs, windows  # noqa: F401
+from . import aggs, joins, text, verbs, windows  # noqa: F401
 from ._base import ORACLE, QUERIES  # noqa: F401
