@@ -36,8 +36,10 @@ def token_counts(df: DataFrame, group: str, text: str, tagger=None, out: str = "
     category column; default is the regex tagger above (JVM side). A user
     tagger may be a ``pandas_udf`` (Arrow batches)."""
     tag = tagger or token_class
-    toks = df.select(group, F.explode(tokens(text)).alias("__tok"))
-    return toks.groupBy(group, tag(F.col("__tok")).alias(out)).agg(F.count(F.lit(1)).alias("n"))
+    # count distinct tokens first (map-side partial aggregation), then tag
+    # each distinct token once instead of every occurrence
+    wc = word_counts(df, group, text)
+    return wc.groupBy(group, tag(F.col("token")).alias(out)).agg(F.sum("n").cast("bigint").alias("n"))
 
 
 def word_counts(df: DataFrame, group: str, text: str) -> DataFrame:

@@ -23,7 +23,7 @@ from ..plans import adapters as A
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import read_table
 from ._base import r6, register
-from .aggs import VOTES_LONG, votes_long
+from .aggs import VOTES_LONG
 from .text import census_etl
 
 NUM = ["age", "education_num", "hours_per_week", "capital_gain"]
@@ -128,14 +128,9 @@ FROM (SELECT subset, id, y, list_reduce(list_sort(list(p)), lambda a, x: a + x)
 def soft_vote(spark, sf):
     """Every subset of 2..4 of the given models, averaging probabilities
     (summed in sorted order so the vote does not depend on row order)."""
-    lp = votes_long(spark, sf)
-    subsets = EN.subsets_table(spark, ["a", "b", "c", "d"])
-    j = lp.join(F.broadcast(subsets), "model")
-    ps = F.array_sort(F.collect_list("p"))
-    votes = j.groupBy("subset", "id", "y").agg(
-        (F.aggregate(ps, F.lit(0.0), lambda a, x: a + x) / F.count(F.lit(1))).alias("p"))
-    acc = F.avg(((F.col("p") > 0.5).cast("int") == F.col("y")).cast("double"))
-    return votes.groupBy("subset").agg(r6(acc).alias("accuracy"), F.count(F.lit(1)).alias("n"))
+    v = A.votes(spark, sf)
+    sv = EN.soft_vote_wide(v, {"a": "p_a", "b": "p_b", "c": "p_c", "d": "p_d"}, label="y")
+    return sv.select("subset", r6("accuracy").alias("accuracy"), "n")
 
 
 @register("stacking")
