@@ -84,10 +84,8 @@ def standard_scale(df: DataFrame, cols: list[str], split_col: str = "split", fit
     use the sample sd."""
     sd = F.stddev_pop if ddof == 0 else F.stddev_samp
     fit = df.filter(F.col(split_col) == fit_on)
-    stats = fit.agg(*[F.avg(c).alias(f"__m_{c}") for c in cols], *[sd(c).alias(f"__s_{c}") for c in cols])
-    out = df
-    for c in cols:
-        m = stats.select(f"__m_{c}").scalar()
-        s = stats.select(f"__s_{c}").scalar()
-        out = out.withColumn(f"{prefix}{c}", F.try_divide(F.col(c) - m, s))
-    return out
+    # one struct-valued scalar subquery: a single pass over the fit rows
+    st = fit.agg(F.struct(*[F.avg(c).alias(f"m_{c}") for c in cols],
+                          *[sd(c).alias(f"s_{c}") for c in cols])).scalar()
+    return df.select("*", *[F.try_divide(F.col(c) - st[f"m_{c}"], st[f"s_{c}"]).alias(f"{prefix}{c}")
+                            for c in cols])

@@ -183,11 +183,12 @@ def horizon_outcome(df: DataFrame, horizon: int = 252, value: str = "close", ord
     per series: count, mean, sample sd and exact percentiles."""
     w = series_window(by, order)
     g = df.withColumn("__g", F.try_divide(F.lead(value, horizon).over(w), F.col(value)))
+    from .stats import exact_quantiles
     aggs = [F.count("__g").alias("n"), F.avg("__g").alias("mean_growth"),
             F.stddev_samp("__g").alias("sd_growth")]
-    for p in percentiles:
-        aggs.append(F.percentile("__g", p).alias(f"p{int(round(p * 100)):02d}_growth"))
-    return g.groupBy(*_cols(by)).agg(*aggs)
+    names = [f"p{int(round(p * 100)):02d}_growth" for p in percentiles]
+    qs = exact_quantiles(g, "__g", by, list(percentiles), names).drop("n")
+    return g.groupBy(*_cols(by)).agg(*aggs).join(qs, _cols(by), "left")
 
 
 def ann_col(c: Column | str, periods: int = 252) -> Column:

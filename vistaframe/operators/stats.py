@@ -47,12 +47,44 @@ def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
 
 
 # ------------------------------------------------------------ distribution
+def exact_quantiles(df: DataFrame, value: str, by, probs, names=None) -> DataFrame:
+    """Exact quantiles with linear interpolation between order statistics
+    (position ``(n-1)*p``, the ``quantile_cont`` / ``percentile`` rule).
+
+    Works on the value counts, not on the rows: rows are first reduced to
+    ``(group, value, count)`` (partial aggregation), then a cumulative count
+    over the distinct values of each group locates the order statistics. No
+    aggregate buffers a group's raw values; the sort is a spillable window
+    over distinct values only.
+    """
+    by = _cols(by)
+    names = names or [f"q{int(round(p * 100)):02d}" for p in probs]
+    vc = (df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n")))
+    w = Window.partitionBy(*by).orderBy(value)
+    vc = (vc.withColumn("__cum", F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+            .withColumn("__tot", F.sum("__n").over(Window.partitionBy(*by)))
+            .withColumn("__prev", F.col("__cum") - F.col("__n")))
+    aggs = []
+    for p, name in zip(probs, names):
+        pos = (F.col("__tot") - 1).cast("double") * F.lit(float(p))
+
+        def at(idx):
+            return F.min(F.when((F.col("__prev") <= idx) & (idx < F.col("__cum")), F.col(value).cast("double")))
+
+        lo, hi = F.floor(pos), F.ceil(pos)
+        aggs += [at(lo).alias(f"__lo_{name}"), at(hi).alias(f"__hi_{name}"), F.max(pos - lo).alias(f"__d_{name}")]
+    q = vc.groupBy(*by).agg(F.max("__tot").alias("n"), *aggs)
+    return q.select(*by, "n", *[(F.col(f"__lo_{n}") + (F.col(f"__hi_{n}") - F.col(f"__lo_{n}")) * F.col(f"__d_{n}")).alias(n)
+                                for n in names])
+
+
 def histogram_bins(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
     """Equal-width histogram between min and max; the last bin is closed.
     Every bin is reported, empty ones with 0."""
     spark = df.sparkSession
-    mm = df.select(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    lo, hi = mm.select("lo").scalar(), mm.select("hi").scalar()
+    # one scalar subquery (a struct), reused wherever its fields appear
+    mm = df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"))).scalar()
+    lo, hi = mm["lo"], mm["hi"]
     width = (hi - lo) / F.lit(float(bins))
     b = F.least(F.floor(F.try_divide(F.col(value) - lo, width)), F.lit(bins - 1)).cast("bigint")
     counts = (df.filter(F.col(value).isNotNull()).select(F.coalesce(b, F.lit(0).cast("bigint")).alias("bin"))
@@ -75,11 +107,11 @@ def box_stats(df: DataFrame, value: str, by, approx: bool = False, accuracy: int
     by = _cols(by)
     if approx:
         q = F.percentile_approx(value, [0.25, 0.5, 0.75], accuracy)
+        qs = df.groupBy(*by).agg(q.alias("__q"), F.count(value).alias("n"))
+        qs = qs.select(*by, "n", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
+                       F.col("__q")[2].alias("q3"))
     else:
-        q = F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    qs = df.groupBy(*by).agg(q.alias("__q"), F.count(value).alias("n"))
-    qs = qs.select(*by, "n", F.col("__q")[0].alias("q1"), F.col("__q")[1].alias("median"),
-                   F.col("__q")[2].alias("q3"))
+        qs = exact_quantiles(df, value, by, [0.25, 0.5, 0.75], ["q1", "median", "q3"])
     lo_f = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
     hi_f = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
     x = F.col(value)
@@ -113,9 +145,9 @@ def density_curve(df: DataFrame, value: str, by, grid_points: int = 64, resoluti
     x = df.filter(F.col(value).isNotNull())
     st = x.groupBy(*by).agg(
         F.count(value).alias("n"), F.stddev_samp(value).alias("sd"),
-        F.percentile(value, F.array(F.lit(0.25), F.lit(0.75))).alias("q"),
         F.min(value).alias("lo"), F.max(value).alias("hi"))
-    iqr = (F.col("q")[1] - F.col("q")[0]) / 1.34
+    st = st.join(exact_quantiles(x, value, by, [0.25, 0.75], ["q25", "q75"]).drop("n"), by)
+    iqr = (F.col("q75") - F.col("q25")) / 1.34
     bw = F.lit(0.9) * F.least(F.col("sd"), F.when(iqr > 0, iqr).otherwise(F.col("sd"))) \
         * F.pow(F.col("n").cast("double"), F.lit(-0.2))
     st = st.select(*by, "n", bw.alias("bw"), "lo", "hi")
