@@ -186,3 +186,17 @@ def test_chrono_split_counts(spark):
     df = spark.createDataFrame(rows, "asset string, d date, close double")
     s = {r.d: r.split for r in S.chrono_split(df, 0.3).collect()}
     assert sum(v == "train" for v in s.values()) == math.ceil(10 * 0.3) + 1
+
+
+@pytest.mark.parametrize("stat", ["mean", "sd", "var"])
+def test_blocked_rolling_equals_plain_window_on_hot_series(spark, stat):
+    rnd = random.Random(5)
+    base = dt.datetime(2024, 1, 1)
+    rows = [("hot", base + dt.timedelta(minutes=7 * i), None if i % 41 == 0 else rnd.random()) for i in range(600)]
+    rows += [("cold", base + dt.timedelta(minutes=i), rnd.random()) for i in range(20)]
+    df = spark.createDataFrame(rows, "asset string, d timestamp, x double")
+    plain = {(r.asset, r.d): r.v for r in S.rolling(df, "x", 12, stat, out="v").collect()}
+    blocked = {(r.asset, r.d): r.v for r in S.rolling_blocked(df, "x", 12, stat, out="v", block_rows=25).collect()}
+    assert plain.keys() == blocked.keys()
+    for k, v in plain.items():
+        assert (v is None and blocked[k] is None) or blocked[k] == pytest.approx(v, rel=1e-12, abs=1e-15)

@@ -194,3 +194,44 @@ def horizon_outcome(df: DataFrame, horizon: int = 252, value: str = "close", ord
 def ann_col(c: Column | str, periods: int = 252) -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return c * F.lit(math.sqrt(periods))
+
+
+def positions(df: DataFrame, order: str, by, bucket: Column, out: str = "__pos") -> DataFrame:
+    """0-based position of every row within its series, without a window
+    over a whole series: rows are counted per (series, time bucket), bucket
+    offsets are a running sum over the small count table, and rows are
+    ranked only inside their bucket."""
+    by = _cols(by)
+    d = df.withColumn("__bk", bucket)
+    cnt = d.groupBy(*by, "__bk").agg(F.count(F.lit(1)).alias("__c"))
+    before = Window.partitionBy(*by).orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)
+    cnt = cnt.select(*by, "__bk", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__off"))
+    d = d.join(cnt, by + ["__bk"])
+    inner = Window.partitionBy(*by, "__bk").orderBy(*_cols(order))
+    return d.withColumn(out, F.col("__off") + F.row_number().over(inner) - 1).drop("__bk", "__off")
+
+
+def rolling_blocked(df: DataFrame, value: str, n: int, stat: str = "mean", order="d", by="asset",
+                    out: str | None = None, bucket: Column | None = None, block_rows: int = 1_000_000,
+                    scale: float = 1.0) -> DataFrame:
+    """``rolling`` (trailing, same NULL rules) for series of any length.
+
+    Each series is cut into blocks of ``block_rows`` consecutive positions;
+    the last ``n-1`` rows of a block are copied into the next block as a
+    halo, so every window lies inside one block. Work per task is bounded by
+    ``block_rows + n - 1`` rows however long one series (a hot key) is.
+    """
+    if block_rows < n - 1:
+        raise ValueError("block_rows must be >= n - 1")
+    out = out or f"{value}_rolling_{stat}"
+    bucket = bucket if bucket is not None else F.date_trunc("hour", F.col(order))
+    d = positions(df, order, by, bucket)
+    d = d.withColumn("__blk", F.floor(F.col("__pos") / block_rows))
+    halo = (d.filter(F.col("__pos") % block_rows >= block_rows - (n - 1))
+             .withColumn("__blk", F.col("__blk") + 1).withColumn("__halo", F.lit(True)))
+    u = d.withColumn("__halo", F.lit(False)).unionByName(halo)
+    frame = Window.partitionBy(*_cols(by), "__blk").orderBy("__pos").rowsBetween(-(n - 1), 0)
+    agg = _ROLL[stat](value).over(frame)
+    res = agg * F.lit(scale) if scale != 1.0 else agg
+    return (u.withColumn(out, F.when(F.count(value).over(frame) == n, res))
+             .filter(~F.col("__halo")).drop("__halo", "__blk", "__pos"))

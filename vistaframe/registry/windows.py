@@ -206,3 +206,36 @@ def forecast_summary(spark, sf):
     sc = g.join(first, "asset").withColumn("v", F.col("c0") * F.col("g"))
     agg = sc.groupBy("asset").agg(r6(F.avg("v")).alias("predicted_price"), r6(F.stddev_samp("v")).alias("sd_price"))
     return agg.join(actual, "asset", "left").select("asset", "predicted_price", "sd_price", "actual_price")
+
+
+# ---- many-series variants (one series per user of ``events``)
+EV_W = "WINDOW w AS (PARTITION BY asset ORDER BY d ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)"
+
+
+@register("rolling_mean_events", with_("event_series") + f"""
+SELECT asset, d, round(CASE WHEN count(close) OVER w = 10 THEN avg(close) OVER w END, 6) + 0.0 AS rolling_mean
+FROM event_series {EV_W}""")
+def rolling_mean_events(spark, sf):
+    """10-event trailing mean per user (many short series, many partitions)."""
+    df = S.rolling(A.event_series(spark, sf), "close", 10, "mean", out="rolling_mean")
+    return df.select("asset", "d", r6("rolling_mean").alias("rolling_mean"))
+
+
+@register("rolling_sd_events_blocked", with_("event_series") + f"""
+SELECT asset, d, round(CASE WHEN count(close) OVER w = 10 THEN stddev_samp(close) OVER w END, 6) + 0.0 AS rolling_sd
+FROM event_series {EV_W}""")
+def rolling_sd_events_blocked(spark, sf):
+    """Same frame through the hot-key-safe blocked window: series are cut
+    into blocks of 32 positions with a 9-row halo (hourly buckets give the
+    positions), so no task ever holds more than one block."""
+    df = S.rolling_blocked(A.event_series(spark, sf), "close", 10, "sd", out="rolling_sd", block_rows=32,
+                           bucket=F.date_trunc("hour", F.col("d")))
+    return df.select("asset", "d", r6("rolling_sd").alias("rolling_sd"))
+
+
+@register("log_return_events", with_("event_series") + """
+SELECT asset, d, round(CASE WHEN close / lag(close) OVER w > 0 THEN ln(close / lag(close) OVER w) END, 6) + 0.0 AS log_return
+FROM event_series WINDOW w AS (PARTITION BY asset ORDER BY d)""")
+def log_return_events(spark, sf):
+    df = S.log_return(A.event_series(spark, sf))
+    return df.select("asset", "d", r6("log_return").alias("log_return"))
