@@ -45,10 +45,13 @@ def knn(ref: DataFrame, query: DataFrame, k: int, id_col: str = "vec_id", vec: s
     r = r.withColumn("__dp", F.transform(piv, lambda p: l2(F.col("r_vec"), p)))
     r = (r.withColumn("r_rad", F.array_min("__dp"))
           .withColumn("cell", F.array_position("__dp", F.array_min("__dp")).cast("int")).drop("__dp"))
+    # used three times below: compute the pivot distances once (reliable
+    # checkpoint into spark.checkpoint.dir, lineage cut)
+    r = r.checkpoint(eager=True)
     cells = r.groupBy("cell").agg(F.max("r_rad").alias("R"), F.count(F.lit(1)).alias("n_c"))
 
     q = query.select(F.col(id_col).alias("q_id"), F.col(vec).alias("q_vec"))
-    q = q.withColumn("__dq", F.transform(piv, lambda p: l2(F.col("q_vec"), p)))
+    q = q.withColumn("__dq", F.transform(piv, lambda p: l2(F.col("q_vec"), p))).checkpoint(eager=True)
     qc = q.select("q_id", "q_vec", F.posexplode("__dq").alias("__pos", "dq"))
     qc = qc.withColumn("cell", (F.col("__pos") + 1).cast("int")).drop("__pos")
     # cells are at most n_pivots rows: broadcast by construction

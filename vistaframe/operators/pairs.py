@@ -37,11 +37,19 @@ def spread_frame(prices: DataFrame, pairs: DataFrame, time_col: str = "d") -> Da
     the number of assets squared), so it is broadcast.
     """
     rets = pct_change(prices, out="r")
-    left = (rets.join(F.broadcast(pairs), rets.asset == pairs["first"])
-                .select("first", "second", time_col, F.col("close").alias("a_close"),
-                        F.col("r").alias("a_ret")))
-    right = rets.select(F.col("asset").alias("second"), time_col, F.col("close").alias("b_close"),
-                        F.col("r").alias("b_ret"))
-    return (left.join(right, ["second", time_col])
-                .filter(F.col("a_ret").isNotNull() & F.col("b_ret").isNotNull())
+    # each asset row meets the pairs it plays a role in (a broadcast table of
+    # 2 x pairs rows); one aggregation then lines the two roles up per
+    # instant - a single pass over the returns, no self-join
+    roles = (pairs.select("first", "second", F.col("first").alias("asset"), F.lit(True).alias("is_first"))
+                  .unionByName(pairs.select("first", "second", F.col("second").alias("asset"),
+                                            F.lit(False).alias("is_first"))))
+    tagged = rets.join(F.broadcast(roles), "asset")
+
+    def pick(flag, col):
+        return F.max(F.when(F.col("is_first") == flag, F.col(col)))
+
+    wide = tagged.groupBy("first", "second", time_col).agg(
+        pick(True, "close").alias("a_close"), pick(True, "r").alias("a_ret"),
+        pick(False, "close").alias("b_close"), pick(False, "r").alias("b_ret"))
+    return (wide.filter(F.col("a_ret").isNotNull() & F.col("b_ret").isNotNull())
                 .withColumn("diff", F.col("a_ret") - F.col("b_ret")))

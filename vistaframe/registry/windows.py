@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..oracle import with_
@@ -189,23 +190,25 @@ def horizon_outcome(spark, sf):
 
 @register("forecast_summary", with_("prices", extra={"t": TRIM, "g": """
 SELECT asset, lead(close, 252) OVER (PARTITION BY asset ORDER BY d) / close AS g FROM prices"""}) + """
-SELECT i.asset, round(avg(i.close * g.g), 6) + 0.0 AS predicted_price, round(stddev_samp(i.close * g.g), 6) + 0.0 AS sd_price,
+SELECT i.asset, round(i.close * avg(g.g), 6) + 0.0 AS predicted_price, round(abs(i.close) * stddev_samp(g.g), 6) + 0.0 AS sd_price,
   max(a.close) AS actual_price
 FROM (SELECT asset, close FROM t WHERE rn = 1) i JOIN g ON g.asset = i.asset AND g.g IS NOT NULL
-LEFT JOIN (SELECT asset, close FROM t WHERE rn = 503) a ON a.asset = i.asset GROUP BY i.asset""")
+LEFT JOIN (SELECT asset, close FROM t WHERE rn = 503) a ON a.asset = i.asset GROUP BY i.asset, i.close""")
 def forecast_summary(spark, sf):
     """Terminal price scenarios = first trimmed close x every observed 252-step
-    growth of the asset; mean and sd per asset next to the realised close."""
-    p = A.prices(spark, sf)
-    t = _trimmed(spark, sf)
-    first = S.nth_row(t, 1).select("asset", F.col("close").alias("c0"))
-    actual = S.nth_row(t, 2 * 252 - 1).select("asset", F.col("close").alias("actual_price"))
+    growth of the asset; mean and sd per asset next to the realised close.
+    One pass: a single series window yields the trimmed positions and the
+    forward growths, one aggregation the summary."""
+    df = S.rolling(_log_returns(spark, sf), "r", 252, "var", out="v")
     w = S.series_window("asset", "d")
-    g = p.select("asset", F.try_divide(F.lead("close", 252).over(w), F.col("close")).alias("g")) \
-         .filter(F.col("g").isNotNull())
-    sc = g.join(first, "asset").withColumn("v", F.col("c0") * F.col("g"))
-    agg = sc.groupBy("asset").agg(r6(F.avg("v")).alias("predicted_price"), r6(F.stddev_samp("v")).alias("sd_price"))
-    return agg.join(actual, "asset", "left").select("asset", "predicted_price", "sd_price", "actual_price")
+    trimmed = F.col("v").isNotNull()
+    df = (df.withColumn("trn", F.when(trimmed, F.count(F.when(trimmed, 1)).over(w.rowsBetween(Window.unboundedPreceding, 0))))
+            .withColumn("g", F.try_divide(F.lead("close", 252).over(w), F.col("close"))))
+    agg = df.groupBy("asset").agg(F.max(F.when(F.col("trn") == 1, F.col("close"))).alias("c0"),
+                                  F.max(F.when(F.col("trn") == 2 * 252 - 1, F.col("close"))).alias("actual_price"),
+                                  F.avg("g").alias("mg"), F.stddev_samp("g").alias("sg"))
+    return agg.select("asset", r6(F.col("c0") * F.col("mg")).alias("predicted_price"),
+                      r6(F.abs("c0") * F.col("sg")).alias("sd_price"), "actual_price")
 
 
 # ---- many-series variants (one series per user of ``events``)
