@@ -199,9 +199,21 @@ def corr_matrix(df: DataFrame, key: str = "asset", time_col: str = "d", value: s
     return j.groupBy("a", "b").agg(fn("va", "vb").alias(stat), F.count(F.lit(1)).alias("n"))
 
 
-def compound_return(df: DataFrame, value: str, by) -> DataFrame:
-    """``prod(1 + r) - 1`` per group (NULL returns skipped)."""
-    return df.groupBy(*_cols(by)).agg((F.product(F.lit(1.0) + F.col(value)) - 1).alias("compound_return"))
+def compound_return(df: DataFrame, value: str, by, order: str | None = None) -> DataFrame:
+    """``prod(1 + r) - 1`` per group (NULL returns skipped).
+
+    With ``order`` the factors are multiplied in that (time) order - a
+    deterministic result independent of partitioning, as a sequential
+    product over a time index gives. The series of one group is gathered as
+    one array (its length is the series length). Without ``order`` the
+    partial-aggregating ``product`` is used (result may differ in the last
+    bits between runs)."""
+    if order is None:
+        return df.groupBy(*_cols(by)).agg((F.product(F.lit(1.0) + F.col(value)) - 1).alias("compound_return"))
+    x = df.filter(F.col(value).isNotNull())
+    arr = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), (F.lit(1.0) + F.col(value)).alias("f"))))
+    prod = F.aggregate(arr, F.lit(1.0), lambda a, e: a * e["f"])
+    return x.groupBy(*_cols(by)).agg((prod - 1).alias("compound_return"))
 
 
 def first_last_return(df: DataFrame, investment: float, value: str = "close", time_col: str = "d",

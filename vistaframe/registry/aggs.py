@@ -173,24 +173,25 @@ def first_last_return_second(spark, sf):
 
 
 @register("compound_return", spread_sql() + """
-SELECT 'AF' AS asset, round(product(1 + a_ret) - 1, 6) + 0.0 AS compound_return FROM spread
-UNION ALL SELECT 'RO', round(product(1 + b_ret) - 1, 6) + 0.0 FROM spread""")
+SELECT 'AF' AS asset, round(list_reduce(list(1 + a_ret ORDER BY d), lambda a, x: a * x) - 1, 6) + 0.0 AS compound_return FROM spread
+UNION ALL SELECT 'RO', round(list_reduce(list(1 + b_ret ORDER BY d), lambda a, x: a * x) - 1, 6) + 0.0 FROM spread""")
 def compound_return(spark, sf):
     sp = spread(spark, sf)
-    a = T.compound_return(sp, "a_ret", "first").select(F.col("first").alias("asset"), "compound_return")
-    b = T.compound_return(sp, "b_ret", "second").select(F.col("second").alias("asset"), "compound_return")
+    a = T.compound_return(sp, "a_ret", "first", order="d").select(F.col("first").alias("asset"), "compound_return")
+    b = T.compound_return(sp, "b_ret", "second", order="d").select(F.col("second").alias("asset"), "compound_return")
     return a.unionByName(b).select("asset", r6("compound_return").alias("compound_return"))
 
 
 @register("portfolio_return", spread_sql() + """
-SELECT round(100000 * (0.5 * (product(1 + a_ret) - 1) + 0.5 * (product(1 + b_ret) - 1)), 4) + 0.0 AS portfolio_return
+SELECT round(100000 * (0.5 * (list_reduce(list(1 + a_ret ORDER BY d), lambda a, x: a * x) - 1)
+  + 0.5 * (list_reduce(list(1 + b_ret ORDER BY d), lambda a, x: a * x) - 1)), 4) + 0.0 AS portfolio_return
 FROM spread""")
 def portfolio_return(spark, sf):
     """Capital x sum_i w_i * compound_i with the weights as a tiny broadcast
     table joined to the per-asset compound returns."""
     sp = spread(spark, sf)
-    comp = (T.compound_return(sp, "a_ret", "first").select(F.col("first").alias("asset"), "compound_return")
-             .unionByName(T.compound_return(sp, "b_ret", "second").select(F.col("second").alias("asset"), "compound_return")))
+    comp = (T.compound_return(sp, "a_ret", "first", order="d").select(F.col("first").alias("asset"), "compound_return")
+             .unionByName(T.compound_return(sp, "b_ret", "second", order="d").select(F.col("second").alias("asset"), "compound_return")))
     weights = spark.createDataFrame([(A.PAIR_FIRST, 0.5), (A.PAIR_SECOND, 0.5)], "asset string, w double")
     return (comp.join(F.broadcast(weights), "asset")
                 .agg(r6(F.lit(100000.0) * F.sum(F.col("w") * F.col("compound_return")), 4).alias("portfolio_return")))
