@@ -237,7 +237,8 @@ def rolling_sd_events_blocked(spark, sf):
 
 
 @register("log_return_events", with_("event_series") + """
-SELECT asset, d, round(CASE WHEN close / lag(close) OVER w > 0 THEN ln(close / lag(close) OVER w) END, 6) + 0.0 AS log_return
+SELECT asset, d, round(CASE WHEN lag(close) OVER w <> 0 AND close / lag(close) OVER w > 0
+  THEN ln(close / lag(close) OVER w) END, 6) + 0.0 AS log_return
 FROM event_series WINDOW w AS (PARTITION BY asset ORDER BY d)""")
 def log_return_events(spark, sf):
     df = S.log_return(A.event_series(spark, sf))
