@@ -200,3 +200,16 @@ def test_blocked_rolling_equals_plain_window_on_hot_series(spark, stat):
     assert plain.keys() == blocked.keys()
     for k, v in plain.items():
         assert (v is None and blocked[k] is None) or blocked[k] == pytest.approx(v, rel=1e-12, abs=1e-15)
+
+
+def test_binarize_is_strict(spark):
+    df = spark.createDataFrame([(4.9,), (5.0,), (5.1,)], "x double")
+    got = [r.b for r in FE.binarize(df, "x", "b", 5.0).collect()]
+    assert got == [0.0, 0.0, 1.0]
+
+
+def test_bucket_edges_last_closed_and_invalid_kept(spark):
+    df = spark.createDataFrame([(1995.0,), (1996.999,), (1997.0,), (2003.0,), (2004.0,)], "y double")
+    got = [r.lab for r in FE.bucketize(df, "y", "lab", [1995.0, 1997.0, 1999.0, 2001.0, 2003.0],
+                                        ["a", "b", "c", "d"]).collect()]
+    assert got == ["a", "a", "b", "d", None]

@@ -20,6 +20,11 @@ def bucketize(df: DataFrame, col: str, out: str, splits: list[float], labels: li
     ``NULL``). ``labels`` turns indices into readable names through a map
     literal (no join)."""
     src = df.withColumn(col, F.col(col).cast("double"))
+    if handle_invalid == "keep":
+        # Bucketizer's "keep" covers NaN only; values outside the splits
+        # would raise, so they are routed to the invalid bucket as NaN
+        inside = F.col(col).between(F.lit(float(splits[0])), F.lit(float(splits[-1])))
+        src = src.withColumn(col, F.when(inside | F.col(col).isNull(), F.col(col)).otherwise(F.lit(float("nan"))))
     b = Bucketizer(splits=splits, inputCol=col, outputCol=out, handleInvalid=handle_invalid).transform(src)
     if labels:
         m = F.create_map(*[x for i, lab in enumerate(labels) for x in (F.lit(float(i)), F.lit(lab))])
