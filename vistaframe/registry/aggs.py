@@ -284,7 +284,7 @@ FROM p JOIN b ON p.asset = b.asset GROUP BY p.asset, p.g, p.x, p.n, p.bw""")
 def density_curve(spark, sf):
     r = S.log_return(A.prices(spark, sf), out="r")
     d = T.density_curve(r, "r", "asset", grid_points=64, resolution=4)
-    return d.select("asset", "g", r6("x").alias("x"), r6("density").alias("density"))
+    return d.select("asset", F.col("g").cast("bigint").alias("g"), r6("x").alias("x"), r6("density").alias("density"))
 
 
 @register("trend_by_bin", with_("predictions") + """
