@@ -213,3 +213,18 @@ def test_bucket_edges_last_closed_and_invalid_kept(spark):
     got = [r.lab for r in FE.bucketize(df, "y", "lab", [1995.0, 1997.0, 1999.0, 2001.0, 2003.0],
                                         ["a", "b", "c", "d"]).collect()]
     assert got == ["a", "a", "b", "d", None]
+
+
+@pytest.mark.parametrize("ddof", [0, 1])
+def test_blocked_expanding_equals_plain_window(spark, ddof):
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 1, 1)
+    rows = [("hot", base + dt.timedelta(minutes=13 * i), None if i % 37 == 3 else 100 + rnd.random() * 5)
+            for i in range(500)]
+    rows += [("cold", base + dt.timedelta(minutes=i), rnd.random()) for i in range(7)]
+    df = spark.createDataFrame(rows, "asset string, d timestamp, x double")
+    plain = {(r.asset, r.d): r.v for r in S.expanding_std(df, "x", by="asset", out="v", ddof=ddof).collect()}
+    blocked = {(r.asset, r.d): r.v for r in S.expanding_std_blocked(df, "x", out="v", ddof=ddof, block_rows=20).collect()}
+    assert plain.keys() == blocked.keys()
+    for k, v in plain.items():
+        assert (v is None and blocked[k] is None) or blocked[k] == pytest.approx(v, rel=1e-9, abs=1e-12), k

@@ -235,3 +235,38 @@ def rolling_blocked(df: DataFrame, value: str, n: int, stat: str = "mean", order
     res = agg * F.lit(scale) if scale != 1.0 else agg
     return (u.withColumn(out, F.when(F.count(value).over(frame) == n, res))
              .filter(~F.col("__halo")).drop("__halo", "__blk", "__pos"))
+
+
+def expanding_std_blocked(df: DataFrame, value: str, order="d", by="asset", out: str | None = None,
+                          ddof: int = 0, bucket: Column | None = None, block_rows: int = 1_000_000) -> DataFrame:
+    """``expanding_std`` for series of any length (hot keys).
+
+    Values are centred on their series mean (limits cancellation), each
+    series is cut into blocks of ``block_rows`` positions; running count, sum
+    and sum of squares are block prefix sums (a window over the small block
+    table) plus running sums inside one block. No task holds more than one
+    block of one series.
+    """
+    by = _cols(by)
+    out = out or f"{value}_expanding_std"
+    bucket = bucket if bucket is not None else F.date_trunc("hour", F.col(order))
+    d = positions(df, order, by, bucket)
+    mu = d.groupBy(*by).agg(F.avg(value).alias("__mu"))
+    d = (d.join(mu, by).withColumn("__y", F.col(value) - F.col("__mu"))
+          .withColumn("__blk", F.floor(F.col("__pos") / block_rows)))
+    blk = d.groupBy(*by, "__blk").agg(F.count(value).alias("__bn"), F.sum("__y").alias("__b1"),
+                                      F.sum(F.col("__y") * F.col("__y")).alias("__b2"))
+    prev = Window.partitionBy(*by).orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
+    blk = blk.select(*by, "__blk", F.coalesce(F.sum("__bn").over(prev), F.lit(0)).alias("__pn"),
+                     F.coalesce(F.sum("__b1").over(prev), F.lit(0.0)).alias("__p1"),
+                     F.coalesce(F.sum("__b2").over(prev), F.lit(0.0)).alias("__p2"))
+    d = d.join(blk, by + ["__blk"])
+    run = Window.partitionBy(*by, "__blk").orderBy("__pos").rowsBetween(Window.unboundedPreceding, 0)
+    n = F.col("__pn") + F.count(value).over(run)
+    s1 = F.col("__p1") + F.coalesce(F.sum("__y").over(run), F.lit(0.0))
+    s2 = F.col("__p2") + F.coalesce(F.sum(F.col("__y") * F.col("__y")).over(run), F.lit(0.0))
+    d = d.withColumn("__n", n).withColumn("__s1", s1).withColumn("__s2", s2)
+    m2 = F.greatest(F.col("__s2") - F.col("__s1") * F.col("__s1") / F.col("__n"), F.lit(0.0))
+    denom = F.col("__n") - ddof
+    res = F.when(denom > 0, F.sqrt(m2 / denom))
+    return d.withColumn(out, res).drop("__pos", "__mu", "__y", "__blk", "__pn", "__p1", "__p2", "__n", "__s1", "__s2")

@@ -243,3 +243,14 @@ FROM event_series WINDOW w AS (PARTITION BY asset ORDER BY d)""")
 def log_return_events(spark, sf):
     df = S.log_return(A.event_series(spark, sf))
     return df.select("asset", "d", r6("log_return").alias("log_return"))
+
+
+@register("expanding_std_events_blocked", with_("event_series") + """
+SELECT asset, d, round(stddev_pop(close) OVER (PARTITION BY asset ORDER BY d
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 6) + 0.0 AS sigma FROM event_series""")
+def expanding_std_events_blocked(spark, sf):
+    """Running population sd per user through the hot-key-safe blocked form
+    (blocks of 32 positions at this scale)."""
+    df = S.expanding_std_blocked(A.event_series(spark, sf), "close", out="sigma", block_rows=32,
+                                 bucket=F.date_trunc("hour", F.col("d")))
+    return df.select("asset", "d", r6("sigma").alias("sigma"))
