@@ -67,6 +67,10 @@ def stratified_split(df: DataFrame, label: str, id_col: str, test_tenths: int =
     """
     h = md5_key(id_col, seed)
     rows = df.withColumn("__h", h).withColumn("__b", F.substring("__h", 1, prefix_len))
+    # one exchange on (class, bucket) serves both the bucket sizes and the
+    # in-bucket ranking, so the input is read and shuffled once (the second
+    # use is a reused exchange)
+    rows = rows.repartition(label, "__b")
     sizes = rows.groupBy(label, "__b").agg(F.count(F.lit(1)).alias("__bn"))
     wcum = Window.partitionBy(label).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     sizes = (sizes.withColumn("__before", F.coalesce(F.sum("__bn").over(wcum), F.lit(0)))
