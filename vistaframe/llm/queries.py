@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from vistaframe.session import scratch_path
 from vistaframe.sources.tables import read_table
 
-from . import bin_slack, exact_dedup, token_files
+from . import bin_slack, exact_dedup, nb_svm, token_files, toxicity_chain
 from .bpe import default_tokenizer
-from .common import prepare
+from .common import id_remainder, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -52,3 +52,21 @@ def op4(spark, sf_dir):
 def op6(spark, sf_dir):
     return exact_dedup.duplicate_report(read_table(spark, sf_dir, "documents"), digest_all=True).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op9_nb_svm")
+def op9(spark, sf_dir):
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = nb_svm.fit_quality(docs, nb_svm.training_labels(labels))
+    return nb_svm.score_quality(docs, model).select(
+        "doc_id", (id_remainder("doc_id", 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op2_toxicity_chain")
+def op2(spark, sf_dir):
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    models = toxicity_chain.fit_chain(docs, nb_svm.training_labels(labels))
+    return toxicity_chain.score_chain(docs, models).select(
+        "doc_id", (id_remainder("doc_id", 5) == 0).alias("held_out"), "p_insult", "p_contempt", "p_toxic",
+        (F.col("p_toxic") >= 0.5).cast("int").alias("toxic"))
