@@ -31,12 +31,15 @@ def _bit(key: Column, rows: int) -> tuple[Column, Column]:
     return F.floor(h / 32768).cast("int"), (h % 32768).cast("int")
 
 
-def repeated_keys(keys: DataFrame, rows: int) -> DataFrame:
-    """Bit set over the hashes (column ``key``) that occur more than once: at
-    most ``rows`` rows of 4 KB."""
+def bit_set(keys: DataFrame, rows: int) -> DataFrame:
+    """Bit set over the hashes in column ``key``: at most ``rows`` rows of 4 KB."""
     row, bit = _bit(F.col("key"), rows)
-    often = keys.groupBy("key").count().filter("count > 1")
-    return often.groupBy(row.alias("_row")).agg(F.bitmap_construct_agg(bit.cast("long")).alias("_bits"))
+    return keys.groupBy(row.alias("_row")).agg(F.bitmap_construct_agg(bit.cast("long")).alias("_bits"))
+
+
+def repeated_keys(keys: DataFrame, rows: int) -> DataFrame:
+    """Bit set over the hashes that occur more than once."""
+    return bit_set(keys.groupBy("key").count().filter("count > 1"), rows)
 
 
 def _holds(bits: Column, bit: Column) -> Column:
@@ -44,8 +47,8 @@ def _holds(bits: Column, bit: Column) -> Column:
     return F.coalesce(F.getbit(byte, bit % 8) == 1, F.lit(False))
 
 
-def mark_repeated(rows: DataFrame, key: Column, bits: DataFrame, n: int, name: str) -> DataFrame:
-    """Add the boolean ``name``: false only where ``key`` is surely unique."""
+def mark_held(rows: DataFrame, key: Column, bits: DataFrame, n: int, name: str) -> DataFrame:
+    """Add the boolean ``name``: false only where ``key`` is surely not in the set."""
     row, bit = _bit(key, n)
     # the bit set has at most n rows of 4 KB
     out = rows.withColumn("_row", row).withColumn("_bit", bit).join(F.broadcast(bits), "_row", "left")
@@ -59,10 +62,10 @@ def _refine(rows: DataFrame, filter_rows: int, prefix_chars: int) -> DataFrame:
     by_length = F.xxhash64(length)
     by_prefix = F.xxhash64(length, F.substring("text", 1, prefix_chars))
     lengths = materialise(repeated_keys(rows.select(by_length.alias("key")), filter_rows), "repeated_lengths")
-    second = mark_repeated(rows, by_length, lengths, filter_rows, "_len").filter("_len").select(by_prefix.alias("key"))
+    second = mark_held(rows, by_length, lengths, filter_rows, "_len").filter("_len").select(by_prefix.alias("key"))
     prefixes = materialise(repeated_keys(second, filter_rows), "repeated_prefixes")
-    out = mark_repeated(rows, by_length, lengths, filter_rows, "_len")
-    out = mark_repeated(out, by_prefix, prefixes, filter_rows, "_pre")
+    out = mark_held(rows, by_length, lengths, filter_rows, "_len")
+    out = mark_held(out, by_prefix, prefixes, filter_rows, "_pre")
     return (out.withColumn("n_bytes", length.cast("long"))
             .withColumn("survives", F.col("_len") & F.col("_pre")).drop("_len", "_pre"))
 

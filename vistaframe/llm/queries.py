@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from vistaframe.session import scratch_path
 from vistaframe.sources.tables import read_table
 
-from . import bin_slack, exact_dedup, nb_svm, token_files, toxicity_chain
+from . import (bin_slack, block_ann, exact_dedup, nb_svm, signature_join, token_files,
+               toxicity_chain)
 from .bpe import default_tokenizer
 from .common import id_remainder, prepare
 
@@ -70,3 +71,14 @@ def op2(spark, sf_dir):
     return toxicity_chain.score_chain(docs, models).select(
         "doc_id", (id_remainder("doc_id", 5) == 0).alias("held_out"), "p_insult", "p_contempt", "p_toxic",
         (F.col("p_toxic") >= 0.5).cast("int").alias("toxic"))
+
+
+@query("op1_block_ann")
+def op1(spark, sf_dir):
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return block_ann.nearest(vectors, F.col("vec_id") % 50 == 0, k=5)
+
+
+@query("op10_signature_join")
+def op10(spark, sf_dir):
+    return signature_join.similar_components(read_table(spark, sf_dir, "documents"), words=3, percent=90)
