@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vistaframe.session import scratch_path
 from vistaframe.sources.tables import read_table
 
-from . import (bin_slack, block_ann, exact_dedup, nb_svm, signature_join, token_files,
+from . import (bin_slack, block_ann, exact_dedup, hmm_lm, nb_svm, signature_join, token_files,
                toxicity_chain)
 from .bpe import default_tokenizer
 from .common import id_remainder, prepare
@@ -82,3 +82,9 @@ def op1(spark, sf_dir):
 @query("op10_signature_join")
 def op10(spark, sf_dir):
     return signature_join.similar_components(read_table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
+@query("op8_hmm_lm")
+def op8(spark, sf_dir):
+    return hmm_lm.score_texts(read_table(spark, sf_dir, "documents"), id_remainder("doc_id", 7) == 2).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
