@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import WordMemoEncoder
+from .bpe import encoder
 from .common import id_text, materialise
 from .token_files import list_array
 
@@ -96,11 +96,11 @@ def _cut(tokenizer_file: str, end_id: int, capacity: int):
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, seen = WordMemoEncoder(tokenizer_file), TaskContext.get().partitionId(), {}
+        coder, part, seen = encoder(tokenizer_file), TaskContext.get().partitionId(), {}
         for batch in batches:
             rows = []
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(),
-                                   encoder.encode(batch.column("text").to_pylist())):
+                                   coder.encode(batch.column("text").to_pylist())):
                 ids += end
                 n = len(ids) // 4
                 stop = (n - 1) % capacity + 1  # only the first piece may be shorter

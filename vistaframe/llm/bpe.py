@@ -12,10 +12,12 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+import types
 
 import numpy as np
 
-MEMO_WORDS = 600_000  # words kept before the memo is emptied
+MEMO_WORDS = 350_000  # words of one generation; those not met for a generation go
 _LETTERS_THEN_MARKS = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-&(-/:-@\\[-`{-~]*)")
 
 
@@ -40,7 +42,11 @@ class WordMemoEncoder:
         self._model = self._tok.model
         self._symbols = {b: s for b, s in enumerate(byte_symbols())}
         self._feed = self._whole("\n")
-        self._memo = {"": {}, " ": {}}  # by what stands before the word
+        self._blank = self._symbols[ord(" ")]
+        self._raw = [k.to_bytes(4, "little") for k in range(self._tok.get_vocab_size())]
+        self._old: dict[str, bytes] = {}  # the generation before
+        self._marks: dict[str, bytes] = {}
+        self._memo: dict[str, bytes] = {}  # words after a blank; with a line feed before it, a line's first word
 
     def _whole(self, text: str) -> bytes:
         return np.asarray(self._tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -49,38 +55,63 @@ class WordMemoEncoder:
         """Letters form one piece with the blank before them and marks after
         them another, so both go to the model directly; words of any other
         make go through the whole tokenizer."""
-        got = self._memo[lead].get(word)
+        m = _LETTERS_THEN_MARKS.fullmatch(word)
+        if m is None:
+            return self._whole(lead + word)
+        letters, marks = m.groups()
+        if not marks:
+            return self._direct(lead, word)
+        got = (self._memo.get(letters) or self._old.get(letters)) if lead else self._direct("", letters)
         if got is None:
-            if m := _LETTERS_THEN_MARKS.fullmatch(word):
-                if m[2]:
-                    got = self._word(lead, m[1]) + self._word("", m[2])
-                else:
-                    piece = (lead + word).encode().decode("latin-1").translate(self._symbols)
-                    got = np.asarray([t.id for t in self._model.tokenize(piece)], dtype="<u4").tobytes()
-            else:
-                got = self._whole(lead + word)
-            self._memo[lead][word] = got
+            self._memo[letters] = got = self._direct(lead, letters)
+        after = self._marks.get(marks)
+        if after is None:
+            self._marks[marks] = after = self._direct("", marks)
+        return got + after
+
+    def _direct(self, lead: str, word: str) -> bytes:
+        if word.isascii():  # letters and marks stand for themselves
+            mapped = self._blank + word if lead else word
+        else:
+            mapped = (lead + word).encode().decode("latin-1").translate(self._symbols)
+        return b"".join([self._raw[t.id] for t in self._model.tokenize(mapped)])
+
+    def _learn(self, key: str) -> bytes | None:
+        """None: there is white space that doesn't stand alone, or of another kind."""
+        got = self._old.get(key)
+        if got is None:
+            word = key[1:] if key[:1] == "\n" else key
+            if word.split() != [word]:
+                return None
+            got = self._word(" ", word) if word is key else self._feed + self._word("", word)
+        self._memo[key] = got
         return got
 
-    def _words(self, lead: str, words: list[str]) -> bytes:
-        ids = list(map(self._memo[lead].get, words))
-        if None in ids:
-            ids = [self._word(lead, w) if x is None else x for w, x in zip(words, ids)]
-        return b"".join(ids)
-
     def encode(self, texts: list[str]) -> list[bytes]:
-        if sum(map(len, self._memo.values())) > MEMO_WORDS:
-            for memo in self._memo.values():
-                memo.clear()
+        if len(self._memo) > MEMO_WORDS:
+            self._memo, self._old = {}, self._memo
+            self._marks.clear()
         return [self._text(t) for t in texts]
 
     def _text(self, text: str) -> bytes:
         if not text:
             return b""
-        lines = [line.split(" ") for line in text.split("\n")]
-        if sum(map(len, lines)) != len(text.split()) or any("" in words for words in lines):
-            return self._whole(text)
-        return self._feed.join([self._word("", words[0]) + self._words(" ", words[1:]) for words in lines])
+        keys = ("\n" + text.replace("\n", " \n")).split(" ")
+        ids = list(map(self._memo.get, keys))
+        if None in ids:
+            for k, x in enumerate(ids):
+                if x is None and (x := self._learn(keys[k])) is None:
+                    return self._whole(text)
+                ids[k] = x
+        return b"".join(ids)[len(self._feed):]
+
+
+def encoder(tokenizer_file: str) -> WordMemoEncoder:
+    """The encoder of this Python worker: its words serve all tasks that run in it."""
+    held = sys.modules.setdefault("_vistaframe_encoders", types.ModuleType("_vistaframe_encoders"))
+    if tokenizer_file not in held.__dict__:
+        held.__dict__[tokenizer_file] = WordMemoEncoder(tokenizer_file)
+    return held.__dict__[tokenizer_file]
 
 
 def default_tokenizer() -> str:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import WordMemoEncoder
+from .bpe import encoder
 from .common import id_text
 
 TOKEN_SCHEMA = "doc_id long, pos long, n_tokens long, tokens array<int>"
@@ -48,11 +48,11 @@ def _encode(tokenizer_file: str, end_id: int):
     end = int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, pos = WordMemoEncoder(tokenizer_file), 0
+        coder, pos = encoder(tokenizer_file), 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            blobs = [ids + end for ids in encoder.encode(batch.column("text").to_pylist())]
+            blobs = [ids + end for ids in coder.encode(batch.column("text").to_pylist())]
             n = len(blobs)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(np.arange(pos, pos + n)),
