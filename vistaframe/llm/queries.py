@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from vistaframe.session import scratch_path
 from vistaframe.sources.tables import read_table
 
-from . import (bin_slack, block_ann, exact_dedup, hmm_lm, nb_svm, signature_join, token_files,
-               toxicity_chain)
+from . import (bin_slack, block_ann, exact_dedup, hmm_lm, license_scan, mixture, nb_svm, signature_join,
+               token_files, toxicity_chain)
 from .bpe import default_tokenizer
 from .common import id_remainder, prepare
 
@@ -88,3 +88,13 @@ def op10(spark, sf_dir):
 def op8(spark, sf_dir):
     return hmm_lm.score_texts(read_table(spark, sf_dir, "documents"), id_remainder("doc_id", 7) == 2).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op7_license_scan", license_scan.oracle())
+def op7(spark, sf_dir):
+    return license_scan.summary(license_scan.scan(read_table(spark, sf_dir, "documents")))
+
+
+@query("op5_mixture")
+def op5(spark, sf_dir):
+    return mixture.calibrate(read_table(spark, sf_dir, "documents"))[0].drop("_all")
