@@ -125,12 +125,11 @@ def calibrate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     names = _names(sizes, {"source": source_targets, "lang": lang_targets})
     chosen = topic_words(rows.select("words", _category(F.col("lang"), names[1]).alias("l")), len(names[1]), topic_words_each)
     names.append([*chosen, NO_TOPIC])
-    often = [F.size("words") - F.size(F.array_remove("words", w)) for w in chosen]
-    best = F.greatest(*often, F.lit(0), F.lit(0))
-    topic = F.lit(len(chosen))
-    for k in reversed(range(len(chosen))):
-        topic = F.when((often[k] == F.col("best")) & (F.col("best") > 0), k).otherwise(topic)
-    celled = (rows.withColumn("best", best)
+    often = F.array(*[F.size("words") - F.size(F.array_remove("words", w)) for w in chosen], F.lit(0))
+    best = F.array_max("often")
+    # the first of the words held most often; none of them: after the last
+    topic = F.when(best > 0, F.array_position("often", best).cast("int") - 1).otherwise(len(chosen))
+    celled = (rows.withColumn("often", often)
               .select("_all", "doc_id", "text", "tokens",
                       _category(F.col("source"), names[0]).alias("s"), _category(F.col("lang"), names[1]).alias("l"),
                       topic.alias("t")))
