@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Binarizer, Bucketizer, QuantileDiscretizer
+from pyspark.ml.feature import Binarizer, Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .keys import join_back
+from .stats import running_counts
+
 
 def binarize(df: DataFrame, col: str, out: str, threshold: float) -> DataFrame:
     """1.0 where ``col > threshold`` (strict), else 0.0 (``ml.feature.Binarizer``)."""
@@ -32,13 +35,18 @@ def bucketize(df: DataFrame, col: str, out: str, splits: list[float], labels: li
     return b
 
 
-def quantile_bins(df: DataFrame, col: str, out: str, buckets: int, relative_error: float = 0.0) -> DataFrame:
-    """Equal-frequency bins (``QuantileDiscretizer``). ``relative_error=0``
-    gives exact split points; a positive value bounds the sketch memory for
-    very large inputs."""
-    qd = QuantileDiscretizer(numBuckets=buckets, inputCol=col, outputCol=out, relativeError=relative_error,
-                             handleInvalid="keep")
-    return qd.fit(df).transform(df)
+def quantile_bins(df: DataFrame, col: str, out: str, buckets: int) -> DataFrame:
+    """Equal-frequency bins with exact split points: the value of rank
+    ``ceil(i * n / buckets)``. Ranks are counted over all tasks
+    (``stats.running_counts``); only the split points reach the driver. NaN
+    gets the extra bucket, NULL stays NULL."""
+    counts = running_counts(df.filter(F.col(col).isNotNull() & ~F.isnan(F.col(col).cast("double"))), col, [])
+    picks = [F.min(F.when(F.col("__cum") >= F.ceil(F.col("__tot") * F.lit(i) / F.lit(buckets)), F.col(col).cast("double")))
+             for i in range(1, buckets)]
+    found = sorted({x for x in counts.agg(*picks).first() if x is not None})
+    splits = [float("-inf"), *found, float("inf")]
+    src = df.withColumn(col, F.col(col).cast("double"))
+    return Bucketizer(splits=splits, inputCol=col, outputCol=out, handleInvalid="keep").transform(src)
 
 
 def one_hot(df: DataFrame, col: str, values: list, prefix: str | None = None) -> DataFrame:
@@ -79,7 +87,7 @@ def stratified_split(df: DataFrame, label: str, id_col: str, test_tenths: int =
     rows = rows.withColumn("__r", F.row_number().over(inner))
     n = F.col("__n")
     n_train = n - F.floor((n * test_tenths + 9) / 10)
-    joined = rows.join(sizes, [label, "__b"])
+    joined = join_back(rows, sizes, [label, "__b"])
     return (joined.withColumn(out, F.when(F.col("__before") + F.col("__r") <= n_train, F.lit("train"))
                                     .otherwise(F.lit("test")))
                   .drop("__h", "__b", "__bn", "__before", "__n", "__r"))

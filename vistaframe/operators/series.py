@@ -8,11 +8,11 @@ never meet in one task; positional notions ("first row", "row 252") are
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from .keys import join_back
+
 
 def _cols(x) -> list[str]:
     if x is None:
@@ -110,10 +110,6 @@ def rolling(df: DataFrame, value: str, n: int = 252, stat: str = "mean", order="
     return df.withColumn(out, F.when(full, res))
 
 
-def annualise_factor(periods: int = 252) -> float:
-    return math.sqrt(periods)
-
-
 def expanding_std(df: DataFrame, value: str, order="d", by=None, out: str | None = None,
                   ddof: int = 0) -> DataFrame:
     """Standard deviation of all rows up to and including the current one
@@ -142,7 +138,7 @@ def group_min_offset(df: DataFrame, group: str, value: str, out: str) -> DataFra
     Written as aggregate + equi-join instead of an unordered window so a hot
     group is pre-aggregated map-side and AQE can split its join partition."""
     mins = df.groupBy(group).agg(F.min(value).alias("__min"))
-    return (df.join(mins, on=group, how="inner")
+    return (join_back(df, mins, group)
               .withColumn(out, F.col(value) - F.col("__min")).drop("__min"))
 
 
@@ -188,12 +184,7 @@ def horizon_outcome(df: DataFrame, horizon: int = 252, value: str = "close", ord
             F.stddev_samp("__g").alias("sd_growth")]
     names = [f"p{int(round(p * 100)):02d}_growth" for p in percentiles]
     qs = exact_quantiles(g, "__g", by, list(percentiles), names).drop("n")
-    return g.groupBy(*_cols(by)).agg(*aggs).join(qs, _cols(by), "left")
-
-
-def ann_col(c: Column | str, periods: int = 252) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return c * F.lit(math.sqrt(periods))
+    return join_back(g.groupBy(*_cols(by)).agg(*aggs), qs, _cols(by), "left")
 
 
 def positions(df: DataFrame, order: str, by, bucket: Column, out: str = "__pos") -> DataFrame:
@@ -206,7 +197,7 @@ def positions(df: DataFrame, order: str, by, bucket: Column, out: str = "__pos")
     cnt = d.groupBy(*by, "__bk").agg(F.count(F.lit(1)).alias("__c"))
     before = Window.partitionBy(*by).orderBy("__bk").rowsBetween(Window.unboundedPreceding, -1)
     cnt = cnt.select(*by, "__bk", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__off"))
-    d = d.join(cnt, by + ["__bk"])
+    d = join_back(d, cnt, by + ["__bk"])
     inner = Window.partitionBy(*by, "__bk").orderBy(*_cols(order))
     return d.withColumn(out, F.col("__off") + F.row_number().over(inner) - 1).drop("__bk", "__off")
 
@@ -226,10 +217,10 @@ def rolling_blocked(df: DataFrame, value: str, n: int, stat: str = "mean", order
     out = out or f"{value}_rolling_{stat}"
     bucket = bucket if bucket is not None else F.date_trunc("hour", F.col(order))
     d = positions(df, order, by, bucket)
-    d = d.withColumn("__blk", F.floor(F.col("__pos") / block_rows))
-    halo = (d.filter(F.col("__pos") % block_rows >= block_rows - (n - 1))
-             .withColumn("__blk", F.col("__blk") + 1).withColumn("__halo", F.lit(True)))
-    u = d.withColumn("__halo", F.lit(False)).unionByName(halo)
+    # a row belongs to its own block and, as halo, to the next one if it is near the end
+    own = F.floor(F.col("__pos") / block_rows)
+    copies = F.when(F.col("__pos") % block_rows >= block_rows - (n - 1), F.array(own, own + 1)).otherwise(F.array(own))
+    u = d.withColumn("__blk", F.explode(copies)).withColumn("__halo", F.col("__blk") != own)
     frame = Window.partitionBy(*_cols(by), "__blk").orderBy("__pos").rowsBetween(-(n - 1), 0)
     agg = _ROLL[stat](value).over(frame)
     res = agg * F.lit(scale) if scale != 1.0 else agg
@@ -252,7 +243,7 @@ def expanding_std_blocked(df: DataFrame, value: str, order="d", by="asset", out:
     bucket = bucket if bucket is not None else F.date_trunc("hour", F.col(order))
     d = positions(df, order, by, bucket)
     mu = d.groupBy(*by).agg(F.avg(value).alias("__mu"))
-    d = (d.join(mu, by).withColumn("__y", F.col(value) - F.col("__mu"))
+    d = (join_back(d, mu, by).withColumn("__y", F.col(value) - F.col("__mu"))
           .withColumn("__blk", F.floor(F.col("__pos") / block_rows)))
     blk = d.groupBy(*by, "__blk").agg(F.count(value).alias("__bn"), F.sum("__y").alias("__b1"),
                                       F.sum(F.col("__y") * F.col("__y")).alias("__b2"))
@@ -260,7 +251,7 @@ def expanding_std_blocked(df: DataFrame, value: str, order="d", by="asset", out:
     blk = blk.select(*by, "__blk", F.coalesce(F.sum("__bn").over(prev), F.lit(0)).alias("__pn"),
                      F.coalesce(F.sum("__b1").over(prev), F.lit(0.0)).alias("__p1"),
                      F.coalesce(F.sum("__b2").over(prev), F.lit(0.0)).alias("__p2"))
-    d = d.join(blk, by + ["__blk"])
+    d = join_back(d, blk, by + ["__blk"])
     run = Window.partitionBy(*by, "__blk").orderBy("__pos").rowsBetween(Window.unboundedPreceding, 0)
     n = F.col("__pn") + F.count(value).over(run)
     s1 = F.col("__p1") + F.coalesce(F.sum("__y").over(run), F.lit(0.0))

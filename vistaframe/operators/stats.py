@@ -13,6 +13,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .keys import join_back
+
 
 def _cols(x):
     return [x] if isinstance(x, str) else list(x)
@@ -28,9 +30,9 @@ def value_share(df: DataFrame, col: str, dropna: bool = True, out: str = "share"
     """Share of each value; ``dropna=False`` keeps missing as its own row
     and counts it in the denominator."""
     src = df if not dropna else df.filter(F.col(col).isNotNull())
-    total = src.select(F.count(F.lit(1))).scalar()
-    return (src.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-               .withColumn(out, F.col("n") / total))
+    counts = src.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    total = counts.select(F.sum("n")).scalar()  # of the counts: the exchange below it is reused
+    return counts.withColumn(out, F.col("n") / total)
 
 
 def top_n_ties(counts: DataFrame, weight: str, n: int) -> DataFrame:
@@ -47,23 +49,37 @@ def top_k(df: DataFrame, k: int, *order: Column) -> DataFrame:
 
 
 # ------------------------------------------------------------ distribution
+def running_counts(df: DataFrame, value: str, by) -> DataFrame:
+    """``(group, value, n, __cum, __tot)``: rows per distinct value, the
+    number of rows up to it and of all rows in the group.
+
+    Rows are reduced to value counts first (partial aggregation). The counts
+    are dealt out by range of (group, value), each part sums its own, and a
+    part starts from the sum of the parts before it, so a group with very
+    many distinct values is spread over many tasks.
+    """
+    by = _cols(by)
+    vc = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # written, so that both uses below see the same parts
+    vc = vc.repartitionByRange(parts, *by, value).withColumn("__part", F.spark_partition_id()).checkpoint()
+    sums = vc.groupBy(*by, "__part").agg(F.sum("n").alias("__s"))
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    sums = sums.select(*by, "__part", F.coalesce(F.sum("__s").over(
+        group.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__base"),
+        F.sum("__s").over(group).alias("__tot"))
+    inside = Window.partitionBy(*by, "__part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    return (join_back(vc.withColumn("__in", F.sum("n").over(inside)), sums, [*by, "__part"])
+            .withColumn("__cum", F.col("__base") + F.col("__in")).drop("__base", "__in", "__part"))
+
+
 def exact_quantiles(df: DataFrame, value: str, by, probs, names=None) -> DataFrame:
     """Exact quantiles with linear interpolation between order statistics
-    (position ``(n-1)*p``, the ``quantile_cont`` / ``percentile`` rule).
-
-    Works on the value counts, not on the rows: rows are first reduced to
-    ``(group, value, count)`` (partial aggregation), then a cumulative count
-    over the distinct values of each group locates the order statistics. No
-    aggregate buffers a group's raw values; the sort is a spillable window
-    over distinct values only.
-    """
+    (position ``(n-1)*p``, the ``quantile_cont`` / ``percentile`` rule), found
+    in the running counts of the distinct values."""
     by = _cols(by)
     names = names or [f"q{int(round(p * 100)):02d}" for p in probs]
-    vc = (df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("__n")))
-    w = Window.partitionBy(*by).orderBy(value)
-    vc = (vc.withColumn("__cum", F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-            .withColumn("__tot", F.sum("__n").over(Window.partitionBy(*by)))
-            .withColumn("__prev", F.col("__cum") - F.col("__n")))
+    vc = running_counts(df.filter(F.col(value).isNotNull()), value, by).withColumn("__prev", F.col("__cum") - F.col("n"))
     aggs = []
     for p, name in zip(probs, names):
         pos = (F.col("__tot") - 1).cast("double") * F.lit(float(p))
@@ -100,9 +116,7 @@ def box_stats(df: DataFrame, value: str, by, approx: bool = False, accuracy: int
     """Tukey box statistics per group: quartiles (linear interpolation),
     whiskers = most extreme data within 1.5 IQR of the box, outlier count.
 
-    ``approx=True`` uses the mergeable ``percentile_approx`` sketch (bounded
-    memory per group) for very large groups; the exact variant buffers the
-    values of a group.
+    ``approx=True`` uses the mergeable ``percentile_approx`` sketch.
     """
     by = _cols(by)
     if approx:
@@ -115,21 +129,19 @@ def box_stats(df: DataFrame, value: str, by, approx: bool = False, accuracy: int
     lo_f = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
     hi_f = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
     x = F.col(value)
-    wh = (df.join(qs, by)
+    wh = (join_back(df, qs, by)
             .groupBy(*by).agg(F.min(F.when(x >= lo_f, x)).alias("whisker_lo"),
                               F.max(F.when(x <= hi_f, x)).alias("whisker_hi"),
                               F.count(F.when((x < lo_f) | (x > hi_f), 1)).alias("n_outliers")))
-    return qs.join(wh, by)
+    return join_back(qs, wh, by)
 
 
 def ecdf_by_group(df: DataFrame, value: str, by) -> DataFrame:
-    """Empirical CDF per group, each group normalised separately. Works on
-    the value counts (distinct values per group), not on the raw rows."""
+    """Empirical CDF per group, each group normalised separately, from the
+    running counts of the distinct values."""
     by = _cols(by)
-    vc = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy(*by).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    tot = Window.partitionBy(*by)
-    return vc.select(*by, value, "n", (F.sum("n").over(w) / F.sum("n").over(tot)).alias("cum_share"))
+    vc = running_counts(df.filter(F.col(value).isNotNull()), value, by)
+    return vc.select(*by, value, "n", (F.col("__cum") / F.col("__tot")).alias("cum_share"))
 
 
 def density_curve(df: DataFrame, value: str, by, grid_points: int = 64, resolution: int = 4,
@@ -146,7 +158,7 @@ def density_curve(df: DataFrame, value: str, by, grid_points: int = 64, resoluti
     st = x.groupBy(*by).agg(
         F.count(value).alias("n"), F.stddev_samp(value).alias("sd"),
         F.min(value).alias("lo"), F.max(value).alias("hi"))
-    st = st.join(exact_quantiles(x, value, by, [0.25, 0.75], ["q25", "q75"]).drop("n"), by)
+    st = join_back(st, exact_quantiles(x, value, by, [0.25, 0.75], ["q25", "q75"]).drop("n"), by)
     iqr = (F.col("q75") - F.col("q25")) / 1.34
     bw = F.lit(0.9) * F.least(F.col("sd"), F.when(iqr > 0, iqr).otherwise(F.col("sd"))) \
         * F.pow(F.col("n").cast("double"), F.lit(-0.2))
@@ -157,10 +169,9 @@ def density_curve(df: DataFrame, value: str, by, grid_points: int = 64, resoluti
              .select(*by, "g", "n", "bw",
                      (F.col("lo") - cut * F.col("bw") + F.col("g") * (F.col("hi") - F.col("lo") + 2 * cut * F.col("bw"))
                       / (grid_points - 1)).alias("x")))
-    z = (pts["x"] - bins["c"]) / pts["bw"]
-    dens = (pts.join(bins, by)
-               .groupBy(*[pts[c] for c in by], "g", "x", "n", "bw")
-               .agg(F.sum(bins["k"] * F.exp(-0.5 * z * z)).alias("s")))
+    z = (F.col("x") - F.col("c")) / F.col("bw")
+    dens = (join_back(pts, bins, by).groupBy(*by, "g", "x", "n", "bw")
+               .agg(F.sum(F.col("k") * F.exp(-0.5 * z * z)).alias("s")))
     return dens.select(*by, "g", "x", (F.col("s") / (F.col("n") * F.col("bw") * math.sqrt(2 * math.pi))).alias("density"))
 
 
@@ -261,16 +272,16 @@ def top_n_with_other(counts: DataFrame, group: str, token: str, n_col: str = "n"
     """Top ``top`` tokens per group plus an ``Other`` row for the rest (always
     present, possibly 0); shares rounded. Ties broken by token."""
     w = Window.partitionBy(group).orderBy(F.col(n_col).desc(), F.col(token))
-    ranked = counts.withColumn("__rk", F.row_number().over(w))
-    lab = F.when(F.col("__rk") <= top, F.col(token)).otherwise(F.lit(other))
-    # every group gets an explicit zero 'Other' row
-    zero = counts.select(group).distinct().select(group, F.lit(other).alias("__lab"), F.lit(0).cast("bigint").alias("__n"))
-    lab_df = ranked.select(group, lab.alias("__lab"), F.col(n_col).cast("bigint").alias("__n")).unionByName(zero)
-    agg = lab_df.groupBy(group, "__lab").agg(F.sum("__n").alias(n_col))
-    tot = counts.groupBy(group).agg(F.sum(n_col).alias("__tot"))
-    return (agg.join(tot, group)
-               .select(group, F.col("__lab").alias(token), F.col(n_col),
-                       F.round(F.col(n_col) / F.col("__tot"), digits).alias("share")))
+    # the limit on the rank reaches the tasks before the shuffle
+    kept = counts.withColumn("__rk", F.row_number().over(w)).filter(F.col("__rk") <= top)
+    kept = kept.select(group, token, F.col(n_col).cast("bigint").alias(n_col))
+    tot = counts.groupBy(group).agg(F.sum(n_col).cast("bigint").alias("__tot"))
+    # every group has its 'Other' row: what the kept tokens leave
+    rest = join_back(tot, kept.groupBy(group).agg(F.sum(n_col).alias("__kept")), group, "left")
+    rest = rest.select(group, F.lit(other).alias(token), (F.col("__tot") - F.coalesce("__kept", F.lit(0))).alias(n_col))
+    both = kept.unionByName(rest)
+    return (join_back(both.groupBy(group, token).agg(F.sum(n_col).alias(n_col)), tot, group)
+            .select(group, token, F.col(n_col), F.round(F.col(n_col) / F.col("__tot"), digits).alias("share")))
 
 
 def pivot_wide(df: DataFrame, row: str, col: str, value: str, values: list) -> DataFrame:

@@ -39,7 +39,7 @@ SELECT CAST((duration >= q1)::INT + (duration >= q2)::INT + (duration >= q3)::IN
   count(*) AS n, min(duration) AS lo, max(duration) AS hi FROM tracks, q GROUP BY ALL""")
 def quantile_bins(spark, sf):
     t = A.tracks(spark, sf).select("duration")
-    b = FE.quantile_bins(t, "duration", "duration_bin", 5, relative_error=0.0)
+    b = FE.quantile_bins(t, "duration", "duration_bin", 5)
     return b.groupBy("duration_bin").agg(F.count(F.lit(1)).alias("n"), F.min("duration").alias("lo"),
                                          F.max("duration").alias("hi"))
 
