@@ -1,39 +1,106 @@
-"""Stream result equals the batch twin under any chunking of the polls."""
+"""Stream result equals the batch twin however the polls arrive."""
 
 import datetime as dt
+import random
 import tempfile
 
+import pytest
+
 from vistaframe.operators.joins import anti_join_previous
 from vistaframe.streaming import snapshots as SN
 
+DAYS = [dt.date(2020, 1, i) for i in range(1, 9)]
+ROWS = [("s", DAYS[0], "a"), ("s", DAYS[0], "b"), ("t", DAYS[0], "x"),
+        ("s", DAYS[1], None), ("t", DAYS[1], "x"), ("t", DAYS[1], "y"),
+        ("s", DAYS[2], "a"), ("s", DAYS[2], "c"), ("t", DAYS[2], None),
+        ("s", DAYS[3], "c"), ("t", DAYS[3], "x"),
+        ("s", DAYS[4], "a"), ("t", DAYS[4], "z"), ("s", DAYS[5], None), ("t", DAYS[5], "z"), ("s", DAYS[6], "b")]
+
+
+def write_files(spark, base, groups):
+    """One file per group of rows, picked up in this order."""
+    for g in groups:
+        spark.createDataFrame(g, SN.SCHEMA).coalesce(1).write.mode("append").parquet(f"{base}/polls")
+
 
-def polls(spark):
-    d = [dt.date(2020, 1, i) for i in range(1, 8)]
-    rows = [("s", d[0], "a"), ("s", d[0], "b"), ("t", d[0], "x"),
-            ("s", d[1], None), ("t", d[1], "x"), ("t", d[1], "y"),
-            ("s", d[2], "a"), ("s", d[2], "c"), ("t", d[2], None),
-            ("s", d[3], "c"), ("t", d[3], "x"),
-            ("s", d[4], "a"), ("t", d[4], "z"), ("s", d[5], None), ("t", d[5], "z"), ("s", d[6], "b")]
-    return spark.createDataFrame(rows, SN.SCHEMA)
+def run(spark, base, max_files, **options):
+    SN.start_delta_query(spark, f"{base}/polls", f"{base}/out", f"{base}/ckpt", max_files=max_files, **options).awaitTermination()
 
 
-def test_stream_equals_batch_twin_for_any_chunking(spark):
-    df = polls(spark)
-    want = sorted(tuple(r) for r in anti_join_previous(df, skip_empty=True).select("site", "snapshot", "item").collect())
-    for max_files in (1, 2, 3, None):
-        base = tempfile.mkdtemp(prefix="vf-stream-")
-        SN.write_poll_files(df, f"{base}/polls")
-        SN.start_delta_query(spark, f"{base}/polls", f"{base}/out", f"{base}/ckpt", max_files=max_files).awaitTermination()
-        got = sorted(tuple(r) for r in SN.read_output(spark, f"{base}/out").select("site", "snapshot", "item").collect())
-        assert got == want, max_files
+def result(spark, base):
+    return sorted(tuple(r) for r in SN.read_output(spark, f"{base}/out").collect())
 
 
-def test_replayed_batch_is_idempotent(spark):
-    df = polls(spark)
+@pytest.fixture(scope="module")
+def want(spark):
+    df = spark.createDataFrame(ROWS, SN.SCHEMA)
+    return sorted(tuple(r) for r in anti_join_previous(df, skip_empty=True).select("site", "snapshot", "item").collect())
+
+
+@pytest.mark.parametrize("max_files", [1, 2, 3])
+def test_polls_in_several_files(spark, want, max_files):
+    """Every row is a file of its own, so a poll spans batches."""
     base = tempfile.mkdtemp(prefix="vf-stream-")
-    SN.write_poll_files(df, f"{base}/polls")
-    SN.start_delta_query(spark, f"{base}/polls", f"{base}/out", f"{base}/ckpt", max_files=2).awaitTermination()
-    first = sorted(tuple(r) for r in SN.read_output(spark, f"{base}/out").collect())
-    # restart on the same checkpoint: nothing new, nothing duplicated
-    SN.start_delta_query(spark, f"{base}/polls", f"{base}/out", f"{base}/ckpt", max_files=2).awaitTermination()
-    assert sorted(tuple(r) for r in SN.read_output(spark, f"{base}/out").collect()) == first
+    write_files(spark, base, [[r] for r in ROWS])
+    run(spark, base, max_files)
+    assert result(spark, base) == want
+
+
+def test_two_polls_of_two_items(spark):
+    base = tempfile.mkdtemp(prefix="vf-stream-")
+    write_files(spark, base, [[("s", d, i)] for d in DAYS[:2] for i in "ab"])
+    run(spark, base, 1)
+    assert result(spark, base) == [("s", DAYS[0], "a"), ("s", DAYS[0], "b")]
+
+
+def test_late_pieces_correct_earlier_output(spark, want):
+    base = tempfile.mkdtemp(prefix="vf-stream-")
+    rows = list(ROWS)
+    random.Random(4).shuffle(rows)
+    write_files(spark, base, [rows[i:i + 3] for i in range(0, len(rows), 3)])
+    run(spark, base, 1)
+    assert result(spark, base) == want
+
+
+def test_too_late_rows_are_set_aside(spark):
+    base = tempfile.mkdtemp(prefix="vf-stream-")
+    write_files(spark, base, [[("s", d, "a")] for d in DAYS[:4]] + [[("s", DAYS[0], "q")]])
+    run(spark, base, 1, keep_polls=2)
+    assert result(spark, base) == [("s", DAYS[0], "a")]
+    late = spark.read.parquet(f"{base}/out/late").collect()
+    assert [(r["site"], r["snapshot"], r["item"]) for r in late] == [("s", DAYS[0], "q")]
+
+
+def test_kill_between_delta_and_state(spark, want):
+    base = tempfile.mkdtemp(prefix="vf-stream-")
+    write_files(spark, base, [[r] for r in ROWS])
+    killed = []
+
+    def kill(batch_id):
+        if batch_id in (2, 5) and batch_id not in killed:
+            killed.append(batch_id)
+            raise RuntimeError("killed")
+
+    for _ in range(3):
+        try:
+            run(spark, base, 2, after_delta=kill)
+        except Exception as e:  # noqa: BLE001
+            assert "killed" in str(e)
+    assert killed == [2, 5] and result(spark, base) == want
+    versions = SN._state_versions(spark, f"{base}/out/state", 10**6)
+    assert len(versions) <= 2  # older ones are removed
+
+
+def test_restart_adds_nothing(spark, want):
+    base = tempfile.mkdtemp(prefix="vf-stream-")
+    SN.write_poll_files(spark.createDataFrame(ROWS, SN.SCHEMA), f"{base}/polls", files=4)
+    for _ in range(2):
+        run(spark, base, 2)
+        assert result(spark, base) == want
+
+
+def test_long_deltas_make_numbered_messages(spark):
+    delta = spark.createDataFrame([("s", DAYS[0], f"i{k:02d}") for k in range(25)], SN.SCHEMA)
+    got = SN.alerts(delta, part_items=10).orderBy("part").collect()
+    assert [r["part"] for r in got] == [0, 1, 2]
+    assert [len(r["message"].split(",")) for r in got] == [10, 10, 5]

@@ -5,18 +5,25 @@ marker row with a NULL item. For every site, items of a non-empty poll that
 were not in the site's previous NON-EMPTY poll are "new"; an empty poll
 never replaces what was seen; an item that vanishes and returns is new again.
 
-Execution: a stateless ``readStream`` feeding ``foreachBatch``. The state -
-the items of the last non-empty poll of every site - is a parquet table in
-the shared checkpoint folder, versioned by batch id. A batch reads the
-newest version older than itself, so a replayed batch (after a lost
-executor or a restarted query) recomputes exactly the same output and
-overwrites its own output partition: the sink is idempotent. State and
-deltas are ordinary distributed DataFrames - no set is held in one task.
+Execution: a stateless ``readStream`` feeding ``foreachBatch``. A poll may
+arrive in any number of pieces over several batches, and pieces may arrive
+after a later poll. The state holds, per site, the last ``keep_polls``
+non-empty polls; a batch recomputes the deltas of the polls it touches and of
+the poll after each of them, and writes them as a new version of those polls.
+Readers take a poll's latest version. Rows of a poll that is not newer than
+the oldest poll kept (once a site has ``keep_polls`` of them) can't be compared
+any more: they go to ``late`` and change nothing.
+
+The state is a parquet table in the shared folder, versioned by batch id. A
+batch reads the newest version older than itself, so a replayed batch (after a
+lost executor or a restart, also between the writes of one batch) recomputes
+the same output and overwrites its own partition. Versions that no replay can
+need are removed. State and deltas are ordinary distributed DataFrames.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as X
@@ -24,18 +31,18 @@ from ..operators.joins import anti_join_previous
 from ..session import path_exists
 
 SCHEMA = "site STRING, snapshot DATE, item STRING"
+KEEP_POLLS = 8
+ALERT_ITEMS = 1000  # items of one message; more of them are numbered parts
 
 
-def write_poll_files(df: DataFrame, path: str, snapshots: list | None = None) -> list:
-    """Fixture writer: one parquet file per poll, written in poll order so
-    file modification times follow the polls. Returns the polls written."""
-    snaps = snapshots
-    if snaps is None:
-        snaps = [r[0] for r in df.select("snapshot").distinct().orderBy("snapshot").collect()]
-    for s in snaps:
-        (df.filter(F.col("snapshot") == F.lit(s)).coalesce(1)
-           .write.mode("append").parquet(path))
-    return snaps
+def write_poll_files(df: DataFrame, path: str, snapshots: list | None = None, files: int | None = None) -> None:
+    """Fixture writer: the rows of the given polls (all by default) as files
+    that hold neighbouring polls, in one write. A poll may span files."""
+    if snapshots is not None:
+        df = df.filter(F.col("snapshot").between(F.lit(min(snapshots)), F.lit(max(snapshots))))
+    order = ["snapshot", "site"]
+    ranged = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
+    ranged.sortWithinPartitions(*order).write.mode("append").parquet(path)
 
 
 def poll_stream(spark: SparkSession, path: str, max_files: int | None = 1) -> DataFrame:
@@ -45,62 +52,95 @@ def poll_stream(spark: SparkSession, path: str, max_files: int | None = 1) -> Da
     return r.load(path)
 
 
-def _latest_state(spark: SparkSession, state_dir: str, before: int) -> DataFrame | None:
+def _state_versions(spark: SparkSession, state_dir: str, before: int) -> list[int]:
+    """Complete versions older than ``before``, in order."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(state_dir)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(p):
-        return None
+        return []
     versions = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
         if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            v = int(name[2:])
-            if v < before:
-                versions.append(v)
-    if not versions:
-        return None
-    return spark.read.schema(SCHEMA).parquet(f"{state_dir}/v={max(versions)}")
-
-
-def delta_batch(batch: DataFrame, state: DataFrame | None):
-    """New items of a micro-batch given the previous state; returns
-    ``(delta, new_state)``. Works for any number of polls per batch."""
-    cur = batch.withColumn("__from_state", F.lit(False))
-    combined = cur if state is None else state.withColumn("__from_state", F.lit(True)).unionByName(cur)
-    delta = (anti_join_previous(combined, skip_empty=True)
-             .filter(~F.col("__from_state")).drop("__from_state"))
-    nonempty = combined.filter(F.col("item").isNotNull())
-    last = nonempty.groupBy("site").agg(F.max("snapshot").alias("snapshot"))
-    new_state = nonempty.join(last, ["site", "snapshot"], "left_semi").drop("__from_state")
-    return delta, new_state
+            versions.append(int(name[2:]))
+    return sorted(v for v in versions if v < before)
 
 
-def alerts(delta: DataFrame, stamp_format: str = "dd/MM/yyyy HH:mm:ss") -> DataFrame:
-    """One message per (site, poll) with a non-empty delta:
-    ``<site> update! a, b`` plus the poll time stamp."""
-    g = delta.groupBy("site", "snapshot").agg(F.collect_list("item").alias("items"))
-    return g.select("site", "snapshot", X.alert_text(F.col("site"), F.col("items")).alias("message"),
+def _remove_versions(spark: SparkSession, state_dir: str, versions: list[int]) -> None:
+    jvm = spark.sparkContext._jvm
+    for v in versions:
+        p = jvm.org.apache.hadoop.fs.Path(f"{state_dir}/v={v}")
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def split_late(batch: DataFrame, state: DataFrame | None, keep_polls: int = KEEP_POLLS) -> tuple[DataFrame, DataFrame]:
+    """(rows that can still be compared, late rows)."""
+    if state is None:
+        return batch, batch.limit(0)
+    kept = state.groupBy("site").agg(F.min("snapshot").alias("__oldest"), F.countDistinct("snapshot").alias("__polls"))
+    kept = kept.filter(F.col("__polls") >= keep_polls).withColumnRenamed("site", "__site")
+    known = batch.join(kept, batch["site"].eqNullSafe(kept["__site"]), "left")
+    late = F.coalesce(F.col("snapshot") <= F.col("__oldest"), F.lit(False))
+    return known.filter(~late).select(*batch.columns), known.filter(late).select(*batch.columns)
+
+
+def delta_batch(batch: DataFrame, state: DataFrame | None, keep_polls: int = KEEP_POLLS):
+    """``(polls, delta, new_state)`` of a batch given the state: the polls
+    whose delta is computed anew, their new items, the polls kept per site."""
+    cur = batch.select("site", "snapshot", "item")
+    combined = (cur if state is None else cur.unionByName(state.select("site", "snapshot", "item"))).distinct()
+    present = combined.filter(F.col("item").isNotNull()).select("site", "snapshot").distinct()
+    touched = cur.filter(F.col("item").isNotNull()).select("site", "snapshot", F.lit(True).alias("__touched")).distinct()
+    by_time = Window.partitionBy("site").orderBy("snapshot")
+    same = (present["site"].eqNullSafe(touched["site"])) & (present["snapshot"] == touched["snapshot"])
+    marked = present.join(touched, same, "left").select(present["site"], present["snapshot"], "__touched")
+    polls = (marked.withColumn("__before", F.lag("__touched").over(by_time))
+             .filter(F.coalesce("__touched", F.lit(False)) | F.coalesce("__before", F.lit(False)))
+             .select("site", "snapshot"))
+    delta = anti_join_previous(combined, skip_empty=True).select("site", "snapshot", "item")
+    renamed = polls.select(F.col("site").alias("__s"), F.col("snapshot").alias("__t"))
+    delta = delta.join(renamed, delta["site"].eqNullSafe(renamed["__s"]) & (delta["snapshot"] == renamed["__t"]), "left_semi")
+    newest = Window.partitionBy("site").orderBy(F.col("snapshot").desc())
+    last = (present.withColumn("__rk", F.row_number().over(newest)).filter(F.col("__rk") <= keep_polls)
+            .select(F.col("site").alias("__s"), F.col("snapshot").alias("__t")))
+    nonempty = combined.filter(F.col("item").isNotNull())
+    new_state = nonempty.join(last, nonempty["site"].eqNullSafe(last["__s"]) & (nonempty["snapshot"] == last["__t"]), "left_semi")
+    return polls, delta, new_state
+
+
+def alerts(delta: DataFrame, stamp_format: str = "dd/MM/yyyy HH:mm:ss", part_items: int = ALERT_ITEMS) -> DataFrame:
+    """Messages per (site, poll) with a non-empty delta: ``<site> update! a,
+    b`` plus the poll time stamp. More than ``part_items`` items make several
+    numbered parts, each of a bounded number of items."""
+    order = Window.partitionBy("site", "snapshot").orderBy("item")
+    numbered = delta.withColumn("part", F.floor((F.row_number().over(order) - 1) / part_items).cast("int"))
+    g = numbered.groupBy("site", "snapshot", "part").agg(F.collect_list("item").alias("items"))
+    return g.select("site", "snapshot", "part", X.alert_text(F.col("site"), F.col("items")).alias("message"),
                     F.date_format(F.col("snapshot").cast("timestamp"), stamp_format).alias("stamp"))
 
 
 def start_delta_query(spark: SparkSession, polls_dir: str, out_dir: str, checkpoint: str,
                       max_files: int | None = 1, available_now: bool = True,
-                      processing_time: str = "90 seconds"):
-    """Start the change-detection stream. Outputs (parquet, one partition
-    per batch id): ``{out}/delta``, ``{out}/alerts``; state under
-    ``{out}/state``."""
+                      processing_time: str = "90 seconds", keep_polls: int = KEEP_POLLS, after_delta=None):
+    """Start the change-detection stream. Outputs (parquet, one partition per
+    batch id): ``{out}/polls`` (versions), ``{out}/delta``, ``{out}/late``;
+    state under ``{out}/state``. ``after_delta(batch_id)`` runs between the
+    writes of output and state (for tests of recovery)."""
     state_dir = f"{out_dir}/state"
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        prev = _latest_state(spark, state_dir, batch_id)
-        delta, new_state = delta_batch(batch, prev)
-        # materialise the delta once; both sinks and the state read from it
-        delta_path = f"{out_dir}/delta/batch={batch_id}"
-        delta.write.mode("overwrite").parquet(delta_path)
-        written = spark.read.schema(SCHEMA).parquet(delta_path)
-        alerts(written).write.mode("overwrite").parquet(f"{out_dir}/alerts/batch={batch_id}")
+        versions = _state_versions(spark, state_dir, batch_id)
+        prev = spark.read.schema(SCHEMA).parquet(f"{state_dir}/v={versions[-1]}") if versions else None
+        timely, late = split_late(batch, prev, keep_polls)
+        polls, delta, new_state = delta_batch(timely, prev, keep_polls)
+        late.write.mode("overwrite").parquet(f"{out_dir}/late/batch={batch_id}")
+        delta.write.mode("overwrite").parquet(f"{out_dir}/delta/batch={batch_id}")
+        polls.write.mode("overwrite").parquet(f"{out_dir}/polls/batch={batch_id}")
+        if after_delta:
+            after_delta(batch_id)
         new_state.write.mode("overwrite").parquet(f"{state_dir}/v={batch_id}")
+        _remove_versions(spark, state_dir, versions[:-1])  # a replay of this batch reads the last of them
 
     w = poll_stream(spark, polls_dir, max_files).writeStream.foreachBatch(process) \
         .option("checkpointLocation", checkpoint)
@@ -108,12 +148,16 @@ def start_delta_query(spark: SparkSession, polls_dir: str, out_dir: str, checkpo
     return w.start()
 
 
-def read_output(spark: SparkSession, out_dir: str, what: str = "delta") -> DataFrame:
-    path = f"{out_dir}/{what}"
-    if not path_exists(spark, path):
-        schema = SCHEMA if what == "delta" else "site STRING, snapshot DATE, message STRING, stamp STRING"
-        return spark.createDataFrame([], schema)
-    return spark.read.parquet(path).drop("batch")
+def read_output(spark: SparkSession, out_dir: str) -> DataFrame:
+    """New items, each poll's in its latest version."""
+    if not path_exists(spark, f"{out_dir}/polls"):
+        return spark.createDataFrame([], SCHEMA)
+    polls = spark.read.schema("site STRING, snapshot DATE, batch INT").parquet(f"{out_dir}/polls")
+    latest = polls.groupBy("site", "snapshot").agg(F.max("batch").alias("__b")).select(
+        F.col("site").alias("__s"), F.col("snapshot").alias("__t"), "__b")
+    delta = spark.read.schema(SCHEMA + ", batch INT").parquet(f"{out_dir}/delta")
+    same = delta["site"].eqNullSafe(latest["__s"]) & (delta["snapshot"] == latest["__t"]) & (delta["batch"] == latest["__b"])
+    return delta.join(latest, same, "left_semi").select("site", "snapshot", "item")
 
 
 def start_filter_query(spark: SparkSession, polls_dir: str, out_dir: str, checkpoint: str, patterns: list[str],
