@@ -43,6 +43,7 @@ def test_components_with_small_blocks(spark, monkeypatch):
     """Blocks of a few sets: links across blocks are found, too."""
     monkeypatch.setattr(signature_join, "BLOCK_SETS", 5)
     monkeypatch.setattr(signature_join, "LEAF", 2)
+    monkeypatch.setattr(signature_join, "MIN_BITS", 64)
     rows = corpus(77)
     got = {r.doc_id: (r.n_shingles, r.component_id)
            for r in signature_join.similar_components(awkward(prepare(spark), rows), words=3, percent=80).collect()}

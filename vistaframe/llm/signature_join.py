@@ -3,18 +3,20 @@
 Documents are sets of word shingles. Equal sets are one class, represented by
 its smallest id. Two linked sets share one of their first shingles under any
 fixed order of all shingles (here: rare ones first, by a hashed frequency table
-of a fixed size over all documents), so only classes that share such a shingle
-are compared:
-
-1. Every class is compared with the smallest class of each shared shingle.
-   The links found join copies of one text, however many, without their pairs.
+of a fixed number of counters over all documents), so only classes that share
+such a shingle are compared. A class has a signature, the bitmap of its
+shingles; two signatures bound the overlap of their sets, and only pairs that
+pass the bound have their sets compared.
+
+1. For each shared shingle, every class against the one among its classes that
+   shares most of its own first shingles. The links found join copies of one
+   text, however many, without their pairs.
 2. A shingle whose classes are all in one component is done. The classes of the
-   others are laid out in blocks, related ones side by side; two blocks are
-   compared if they share such a shingle. Within two blocks, trees whose nodes
-   hold the OR of their members' bitmaps and their range of sizes are traversed
+   others are laid out in blocks, related ones side by side; two blocks meet if
+   they share such a shingle. Over two blocks, signature trees whose nodes hold
+   the OR of their members' bitmaps and their range of sizes are traversed
    together: a pair of nodes is dropped when no member pair can overlap enough,
-   or when all members are in one component already. What is left at the leaves
-   is compared exactly.
+   or when all members are in one component already.
 
 No caps: every pair of classes that can be linked is linked, or joined already
 by other links. Defined cases: null and empty texts have no shingles and no
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 import pickle
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,11 +41,12 @@ from .common import id_text, materialise
 from .components import components
 from .exact_dedup import bit_set, mark_held, repeated_keys
 
-TABLE_BITS = 16  # hashed frequency table: 65,536 counts
+TABLE_BITS = 24  # hashed frequency table: 16 million counters of two bytes, whatever the corpus
+SLICE_BITS = 16  # of them in one row while they are summed
 FILTER_ROWS = 1024  # bit sets of 1024 * 4 KB
-BLOCK_SETS, BLOCK_BYTES = 256, 4 << 20
-SIGNATURE_BITS = 1024
-LEAF = 8
+BLOCK_SETS = 256
+MIN_BITS, MAX_BITS, BITS_PER_SHINGLE = 256, 16384, 8  # of a signature: a power of two
+LEAF = 16
 _K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], dtype="uint64")
 
 
@@ -92,38 +96,100 @@ def linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(x) + len(y) - both)
 
 
+def least_overlap(n, m, percent: int):
+    """The least overlap of linked sets of ``n`` and ``m``: from
+    100 * both >= percent * (n + m - both)."""
+    return -(-percent * (n + m) // (100 + percent))
+
+
+def _slot(s: np.ndarray) -> np.ndarray:
+    return (s >> np.uint64(64 - TABLE_BITS)).astype("int64")
+
+
 def _frequencies(n: int):
+    """A task's counts, as compressed slices of the table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, table = Shingler(n), np.zeros(1 << TABLE_BITS, "int64")
+        shingler, table = Shingler(n), np.zeros(1 << TABLE_BITS, "uint32")
         for batch in batches:
-            sets = [shingler.of(t) for t in batch.column("text").to_pylist()]
-            if sets:
-                table += np.bincount((np.concatenate(sets) >> np.uint64(64 - TABLE_BITS)).astype("int64"),
-                                     minlength=1 << TABLE_BITS)
-        used = np.flatnonzero(table)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(table[used])], names=["slot", "n"])
+            for text in batch.column("text").to_pylist():
+                table[_slot(shingler.of(text))] += 1  # (slots repeated within one text count once)
+        slices = np.minimum(table, 65535).astype("uint16").reshape(-1, 1 << SLICE_BITS)
+        used = [k for k in range(len(slices)) if slices[k].any()]
+        for at in range(0, len(used), 16):
+            part = used[at:at + 16]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(part, pa.int32()), pa.array([zlib.compress(slices[k].tobytes(), 1) for k in part], pa.binary())],
+                names=["slice", "counts"])
     return run
 
 
+def _sum_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the slices of a partition, in which they stand in order."""
+    at, total = None, None
+
+    def out() -> pa.RecordBatch:
+        packed = zlib.compress(np.minimum(total, 65535).astype("uint16").tobytes(), 1)
+        return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([packed], pa.binary())],
+                                          names=["slice", "counts"])
+
+    for batch in batches:
+        for k, packed in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist()):
+            if k != at:
+                if at is not None:
+                    yield out()
+                at, total = k, np.zeros(1 << SLICE_BITS, "uint64")
+            total += np.frombuffer(zlib.decompress(packed), "uint16")
+    if at is not None:
+        yield out()
+
+
+def _signature(s: np.ndarray) -> bytes:
+    """Bitmap of a set; its length follows the set's size within bounds."""
+    bits = min(max(MIN_BITS, 1 << (BITS_PER_SHINGLE * len(s) - 1).bit_length()), MAX_BITS)
+    flags = np.zeros(bits, bool)
+    flags[(s & np.uint64(bits - 1)).astype("int64")] = True
+    return np.packbits(flags).tobytes()
+
+
+def _folded(signature: bytes, size: int) -> np.ndarray:
+    """A bitmap of ``size`` bytes of the same set: halves are laid over each other."""
+    x = np.frombuffer(signature, "uint8")
+    while len(x) > size:
+        x = x[:len(x) // 2] | x[len(x) // 2:]
+    return x
+
+
+def may_link(x: bytes, y: bytes, n: int, m: int, percent: int) -> bool:
+    """False only if the signatures show too many shingles on one side alone:
+    a bit that the other bitmap lacks is of a shingle that the other set lacks."""
+    size = min(len(x), len(y))
+    a, b = _folded(x, size), _folded(y, size)
+    both = least_overlap(n, m, percent)
+    return (int(np.bitwise_count(a & ~b).sum()) <= n - both) and (int(np.bitwise_count(b & ~a).sum()) <= m - both)
+
+
 def _signatures(n: int, percent: int, sent):
     smallest = next(k for k in range(1, 10_000) if needed(k, percent) < k or needed(k + 1, percent) <= k)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, table = Shingler(n), sent.value
         for batch in batches:
-            sizes, marks, firsts = [], [], []
+            sizes, marks, firsts, bitmaps = [], [], [], []
             for text in batch.column("text").to_pylist():
                 s = shingler.of(text)
                 sizes.append(len(s))
                 marks.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                 if len(s) < smallest:  # linked with equal sets only
                     firsts.append([])
+                    bitmaps.append(b"")
                     continue
-                order = np.lexsort((s, table[(s >> np.uint64(64 - TABLE_BITS)).astype("int64")]))
+                bitmaps.append(_signature(s))
+                order = np.lexsort((s, table[_slot(s)]))
                 firsts.append(s[order[:len(s) - needed(len(s), percent) + 1]].view("int64"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()),
-                 pa.array(firsts, pa.list_(pa.int64()))], names=["doc_id", "n", "mark", "firsts"])
+                 pa.array(firsts, pa.list_(pa.int64())), pa.array(bitmaps, pa.binary())],
+                names=["doc_id", "n", "mark", "firsts", "signature"])
     return run
 
 
@@ -132,9 +198,8 @@ def _sets(n: int):
         shingler = Shingler(n)
         for batch in batches:
             sets = [shingler.of(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                                              pa.array([s.tobytes() for s in sets], pa.binary())],
-                                             names=["node", "n", "items"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s.tobytes() for s in sets], pa.binary())],
+                                             names=["node", "items"])
     return run
 
 
@@ -147,31 +212,35 @@ def _compare(percent: int):
     return run
 
 
+def _bounded(percent: int):
+    """Pairs whose signatures allow a link."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = [may_link(x, y, n, m, percent) for x, y, n, m in
+                    zip(*(batch.column(c).to_pylist() for c in ("x", "y", "n", "m")))]
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+    return run
+
+
 class _Tree:
-    """A signature tree over the sets of a block; nodes are (low, high) ranges
-    of the members, which are ordered by size, children are halves."""
-
-    def __init__(self, nodes, groups, sets):
-        order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), groups[i]))
-        self.ids = [nodes[i] for i in order]
-        self.groups = [groups[i] for i in order]
-        self.sets = [sets[i] for i in order]
-        self.sizes = np.array([len(s) for s in self.sets])
-        flags = np.zeros((len(order), SIGNATURE_BITS), bool)
-        for i, s in enumerate(self.sets):
-            flags[i, (s & np.uint64(SIGNATURE_BITS - 1)).astype("int64")] = True
-        self.bits = np.packbits(flags, axis=1).view("uint64")
-        self.count = flags.sum(axis=1)
+    """A signature tree over the members of a block, ordered by size; nodes are
+    (low, high) ranges of them, children are halves."""
+
+    def __init__(self, nodes, groups, sizes, signatures, width: int):
+        order = sorted(range(len(nodes)), key=lambda i: (sizes[i], groups[i]))
+        self.ids = np.array([nodes[i] for i in order])
+        self.groups = np.array([groups[i] for i in order])
+        self.sizes = np.array([sizes[i] for i in order])
+        self.bits = np.stack([_folded(signatures[i], width) for i in order]).view("uint64")
+        self.count = np.bitwise_count(self.bits).sum(axis=1).astype("int64")
         self.nodes: dict[tuple[int, int], tuple] = {}
         self._build(0, len(order))
 
     def _build(self, low: int, high: int) -> None:
-        """(OR of bitmaps, least and largest size, least of what a member's bitmap
-        must share with the other's, the one component of all members or None)"""
-        own = np.bitwise_or.reduce(self.bits[low:high], axis=0)
-        group = self.groups[low] if len(set(self.groups[low:high])) == 1 else None
-        self.nodes[low, high] = (own, int(self.sizes[low]), int(self.sizes[high - 1]), group,
-                                 self.count[low:high], self.sizes[low:high])
+        """(OR of the bitmaps, least and largest size, the one component of all members or None)"""
+        group = self.groups[low] if (self.groups[low:high] == self.groups[low]).all() else None
+        self.nodes[low, high] = (np.bitwise_or.reduce(self.bits[low:high], axis=0), int(self.sizes[low]),
+                                 int(self.sizes[high - 1]), group)
         if high - low > LEAF:
             mid = (low + high) // 2
             self._build(low, mid)
@@ -179,20 +248,13 @@ class _Tree:
 
     def least_common(self, node, percent: int) -> int:
         """Bits that any member shares at least with a set it is linked to: it
-        loses at most one bit per shingle that the other lacks."""
-        own, _, _, _, count, sizes = self.nodes[node]
-        return int((count - (sizes - needed(sizes, percent))).min())
+        loses at most one per shingle that the other set lacks."""
+        low, high = node
+        return int((self.count[low:high] - (self.sizes[low:high] - needed(self.sizes[low:high], percent))).min())
 
 
 def _traverse(left: _Tree, right: _Tree, same: bool, percent: int) -> list[tuple[int, int]]:
-    """Links between the members, but none within one component (as far as known here)."""
-    parent: dict[int, int] = {}
-
-    def find(g):
-        while parent.get(g, g) != g:
-            parent[g] = g = parent.get(parent[g], parent[g])
-        return g
-
+    """Pairs of members of different components whose signatures allow a link."""
     need = [{k: t.least_common(k, percent) for k in t.nodes} for t in (left, right)]
     found, stack = [], [((0, len(left.ids)), (0, len(right.ids)))]
     while stack:
@@ -200,7 +262,7 @@ def _traverse(left: _Tree, right: _Tree, same: bool, percent: int) -> list[tuple
         x, y = left.nodes[a], right.nodes[b]
         if 100 * x[2] < percent * y[1] or 100 * y[2] < percent * x[1]:
             continue  # no two sizes are near enough
-        if x[3] is not None and y[3] is not None and find(x[3]) == find(y[3]):
+        if x[3] is not None and x[3] == y[3]:
             continue  # all in one component
         if int(np.bitwise_count(x[0] & y[0]).sum()) < max(need[0][a], need[1][b]):
             continue  # the largest possible overlap is too small
@@ -211,39 +273,35 @@ def _traverse(left: _Tree, right: _Tree, same: bool, percent: int) -> list[tuple
             rights = [(b[0], mid_b), (mid_b, b[1])] if split_b else [b]
             stack += [(p, q) for p in lefts for q in rights if not same or p[0] <= q[0]]
             continue
-        common = np.bitwise_count(left.bits[a[0]:a[1], None, :] & right.bits[None, b[0]:b[1], :]).sum(axis=2)
-        n, m = left.sizes[a[0]:a[1], None], right.sizes[None, b[0]:b[1]]
+        i, j = slice(*a), slice(*b)
+        common = np.bitwise_count(left.bits[i, None, :] & right.bits[None, j, :]).sum(axis=2).astype("int64")
+        n, m = left.sizes[i, None], right.sizes[None, j]
+        both = least_overlap(n, m, percent)
         fits = ((100 * np.minimum(n, m) >= percent * np.maximum(n, m))
-                & (common >= left.count[a[0]:a[1], None] - (n - needed(n, percent)))
-                & (common >= right.count[None, b[0]:b[1]] - (m - needed(m, percent))))
-        for i, j in zip(*(k.tolist() for k in np.nonzero(fits))):
-            i, j = i + a[0], j + b[0]
-            if same and i >= j:
-                continue
-            g, h = find(left.groups[i]), find(right.groups[j])
-            if g != h and linked(left.sets[i], right.sets[j], percent):
-                parent[max(g, h)] = min(g, h)
-                found.append((left.ids[i], right.ids[j]))
+                & (left.groups[i, None] != right.groups[None, j])
+                & (left.count[i, None] - common <= n - both) & (right.count[None, j] - common <= m - both))
+        for k, h in zip(*(v.tolist() for v in np.nonzero(fits))):
+            if not same or k + a[0] < h + b[0]:
+                found.append((int(left.ids[k + a[0]]), int(right.ids[h + b[0]])))
     return found
 
 
 def _cut_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Consecutive rows of a range partition -> blocks of bounded number and bytes."""
-    held, size = [], 0
+    """Consecutive rows of a range partition -> blocks."""
+    held = []
 
     def block() -> pa.RecordBatch:
-        nodes, groups, sets = zip(*held)
+        columns = tuple(zip(*held))
         return pa.RecordBatch.from_arrays(
-            [pa.array([pickle.dumps((nodes, groups, sets))], pa.binary()), pa.array([list(nodes)], pa.list_(pa.int64()))],
+            [pa.array([pickle.dumps(columns)], pa.binary()), pa.array([list(columns[0])], pa.list_(pa.int64()))],
             names=["payload", "nodes"])
 
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("node", "component", "items"))):
-            if held and (len(held) >= BLOCK_SETS or size + len(row[2]) > BLOCK_BYTES):
+        for row in zip(*(batch.column(c).to_pylist() for c in ("node", "component", "n", "signature"))):
+            if len(held) >= BLOCK_SETS:
                 yield block()
-                held, size = [], 0
+                held = []
             held.append(row)
-            size += len(row[2])
     if held:
         yield block()
 
@@ -251,18 +309,29 @@ def _cut_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _block_pairs(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
             for i, j, x, y in zip(*(batch.column(c).to_pylist() for c in ("i", "j", "x", "y"))):
-                trees = []
-                for payload in (x,) if i == j else (x, y):
-                    nodes, groups, sets = pickle.loads(payload)
-                    trees.append(_Tree(nodes, groups, [np.frombuffer(s, "uint64") for s in sets]))
-                found += _traverse(trees[0], trees[-1], i == j, percent)
-            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()),
-                                              pa.array([f[1] for f in found], pa.int64())], names=["a", "b"])
+                parts = [pickle.loads(p) for p in ((x,) if i == j else (x, y))]
+                width = min(len(s) for p in parts for s in p[3])  # bitmaps of one length
+                trees = [_Tree(*p, width) for p in parts]
+                found = _traverse(trees[0], trees[-1], i == j, percent)
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()),
+                                                      pa.array([f[1] for f in found], pa.int64())], names=["a", "b"])
     return run
 
 
+def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int, name: str) -> DataFrame:
+    """The pairs whose sets are linked. Only texts of the ids in question are
+    cut into shingles (a bit set of the ids keeps the others out)."""
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    bits = materialise(bit_set(ids.select(F.xxhash64("node").alias("key")), FILTER_ROWS), f"{name}_ids")
+    own = mark_held(texts.filter("doc_id is not null"), F.xxhash64("doc_id"), bits, FILTER_ROWS, "_in").filter("_in")
+    sets = materialise(own.select("doc_id", "text").mapInArrow(_sets(words), "node long, items binary"), f"{name}_sets")
+    both = (pairs.join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
+            .join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a"))
+    return materialise(both.select("a", "b", "x", "y").mapInArrow(_compare(percent), "a long, b long"), name)
+
+
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
                        percent: int = 90) -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row: linked are sets with
@@ -270,38 +339,37 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     texts = id_text(docs, id_col, text_col)
 
-    counts = texts.select("text").mapInArrow(_frequencies(words), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
-    table = np.zeros(1 << TABLE_BITS, "int64")
-    for r in counts.collect():  # at most 65,536 rows
-        table[r["slot"]] = r["n"]
+    slices = texts.select("text").mapInArrow(_frequencies(words), "slice int, counts binary")
+    slices = slices.repartition("slice").sortWithinPartitions("slice").mapInArrow(_sum_slices, "slice int, counts binary")
+    table = np.zeros(1 << TABLE_BITS, "uint16")
+    for r in slices.toLocalIterator():  # 2 bytes a counter in all
+        table[r["slice"] << SLICE_BITS:(r["slice"] + 1) << SLICE_BITS] = np.frombuffer(zlib.decompress(r["counts"]), "uint16")
     rows = materialise(texts.mapInArrow(_signatures(words, percent, spark.sparkContext.broadcast(table)),
-                                        "doc_id long, n long, mark binary, firsts array<long>"), "signatures")
+                                        "doc_id long, n long, mark binary, firsts array<long>, signature binary"), "signatures")
     some = rows.filter("n > 0 and doc_id is not null")
-    classes = materialise(some.groupBy("mark").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"),
-                                                   F.first("firsts").alias("firsts")), "classes")
+    classes = materialise(some.groupBy("mark").agg(
+        F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("firsts").alias("firsts"),
+        F.first("signature").alias("signature")), "classes")
 
     # shingles that several classes have among their first ones, and those classes
-    firsts = classes.select("node", "n", F.explode("firsts").alias("key"))
+    firsts = classes.select("node", "n", F.size("firsts").alias("p"), F.explode("firsts").alias("key"))
     shared = materialise(firsts.groupBy("key").count().filter("count > 1").select("key"), "shared")
     bits = materialise(bit_set(shared, FILTER_ROWS), "shared_bits")
     likely = mark_held(firsts, F.col("key"), bits, FILTER_ROWS, "_shared").filter("_shared").drop("_shared")
     members = materialise(likely.join(shared, "key"), "members")
 
-    # the sets of those classes; a bit set of ids keeps other texts from being cut into shingles
-    ids = members.select(F.xxhash64("node").alias("key")).distinct()
-    id_bits = materialise(bit_set(ids, FILTER_ROWS), "member_bits")
-    own = mark_held(texts.filter("doc_id is not null"), F.xxhash64("doc_id"), id_bits, FILTER_ROWS, "_in").filter("_in")
-    sets = materialise(own.select("doc_id", "text").mapInArrow(_sets(words), "node long, n long, items binary"), "sets")
-
-    # 1. each class against the smallest one of each of its shingles
-    centres = materialise(members.groupBy("key").agg(F.min(F.struct("node", "n")).alias("c")), "centres")
-    pairs = members.join(centres, "key").select(F.col("c.node").alias("a"), F.col("node").alias("b"),
-                                                F.col("c.n").alias("na"), F.col("n").alias("nb"))
-    pairs = materialise(pairs.filter("a <> b").filter(
-        (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))).select("a", "b").distinct(), "pairs")
-    with_b = pairs.join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
-    with_both = with_b.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
-    stars = materialise(with_both.select("a", "b", "x", "y").mapInArrow(_compare(percent), "a long, b long"), "star_links")
+    # 1. each class against the one of each of its shingles that shares most
+    of_node = members.groupBy("node").agg((F.count(F.lit(1)) / F.first("p")).alias("w"))
+    weighted = members.join(of_node, "node")
+    centres = materialise(weighted.groupBy("key").agg(F.max(F.struct("w", (-F.col("node")).alias("a"), "n")).alias("c")), "centres")
+    pairs = members.join(centres, "key").select((-F.col("c.a")).alias("a"), F.col("node").alias("b"),
+                                                F.col("c.n").alias("n"), F.col("n").alias("m")).filter("a <> b")
+    pairs = pairs.filter(100 * F.least("n", "m") >= percent * F.greatest("n", "m")).distinct()
+    sides = classes.select("node", "signature")
+    pairs = pairs.join(sides.select(F.col("node").alias("b"), F.col("signature").alias("y")), "b")
+    pairs = materialise(pairs, "star_pairs").join(sides.select(F.col("node").alias("a"), F.col("signature").alias("x")), "a")
+    hopeful = materialise(pairs.select("a", "b", "x", "y", "n", "m").mapInArrow(_bounded(percent), "a long, b long"), "star_hopeful")
+    stars = _verified(hopeful, texts, words, percent, "star_links")
     joined = materialise(components(stars), "star_components")
 
     # 2. shingles that still have several components
@@ -311,9 +379,9 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                         .filter("lo <> hi").select("key", "lo"), "mixed")
     open_members = materialise(known.join(mixed, "key"), "open_members")
     open_nodes = open_members.groupBy("node").agg(F.first("component").alias("component"), F.min("lo").alias("lo"))
-    laid = open_nodes.join(sets, "node").select("lo", "component", "n", "node", "items")
+    laid = open_nodes.join(classes.select("node", "n", "signature"), "node")
     order = ["lo", "component", "n", "node"]
-    blocks = (laid.repartitionByRange(*order).sortWithinPartitions(*order).select("node", "component", "items")
+    blocks = (laid.repartitionByRange(*order).sortWithinPartitions(*order).select("node", "component", "n", "signature")
               .mapInArrow(_cut_blocks, "payload binary, nodes array<long>")
               .withColumn("block", F.monotonically_increasing_id()))
     blocks = materialise(blocks, "blocks")
@@ -324,7 +392,8 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     meet = materialise(meet.select("i", "j").distinct(), "block_pairs")
     loaded = (meet.join(blocks.select(F.col("block").alias("i"), F.col("payload").alias("x")), "i")
               .join(blocks.select(F.col("block").alias("j"), F.col("payload").alias("y")), "j"))
-    rest = materialise(loaded.select("i", "j", "x", "y").mapInArrow(_block_pairs(percent), "a long, b long"), "block_links")
+    near = materialise(loaded.select("i", "j", "x", "y").mapInArrow(_block_pairs(percent), "a long, b long"), "block_hopeful")
+    rest = _verified(near, texts, words, percent, "block_links")
 
     final = components(stars.unionByName(rest)).withColumnRenamed("node", "_node")
     labelled = classes.select("mark", "node").join(final, F.col("node") == F.col("_node"), "left").select(
