@@ -31,6 +31,14 @@ def test_scores(spark):
     assert all(r.score < 0 for r in got)
 
 
+def test_several_parts_and_slices(spark, monkeypatch):
+    monkeypatch.setattr(hmm_lm, "PART_TEXTS", 7)
+    monkeypatch.setattr(hmm_lm, "HELD", 200)
+    monkeypatch.setattr(hmm_lm, "CELLS", 60)
+    monkeypatch.setattr(hmm_lm, "SLICE_WORDS", 5)
+    test_scores(spark)
+
+
 def tiny_model(symbols=5, states=3):
     rng = np.random.default_rng(0)
     return {"start": rng.dirichlet(np.ones(states)), "move": rng.dirichlet(np.ones(states), states),
@@ -51,8 +59,7 @@ def path_sum(model, seq):
 def test_forward_equals_the_sum_over_paths():
     model, seqs = tiny_model(), [np.array(s) for s in ([0], [1, 2], [4, 4, 0, 1], [3, 2, 1, 0, 2, 2])]
     for group in hmm_lm._groups(seqs):
-        grid, running = hmm_lm._padded(seqs, group)
-        log = hmm_lm.forward(model, grid, running, False)[0]
+        log = hmm_lm.forward(model, hmm_lm._laid(seqs, group), False)[0]
         assert np.allclose(np.exp(log), [path_sum(model, seqs[i]) for i in group])
 
 
@@ -84,7 +91,7 @@ def test_training_raises_the_likelihood():
     for _ in range(8):
         log = 0.0
         for group in hmm_lm._groups(seqs):
-            log += hmm_lm.forward(model, *hmm_lm._padded(seqs, group), False)[0].sum()
+            log += hmm_lm.forward(model, hmm_lm._laid(seqs, group), False)[0].sum()
         assert log >= before - 5  # the prior may cost a little
         before = log
         starts, moves, emits = hmm_lm.expected_counts(model, seqs)

@@ -7,12 +7,16 @@ two bytes, where a word has the add-one share of its class. So every text has
 a probability, made of the symbols' (scaled forward recursion) and of its rare
 words' within their classes.
 
+Words are counted over all training tokens. Texts are cut into tokens once:
+each part of the corpus numbers its own words, and its list of words with
+their training counts goes, by slices of the words' hashes, to tasks that add
+up the counts of all parts and send back to each part the total and the symbol
+of its words. A word is one entry per part there, however frequent, and only
+the head (a parameter) goes to the driver.
+
 Baum-Welch: every round, each task runs scaled forward and backward recursions
 over its training texts and returns expected counts; their sums over all tasks
-give the next model. Word counts cover all training tokens and stay a table:
-only the head (a parameter) goes to the driver. Rare words are looked up by
-the part of the corpus that needs them: a part asks for its distinct rare words
-and is scored with their counts, so no word's rows meet in one task.
+give the next model.
 
 Defined cases: null text is the empty text, whose only token is the end; a null
 id counts as the empty id text (for the held-out rule); repeated rows are
@@ -24,8 +28,9 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +44,18 @@ HEAD_WORDS = 30_000
 CLASSES = 256
 STATES = 6
 ROUNDS = 4
-PART_TEXTS, PART_BYTES = 4000, 24 << 20
-CELLS = 400_000  # padded tokens of texts that run through the recursions together
+PART_TEXTS, PART_BYTES = 8000, 32 << 20
+SLICE_WORDS = 300_000  # words of all parts that one slice of hashes gets, about
+CELLS = 800_000  # tokens of texts that run through the recursions together
+HELD = 5_000_000  # tokens of texts that are held, to be sorted by length
+
+
+def _pack(x: np.ndarray) -> bytes:
+    return zlib.compress(x.tobytes(), 1)
+
+
+def _unpack(raw: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(raw), kind)
 
 
 def tokens(text: str) -> list[bytes]:
@@ -52,85 +67,181 @@ def word_class(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % CLASSES
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
+PART_SCHEMA = "part long, doc_id long, held_out boolean, ids binary, words binary, counts binary"
 
-    def out() -> pa.RecordBatch:
-        words = list(counts)
+
+def _number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as numbers of their part's words, and each part's words with their training counts."""
+    task, number = TaskContext.get().partitionId(), 0
+    local, seen, texts, size = defaultdict(count().__next__), [], 0, 0
+
+    def part() -> int:
+        return (task << 24) + number
+
+    def vocabulary() -> pa.RecordBatch:
+        used = np.concatenate(seen) if seen else np.empty(0, "uint32")
+        counts = np.bincount(used, minlength=len(local)).astype("uint32")
         return pa.RecordBatch.from_arrays(
-            [pa.array(words, pa.binary()), pa.array([word_class(w) for w in words], pa.int32()),
-             pa.array(list(counts.values()), pa.int64())], names=["word", "class", "c"])
+            [pa.array([part()], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.bool_()), pa.nulls(1, pa.binary()),
+             pa.array([zlib.compress(b" ".join(local), 1)], pa.binary()), pa.array([_pack(counts)], pa.binary())],
+            names=["part", "doc_id", "held_out", "ids", "words", "counts"])
 
     for batch in batches:
-        for text in batch.column("text").to_pylist():
-            counts.update(tokens(text))
-        if len(counts) > 500_000:
-            yield out()
-            counts.clear()
-    if counts:
-        yield out()
+        parts, numbered = [], []
+        for text, held_out in zip(batch.column("text").to_pylist(), batch.column("held_out").to_pylist()):
+            ids = np.array(list(map(local.__getitem__, tokens(text))), dtype="uint32")  # a new word gets the next number
+            if not held_out:
+                seen.append(ids)
+            parts.append(part())
+            numbered.append(_pack(ids))
+            texts, size = texts + 1, size + len(text)
+        n = len(parts)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(parts, pa.int64()), batch.column("doc_id"), batch.column("held_out"), pa.array(numbered, pa.binary()),
+             pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary())],
+            names=["part", "doc_id", "held_out", "ids", "words", "counts"])
+        if texts >= PART_TEXTS or size > PART_BYTES:
+            if local:
+                yield vocabulary()
+            number, seen, texts, size = number + 1, [], 0, 0
+            local = defaultdict(count().__next__)
+    if local:
+        yield vocabulary()
+
+
+def _sliced(slices: int):
+    """A part's words, dealt out by their hashes: (slice, part, words, numbers, counts)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, packed, counted in zip(*(batch.column(c).to_pylist() for c in ("part", "words", "counts"))):
+                words = zlib.decompress(packed).split(b" ")
+                counts = _unpack(counted, "uint32")
+                to = np.fromiter(map(zlib.crc32, words), "uint32", len(words)) % slices
+                order = np.argsort(to, kind="stable")
+                cuts = np.flatnonzero(np.diff(to[order])) + 1
+                groups = np.split(order, cuts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([int(to[g[0]]) for g in groups], pa.int32()), pa.array([part] * len(groups), pa.int64()),
+                     pa.array([zlib.compress(b" ".join([words[i] for i in g.tolist()]), 1) for g in groups], pa.binary()),
+                     pa.array([_pack(g.astype("uint32")) for g in groups], pa.binary()),
+                     pa.array([_pack(counts[g]) for g in groups], pa.binary())],
+                    names=["slice", "part", "words", "numbers", "counts"])
+    return run
 
 
-def _encode(head: dict[bytes, int]):
-    """Texts -> symbols and rare words, cut into parts of bounded size."""
+def _by_slice(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, list]]:
+    """Per slice: (total counts, [(part, words, numbers)]); a slice's rows stand together."""
+    at, totals, asked = None, {}, []
+    for batch in batches:
+        for k, part, packed, numbers, counted in zip(*(batch.column(c).to_pylist() for c in
+                                                       ("slice", "part", "words", "numbers", "counts"))):
+            if k != at:
+                if asked:
+                    yield totals, asked
+                at, totals, asked = k, {}, []
+            words = zlib.decompress(packed).split(b" ")
+            for w, c in zip(words, _unpack(counted, "uint32").tolist()):
+                totals[w] = totals.get(w, 0) + c
+            asked.append((part, words, numbers))
+    if asked:
+        yield totals, asked
+
+
+def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for totals, _ in _by_slice(batches):
+        known = [(w, c) for w, c in totals.items() if c]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([w for w, _ in known], pa.binary()), pa.array([word_class(w) for w, _ in known], pa.int32()),
+             pa.array([c for _, c in known], pa.int64())], names=["word", "class", "c"])
+
+
+def _answers(sent):
+    """Per part and slice: numbers of words with their symbols and total counts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, part, texts, size = TaskContext.get().partitionId(), 0, 0, 0
-        first_class, end = len(head), len(head) + CLASSES
+        head = sent.value
+        for totals, asked in _by_slice(batches):
+            symbol = {w: head[w] if w in head else len(head) + word_class(w) for w in totals}
+            for at in range(0, len(asked), 50):
+                some = asked[at:at + 50]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([p for p, _, _ in some], pa.int64()), pa.array([n for _, _, n in some], pa.binary()),
+                     pa.array([_pack(np.array([symbol[w] for w in words], "uint32")) for _, words, _ in some], pa.binary()),
+                     pa.array([_pack(np.array([totals[w] for w in words], "uint64")) for _, words, _ in some], pa.binary())],
+                    names=["part", "numbers", "symbols", "counts"])
+    return run
+
+
+def _symbols(n_head: int, ends: int, denominator: int, class_total: np.ndarray):
+    """A part's answers come first (kind 0), then its texts (kind 1): symbols
+    of the texts, their add-one scores and their rare words' shares."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, answers, symbol = None, [], None
+        end = n_head + CLASSES
+        end_base, end_known = math.log10((ends + 1) / denominator), int(ends > 0)
         for batch in batches:
-            symbols, rare, parts = [], [], []
-            for text in batch.column("text").to_pylist():
-                words = tokens(text)
-                found = list(map(head.get, words))
-                missing = [w for w, s in zip(words, found) if s is None]
-                if missing:
-                    found = [first_class + word_class(w) if s is None else s for w, s in zip(words, found)]
-                found.append(end)
-                symbols.append(np.array(found, dtype="<u4").tobytes())
-                rare.append(b" ".join(missing))
-                if texts >= PART_TEXTS or size > PART_BYTES:
-                    part, texts, size = part + 1, 0, 0
-                texts, size = texts + 1, size + len(text)
-                parts.append((task << 24) + part)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(parts, pa.int64()), batch.column("doc_id"), batch.column("held_out"),
-                 pa.array(symbols, pa.binary()), pa.array(rare, pa.binary())],
-                names=["part", "doc_id", "held_out", "symbols", "rare"])
+            rows = []
+            for p, kind, numbers, packed, counted, doc_id, held_out in zip(*(batch.column(c).to_pylist() for c in (
+                    "part", "kind", "numbers", "symbols", "counts", "doc_id", "held_out"))):
+                if p != part:
+                    part, answers, symbol = p, [], None
+                if kind == 0:
+                    answers.append((_unpack(numbers, "uint32"), _unpack(packed, "uint32"), _unpack(counted, "uint64")))
+                    continue
+                if symbol is None:
+                    n = sum(len(a[0]) for a in answers)
+                    symbol, total = np.zeros(n, "uint32"), np.zeros(n, "uint64")
+                    for at, s, c in answers:
+                        symbol[at], total[at] = s, c
+                    base = np.log10((total + 1.0) / denominator)
+                    share = np.zeros(n)
+                    rare = symbol >= n_head
+                    share[rare] = np.log10((total[rare] + 1.0) / class_total[symbol[rare] - n_head])
+                    known = (total > 0).astype("int64")
+                ids = _unpack(numbers, "uint32")
+                rows.append((doc_id, held_out, len(ids) + 1, int(known[ids].sum()) + end_known, float(base[ids].sum()) + end_base,
+                             float(share[ids].sum()), _pack(np.append(symbol[ids], np.uint32(end)))))
+            if rows:
+                kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[
+                    "doc_id", "held_out", "n_tokens", "n_known", "base_score", "rare_score", "symbols"])
     return run
 
 
 def _groups(sequences: list[np.ndarray]) -> Iterator[list[int]]:
-    """Indices, longest first, in groups of at most CELLS padded tokens."""
-    order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
-    at = 0
-    while at < len(order):
-        n = max(1, CELLS // len(sequences[order[at]]))
-        yield order[at:at + n]
-        at += n
-
-
-def _padded(sequences: list[np.ndarray], group: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """(time x text) symbols, and per time the number of texts that still run."""
-    longest = len(sequences[group[0]])
-    grid = np.zeros((longest, len(group)), dtype="int64")
+    """Indices, longest first, in groups of at most CELLS tokens (or one text)."""
+    group, size = [], 0
+    for i in sorted(range(len(sequences)), key=lambda i: -len(sequences[i])):
+        if group and size + len(sequences[i]) > CELLS:
+            yield group
+            group, size = [], 0
+        group.append(i)
+        size += len(sequences[i])
+    if group:
+        yield group
+
+
+def _laid(sequences: list[np.ndarray], group: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The group's symbols one text after the other, where each begins, and
+    per time the number of texts that still run (texts are longest first)."""
     lengths = np.array([len(sequences[i]) for i in group])
-    for k, i in enumerate(group):
-        grid[:lengths[k], k] = sequences[i]
-    running = len(group) - np.searchsorted(lengths[::-1], np.arange(1, longest + 1), side="left")
-    return grid, running
+    flat = np.concatenate([sequences[i] for i in group]).astype("int64")
+    running = len(group) - np.searchsorted(lengths[::-1], np.arange(1, lengths[0] + 1), side="left")
+    return flat, np.cumsum(lengths) - lengths, running
 
 
-def forward(model: dict, grid: np.ndarray, running: np.ndarray, keep: bool):
+def forward(model: dict, laid, keep: bool):
     """Natural log of each text's symbol probability; with ``keep`` also the
     scaled forward variables and scales per time."""
+    flat, begins, running = laid
     start, move, emit = model["start"], model["move"], model["emit"]  # emit: symbol x state
-    log = np.zeros(grid.shape[1])
-    alphas, scales = [], []
-    alpha = None
-    for t in range(grid.shape[0]):
-        n = running[t]
-        alpha = (start if alpha is None else alpha[:n] @ move) * emit[grid[t, :n]]
-        scale = alpha.sum(axis=1)
-        alpha = alpha / scale[:, None]
+    ones = np.ones(len(start))
+    log = np.zeros(len(begins))
+    alphas, scales, alpha = [], [], None
+    for t, n in enumerate(running.tolist()):
+        seen = emit[flat[begins[:n] + t]]
+        alpha = start * seen if alpha is None else (alpha[:n] @ move) * seen
+        scale = alpha @ ones
+        alpha /= scale[:, None]
         log[:n] += np.log(scale)
         if keep:
             alphas.append(alpha)
@@ -142,25 +253,26 @@ def expected_counts(model: dict, sequences: list[np.ndarray]) -> tuple[np.ndarra
     """Expected (starts, moves, emissions) of the texts under the model."""
     move, emit = model["move"], model["emit"]
     states = len(move)
+    back = move.T.copy()
     starts, moves, emissions = np.zeros(states), np.zeros((states, states)), np.zeros(emit.shape)
     for group in _groups(sequences):
-        grid, running = _padded(sequences, group)
-        _, alphas, scales = forward(model, grid, running, True)
-        last = grid.shape[0] - 1
-        beta = np.ones((running[last], states))
-        gammas = [None] * (last + 1)
-        for t in range(last, -1, -1):
-            n = running[t]
+        laid = flat, begins, running = _laid(sequences, group)
+        _, alphas, scales = forward(model, laid, True)
+        beta = np.ones((0, states))
+        for t in range(len(running) - 1, -1, -1):
+            n = int(running[t])
             if n > len(beta):  # texts that end here
-                beta = np.vstack([beta, np.ones((n - len(beta), states))])
-            gammas[t] = alphas[t] * beta
+                beta = np.concatenate([beta, np.ones((n - len(beta), states))])
             if t:
-                ahead = emit[grid[t, :n]] * beta / scales[t][:, None]
+                ahead = emit[flat[begins[:n] + t]] * beta
+                ahead /= scales[t][:, None]
                 moves += alphas[t - 1][:n].T @ ahead
-                beta = ahead @ move.T
-        starts += gammas[0].sum(axis=0)
-        used = np.concatenate([grid[t, :running[t]] for t in range(last + 1)])
-        weight = np.concatenate(gammas)
+            alphas[t] *= beta  # now the state's probability given the whole text
+            if t:
+                beta = ahead @ back
+        starts += alphas[0].sum(axis=0)
+        used = flat[np.concatenate([begins[:n] + t for t, n in enumerate(running.tolist())])]
+        weight = np.concatenate(alphas)
         for s in range(states):
             emissions[:, s] += np.bincount(used, weights=weight[:, s], minlength=len(emit))
     return starts, moves * move, emissions
@@ -179,9 +291,9 @@ def _expectation(sent):
 
         for batch in batches:
             for raw in batch.column("symbols").to_pylist():
-                held.append(np.frombuffer(raw, "<u4"))
+                held.append(_unpack(raw, "uint32"))
                 size += len(held[-1])
-            if size > 4 * CELLS:
+            if size > HELD:
                 add()
                 held, size = [], 0
         if held:
@@ -225,68 +337,32 @@ def next_model(rows, share: np.ndarray, states: int) -> dict:
     return {"start": _normal(starts), "move": _normal(moves, 1), "emit": _normal(emissions, 0)}
 
 
-def _requests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each part's distinct rare words (a part's rows stand together)."""
-    part, words = None, set()
+def _score(sent):
+    """Adds the symbols' probability; texts are held and run by length."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, held, size = sent.value, [], 0
+        names = ["doc_id", "held_out", "n_tokens", "n_known", "base_score"]
 
-    def out() -> pa.RecordBatch:
-        listed = list(words)
-        return pa.RecordBatch.from_arrays([pa.array([part] * len(listed), pa.int64()), pa.array(listed, pa.binary())],
-                                          names=["part", "word"])
+        def out() -> pa.RecordBatch:
+            sequences = [s for _, rows in held for s in rows]
+            log = np.zeros(len(sequences))
+            for group in _groups(sequences):
+                log[group] = forward(model, _laid(sequences, group), False)[0]
+            table = pa.Table.from_batches([b for b, _ in held]).combine_chunks()
+            score = log / math.log(10) + table.column("rare_score").to_numpy()
+            return pa.Table.from_arrays([*(table.column(c) for c in names), pa.array(score)], names=[*names, "score"]).to_batches()[0]
 
-    for batch in batches:
-        for p, rare in zip(batch.column("part").to_pylist(), batch.column("rare").to_pylist()):
-            if p != part:
-                if words:
-                    yield out()
-                part, words = p, set()
-            words.update(rare.split())
-    if words:
-        yield out()
-
-
-def _score(sent, add_one: dict):
-    """A part's word counts come first (kind 0), then its texts (kind 1)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, part, counts = sent.value, None, {}
-        head_base, class_total = model["head_base"], model["class_total"]
-        n_head = len(model["emit"]) - CLASSES - 1
-        known = model["known"]
-        base_of = {}
         for batch in batches:
-            texts = []
-            for p, kind, word, c, doc_id, held_out, symbols in zip(*(batch.column(x).to_pylist() for x in (
-                    "part", "kind", "word", "c", "doc_id", "held_out", "symbols"))):
-                if p != part:
-                    part, counts = p, {}
-                if kind == 0:
-                    counts[word] = c
-                else:
-                    rare = [(counts.get(w, 0), word_class(w)) for w in word.split()]
-                    texts.append((doc_id, held_out, np.frombuffer(symbols, "<u4"), rare))
-            if not texts:
+            if not batch.num_rows:
                 continue
-            sequences = [t[2] for t in texts]
-            score, base, n_known = np.zeros(len(texts)), np.zeros(len(texts)), np.zeros(len(texts), "int64")
-            for group in _groups(sequences):
-                grid, running = _padded(sequences, group)
-                score[group] = forward(model, grid, running, False)[0] / math.log(10)
-            for i, (_, _, s, rare) in enumerate(texts):
-                in_head = s[(s < n_head) | (s == n_head + CLASSES)]
-                base[i] = head_base[in_head].sum()
-                n_known[i] = known[in_head].sum()
-                for c, k in rare:
-                    got = base_of.get(c)
-                    if got is None:
-                        base_of[c] = got = math.log10((c + 1) / add_one["total"])
-                    base[i] += got
-                    score[i] += math.log10((c + 1) / class_total[k])
-                    n_known[i] += c > 0
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([t[0] for t in texts], pa.int64()), pa.array([t[1] for t in texts], pa.bool_()),
-                 pa.array([len(s) for s in sequences], pa.int64()), pa.array(n_known),
-                 pa.array(base), pa.array(score)],
-                names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
+            rows = [_unpack(raw, "uint32") for raw in batch.column("symbols").to_pylist()]
+            held.append((batch.select([*names, "rare_score"]), rows))
+            size += sum(map(len, rows))
+            if size > HELD:
+                yield out()
+                held, size = [], 0
+        if held:
+            yield out()
     return run
 
 
@@ -297,11 +373,17 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     ``doc_id``) is false. Scores are log10."""
     spark = docs.sparkSession
     rows = id_text(docs, id_col, text_col).withColumn("held_out", held_out)
-
-    train = rows.filter("not held_out")
-    counts = train.select("text").mapInArrow(_count, "word binary, class int, c long").groupBy("word", "class").agg(F.sum("c").alias("c"))
-    counts = materialise(counts, "word_counts")
-    ends = train.count()
+    numbered = materialise(rows.mapInArrow(_number, PART_SCHEMA), "numbered")
+    texts, vocabularies = numbered.filter("ids is not null"), numbered.filter("words is not null")
+
+    # total counts of words, by slices of their hashes
+    entries = vocabularies.select(F.sum(F.octet_length("words"))).first()[0] or 0  # packed: some bytes a word
+    slices = max(12, int(entries // (3 * SLICE_WORDS)))
+    dealt = materialise(vocabularies.select("part", "words", "counts").mapInArrow(
+        _sliced(slices), "slice int, part long, words binary, numbers binary, counts binary"), "slices")
+    dealt = dealt.repartition(slices, "slice").sortWithinPartitions("slice", "part")
+    counts = materialise(dealt.mapInArrow(_totals, "word binary, class int, c long"), "word_counts")
+    ends = texts.filter("not held_out").count()
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n_tokens, n_types = total["n"] + ends, total["v"] + (ends > 0)
     top = counts.orderBy(F.col("c").desc(), "word").limit(head_words).collect()  # at most head_words rows
@@ -312,10 +394,20 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     for r in rare.groupBy("class").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect():
         n_class[r["class"]], v_class[r["class"]] = r["n"], r["v"]
 
+    answers = dealt.mapInArrow(_answers(spark.sparkContext.broadcast(head)),
+                               "part long, numbers binary, symbols binary, counts binary")
+    nothing = F.lit(None).cast("binary")
+    both = answers.select("part", F.lit(0).alias("kind"), "numbers", "symbols", "counts", F.lit(None).cast("long").alias("doc_id"),
+                          F.lit(None).cast("boolean").alias("held_out"))
+    both = both.unionByName(texts.select("part", F.lit(1).alias("kind"), F.col("ids").alias("numbers"), nothing.alias("symbols"),
+                                         nothing.alias("counts"), "doc_id", "held_out"))
+    denominator = n_tokens + n_types + 1
+    seqs = materialise(both.repartition("part").sortWithinPartitions("part", "kind").mapInArrow(
+        _symbols(len(head), ends, denominator, n_class + v_class + 1),
+        "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, rare_score double, symbols binary"), "symbols")
+
     share = np.concatenate([[r["c"] for r in top], n_class, [ends]]) + 0.5
     share = share / share.sum()
-    seqs = materialise(rows.mapInArrow(_encode(head), "part long, doc_id long, held_out boolean, symbols binary, rare binary"),
-                       "sequences")
     model = first_model(share, states)
     shape = "key long, " + ", ".join(f"s{s} double" for s in range(states))
     for _ in range(rounds):
@@ -323,20 +415,6 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
         found = seqs.filter("not held_out").select("symbols").mapInArrow(_expectation(sent), shape)
         sums = found.groupBy("key").agg(*[F.sum(f"s{s}").alias(f"s{s}") for s in range(states)])
         model = next_model(sorted(sums.collect(), key=lambda r: r["key"]), share, states)  # a row per symbol at most
-
-    denominator = n_tokens + n_types + 1
-    c_head = np.concatenate([[r["c"] for r in top], np.zeros(CLASSES), [ends]])
-    model["head_base"] = np.log10((c_head + 1) / denominator)
-    model["known"] = (c_head > 0).astype("int64")
-    model["class_total"] = n_class + v_class + 1
-    sent = spark.sparkContext.broadcast(model)
-    asked = seqs.select("part", "rare").mapInArrow(_requests, "part long, word binary").distinct()
-    answers = materialise(asked.join(rare.select("word", "c"), "word"), "part_counts")
-    both = answers.select("part", F.lit(0).alias("kind"), "word", "c", F.lit(None).cast("long").alias("doc_id"),
-                          F.lit(None).cast("boolean").alias("held_out"), F.lit(None).cast("binary").alias("symbols"))
-    both = both.unionByName(seqs.select("part", F.lit(1).alias("kind"), F.col("rare").alias("word"),
-                                        F.lit(None).cast("long").alias("c"), "doc_id", "held_out", "symbols"))
-    scored = (both.repartition("part").sortWithinPartitions("part", "kind")
-              .mapInArrow(_score(sent, {"total": denominator}),
-                          "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"))
+    scored = seqs.mapInArrow(_score(spark.sparkContext.broadcast(model)),
+                             "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.withColumn("train_tokens", F.lit(n_tokens).cast("long"))
