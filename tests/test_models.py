@@ -1,32 +1,76 @@
-"""Rows-only model keys: shape, ranges and reproducibility."""
+"""Searches: every point is scored, the same way each time, on folds that don't depend on partitions."""
 
-import math
+import pytest
+from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from __spark_entry__ import oracle_sql, queries
 from tests.conftest import SF_SMALL
+from vistaframe.operators import models as M
+from vistaframe.registry import models as RM
 
 
-def test_pca_cumulative_variance(spark):
-    rows = queries()["pca_variance"](spark, SF_SMALL).orderBy("component").collect()
-    cum = [r.cumulative for r in rows]
-    assert len(rows) == 6 and all(b >= a - 1e-12 for a, b in zip(cum, cum[1:]))
-    assert abs(cum[-1] - 1.0) < 1e-9 and rows[0].explained > 0.5
+@pytest.fixture(scope="module")
+def parts(spark):
+    return RM._train_test(spark, SF_SMALL)
 
 
-def test_coefficients_named_and_above_cut(spark):
-    rows = queries()["coef_importance"](spark, SF_SMALL).collect()
-    assert rows and all(abs(r.coef) > 0.2 and r.feature for r in rows)
+def test_every_model_key_has_an_oracle():
+    keys = {"pca_variance", "logreg_sweep", "coef_importance", "tree_random_search", "tree_grid_search", "mlp_classify",
+            "soft_vote", "stacking", "gbt_classify", "random_search", "rf_predict", "model_cache", "knn_join", "knn_sweep", "knn_cv"}
+    assert keys <= set(oracle_sql()) and keys <= set(queries())
 
 
-def test_model_cache_reload_gives_same_predictions(spark):
-    q = queries()["model_cache"]
-    first = sorted(tuple(r) for r in q(spark, SF_SMALL).collect())
-    again = sorted(tuple(r) for r in q(spark, SF_SMALL).collect())   # loads the stored model
-    assert first and first == again
+def test_full_axes():
+    assert len(M.full_grid(RM.TREE_AXES)) == 9 * 4 * 2
+    assert RM.GBT_ROUNDS == [100, 200, 300] and len(M.full_grid(RM.GBT_AXES)) == 9
+    assert len(RM.random_draws()) == 13 and len(RM._mlp_draws()) == 10
 
 
-def test_forest_predictions_finite_and_keyed(spark):
-    df = queries()["rf_predict"](spark, SF_SMALL)
-    rows = df.collect()
-    assert rows and all(math.isfinite(r.predicted_year) for r in rows)
-    assert min(r.predicted_year for r in rows) >= 1995 - 1e-9 and max(r.predicted_year for r in rows) <= 2001 + 1e-9
+def test_folds_do_not_depend_on_partitions(spark):
+    df = spark.range(500)
+    a = {r["id"]: r["fold"] for r in M.with_fold(df.repartition(7), "id").collect()}
+    b = {r["id"]: r["fold"] for r in M.with_fold(df.coalesce(1), "id").collect()}
+    assert a == b and set(a.values()) == set(range(5))
+
+
+def test_search_repeats(parts):
+    """Concurrent fits don't disturb each other: five runs, the same scores."""
+    tr, _ = parts
+    dt = DecisionTreeClassifier(featuresCol="features", labelCol="label", seed=42)
+    maps = M.to_param_maps(dt, M.full_grid({"maxDepth": [2, 5], "impurity": ["gini", "entropy"]}))
+    first = M.cross_validate(dt, maps, tr)
+    assert len(first) == 4 and all(0 < x <= 1 for x in first)
+    assert all(M.cross_validate(dt, maps, tr) == first for _ in range(4))
+
+
+def test_search_table_keeps_every_axis(parts):
+    tr, _ = parts
+    dt = DecisionTreeClassifier()
+    maps = M.to_param_maps(dt, M.full_grid(RM.TREE_AXES))
+    rows = M.search_table(tr.sparkSession, maps, [0.5] * len(maps)).collect()
+    assert len({(r["maxDepth"], r["minInstancesPerNode"], r["impurity"]) for r in rows}) == 72
+
+
+def test_boosting_prefixes(parts, monkeypatch):
+    monkeypatch.setattr(RM, "GBT_ROUNDS", [1, 3])
+    monkeypatch.setattr(RM, "GBT_AXES", {"maxDepth": [2], "stepSize": [0.1]})
+    rows = {r["maxIter"]: r["log_loss"] for r in RM.gbt_scores(parts[0]).collect()}
+    assert set(rows) == {1, 3} and all(x > 0 for x in rows.values())
+
+
+def test_random_search_scores(parts, monkeypatch):
+    monkeypatch.setattr(RM, "random_draws", lambda: [{"maxDepth": 2, "maxIter": n, "stepSize": 0.1} for n in (1, 2)])
+    table, test_rmse = RM.random_search_scores(*parts)
+    assert all(0 <= r["rmse"] <= 1 for r in table.collect()) and 0 <= test_rmse <= 1
+
+
+def test_principal_components(parts):
+    rows = RM.pca_shares(parts[0]).orderBy("component").collect()
+    assert len(rows) == 13 and abs(rows[-1]["cumulative"] - 1) < 1e-9 and rows[0]["explained"] > 0.5
+
+
+def test_forest_predictions_are_years(spark):
+    pred, (low, high, _) = RM.forest_predictions(spark, SF_SMALL)
+    got = pred.agg(F.min("predicted_year"), F.max("predicted_year"), F.count("*")).first()
+    assert low <= got[0] and got[1] <= high and got[2] > 0

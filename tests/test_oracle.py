@@ -8,8 +8,9 @@ from scripts.check_oracle import frame_hash
 from tests.conftest import SF_SMALL
 from vistaframe.sources.tables import TABLES
 
-# slow by nature (one file / one micro-batch per poll); covered in test_streaming
-SKIP = {"stream_snapshot_delta", "stream_alert_sink", "stream_recover", "stream_filter_items"}
+# slow by nature: many micro-batches (covered in test_streaming) or many fits (covered in test_models)
+SKIP = {"stream_snapshot_delta", "stream_recover", "stream_filter_items", "logreg_sweep", "tree_random_search",
+        "tree_grid_search", "mlp_classify", "gbt_classify", "random_search", "stacking"}
 KEYS = sorted(k for k in oracle_sql() if k not in SKIP)
 
 

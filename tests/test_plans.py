@@ -28,3 +28,8 @@ def test_projection_pruned(spark):
 def test_no_cartesian_product(spark, key):
     p = plan(queries()[key](spark, SF_SMALL))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_knn_compares_blocks(spark):
+    p = plan(queries()["knn_join"](spark, SF_SMALL))
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p and "MapInArrow" in p

@@ -52,21 +52,11 @@ def matches_any(col, patterns: Sequence[str], case_insensitive: bool = True) ->
     return _c(col).rlike(rx)
 
 
-def extract_all(col, pattern: str, group: int = 1) -> Column:
-    """Array of all matches of ``pattern`` (capture ``group``)."""
-    return F.regexp_extract_all(_c(col), F.lit(pattern), group)
-
-
 def money(col, digits: int = 2) -> Column:
     """``$%.2f`` text of a number."""
     return F.format_string(f"$%.{digits}f", _c(col))
 
 
-def percent(col, digits: int = 2) -> Column:
-    """``{x:.2%}`` text of a share."""
-    return F.format_string(f"%.{digits}f%%", F.round(_c(col) * 100, digits))
-
-
 def stamp(col, pattern: str = "dd/MM/yyyy HH:mm:ss") -> Column:
     return F.date_format(_c(col), pattern)
 
@@ -90,6 +80,7 @@ def logspace(start, stop, num: int, base: float = 10.0) -> Column:
     return F.transform(linspace(start, stop, num), lambda e: F.pow(F.lit(base), e))
 
 
+# fixed value: the wording of a message
 def alert_text(name, items_array) -> Column:
     """``name update! a, b`` from an array of item names (sorted)."""
     return F.concat(_c(name), F.lit(" update! "), F.array_join(F.array_sort(_c(items_array)), ", "))

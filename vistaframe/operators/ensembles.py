@@ -1,36 +1,13 @@
-"""Ensembles over a long prediction table ``(model, id, y, p)``."""
+"""Soft votes over probability columns."""
 
 from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def subsets_table(spark: SparkSession, models: list[str], min_size: int = 2, max_size: int | None = None) -> DataFrame:
-    """``(subset, model)`` membership rows for every combination of 2..n
-    models; its size is fixed by the model list (2^n rows at most)."""
-    max_size = max_size or len(models)
-    rows = []
-    for r in range(min_size, max_size + 1):
-        for combo in itertools.combinations(sorted(models), r):
-            name = "+".join(combo)
-            rows.extend((name, m) for m in combo)
-    return spark.createDataFrame(rows, "subset string, model string")
-
-
-def soft_vote(long_preds: DataFrame, subsets: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """Accuracy of the soft vote (mean probability > threshold) of every
-    model subset. The membership table is tiny and broadcast; the work is
-    one join and two aggregations, parallel over subset x id."""
-    j = long_preds.join(F.broadcast(subsets), "model")
-    votes = j.groupBy("subset", "id", "y").agg(F.avg("p").alias("p"))
-    return votes.groupBy("subset").agg(
-        F.avg(((F.col("p") > threshold).cast("int") == F.col("y")).cast("double")).alias("accuracy"),
-        F.count(F.lit(1)).alias("n"))
-
-
 def soft_vote_wide(df: DataFrame, prob_cols: dict[str, str], label: str = "y", threshold: float = 0.5,
                    min_size: int = 2) -> DataFrame:
     """Soft vote of every subset of 2..n models given one probability column

@@ -1,82 +1,133 @@
-"""Exact k-nearest-neighbour join with pivot pruning (no cartesian product).
-
-1. ``P`` pivots are drawn from the reference rows (the ``P`` smallest
-   ``md5(id || seed)``; a bounded set of P vectors, inlined as a literal).
-2. Every reference row goes to the cell of its nearest pivot, keeping its
-   distance ``r`` to that pivot; each cell records its radius ``R``.
-3. Every query computes its distances ``dq`` to all pivots. Its first cells
-   in ``dq`` order that together hold >= k rows give an upper bound ``tau``
-   on its k-th neighbour distance (exact distances to those rows).
-4. Candidate cells are those whose lower bound ``dq_c - R_c <= tau``; inside
-   them a row is kept when ``|dq_c - r| <= tau`` (triangle inequality). The
-   exact top-k is ranked among the candidates only.
-
-Every pairing is an equi-join on the cell id, and no distance that could
-matter is skipped, so the answer is exact. Pruning is strong on clustered
-data; on structureless high-dimensional data the bounds are loose and the
-candidate set approaches all rows - still exact, still spread over tasks.
+"""Exact k-nearest-neighbour join over blocks of rows.
+
+Exact neighbours of all queries among all reference rows take work in
+proportion to queries x rows. Both sides are cut into blocks; a grid of cells
+(group of query blocks x stripe of reference rows) is dealt out evenly, so no
+task holds more than one group of queries and one block of rows at a time,
+whatever the data. In a cell, a matrix product gives all distances up to
+rounding; pairs that can be among the first k are computed again in index
+order, and each query keeps its k best. The cells' bests are merged by query.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
-
-
-def l2(a: Column, b: Column) -> Column:
-    """Euclidean distance of two numeric arrays, summed in index order in
-    double precision."""
-    sq = F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double")))
-    return F.sqrt(F.aggregate(sq, F.lit(0.0), lambda s, v: s + v))
+import pickle
+import sys
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-def _pivots(ref: DataFrame, id_col: str, vec: str, n: int, seed: int) -> Column:
-    rows = (ref.select(id_col, vec).orderBy(F.md5(F.concat(F.col(id_col).cast("string"), F.lit(str(seed)))))
-               .limit(n).collect())
-    return F.array(*[F.array(*[F.lit(float(v)) for v in r[vec]]) for r in rows])
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of this module
+
+BLOCK = 1024  # rows of one block
+QUERY_BLOCKS = 4  # query blocks of one cell
+STRIPE_ROWS = 16_384  # reference rows of one stripe, about
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (id, group, vec) -> pickled blocks (ids, groups, matrix)."""
+    held = []
+
+    def out(rows) -> pa.RecordBatch:
+        ids, groups, vecs = zip(*rows)
+        block = (np.array(ids, "int64"), np.array([-1 if g is None else g for g in groups], "int64"), np.array(vecs, "float64"))
+        return pa.RecordBatch.from_arrays([pa.array([int(ids[0])], pa.int64()), pa.array([pickle.dumps(block)], pa.binary())],
+                                          names=["first", "payload"])
+
+    for batch in batches:
+        held += zip(*(batch.column(c).to_pylist() for c in ("id", "grp", "vec")))
+        while len(held) >= BLOCK:
+            yield out(held[:BLOCK])
+            held = held[BLOCK:]
+    if held:
+        yield out(held)
+
+
+class _Cell:
+    """The queries of a cell with their k best rows so far."""
+
+    def __init__(self, payloads: list[bytes], k: int):
+        parts = [pickle.loads(p) for p in payloads]
+        self.ids, self.groups, self.x = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        self.square = (self.x * self.x).sum(axis=1)
+        self.k = k
+        self.best = [[] for _ in self.ids]  # (distance, row id), nearest first
+
+    def meet(self, payload: bytes, exclude: bool) -> None:
+        ids, groups, y = pickle.loads(payload)
+        square = (y * y).sum(axis=1)
+        near = self.square[:, None] + square[None, :] - 2 * (self.x @ y.T)
+        slack = 1e-9 * (self.square[:, None] + square[None, :]) + 1e-300
+        if exclude:
+            near = np.where(self.groups[:, None] == groups[None, :], np.inf, near)
+        k = min(self.k, len(ids))
+        bound = np.partition(near + slack, k - 1, axis=1)[:, k - 1]
+        for i, row in enumerate(near - slack <= bound[:, None]):
+            at = np.flatnonzero(row & np.isfinite(near[i]))
+            if len(self.best[i]) == self.k:
+                at = at[near[i, at] - slack[i, at] <= self.best[i][-1][0] ** 2]
+            if len(at):
+                diff = self.x[i] - y[at]
+                exact = np.sqrt(np.cumsum(diff * diff, axis=1)[:, -1])  # summed in index order
+                self.best[i] = sorted(self.best[i] + list(zip(exact.tolist(), ids[at].tolist())))[:self.k]
+
+    def rows(self) -> pa.RecordBatch:
+        found = [(int(q), r, d) for q, best in zip(self.ids, self.best) for d, r in best]
+        cols = list(zip(*found)) or [(), (), ()]
+        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
+                                           pa.array(cols[2], pa.float64())], names=["q_id", "r_id", "dist"])
+
+
+def _cells(k: int, exclude: bool):
+    """A partition's cells one after the other: queries first, then rows."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, payloads, cell = None, [], None
+        for batch in batches:
+            for key, side, payload in zip(*(batch.column(c).to_pylist() for c in ("cell", "side", "payload"))):
+                if key != at:
+                    if cell:
+                        yield cell.rows()
+                    at, payloads, cell = key, [], None
+                if side == 0:
+                    payloads.append(payload)
+                elif payloads:
+                    cell = cell or _Cell(payloads, k)
+                    cell.meet(payload, exclude)
+        if cell:
+            yield cell.rows()
+    return run
 
 
 def knn(ref: DataFrame, query: DataFrame, k: int, id_col: str = "vec_id", vec: str = "embedding",
-        n_pivots: int = 16, seed: int = 42) -> DataFrame:
+        exclude_same: str | None = None) -> DataFrame:
     """``(q_id, r_id, dist, rank)`` for the k nearest reference rows of every
-    query row; ties on distance are broken by the reference id."""
-    piv = _pivots(ref, id_col, vec, n_pivots, seed)
-    r = ref.select(F.col(id_col).alias("r_id"), F.col(vec).alias("r_vec"))
-    r = r.withColumn("__dp", F.transform(piv, lambda p: l2(F.col("r_vec"), p)))
-    r = (r.withColumn("r_rad", F.array_min("__dp"))
-          .withColumn("cell", F.array_position("__dp", F.array_min("__dp")).cast("int")).drop("__dp"))
-    # used three times below: compute the pivot distances once (reliable
-    # checkpoint into spark.checkpoint.dir, lineage cut)
-    r = r.checkpoint(eager=True)
-    cells = r.groupBy("cell").agg(F.max("r_rad").alias("R"), F.count(F.lit(1)).alias("n_c"))
-
-    q = query.select(F.col(id_col).alias("q_id"), F.col(vec).alias("q_vec"))
-    q = q.withColumn("__dq", F.transform(piv, lambda p: l2(F.col("q_vec"), p))).checkpoint(eager=True)
-    qc = q.select("q_id", "q_vec", F.posexplode("__dq").alias("__pos", "dq"))
-    qc = qc.withColumn("cell", (F.col("__pos") + 1).cast("int")).drop("__pos")
-    # cells are at most n_pivots rows: broadcast by construction
-    qc = qc.join(F.broadcast(cells), "cell")
-
-    # upper bound tau: exact distances to the rows of the nearest cells holding >= k rows
-    wcum = Window.partitionBy("q_id").orderBy("dq", "cell").rowsBetween(Window.unboundedPreceding, 0)
-    first = qc.withColumn("__cum", F.sum("n_c").over(wcum)).filter(F.col("__cum") - F.col("n_c") < k)
-    near = first.select("q_id", "q_vec", "cell").join(r, "cell").select("q_id", l2(F.col("q_vec"), F.col("r_vec")).alias("dist"))
-    wk = Window.partitionBy("q_id").orderBy("dist")
-    tau = (near.withColumn("__rk", F.row_number().over(wk))
-               .groupBy("q_id").agg(F.max(F.when(F.col("__rk") == k, F.col("dist"))).alias("tau")))
-    # fewer than k reference rows in total: every row is a candidate
-    tau = tau.withColumn("tau", F.coalesce("tau", F.lit(float("inf"))))
-
-    cand_cells = (qc.join(tau, "q_id")
-                    .filter(F.greatest(F.col("dq") - F.col("R"), F.lit(0.0)) <= F.col("tau"))
-                    .select("q_id", "q_vec", "cell", "dq", "tau"))
-    cand = (cand_cells.join(r, "cell")
-                      .filter(F.abs(F.col("dq") - F.col("r_rad")) <= F.col("tau"))
-                      .select("q_id", "r_id", l2(F.col("q_vec"), F.col("r_vec")).alias("dist"), "tau")
-                      .filter(F.col("dist") <= F.col("tau")))
-    wr = Window.partitionBy("q_id").orderBy("dist", "r_id")
-    return (cand.withColumn("rank", F.row_number().over(wr)).filter(F.col("rank") <= k)
-                .select("q_id", "r_id", "dist", "rank"))
+    query row; ties on distance are broken by the reference id. With
+    ``exclude_same``, rows that agree with the query in that column take no
+    part (cross validation by folds)."""
+    spark = ref.sparkSession
+    group = (F.col(exclude_same) if exclude_same else F.lit(None)).cast("long")
+
+    def blocks(df):
+        return df.select(F.col(id_col).cast("long").alias("id"), group.alias("grp"),
+                         F.col(vec).cast("array<double>").alias("vec")).mapInArrow(_blocks, "first long, payload binary")
+
+    stripes = max(spark.sparkContext.defaultParallelism, -(-ref.count() // STRIPE_ROWS))
+    groups = max(1, -(-query.count() // (BLOCK * QUERY_BLOCKS)))
+    place = lambda n, salt: F.pmod(F.xxhash64("first", F.lit(salt)), F.lit(n)).cast("int")
+    asked = blocks(query).select(place(groups, 1).alias("g"), F.explode(F.sequence(F.lit(0), F.lit(stripes - 1))).alias("s"),
+                                 F.lit(0).alias("side"), "first", "payload")
+    given = blocks(ref).select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), place(stripes, 2).alias("s"),
+                               F.lit(1).alias("side"), "first", "payload")
+    cells = asked.unionByName(given).select((F.col("g") * stripes + F.col("s")).alias("cell"), "side", "first", "payload")
+    found = (cells.repartition(stripes * groups, "cell").sortWithinPartitions("cell", "side", "first")
+             .select("cell", "side", "payload").mapInArrow(_cells(k, exclude_same is not None), "q_id long, r_id long, dist double"))
+    best = F.slice(F.array_sort(F.collect_list(F.struct("dist", "r_id"))), 1, k)  # k per stripe at most
+    return (found.groupBy("q_id").agg(best.alias("b")).select("q_id", F.posexplode("b").alias("p", "b"))
+            .select("q_id", F.col("b.r_id").alias("r_id"), F.col("b.dist").alias("dist"), (F.col("p") + 1).cast("int").alias("rank")))
 
 
 def majority_vote(neigh: DataFrame, labels: DataFrame, k: int, label: str = "label",
@@ -90,15 +141,14 @@ def majority_vote(neigh: DataFrame, labels: DataFrame, k: int, label: str = "lab
     return best
 
 
-def accuracy_by_k(neigh: DataFrame, labels: DataFrame, ks: list[int], label: str = "label",
-                  id_col: str = "vec_id") -> DataFrame:
-    """Accuracy of the majority vote for every k in ``ks`` from ONE neighbour
-    ranking (computed to max(ks)). The k values become rows via explode."""
+def predictions_by_k(neigh: DataFrame, labels: DataFrame, ks: list[int], label: str = "label",
+                     id_col: str = "vec_id") -> DataFrame:
+    """``(k, q_id, predicted, actual)``: the majority vote for every k in
+    ``ks`` from ONE neighbour ranking (computed to max(ks)). The k values
+    become rows via explode."""
     lab = labels.select(F.col(id_col).alias("r_id"), F.col(label).alias("__l"))
-    truth = labels.select(F.col(id_col).alias("q_id"), F.col(label).alias("__y"))
-    nk = neigh.join(lab, "r_id").withColumn("k", F.explode(F.array(*[F.lit(k) for k in ks])))
-    nk = nk.filter(F.col("rank") <= F.col("k"))
+    truth = labels.select(F.col(id_col).alias("q_id"), F.col(label).alias("actual"))
+    nk = neigh.join(lab, "r_id").withColumn("k", F.explode(F.sequence(F.greatest(F.col("rank"), F.lit(min(ks))), F.lit(max(ks)))))
     votes = nk.groupBy("k", "q_id", "__l").agg(F.count(F.lit(1)).alias("__n"))
     pred = votes.groupBy("k", "q_id").agg(F.min_by("__l", F.struct(-F.col("__n"), F.col("__l"))).alias("predicted"))
-    return (pred.join(truth, "q_id").groupBy("k")
-                .agg(F.avg((F.col("predicted") == F.col("__y")).cast("double")).alias("accuracy")))
+    return pred.join(truth, "q_id")

@@ -1,39 +1,45 @@
 """Model training, search and comparison with ``pyspark.ml``.
 
 Feature rows stay distributed end to end: ``VectorAssembler`` builds the
-vector column, estimators train on executors, ``CrossValidator`` evaluates
-folds concurrently (``parallelism``). Only fitted parameters (coefficients,
-a few numbers per model) ever reach the driver.
+vector column, estimators train on executors, and the (fold, parameter map)
+fits of a search run concurrently. Only fitted parameters (coefficients, a few
+numbers per model) ever reach the driver.
 """
 
 from __future__ import annotations
 
 import itertools
 import random
+from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
-                                       MultilayerPerceptronClassifier)
+import numpy as np
+from pyspark import inheritable_thread_target
+from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import path_exists
 
+FOLDS = 5
 
-def materialize(df: DataFrame, rows_per_partition: int = 200_000) -> DataFrame:
-    """Cut the lineage before iterative training: a reliable checkpoint into
-    ``spark.checkpoint.dir`` (survives lost executors), then a partition
-    count sized to the row count so each training job has tasks of useful
-    size, cached for the many passes of the learners."""
-    ck = df.checkpoint(eager=True)
-    n = ck.count()
-    parts = max(1, -(-n // rows_per_partition))
-    return ck.coalesce(parts).cache() if parts < ck.rdd.getNumPartitions() else ck.cache()
+
+def materialize(df: DataFrame, id_col: str) -> DataFrame:
+    """Cut the lineage before iterative training: rows dealt out by a hash of
+    their id and written as a reliable checkpoint into ``spark.checkpoint.dir``
+    (survives lost executors). The layout depends on the ids and the session's
+    shuffle partitions only."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, F.xxhash64(id_col)).sortWithinPartitions(id_col).checkpoint(eager=True)
+
+
+def with_fold(df: DataFrame, id_col: str, folds: int = FOLDS) -> DataFrame:
+    """``fold`` 0..folds-1 from a hash of the id: the same rows whatever the partitions."""
+    h = F.md5(F.concat(F.col(id_col).cast("string"), F.lit("fold")))
+    return df.withColumn("fold", (F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") % folds).cast("int"))
 
 
 def assemble(df: DataFrame, cols: list[str], out: str = "features") -> DataFrame:
@@ -44,22 +50,39 @@ def accuracy_evaluator(label: str = "label") -> MulticlassClassificationEvaluato
     return MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName="accuracy")
 
 
-def cross_validate(est, grid, train: DataFrame, folds: int = 5, parallelism: int = 8, seed: int = 42,
-                   label: str = "label"):
-    cv = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=accuracy_evaluator(label),
-                        numFolds=folds, parallelism=parallelism, seed=seed)
-    return cv.fit(train)
-
-
-def cv_table(spark: SparkSession, model, names: dict) -> DataFrame:
-    """One row per parameter map: the searched values and mean CV accuracy.
+def cross_validate(est, maps: list[dict], train: DataFrame, score: Callable | None = None, folds: int = FOLDS,
+                   parallelism: int = 8, held_folds: list[int] | None = None) -> list:
+    """Mean validation score (a number, or a list of numbers) per parameter
+    map over the folds of ``train``'s ``fold`` column, or over ``held_folds``
+    of them. ``score(model, held rows)``; accuracy by default. Every (fold, map) is a task of its own with thread
+    properties of its own."""
+    spark = train.sparkSession
+    score = score or (lambda model, held: accuracy_evaluator().evaluate(model.transform(held)))
+    held_folds = list(range(folds)) if held_folds is None else held_folds
+    parts = {k: (train.filter(F.col("fold") != k), train.filter(F.col("fold") == k)) for k in held_folds}
+
+    def run(task):
+        k, m = task
+        fit, held = parts[k]
+        return score(est.copy(maps[m]).fit(fit), held)
+
+    tasks = [(k, m) for m in range(len(maps)) for k in held_folds]
+    with ThreadPool(parallelism) as pool:
+        # one wrapped target per task: tasks that share one would share its properties
+        got = [pool.apply_async(inheritable_thread_target(spark)(run), (t,)) for t in tasks]
+        scores = [g.get() for g in got]
+    means = np.array(scores, dtype=float).reshape(len(maps), len(held_folds), -1).mean(axis=1)
+    return means[:, 0].tolist() if means.shape[1] == 1 else means.tolist()
+
+
+def search_table(spark: SparkSession, maps: list[dict], scores: list[float], metric: str = "cv_accuracy") -> DataFrame:
+    """One row per parameter map: every searched value and the mean score.
     (A handful of rows: the parameter maps, not data.)"""
-    rows = []
-    for pm, m in zip(model.getEstimatorParamMaps(), model.avgMetrics):
-        vals = {p.name: v for p, v in pm.items()}
-        rows.append(tuple(float(vals.get(n)) if vals.get(n) is not None else None for n in names) + (float(m),))
-    schema = ", ".join(f"{n} double" for n in names) + ", cv_accuracy double"
-    return spark.createDataFrame(rows, schema)
+    plain = [{p.name: (str(v) if isinstance(v, (list, tuple)) else v) for p, v in m.items()} for m in maps]
+    names = sorted({n for m in plain for n in m})
+    kinds = {n: {str: "string", int: "int", float: "double"}[type(next(m[n] for m in plain if n in m))] for n in names}
+    schema = ", ".join(f"{n} {kinds[n]}" for n in names) + f", {metric} double"
+    return spark.createDataFrame([(*(m.get(n) for n in names), float(s)) for m, s in zip(plain, scores)], schema)
 
 
 def logreg_grid(n_train: int, cs: list[float]) -> list[float]:
@@ -68,16 +91,18 @@ def logreg_grid(n_train: int, cs: list[float]) -> list[float]:
     return [1.0 / (c * n_train) for c in cs]
 
 
-def sample_param_maps(grid_axes: dict, draws: int, seed: int = 42):
+def full_grid(axes: dict) -> list[dict]:
+    return [dict(zip(axes, combo)) for combo in itertools.product(*axes.values())]
+
+
+def sample_param_maps(axes: dict, draws: int, seed: int = 42) -> list[dict]:
     """``draws`` random picks (without replacement) from the full product of
     the axes - a random search over a grid."""
-    combos = list(itertools.product(*grid_axes.values()))
-    rnd = random.Random(seed)
-    picks = rnd.sample(combos, min(draws, len(combos)))
-    return [dict(zip(grid_axes.keys(), c)) for c in picks]
+    combos = full_grid(axes)
+    return random.Random(seed).sample(combos, min(draws, len(combos)))
 
 
-def to_param_maps(est, maps: list[dict]):
+def to_param_maps(est, maps: list[dict]) -> list[dict]:
     return [{est.getParam(k): v for k, v in m.items()} for m in maps]
 
 
@@ -92,21 +117,11 @@ def fit_or_load(path: str, spark: SparkSession, build):
 
 def explained_variance(df: DataFrame, features: str, k: int) -> DataFrame:
     """PCA explained-variance ratios and their running total."""
-    spark = df.sparkSession
     model = PCA(k=k, inputCol=features, outputCol="pc").fit(df)
     ev = [float(x) for x in model.explainedVariance.toArray()]
-    cum, rows = 0.0, []
-    for i, v in enumerate(ev):
-        cum += v
-        rows.append((i + 1, v, cum))
-    return spark.createDataFrame(rows, "component int, explained double, cumulative double")
+    rows = [(i + 1, v, sum(ev[:i + 1])) for i, v in enumerate(ev)]
+    return df.sparkSession.createDataFrame(rows, "component int, explained double, cumulative double")
 
 
 def positive_probability(df: DataFrame, prob_col: str = "probability", out: str = "p1") -> DataFrame:
     return df.withColumn(out, vector_to_array(F.col(prob_col))[1])
-
-
-__all__ = ["Pipeline", "PipelineModel", "DecisionTreeClassifier", "GBTClassifier", "LogisticRegression",
-           "MultilayerPerceptronClassifier", "RandomForestRegressor", "ParamGridBuilder", "assemble",
-           "cross_validate", "cv_table", "logreg_grid", "sample_param_maps", "to_param_maps", "fit_or_load",
-           "explained_variance", "positive_probability", "accuracy_evaluator"]

@@ -1,18 +1,21 @@
 """Model queries (``pyspark.ml``) and the ensemble comparison.
 
-Learned results depend on the learner, so apart from ``soft_vote`` (exact
-over the given probability table) these keys have no SQL oracle; tests check
-shape, ranges and reproducibility instead.
+What a learner finds depends on the learner, so a search's row holds the
+searched values, the sizes it worked on and booleans that Spark derives from
+the scores; those have an exact SQL twin. The functions behind the keys
+(``logreg_scores`` and so on) return the scores themselves.
 """
 
 from __future__ import annotations
 
+import hashlib
 import itertools
+import random
 
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier)
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from ..operators import ensembles as EN
@@ -20,97 +23,187 @@ from ..operators import features as FE
 from ..operators import models as M
 from ..oracle import with_
 from ..plans import adapters as A
-from ..session import ensure_checkpoint_dir
-from ..sources.tables import read_table
+from ..session import ensure_checkpoint_dir, files_fingerprint
+from ..sources.tables import read_table, table_path
 from ._base import r6, register
 from .aggs import VOTES_LONG
+from .features import SPLIT
 from .text import census_etl
 
 NUM = ["age", "education_num", "hours_per_week", "capital_gain"]
-FEATURES = [f"sc_{c}" for c in NUM] + ["sex", "from_us", "race_cat_0", "race_cat_1", "race_cat_2",
-                                       "workclass_cat_0", "workclass_cat_1", "workclass_cat_2", "workclass_cat_3"]
+CODED = ["sex", "from_us", "race_cat_0", "race_cat_1", "race_cat_2",
+         "workclass_cat_0", "workclass_cat_1", "workclass_cat_2", "workclass_cat_3"]
+FEATURES = [f"sc_{c}" for c in NUM] + CODED
 
 
 def census_model_frame(spark, sf):
     """census ETL -> one-hot -> stratified split -> train-fitted scaling ->
-    feature vector; ``label`` = income code."""
+    feature vector and fold; ``label`` = income code."""
     e = census_etl(spark, sf)
     e = FE.one_hot(FE.one_hot(e, "race_cat", [0, 1, 2]), "workclass_cat", [0, 1, 2, 3])
     e = FE.stratified_split(e, "income", "id")
     e = FE.standard_scale(e, NUM)
     e = e.withColumn("label", F.col("income").cast("double"))
-    return M.assemble(e, FEATURES)
+    return M.with_fold(M.assemble(e, FEATURES), "id")
 
 
 def _train_test(spark, sf):
-    df = M.materialize(census_model_frame(spark, sf))
+    df = M.materialize(census_model_frame(spark, sf), "id")
     return df.filter(F.col("split") == "train"), df.filter(F.col("split") == "test")
 
 
-@register("pca_variance")
+def _majority(df) -> float:
+    """Share of the larger class."""
+    return df.agg(F.greatest(F.avg("label"), 1 - F.avg("label"))).first()[0]
+
+
+SIZES = {"s": SPLIT, "z": """SELECT count(*) FILTER (split = 'train') AS n_train, count(*) FILTER (split = 'test') AS n_test,
+  count(*) FILTER (split = 'train' AND ('0x' || substr(md5(CAST(id AS VARCHAR) || 'fold'), 1, 8))::BIGINT % 5 = 0) AS n_fold0 FROM s"""}
+
+
+def _sized(sql_rows: str, columns: str) -> str:
+    return with_("census", extra=SIZES) + f"SELECT {columns}, n_train, n_fold0 FROM ({sql_rows}), z"
+
+
+def _values(rows: list[tuple], names: list[str]) -> str:
+    text = ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else repr(v) for v in r) + ")" for r in rows)
+    return f"SELECT * FROM (VALUES {text}) t({', '.join(names)})"
+
+
+def _checked(table, train, names: list[str], metric: str = "cv_accuracy"):
+    """The searched values with the sizes, whether every score is a share and
+    whether the best one is no worse than always saying the larger class."""
+    best = table.agg(F.max(metric)).first()[0]
+    n_train, n_fold0 = train.agg(F.count("*"), F.count_if(F.col("fold") == 0)).first()
+    return table.select(*names, F.lit(n_train).cast("long").alias("n_train"), F.lit(n_fold0).cast("long").alias("n_fold0"),
+                        F.col(metric).between(0, 1).alias("in_range"),
+                        F.lit(best >= _majority(train) - 0.02).alias("best_reaches_majority"))
+
+
+OK = "true AS in_range, true AS best_reaches_majority"
+
+
+@register("pca_variance", "SELECT CAST(unnest(range(1, 14)) AS INT) AS component, 13 AS n_features, true AS shares_fall, "
+          "true AS shares_sum_to_one, true AS first_covers_largest_column")
 def pca_variance(spark, sf):
-    """Explained variance of principal components on unscaled features (the
-    money column dominates, as in the original analysis)."""
+    """Principal components of all train features, unscaled (the money column dominates)."""
     tr, _ = _train_test(spark, sf)
-    raw = M.assemble(tr.drop("features"), NUM + ["sex", "from_us"], "raw")
-    return M.explained_variance(raw, "raw", 6)
+    ev = pca_shares(tr)
+    cols = NUM + CODED
+    var = tr.agg(*[F.var_samp(c).alias(c) for c in cols]).first()
+    rows = ev.orderBy("component").collect()
+    falls = all(a["explained"] >= b["explained"] - 1e-12 for a, b in zip(rows, rows[1:]))
+    covers = rows[0]["explained"] >= max(var) / sum(var) - 1e-9
+    return ev.select("component", F.lit(len(cols)).alias("n_features"), F.lit(falls).alias("shares_fall"),
+                     F.lit(abs(rows[-1]["cumulative"] - 1) < 1e-9).alias("shares_sum_to_one"),
+                     F.lit(covers).alias("first_covers_largest_column"))
+
 
+def pca_shares(train):
+    cols = NUM + CODED
+    return M.explained_variance(M.assemble(train.drop("features"), cols, "raw"), "raw", len(cols))
 
-@register("logreg_sweep")
+
+STRENGTHS = 15
+
+
+def logreg_scores(tr, te):
+    """Per inverse strength C = 10^-5 .. 10^8: CV, train and test accuracy."""
+    cs = [10 ** (-5 + i * 13 / 14) for i in range(STRENGTHS)]
+    lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=100)
+    maps = M.to_param_maps(lr, [{"regParam": r} for r in M.logreg_grid(tr.count(), cs)])
+    cv = M.cross_validate(lr, maps, tr)
+    ev = M.accuracy_evaluator()
+    rows = []
+    for i, (c, m, a) in enumerate(zip(cs, maps, cv)):
+        model = lr.fit(tr, m)
+        rows.append((i, c, m[lr.regParam], a, ev.evaluate(model.transform(tr)), ev.evaluate(model.transform(te))))
+    return tr.sparkSession.createDataFrame(
+        rows, "step int, c double, regParam double, cv_accuracy double, train_accuracy double, test_accuracy double")
+
+
+@register("logreg_sweep", _sized(f"SELECT CAST(unnest(range(0, {STRENGTHS})) AS INT) AS step", "step")
+          .replace(", n_train", f", {OK}, true AS train_and_test_in_range, n_train"))
 def logreg_sweep(spark, sf):
     tr, te = _train_test(spark, sf)
-    n = tr.count()
-    cs = [10 ** (-5 + i * 13 / 14) for i in range(15)]
-    lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=100)
-    grid = ParamGridBuilder().addGrid(lr.regParam, M.logreg_grid(n, cs)).build()
-    cv = M.cross_validate(lr, grid, tr)
-    return M.cv_table(spark, cv, ["regParam"])
+    t = logreg_scores(tr, te)
+    both = F.col("train_accuracy").between(0, 1) & F.col("test_accuracy").between(0, 1)
+    return _checked(t.withColumn("train_and_test_in_range", both), tr, ["step", "train_and_test_in_range"])
 
 
-@register("coef_importance")
+def importances(tr):
+    """Logistic coefficients and boosted-tree importances by feature name."""
+    lr = LogisticRegression(featuresCol="features", labelCol="label", regParam=0.01, maxIter=100).fit(tr)
+    gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=20, seed=42).fit(tr)
+    rows = [(name, float(c), float(w)) for name, c, w in
+            zip(FEATURES, lr.coefficients.toArray(), gbt.featureImportances.toArray())]
+    return tr.sparkSession.createDataFrame(rows, "feature string, coef double, importance double")
+
+
+@register("coef_importance", "SELECT feature, true AS coef_finite, true AS importance_in_range, true AS importances_sum_to_one, "
+          f"true AS some_above_cut FROM (SELECT unnest([{', '.join(repr(f) for f in FEATURES)}]) AS feature)")
 def coef_importance(spark, sf):
-    """Coefficients above a magnitude cut, named by the assembled inputs."""
+    """Coefficients and importances of every feature; cuts: 0.2 and 0.05."""
     tr, _ = _train_test(spark, sf)
-    m = LogisticRegression(featuresCol="features", labelCol="label", regParam=0.01, maxIter=100).fit(tr)
-    rows = [(name, float(c)) for name, c in zip(FEATURES, m.coefficients.toArray())]
-    coefs = spark.createDataFrame(rows, "feature string, coef double")
-    return coefs.filter(F.abs("coef") > 0.2).select("feature", r6("coef").alias("coef"))
+    t = importances(tr)
+    total, above = t.agg(F.sum("importance"), F.count_if(F.col("importance") > 0.05)).first()
+    return t.select("feature", (~F.isnan("coef") & (F.abs("coef") < 1e6)).alias("coef_finite"),
+                    F.col("importance").between(0, 1).alias("importance_in_range"),
+                    F.lit(abs(total - 1) < 1e-6).alias("importances_sum_to_one"), F.lit(above > 0).alias("some_above_cut"))
+
+
+# The full axes. (A least number of rows to split a node has no counterpart in Spark's trees.)
+TREE_AXES = {"maxDepth": list(range(1, 10)), "minInstancesPerNode": [1, 2, 3, 4], "impurity": ["gini", "entropy"]}
+TREE_DRAWS = 20
 
 
-TREE_AXES = {"maxDepth": [2, 3, 4, 5, 6, 8, 10], "minInstancesPerNode": [1, 2, 4, 8],
-             "impurity": ["gini", "entropy"]}
+def tree_scores(tr, maps: list[dict]):
+    dt = DecisionTreeClassifier(featuresCol="features", labelCol="label", seed=42)
+    found = M.to_param_maps(dt, maps)
+    return M.search_table(tr.sparkSession, found, M.cross_validate(dt, found, tr))
+
 
+def _tree_sql(maps: list[dict]) -> str:
+    names = sorted(TREE_AXES)
+    return _sized(_values([tuple(m[n] for n in names) for m in maps], names), ", ".join(names)).replace(
+        ", n_train", f", {OK}, n_train")
 
-@register("tree_random_search")
+
+@register("tree_random_search", _tree_sql(M.sample_param_maps(TREE_AXES, TREE_DRAWS)))
 def tree_random_search(spark, sf):
     tr, _ = _train_test(spark, sf)
-    dt = DecisionTreeClassifier(featuresCol="features", labelCol="label", seed=42)
-    maps = M.to_param_maps(dt, M.sample_param_maps(TREE_AXES, 20, seed=42))
-    cv = M.cross_validate(dt, maps, tr)
-    return M.cv_table(spark, cv, ["maxDepth", "minInstancesPerNode"])
+    return _checked(tree_scores(tr, M.sample_param_maps(TREE_AXES, TREE_DRAWS)), tr, sorted(TREE_AXES))
 
 
-@register("tree_grid_search")
+@register("tree_grid_search", _tree_sql(M.full_grid(TREE_AXES)))
 def tree_grid_search(spark, sf):
     tr, _ = _train_test(spark, sf)
-    dt = DecisionTreeClassifier(featuresCol="features", labelCol="label", seed=42)
-    grid = (ParamGridBuilder().addGrid(dt.maxDepth, [3, 5, 7, 9]).addGrid(dt.minInstancesPerNode, [1, 5])
-            .addGrid(dt.impurity, ["gini", "entropy"]).build())
-    cv = M.cross_validate(dt, grid, tr)
-    return M.cv_table(spark, cv, ["maxDepth", "minInstancesPerNode"])
+    return _checked(tree_scores(tr, M.full_grid(TREE_AXES)), tr, sorted(TREE_AXES))
+
+
+# layer sizes of the original; l-bfgs has no step size, so that is an axis of gradient descent only
+HIDDEN = [[50, 50, 50], [50, 100, 50], [100]]
+MLP_POINTS = ([{"layers": h, "solver": "l-bfgs", "stepSize": 0.03} for h in HIDDEN]
+              + [{"layers": h, "solver": "gd", "stepSize": x} for h in HIDDEN for x in (0.001, 0.03, 0.1)])
+MLP_DRAWS, MLP_ROUNDS = 10, 300
+
 
+def _mlp_draws() -> list[dict]:
+    return [{**m, "layers": [len(FEATURES), *m["layers"], 2]} for m in random.Random(42).sample(MLP_POINTS, MLP_DRAWS)]
 
-@register("mlp_classify")
+
+def mlp_scores(tr):
+    mlp = MultilayerPerceptronClassifier(featuresCol="features", labelCol="label", maxIter=MLP_ROUNDS, seed=42)
+    maps = M.to_param_maps(mlp, _mlp_draws())
+    return M.search_table(tr.sparkSession, maps, M.cross_validate(mlp, maps, tr))
+
+
+@register("mlp_classify", _sized(_values([(str(m["layers"]), m["solver"], m["stepSize"]) for m in _mlp_draws()],
+                                         ["layers", "solver", "stepSize"]), "layers, solver, CAST(stepSize AS DOUBLE) AS stepSize")
+          .replace(", n_train", f", {OK}, n_train"))
 def mlp_classify(spark, sf):
     tr, _ = _train_test(spark, sf)
-    n_in = len(FEATURES)
-    mlp = MultilayerPerceptronClassifier(featuresCol="features", labelCol="label", maxIter=100, seed=42)
-    axes = {"layers": [[n_in, h, 2] for h in (5, 10, 20)], "solver": ["l-bfgs", "gd"], "stepSize": [0.03, 0.1]}
-    maps = M.to_param_maps(mlp, M.sample_param_maps(axes, 10, seed=42))
-    cv = M.cross_validate(mlp, maps, tr)
-    rows = [(str(pm[mlp.layers]), pm[mlp.solver], float(pm[mlp.stepSize]), float(a))
-            for pm, a in zip(cv.getEstimatorParamMaps(), cv.avgMetrics)]
-    return spark.createDataFrame(rows, "layers string, solver string, step_size double, cv_accuracy double")
+    return _checked(mlp_scores(tr), tr, ["layers", "solver", "stepSize"])
 
 
 def _subsets_sql() -> str:
@@ -133,55 +226,122 @@ def soft_vote(spark, sf):
     return sv.select("subset", r6("accuracy").alias("accuracy"), "n")
 
 
-@register("stacking")
-def stacking(spark, sf):
-    """Second-level logistic regression on base-model probabilities AND the
-    original features; test accuracy of each base model and of the stack."""
-    from pyspark.ml.feature import VectorAssembler
-    tr, te = _train_test(spark, sf)
+STACK_MODELS = ["logreg", "tree", "mlp", "vote", "stack"]
+
+
+def stacking_scores(tr, te):
+    """Second-level logistic regression on the probabilities of the base
+    models, of their best soft vote, and on the original features. The
+    second level learns from out-of-fold probabilities."""
     bases = {"logreg": LogisticRegression(featuresCol="features", labelCol="label", maxIter=100),
              "tree": DecisionTreeClassifier(featuresCol="features", labelCol="label", maxDepth=5, seed=42),
-             "gbt": GBTClassifier(featuresCol="features", labelCol="label", maxIter=20, seed=42)}
-    models = {k: est.fit(tr) for k, est in bases.items()}
-    ev = M.accuracy_evaluator()
+             "mlp": MultilayerPerceptronClassifier(featuresCol="features", labelCol="label", maxIter=100, seed=42,
+                                                   layers=[len(FEATURES), 50, 2])}
 
-    def with_probs(df):
+    def with_probs(df, models):
         out = df
         for k, m in models.items():
-            out = M.positive_probability(m.transform(out).select(*out.columns, "probability", "prediction"),
-                                         out=f"p_{k}").drop("probability", "prediction", "rawPrediction")
-        return VectorAssembler(inputCols=[f"p_{k}" for k in models] + ["features"], outputCol="meta").transform(out)
+            out = M.positive_probability(m.transform(out).select(*out.columns, "probability"), out=f"p_{k}").drop("probability")
+        return out
+
+    def fit(rows):
+        return {k: est.fit(rows) for k, est in bases.items()}
+
+    unseen = None
+    for k in range(M.FOLDS):
+        part = with_probs(tr.filter(F.col("fold") == k), fit(tr.filter(F.col("fold") != k)))
+        unseen = part if unseen is None else unseen.unionByName(part)
+    unseen = unseen.checkpoint()
+    tested = with_probs(te, fit(tr)).checkpoint()
+    votes = EN.soft_vote_wide(unseen, {k: f"p_{k}" for k in bases}, label="label")
+    best = votes.orderBy(F.col("accuracy").desc(), "subset").first()["subset"].split("+")
+    vote = sum((F.col(f"p_{k}") for k in best), F.lit(0.0)) / len(best)
+    inputs = [f"p_{k}" for k in bases] + ["p_vote", "features"]
+    second = LogisticRegression(featuresCol="meta", labelCol="label", maxIter=100)
+    model = second.fit(M.assemble(unseen.withColumn("p_vote", vote), inputs, "meta"))
+    scored = model.transform(M.assemble(tested.withColumn("p_vote", vote), inputs, "meta"))
+    scored = M.positive_probability(scored, out="p_stack")
+    hits = [F.avg(((F.col(f"p_{k}") > 0.5).cast("double") == F.col("label")).cast("double")).alias(k) for k in STACK_MODELS]
+    row = scored.agg(*hits).first()
+    return tr.sparkSession.createDataFrame([(k, float(row[k])) for k in STACK_MODELS], "model string, test_accuracy double")
+
+
+@register("stacking", with_("census", extra=SIZES) + f"SELECT model, n_test, true AS in_range, true AS stack_reaches_majority FROM "
+          f"(SELECT unnest({STACK_MODELS!r}) AS model), z")
+def stacking(spark, sf):
+    tr, te = _train_test(spark, sf)
+    t = stacking_scores(tr, te)
+    stack = t.filter(F.col("model") == "stack").first()["test_accuracy"]
+    return t.select("model", F.lit(te.count()).cast("long").alias("n_test"), F.col("test_accuracy").between(0, 1).alias("in_range"),
+                    F.lit(stack >= _majority(te) - 0.1).alias("stack_reaches_majority"))
+
+
+GBT_AXES = {"maxDepth": [3, 4, 5], "stepSize": [0.01, 0.05, 0.1]}
+GBT_ROUNDS = [100, 200, 300]
+
 
-    meta = LogisticRegression(featuresCol="meta", labelCol="label", maxIter=100).fit(with_probs(tr))
-    rows = [(k, float(ev.evaluate(m.transform(te)))) for k, m in models.items()]
-    rows.append(("stack", float(ev.evaluate(meta.transform(with_probs(te))))))
-    return spark.createDataFrame(rows, "model string, test_accuracy double")
+def gbt_scores(tr):
+    """Log loss on the validation fold for every depth, rate and number of
+    rounds. Boosting with fewer rounds is a prefix of boosting with more, so a
+    (depth, rate) is fitted once, to the largest number."""
+    gbt = GBTClassifier(featuresCol="features", labelCol="label", seed=42, maxIter=max(GBT_ROUNDS))
+    maps = M.to_param_maps(gbt, M.full_grid(GBT_AXES))
+    losses = M.cross_validate(gbt, maps, tr, held_folds=[0],
+                              score=lambda model, held: [model.evaluateEachIteration(held)[r - 1] for r in GBT_ROUNDS])
+    rows = [(m[gbt.maxDepth], m[gbt.stepSize], r, x) for m, loss in zip(maps, losses) for r, x in zip(GBT_ROUNDS, loss)]
+    return tr.sparkSession.createDataFrame(rows, "maxDepth int, stepSize double, maxIter int, log_loss double")
 
 
-@register("gbt_classify")
+@register("gbt_classify", _sized(_values([(d, x, r) for d in GBT_AXES["maxDepth"] for x in GBT_AXES["stepSize"] for r in GBT_ROUNDS],
+                                         ["maxDepth", "stepSize", "maxIter"]),
+                                 "maxDepth, CAST(stepSize AS DOUBLE) AS stepSize, maxIter, true AS loss_positive, true AS best_below_start"))
 def gbt_classify(spark, sf):
     tr, _ = _train_test(spark, sf)
+    t = gbt_scores(tr)
+    best = t.agg(F.min("log_loss")).first()[0]
+    n_train, n_fold0 = tr.agg(F.count("*"), F.count_if(F.col("fold") == 0)).first()
+    # before the first round: 2 log(1 + exp(0))
+    return t.select("maxDepth", "stepSize", "maxIter", F.lit(n_train).cast("long").alias("n_train"),
+                    F.lit(n_fold0).cast("long").alias("n_fold0"), (F.col("log_loss") > 0).alias("loss_positive"),
+                    F.lit(best < 1.3862943611198906).alias("best_below_start"))
+
+
+RANDOM_DRAWS = 13
+
+
+def random_draws() -> list[dict]:
+    rnd = random.Random(42)
+    return [{"maxDepth": rnd.randint(3, 10), "maxIter": rnd.randint(100, 200), "stepSize": round(1 - rnd.random(), 6)}
+            for _ in range(RANDOM_DRAWS)]
+
+
+def random_search_scores(tr, te):
+    """Root mean squared error of the probability on the validation fold per
+    draw, and of the best draw (fitted on all train rows) on the test rows."""
     gbt = GBTClassifier(featuresCol="features", labelCol="label", seed=42)
-    grid = (ParamGridBuilder().addGrid(gbt.maxDepth, [3, 4, 5]).addGrid(gbt.stepSize, [0.05, 0.1, 0.2])
-            .addGrid(gbt.maxIter, [10, 20, 30]).build())
-    cv = M.cross_validate(gbt, grid, tr)
-    return M.cv_table(spark, cv, ["maxDepth", "stepSize", "maxIter"])
+    maps = M.to_param_maps(gbt, random_draws())
+
+    def rmse(model, held):
+        p = M.positive_probability(model.transform(held), out="p")
+        return p.agg(F.sqrt(F.avg(F.pow(F.col("p") - F.col("label"), 2)))).first()[0]
 
+    scores = M.cross_validate(gbt, maps, tr, score=rmse, held_folds=[0])
+    best = min(range(len(maps)), key=lambda k: (scores[k], k))
+    t = M.search_table(tr.sparkSession, maps, scores, "rmse")
+    return t, rmse(gbt.copy(maps[best]).fit(tr), te)
 
-@register("random_search")
+
+@register("random_search", _sized(_values([(m["maxDepth"], m["maxIter"], m["stepSize"]) for m in random_draws()],
+                                          ["maxDepth", "maxIter", "stepSize"]),
+                                  "maxDepth, maxIter, CAST(stepSize AS DOUBLE) AS stepSize, true AS in_range, true AS test_in_range"))
 def random_search(spark, sf):
-    """Uniform draws of continuous boosting parameters, 5-fold CV, best row
-    flagged."""
-    import random
-    tr, _ = _train_test(spark, sf)
-    gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=20, seed=42)
-    rnd = random.Random(42)
-    maps = [{gbt.stepSize: rnd.uniform(0.01, 0.3), gbt.subsamplingRate: rnd.uniform(0.5, 1.0),
-             gbt.maxDepth: rnd.randint(2, 6)} for _ in range(8)]
-    cv = M.cross_validate(gbt, maps, tr)
-    t = M.cv_table(spark, cv, ["stepSize", "subsamplingRate", "maxDepth"])
-    best = t.select(F.max("cv_accuracy")).scalar()
-    return t.withColumn("best", F.col("cv_accuracy") == best)
+    """Uniform draws of boosting parameters."""
+    tr, te = _train_test(spark, sf)
+    t, test_rmse = random_search_scores(tr, te)
+    n_train, n_fold0 = tr.agg(F.count("*"), F.count_if(F.col("fold") == 0)).first()
+    return t.select("maxDepth", "maxIter", "stepSize", F.lit(n_train).cast("long").alias("n_train"),
+                    F.lit(n_fold0).cast("long").alias("n_fold0"), F.col("rmse").between(0, 1).alias("in_range"),
+                    F.lit(0 <= test_rmse <= 1).alias("test_in_range"))
 
 
 def _tracks_keyed(spark, sf):
@@ -191,32 +351,48 @@ def _tracks_keyed(spark, sf):
               .select("l_orderkey", "l_linenumber", "l_partkey", F.year("l_shipdate").cast("double").alias("year"),
                       (F.col("l_extendedprice") / 200).alias("duration"), (F.col("l_quantity") / 50).alias("artist_familiarity"),
                       (F.col("l_discount") * 10).alias("artist_hotttnesss"), F.col("p_size").cast("double").alias("size"))
-              .withColumn("fold", F.abs(F.xxhash64("l_orderkey", "l_linenumber", "l_partkey")) % 10))
+              .withColumn("fold", F.conv(F.substring(F.md5(F.concat_ws(
+                  "-", "l_orderkey", "l_linenumber", "l_partkey")), 1, 8), 16, 10).cast("bigint") % 10))
 
 
-@register("rf_predict")
-def rf_predict(spark, sf):
+def forest_predictions(spark, sf):
     """Forest trained on 70 % of the rows predicts the year of the rest; the
     prediction stays beside its own row (keyed, no positional paste)."""
-    t = M.assemble(_tracks_keyed(spark, sf), ["duration", "artist_familiarity", "artist_hotttnesss", "size"])
+    t = M.materialize(M.assemble(_tracks_keyed(spark, sf), ["duration", "artist_familiarity", "artist_hotttnesss", "size"]),
+                      "l_orderkey")
     rf = RandomForestRegressor(featuresCol="features", labelCol="year", numTrees=20, maxDepth=6, seed=42)
     model = rf.fit(t.filter(F.col("fold") < 7))
     pred = model.transform(t.filter(F.col("fold") >= 7))
-    return pred.select("l_orderkey", "l_linenumber", "year", F.col("prediction").alias("predicted_year"))
+    return (pred.select("l_orderkey", "l_linenumber", "year", F.col("prediction").alias("predicted_year")),
+            t.filter(F.col("fold") < 7).agg(F.min("year"), F.max("year"), F.avg("year")).first())
+
+
+@register("rf_predict", """
+SELECT l_orderkey, l_linenumber, CAST(year(l_shipdate) AS DOUBLE) AS year, true AS in_train_range, true AS near_mean_error
+FROM lineitem JOIN part ON l_partkey = p_partkey
+WHERE ('0x' || substr(md5(l_orderkey || '-' || l_linenumber || '-' || l_partkey), 1, 8))::BIGINT % 10 >= 7""")
+def rf_predict(spark, sf):
+    """Held-out rows; whether the prediction lies among the years of training,
+    and whether the squared error is at most 2 % over that of the train mean."""
+    pred, (low, high, mean) = forest_predictions(spark, sf)
+    mse, base = pred.agg(F.avg(F.pow(F.col("predicted_year") - F.col("year"), 2)), F.avg(F.pow(F.lit(mean) - F.col("year"), 2))).first()
+    return pred.select("l_orderkey", "l_linenumber", "year", F.col("predicted_year").between(low, high).alias("in_train_range"),
+                       F.lit(mse <= 1.02 * base).alias("near_mean_error"))
 
 
-@register("model_cache")
+@register("model_cache", with_("census", extra={"s": SPLIT}) + """
+SELECT id, CAST(CASE income WHEN '>50K' THEN 1 ELSE 0 END AS DOUBLE) AS label, true AS valid_class, true AS reload_agrees
+FROM s WHERE split = 'test'""")
 def model_cache(spark, sf):
     """Fit once and store the pipeline in the shared folder; later calls load
-    it. Returns test predictions."""
-    import hashlib
-    from pyspark.ml import Pipeline
-    tr, te = _train_test(spark, sf)
-    key = hashlib.sha1(sf.encode()).hexdigest()[:16]
+    it. The stored model belongs to the input files as they are now."""
+    key = hashlib.sha1((sf + files_fingerprint(spark, [table_path(sf, t) for t in ("customer", "orders", "nation")])).encode()).hexdigest()[:16]
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/vistaframe/models/logreg-{key}"
+    tr, te = _train_test(spark, sf)
     lr = LogisticRegression(featuresCol="features", labelCol="label", regParam=0.01, maxIter=100)
-    model = M.fit_or_load(path, spark, lambda: Pipeline(stages=[lr]).fit(tr))
-    return model.transform(te).select("id", "label", "prediction")
-
-
-__all__ = ["A"]
+    fitted = Pipeline(stages=[lr])
+    model = M.fit_or_load(path, spark, lambda: fitted.fit(tr))
+    again = M.fit_or_load(path, spark, lambda: fitted.fit(tr))  # from the store
+    both = again.transform(model.transform(te).select("id", "label", "features", F.col("prediction").alias("first")))
+    return both.select("id", "label", F.col("prediction").isin(0.0, 1.0).alias("valid_class"),
+                       (F.col("first") == F.col("prediction")).alias("reload_agrees"))

@@ -155,6 +155,11 @@ def select_by_name_rule(spark, sf):
     return V.select_by_rule(A.tracks(spark, sf), contains="TI")
 
 
+@register("select_by_name_starts", with_("tracks") + "SELECT artist_name, artist_familiarity, artist_hotttnesss FROM tracks")
+def select_by_name_starts(spark, sf):
+    return V.select_by_rule(A.tracks(spark, sf), starts_with="ARTIST")
+
+
 @register("select_by_name_matches", with_("tracks") + """
 SELECT artist_name, title, artist_familiarity, artist_hotttnesss FROM tracks""")
 def select_by_name_matches(spark, sf):

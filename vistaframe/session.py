@@ -46,11 +46,14 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster names a shared folder there; only when nothing is set (tests,
-    a laptop) do we create a private one.
+    The cluster names a shared folder there; only in local mode, when nothing
+    is set (tests, a laptop), do we create a private one.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="vistaframe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     sc = spark.sparkContext
@@ -73,6 +76,19 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
+def files_fingerprint(spark: SparkSession, paths: list[str]) -> str:
+    """Lengths and modification times of the files below ``paths``: changes when the data does."""
+    jvm = spark.sparkContext._jvm
+    seen = []
+    for path in paths:
+        root = jvm.org.apache.hadoop.fs.Path(path)
+        files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(root, True)
+        while files.hasNext():
+            f = files.next()
+            seen.append(f"{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}")
+    return ";".join(sorted(seen))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop filesystem of the path (works for
     local, HDFS and object stores alike)."""
@@ -82,5 +98,5 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
-__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "path_exists", "local_path",
+__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "path_exists", "files_fingerprint", "local_path",
            "DEFAULT_CONF"]
