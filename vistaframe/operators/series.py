@@ -162,15 +162,14 @@ def chrono_split(df: DataFrame, fraction: float, time_col: str = "d",
 
     The first ``ceil(N*fraction) + 1`` distinct instants are train, the rest
     test (the label slice is inclusive). Only the distinct instants are
-    ranked - a calendar-sized table - and joined back, so the rows themselves
-    are never funnelled through one window partition.
+    ranked, by counts per range of instants, and joined back: no window spans
+    the whole axis.
     """
-    instants = df.select(time_col).distinct()
-    n = instants.select(F.count(F.lit(1))).scalar()
-    ranked = instants.withColumn("__r", F.row_number().over(Window.orderBy(time_col)))
-    cut = F.ceil(n * F.lit(fraction)) + 1
-    ranked = ranked.withColumn(out, F.when(F.col("__r") <= cut, F.lit("train")).otherwise(F.lit("test")))
-    return df.join(ranked.drop("__r"), on=time_col, how="inner")
+    from .stats import running_counts
+    ranks = running_counts(df.select(time_col).distinct(), time_col, [])  # rank of an instant, number of them
+    cut = F.ceil(F.col("__tot") * F.lit(fraction)) + 1
+    ranks = ranks.select(time_col, F.when(F.col("__cum") <= cut, F.lit("train")).otherwise(F.lit("test")).alias(out))
+    return df.join(ranks, on=time_col, how="inner")
 
 
 def horizon_outcome(df: DataFrame, horizon: int = 252, value: str = "close", order="d",
@@ -202,6 +201,29 @@ def positions(df: DataFrame, order: str, by, bucket: Column, out: str = "__pos")
     return d.withColumn(out, F.col("__off") + F.row_number().over(inner) - 1).drop("__bk", "__off")
 
 
+def in_blocks(df: DataFrame, order: str, by, bucket: Column | None, block_rows: int, halo: int) -> DataFrame:
+    """Rows with their position ``__pos`` in the series, dealt to blocks
+    ``__blk`` of ``block_rows`` positions. The last ``halo`` rows of a block are
+    copied into the next one (``__halo``)."""
+    if block_rows < halo:
+        raise ValueError("block_rows must be >= the halo")
+    bucket = bucket if bucket is not None else F.date_trunc("hour", F.col(order))
+    d = positions(df, order, by, bucket)
+    own = F.floor(F.col("__pos") / block_rows)
+    copies = F.when(F.col("__pos") % block_rows >= block_rows - halo, F.array(own, own + 1)).otherwise(F.array(own))
+    return d.withColumn("__blk", F.explode(copies)).withColumn("__halo", F.col("__blk") != own)
+
+
+def log_return_blocked(df: DataFrame, value: str = "close", order="d", by="asset", out: str = "log_return",
+                       bucket: Column | None = None, block_rows: int = 1_000_000) -> DataFrame:
+    """``log_return`` for series of any length: a block and the row before it
+    in one task."""
+    u = in_blocks(df, order, by, bucket, block_rows, 1)
+    w = Window.partitionBy(*_cols(by), "__blk").orderBy("__pos")
+    ratio = F.try_divide(F.col(value), F.lag(value).over(w))
+    return u.withColumn(out, F.when(ratio > 0, F.ln(ratio))).filter(~F.col("__halo")).drop("__halo", "__blk", "__pos")
+
+
 def rolling_blocked(df: DataFrame, value: str, n: int, stat: str = "mean", order="d", by="asset",
                     out: str | None = None, bucket: Column | None = None, block_rows: int = 1_000_000,
                     scale: float = 1.0) -> DataFrame:
@@ -212,15 +234,8 @@ def rolling_blocked(df: DataFrame, value: str, n: int, stat: str = "mean", order
     halo, so every window lies inside one block. Work per task is bounded by
     ``block_rows + n - 1`` rows however long one series (a hot key) is.
     """
-    if block_rows < n - 1:
-        raise ValueError("block_rows must be >= n - 1")
     out = out or f"{value}_rolling_{stat}"
-    bucket = bucket if bucket is not None else F.date_trunc("hour", F.col(order))
-    d = positions(df, order, by, bucket)
-    # a row belongs to its own block and, as halo, to the next one if it is near the end
-    own = F.floor(F.col("__pos") / block_rows)
-    copies = F.when(F.col("__pos") % block_rows >= block_rows - (n - 1), F.array(own, own + 1)).otherwise(F.array(own))
-    u = d.withColumn("__blk", F.explode(copies)).withColumn("__halo", F.col("__blk") != own)
+    u = in_blocks(df, order, by, bucket, block_rows, n - 1)
     frame = Window.partitionBy(*_cols(by), "__blk").orderBy("__pos").rowsBetween(-(n - 1), 0)
     agg = _ROLL[stat](value).over(frame)
     res = agg * F.lit(scale) if scale != 1.0 else agg

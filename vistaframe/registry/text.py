@@ -165,37 +165,60 @@ TOKCLASS = "CASE " + " ".join(f"WHEN regexp_matches(tok, '{rx}') THEN '{name}'"
     f" ELSE '{TX.OTHER_CLASS}' END"
 
 
-@register("token_class_counts", with_("discourse") + f"""
-SELECT discourse_type, {TOKCLASS} AS token_class, count(*) AS n
+CLASS_COUNTS = f"""SELECT discourse_type, {TOKCLASS} AS token_class, count(*) AS n
 FROM (SELECT discourse_type, unnest(regexp_extract_all(discourse_text, '\\S+')) AS tok FROM discourse)
-GROUP BY ALL""")
+GROUP BY ALL"""
+
+
+@register("token_class_counts", with_("discourse") + CLASS_COUNTS)
 def token_class_counts(spark, sf):
     return TX.token_counts(A.discourse(spark, sf), "discourse_type", "discourse_text")
 
 
-TOPN = """SELECT discourse_type, CASE WHEN rk <= 9 THEN token ELSE 'Other' END AS token, CAST(sum(n) AS BIGINT) AS n
-FROM (SELECT *, row_number() OVER (PARTITION BY discourse_type ORDER BY n DESC, token) AS rk FROM wc) GROUP BY ALL"""
-TOPN_FULL = f"""SELECT t.discourse_type, t.token, coalesce(x.n, 0) AS n, round(coalesce(x.n, 0) / tot, 4) AS share
-FROM (SELECT DISTINCT discourse_type, token FROM ({TOPN}) UNION SELECT DISTINCT discourse_type, 'Other' FROM wc) t
-LEFT JOIN ({TOPN}) x ON x.discourse_type = t.discourse_type AND x.token = t.token
-JOIN (SELECT discourse_type, sum(n) AS tot FROM wc GROUP BY ALL) s ON s.discourse_type = t.discourse_type"""
+def _top9_sql(counts: str, token: str) -> str:
+    """The 9 largest per group and what they leave."""
+    kept = f"""SELECT discourse_type, CASE WHEN rk <= 9 THEN {token} ELSE 'Other' END AS {token}, CAST(sum(n) AS BIGINT) AS n
+FROM (SELECT *, row_number() OVER (PARTITION BY discourse_type ORDER BY n DESC, {token}) AS rk FROM {counts}) GROUP BY ALL"""
+    return f"""SELECT t.discourse_type, t.{token}, coalesce(x.n, 0) AS n, round(coalesce(x.n, 0) / tot, 4) AS share
+FROM (SELECT DISTINCT discourse_type, {token} FROM ({kept}) UNION SELECT DISTINCT discourse_type, 'Other' FROM {counts}) t
+LEFT JOIN ({kept}) x ON x.discourse_type = t.discourse_type AND x.{token} = t.{token}
+JOIN (SELECT discourse_type, sum(n) AS tot FROM {counts} GROUP BY ALL) s ON s.discourse_type = t.discourse_type"""
+
+
+def _pivot_sql(token: str) -> str:
+    shares = ", ".join(f"max(CASE WHEN discourse_type = '{v}' THEN share END) AS {v}" for v in A.LANGS)
+    return f"SELECT {token}, {shares} FROM t9 GROUP BY {token}"
+
+
 WC = """SELECT discourse_type, token, count(*) AS n FROM (
   SELECT discourse_type, unnest(regexp_extract_all(discourse_text, '\\S+')) AS token FROM discourse) GROUP BY ALL"""
 
 
-def _top9(spark, sf):
+def _top9_classes(spark, sf):
+    return T.top_n_with_other(token_class_counts(spark, sf), "discourse_type", "token_class", "n", top=9)
+
+
+def _top9_tokens(spark, sf):
     wc = TX.word_counts(A.discourse(spark, sf), "discourse_type", "discourse_text")
     return T.top_n_with_other(wc, "discourse_type", "token", "n", top=9)
 
 
-@register("top_n_with_other", with_("discourse", extra={"wc": WC}) + TOPN_FULL)
+@register("top_n_with_other", with_("discourse", extra={"cc": CLASS_COUNTS}) + _top9_sql("cc", "token_class"))
 def top_n_with_other(spark, sf):
-    return _top9(spark, sf)
+    return _top9_classes(spark, sf)
 
 
-@register("pivot_shares", with_("discourse", extra={"wc": WC, "t9": TOPN_FULL}) + """
-SELECT token, max(CASE WHEN discourse_type = 'de' THEN share END) AS de, max(CASE WHEN discourse_type = 'en' THEN share END) AS en,
-  max(CASE WHEN discourse_type = 'es' THEN share END) AS es, max(CASE WHEN discourse_type = 'fr' THEN share END) AS fr
-FROM t9 GROUP BY token""")
+@register("pivot_shares", with_("discourse", extra={"cc": CLASS_COUNTS, "t9": _top9_sql("cc", "token_class")}) + _pivot_sql("token_class"))
 def pivot_shares(spark, sf):
-    return T.pivot_wide(_top9(spark, sf), "token", "discourse_type", "share", A.LANGS)
+    return T.pivot_wide(_top9_classes(spark, sf), "token_class", "discourse_type", "share", A.LANGS)
+
+
+@register("top_n_tokens_with_other", with_("discourse", extra={"wc": WC}) + _top9_sql("wc", "token"))
+def top_n_tokens_with_other(spark, sf):
+    """The same over raw tokens: very many per group."""
+    return _top9_tokens(spark, sf)
+
+
+@register("pivot_token_shares", with_("discourse", extra={"wc": WC, "t9": _top9_sql("wc", "token")}) + _pivot_sql("token"))
+def pivot_token_shares(spark, sf):
+    return T.pivot_wide(_top9_tokens(spark, sf), "token", "discourse_type", "share", A.LANGS)

@@ -219,8 +219,9 @@ EV_W = "WINDOW w AS (PARTITION BY asset ORDER BY d ROWS BETWEEN 9 PRECEDING AND
 SELECT asset, d, round(CASE WHEN count(close) OVER w = 10 THEN avg(close) OVER w END, 6) + 0.0 AS rolling_mean
 FROM event_series {EV_W}""")
 def rolling_mean_events(spark, sf):
-    """10-event trailing mean per user (many short series, many partitions)."""
-    df = S.rolling(A.event_series(spark, sf), "close", 10, "mean", out="rolling_mean")
+    """10-event trailing mean per user, in blocks of positions: a user with
+    very many events is spread over many tasks."""
+    df = S.rolling_blocked(A.event_series(spark, sf), "close", 10, "mean", out="rolling_mean")
     return df.select("asset", "d", r6("rolling_mean").alias("rolling_mean"))
 
 
@@ -241,7 +242,7 @@ SELECT asset, d, round(CASE WHEN lag(close) OVER w <> 0 AND close / lag(close) O
   THEN ln(close / lag(close) OVER w) END, 6) + 0.0 AS log_return
 FROM event_series WINDOW w AS (PARTITION BY asset ORDER BY d)""")
 def log_return_events(spark, sf):
-    df = S.log_return(A.event_series(spark, sf))
+    df = S.log_return_blocked(A.event_series(spark, sf))
     return df.select("asset", "d", r6("log_return").alias("log_return"))
 
 
