@@ -88,8 +88,9 @@ def pair_backtest(spread: DataFrame, hold: float = 5, sell: float = 0, trade: fl
 def backtest_grid(spread: DataFrame, grid: dict[str, list], capital: float = 100000.0,
                   start: int = 100) -> DataFrame:
     """``final / capital`` for every pair x parameter triple. The grid is a
-    fixed-size product generated by ``explode`` on each pair row."""
+    fixed-size product generated by ``explode`` on each pair row, and the
+    (pair, triple) rows are dealt out before they are folded."""
     from .joins import param_grid
-    arr = param_grid(pair_arrays(spread, start), grid)
+    arr = param_grid(pair_arrays(spread, start), grid).repartition("first", "second", *grid)
     ratio = run_strategy(arr, F.col("hold_time"), F.col("sell_sigma"), F.col("trade_sigma"), capital) / F.lit(capital)
     return arr.select("first", "second", "hold_time", "sell_sigma", "trade_sigma", ratio.alias("ratio"))

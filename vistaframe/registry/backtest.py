@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from ..operators import backtest as B
 from ..operators import stats as T
+from ..oracle import with_
+from ..plans import adapters as A
 from ._base import register
 from .joins import GRID, GRID_SQL
-from .windows import spread, spread_sql
+from .windows import RETS, spread, spread_sql
 
 _BUY = "(r.shares = 0 AND r.trade * it.sigma <= abs(it.diff))"
 _SH1 = f"(CASE WHEN {_BUY} THEN CASE WHEN it.diff > 0 THEN r.cash / it.b_close ELSE r.cash / it.a_close END ELSE r.shares END)"
@@ -39,10 +41,26 @@ def _sql(params: str) -> str:
     return "WITH RECURSIVE " + spread_sql(grid=GRID_SQL)[len("WITH "):].rstrip() + ",\n" + RUN.format(params=params)
 
 
-@register("pair_backtest", _sql("SELECT 5.0 AS hold, 0.0 AS sell, 0.0 AS trade") + """
-SELECT 'AF' AS first, 'RO' AS second, final - 100000 AS profit FROM fin""")
+# the same fold for every ordered pair of assets
+_PAIRS = """WITH RECURSIVE """ + with_("prices", extra={"rets": RETS, "spread": """
+SELECT a.d, a.asset AS first, b.asset AS second, a.close AS a_close, b.close AS b_close, a.r - b.r AS diff
+FROM rets a JOIN rets b ON a.d = b.d AND a.asset <> b.asset WHERE a.r IS NOT NULL AND b.r IS NOT NULL"""})[len("WITH "):].rstrip() + ",\n" + (
+    RUN.replace("row_number() OVER (ORDER BY d) AS rn, d,", "row_number() OVER (PARTITION BY first, second ORDER BY d) AS rn, first, second, d,")
+       .replace("OVER (ORDER BY d ROWS", "OVER (PARTITION BY first, second ORDER BY d ROWS")
+       .replace("SELECT hold, sell, trade, CAST(99", "SELECT first, second, hold, sell, trade, CAST(99")
+       .replace("SELECT r.hold, r.sell", "SELECT r.first, r.second, r.hold, r.sell")
+       .replace("ON it.rn = r.k + 1", "ON it.rn = r.k + 1 AND it.first = r.first AND it.second = r.second")
+       .replace("(SELECT hold, sell, trade, arg_max", "(SELECT first, second, hold, sell, trade, arg_max")
+       .replace("FROM run GROUP BY hold", "FROM run GROUP BY first, second, hold"))
+
+
+@register("pair_backtest", _PAIRS.format(params="SELECT DISTINCT first, second, 5.0 AS hold, 0.0 AS sell, 0.0 AS trade FROM it") + """
+SELECT first, second, final - 100000 AS profit FROM fin""")
 def pair_backtest(spark, sf):
-    bt = B.pair_backtest(spread(spark, sf), hold=5, sell=0, trade=0)
+    """Every ordered pair of assets, each a row that any executor can fold."""
+    from ..operators.pairs import spread_frame
+    pairs = spark.createDataFrame([(a, b) for a in A.ASSETS for b in A.ASSETS if a != b], "first string, second string")
+    bt = B.pair_backtest(spread_frame(A.prices(spark, sf), pairs), hold=5, sell=0, trade=0)
     return bt.select("first", "second", "profit")
 
 
