@@ -119,7 +119,7 @@ def test_mixture(spark):
     rows += [(3000, None, "a", None, None), (None, "of it", None, "en", 0.0), (3001, "", "zz", "xx", 1.0)]
     docs = prepare(spark).createDataFrame(rows, "doc_id long, text string, source string, lang string, weight double")
     out, _ = mixture.calibrate(docs, source_targets={"a": 0.3, "*": 0.7}, lang_targets={"en": 0.5, "de": 0.5})
-    got = out.drop("_all").collect()
+    got = out.collect()
     assert len(got) == len(rows)
     total = sum(r.tokens * r.probability for r in got)
     assert abs(sum(r.tokens * r.probability for r in got if r.source_group == "a") / total - 0.3) < 1e-6

@@ -113,9 +113,11 @@ def _category(column: Column, names: list[str]) -> Column:
 
 def calibrate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
               lang_col: str = "lang", source_targets: dict | float = SOURCE_TARGETS, lang_targets: dict | float = LANG_TARGETS,
-              topic_words_each: int = TOPIC_WORDS, topic_power: float = TOPIC_POWER, seed: int = 5) -> tuple[DataFrame, list[str]]:
-    """(``docs`` as a struct ``_all`` with ``doc_id, source_group, lang_group,
-    topic, tokens, weight, probability, sampled``; the topic words)."""
+              topic_words_each: int = TOPIC_WORDS, topic_power: float = TOPIC_POWER, seed: int = 5, with_rows: bool = False) -> tuple[DataFrame, list[str]]:
+    """(per row ``doc_id, source_group, lang_group, topic, tokens, weight,
+    probability, sampled``; the topic words). ``with_rows`` adds the rows of
+    ``docs`` as a struct ``_all``; without it, texts are cut into words once
+    for the cells and the result."""
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_all"), docs[id_col].cast("long").alias("doc_id"),
                        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"),
                        docs[source_col].cast("string").alias("source"), docs[lang_col].cast("string").alias("lang"))
@@ -129,10 +131,13 @@ def calibrate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     best = F.array_max("often")
     # the first of the words held most often; none of them: after the last
     topic = F.when(best > 0, F.array_position("often", best).cast("int") - 1).otherwise(len(chosen))
+    draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 53)) / F.lit(float(1 << 53))
     celled = (rows.withColumn("often", often)
-              .select("_all", "doc_id", "text", "tokens",
+              .select("_all", "doc_id", "tokens", draw.alias("draw"),
                       _category(F.col("source"), names[0]).alias("s"), _category(F.col("lang"), names[1]).alias("l"),
                       topic.alias("t")))
+    if not with_rows:
+        celled = materialise(celled.drop("_all"), "mixture_cells")
     cells = np.zeros([len(n) for n in names])
     for r in celled.groupBy("s", "l", "t").agg(F.sum("tokens").alias("n")).collect():  # a row per cell
         cells[r["s"], r["l"], r["t"]] = r["n"]
@@ -143,15 +148,14 @@ def calibrate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     weight = np.divide(fitted * cells.sum(), cells, out=np.zeros_like(cells), where=cells > 0)
     chance = weight / max(weight.max(initial=0.0), 1e-300)
     at = F.col("s") * cells.shape[1] * cells.shape[2] + F.col("l") * cells.shape[2] + F.col("t") + 1
-    draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 53)) / F.lit(float(1 << 53))
     out = (celled.withColumn("weight", F.element_at(F.lit(weight.ravel().tolist()), at))
            .withColumn("probability", F.element_at(F.lit(chance.ravel().tolist()), at))
-           .withColumn("sampled", draw < F.col("probability")))
+           .withColumn("sampled", F.col("draw") < F.col("probability")))
     pick = lambda c, k: F.element_at(F.lit(names[k]), F.col(c) + 1)
-    return out.select("_all", "doc_id", pick("s", 0).alias("source_group"), pick("l", 1).alias("lang_group"),
+    return out.select(*(["_all"] if with_rows else []), "doc_id", pick("s", 0).alias("source_group"), pick("l", 1).alias("lang_group"),
                       pick("t", 2).alias("topic"), "tokens", "weight", "probability", "sampled"), chosen
 
 
 def sample(docs: DataFrame, **options) -> DataFrame:
     """The sampled rows of ``docs``, all columns."""
-    return calibrate(docs, **options)[0].filter("sampled").select("_all.*")
+    return calibrate(docs, with_rows=True, **options)[0].filter("sampled").select("_all.*")

@@ -97,4 +97,4 @@ def op7(spark, sf_dir):
 
 @query("op5_mixture")
 def op5(spark, sf_dir):
-    return mixture.calibrate(read_table(spark, sf_dir, "documents"))[0].drop("_all")
+    return mixture.calibrate(read_table(spark, sf_dir, "documents"))[0]
