@@ -320,6 +320,13 @@ def _block_pairs(percent: int):
     return run
 
 
+def _of_nodes(rows: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
+    """``rows`` (column ``node``) without most of those of other nodes: a bit
+    set keeps them out of the shuffle that a join needs."""
+    bits = materialise(bit_set(nodes.distinct().select(F.xxhash64("node").alias("key")), FILTER_ROWS), name)
+    return mark_held(rows, F.xxhash64("node"), bits, FILTER_ROWS, "_in").filter("_in").drop("_in")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int, name: str) -> DataFrame:
     """The pairs whose sets are linked. Only texts of the ids in question are
     cut into shingles (a bit set of the ids keeps the others out)."""
@@ -347,9 +354,14 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = materialise(texts.mapInArrow(_signatures(words, percent, spark.sparkContext.broadcast(table)),
                                         "doc_id long, n long, mark binary, firsts array<long>, signature binary"), "signatures")
     some = rows.filter("n > 0 and doc_id is not null")
-    classes = materialise(some.groupBy("mark").agg(
+    # one row a class: where the mark is surely unique, the row itself, which passes no shuffle
+    mark = F.xxhash64("mark")
+    marks = materialise(repeated_keys(some.select(mark.alias("key")), FILTER_ROWS), "repeated_marks")
+    some = mark_held(some, mark, marks, FILTER_ROWS, "_often")
+    several = materialise(some.filter("_often").groupBy("mark").agg(
         F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("firsts").alias("firsts"),
         F.first("signature").alias("signature")), "classes")
+    classes = several.unionByName(some.filter("not _often").select("mark", F.col("doc_id").alias("node"), "n", "firsts", "signature"))
 
     # shingles that several classes have among their first ones, and those classes
     firsts = classes.select("node", "n", F.size("firsts").alias("p"), F.explode("firsts").alias("key"))
@@ -365,7 +377,8 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     pairs = members.join(centres, "key").select((-F.col("c.a")).alias("a"), F.col("node").alias("b"),
                                                 F.col("c.n").alias("n"), F.col("n").alias("m")).filter("a <> b")
     pairs = pairs.filter(100 * F.least("n", "m") >= percent * F.greatest("n", "m")).distinct()
-    sides = classes.select("node", "signature")
+    pairs = materialise(pairs, "sized_pairs")
+    sides = _of_nodes(classes.select("node", "signature"), pairs.select(F.explode(F.array("a", "b")).alias("node")), "star_nodes")
     pairs = pairs.join(sides.select(F.col("node").alias("b"), F.col("signature").alias("y")), "b")
     pairs = materialise(pairs, "star_pairs").join(sides.select(F.col("node").alias("a"), F.col("signature").alias("x")), "a")
     hopeful = materialise(pairs.select("a", "b", "x", "y", "n", "m").mapInArrow(_bounded(percent), "a long, b long"), "star_hopeful")
@@ -379,7 +392,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                         .filter("lo <> hi").select("key", "lo"), "mixed")
     open_members = materialise(known.join(mixed, "key"), "open_members")
     open_nodes = open_members.groupBy("node").agg(F.first("component").alias("component"), F.min("lo").alias("lo"))
-    laid = open_nodes.join(classes.select("node", "n", "signature"), "node")
+    laid = open_nodes.join(_of_nodes(classes.select("node", "n", "signature"), open_members.select("node"), "open_nodes"), "node")
     order = ["lo", "component", "n", "node"]
     blocks = (laid.repartitionByRange(*order).sortWithinPartitions(*order).select("node", "component", "n", "signature")
               .mapInArrow(_cut_blocks, "payload binary, nodes array<long>")
@@ -396,10 +409,13 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rest = _verified(near, texts, words, percent, "block_links")
 
     final = components(stars.unionByName(rest)).withColumnRenamed("node", "_node")
-    labelled = classes.select("mark", "node").join(final, F.col("node") == F.col("_node"), "left").select(
-        "mark", F.coalesce("component", "node").alias("component_id"))
-    labelled = materialise(labelled, "class_components")
-    linkable = some.select("doc_id", "n", "mark").join(labelled, "mark", "left")
+    # a row whose mark is unique is its class's node; the others look their class up
+    classed = materialise(several.select("mark", "node").join(final, F.col("node") == F.col("_node"), "left").select(
+        "mark", F.coalesce("component", "node").alias("component_id")), "class_components")
+    alone = (some.filter("not _often").select("doc_id", "n").join(final, F.col("doc_id") == F.col("_node"), "left")
+             .select("doc_id", "n", F.coalesce("component", "doc_id").alias("component_id")))
+    linkable = some.filter("_often").select("doc_id", "n", "mark").join(classed, "mark").select(
+        "doc_id", "n", "component_id").unionByName(alone)
     return linkable.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(
         rows.filter("n = 0 or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"),
                                                       F.col("doc_id").alias("component_id")))
