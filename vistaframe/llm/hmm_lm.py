@@ -386,7 +386,13 @@ def score_texts(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_
     ends = texts.filter("not held_out").count()
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n_tokens, n_types = total["n"] + ends, total["v"] + (ends > 0)
-    top = counts.orderBy(F.col("c").desc(), "word").limit(head_words).collect()  # at most head_words rows
+    # the least count in the head, from the number of words of each count: only the head's tasks send words
+    left, cut = head_words, 0
+    for r in counts.groupBy("c").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("c").desc()).limit(head_words).collect():
+        left, cut = left - r["n"], r["c"]
+        if left <= 0:
+            break
+    top = counts.filter(F.col("c") >= cut).orderBy(F.col("c").desc(), "word").limit(head_words).collect()  # at most head_words rows
     head = {bytes(r["word"]): k for k, r in enumerate(top)}
     least = (top[-1]["c"], bytes(top[-1]["word"])) if top else (0, b"")
     rare = counts.filter((F.col("c") < least[0]) | ((F.col("c") == least[0]) & (F.col("word") > F.lit(least[1]))))
