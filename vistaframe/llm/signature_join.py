@@ -168,11 +168,19 @@ def may_link(x: bytes, y: bytes, n: int, m: int, percent: int) -> bool:
     return (int(np.bitwise_count(a & ~b).sum()) <= n - both) and (int(np.bitwise_count(b & ~a).sum()) <= m - both)
 
 
+def _ranked(table: np.ndarray) -> bytes:
+    """Counts in one byte each, in order (exact up to 127, by their logarithm
+    above), compressed: what every task gets is some megabytes."""
+    counts = np.arange(65536)
+    large = np.minimum(128 + np.log2(np.maximum(counts, 128) / 128.0) * 14, 255).astype("uint8")
+    return zlib.compress(np.where(counts < 128, counts, large).astype("uint8")[table].tobytes(), 1)
+
+
 def _signatures(n: int, percent: int, sent):
     smallest = next(k for k in range(1, 10_000) if needed(k, percent) < k or needed(k + 1, percent) <= k)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, table = Shingler(n), sent.value
+        shingler, table = Shingler(n), np.frombuffer(zlib.decompress(sent.value), "uint8")
         for batch in batches:
             sizes, marks, firsts, bitmaps = [], [], [], []
             for text in batch.column("text").to_pylist():
@@ -351,7 +359,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     table = np.zeros(1 << TABLE_BITS, "uint16")
     for r in slices.toLocalIterator():  # 2 bytes a counter in all
         table[r["slice"] << SLICE_BITS:(r["slice"] + 1) << SLICE_BITS] = np.frombuffer(zlib.decompress(r["counts"]), "uint16")
-    rows = materialise(texts.mapInArrow(_signatures(words, percent, spark.sparkContext.broadcast(table)),
+    rows = materialise(texts.mapInArrow(_signatures(words, percent, spark.sparkContext.broadcast(_ranked(table))),
                                         "doc_id long, n long, mark binary, firsts array<long>, signature binary"), "signatures")
     some = rows.filter("n > 0 and doc_id is not null")
     # one row a class: where the mark is surely unique, the row itself, which passes no shuffle
