@@ -1,7 +1,7 @@
 """Searches: every point is scored, the same way each time, on folds that don't depend on partitions."""
 
 import pytest
-from pyspark.ml.classification import DecisionTreeClassifier
+from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier
 from pyspark.sql import functions as F
 
 from __spark_entry__ import oracle_sql, queries
@@ -74,3 +74,21 @@ def test_forest_predictions_are_years(spark):
     pred, (low, high, _) = RM.forest_predictions(spark, SF_SMALL)
     got = pred.agg(F.min("predicted_year"), F.max("predicted_year"), F.count("*")).first()
     assert low <= got[0] and got[1] <= high and got[2] > 0
+
+
+def test_boosting_searches_hold_out_every_fold(parts, monkeypatch):
+    """The score of a point is the mean over all five folds, each fitted on the other four."""
+    tr, te = parts
+    monkeypatch.setattr(RM, "GBT_ROUNDS", [1, 2])
+    monkeypatch.setattr(RM, "GBT_AXES", {"maxDepth": [2], "stepSize": [0.1]})
+    monkeypatch.setattr(RM, "random_draws", lambda: [{"maxDepth": 2, "maxIter": 2, "stepSize": 0.1}])
+    losses, errors = [], []
+    for k in range(M.FOLDS):
+        held = tr.filter(F.col("fold") == k)
+        model = GBTClassifier(maxDepth=2, maxIter=2, stepSize=0.1, seed=42).fit(tr.filter(F.col("fold") != k))
+        losses.append(model.evaluateEachIteration(held)[1])
+        p = M.positive_probability(model.transform(held), out="p")
+        errors.append(p.agg(F.sqrt(F.avg(F.pow(F.col("p") - F.col("label"), 2)))).first()[0])
+    got = {r["maxIter"]: r["log_loss"] for r in RM.gbt_scores(tr).collect()}
+    assert got[2] == pytest.approx(sum(losses) / 5, abs=1e-9)
+    assert RM.random_search_scores(tr, te)[0].first()["rmse"] == pytest.approx(sum(errors) / 5, abs=1e-9)

@@ -51,27 +51,25 @@ def accuracy_evaluator(label: str = "label") -> MulticlassClassificationEvaluato
 
 
 def cross_validate(est, maps: list[dict], train: DataFrame, score: Callable | None = None, folds: int = FOLDS,
-                   parallelism: int = 8, held_folds: list[int] | None = None) -> list:
+                   parallelism: int = 8) -> list:
     """Mean validation score (a number, or a list of numbers) per parameter
-    map over the folds of ``train``'s ``fold`` column, or over ``held_folds``
-    of them. ``score(model, held rows)``; accuracy by default. Every (fold, map) is a task of its own with thread
+    map over the folds of ``train``'s ``fold`` column. ``score(model, held rows)``; accuracy by default. Every (fold, map) is a task of its own with thread
     properties of its own."""
     spark = train.sparkSession
     score = score or (lambda model, held: accuracy_evaluator().evaluate(model.transform(held)))
-    held_folds = list(range(folds)) if held_folds is None else held_folds
-    parts = {k: (train.filter(F.col("fold") != k), train.filter(F.col("fold") == k)) for k in held_folds}
+    parts = {k: (train.filter(F.col("fold") != k), train.filter(F.col("fold") == k)) for k in range(folds)}
 
     def run(task):
         k, m = task
         fit, held = parts[k]
         return score(est.copy(maps[m]).fit(fit), held)
 
-    tasks = [(k, m) for m in range(len(maps)) for k in held_folds]
+    tasks = [(k, m) for m in range(len(maps)) for k in range(folds)]
     with ThreadPool(parallelism) as pool:
         # one wrapped target per task: tasks that share one would share its properties
         got = [pool.apply_async(inheritable_thread_target(spark)(run), (t,)) for t in tasks]
         scores = [g.get() for g in got]
-    means = np.array(scores, dtype=float).reshape(len(maps), len(held_folds), -1).mean(axis=1)
+    means = np.array(scores, dtype=float).reshape(len(maps), folds, -1).mean(axis=1)
     return means[:, 0].tolist() if means.shape[1] == 1 else means.tolist()
 
 

@@ -281,12 +281,12 @@ GBT_ROUNDS = [100, 200, 300]
 
 
 def gbt_scores(tr):
-    """Log loss on the validation fold for every depth, rate and number of
+    """Mean log loss over the validation folds for every depth, rate and number of
     rounds. Boosting with fewer rounds is a prefix of boosting with more, so a
     (depth, rate) is fitted once, to the largest number."""
     gbt = GBTClassifier(featuresCol="features", labelCol="label", seed=42, maxIter=max(GBT_ROUNDS))
     maps = M.to_param_maps(gbt, M.full_grid(GBT_AXES))
-    losses = M.cross_validate(gbt, maps, tr, held_folds=[0],
+    losses = M.cross_validate(gbt, maps, tr,
                               score=lambda model, held: [model.evaluateEachIteration(held)[r - 1] for r in GBT_ROUNDS])
     rows = [(m[gbt.maxDepth], m[gbt.stepSize], r, x) for m, loss in zip(maps, losses) for r, x in zip(GBT_ROUNDS, loss)]
     return tr.sparkSession.createDataFrame(rows, "maxDepth int, stepSize double, maxIter int, log_loss double")
@@ -316,7 +316,7 @@ def random_draws() -> list[dict]:
 
 
 def random_search_scores(tr, te):
-    """Root mean squared error of the probability on the validation fold per
+    """Root mean squared error of the probability, mean of the validation folds, per
     draw, and of the best draw (fitted on all train rows) on the test rows."""
     gbt = GBTClassifier(featuresCol="features", labelCol="label", seed=42)
     maps = M.to_param_maps(gbt, random_draws())
@@ -325,7 +325,7 @@ def random_search_scores(tr, te):
         p = M.positive_probability(model.transform(held), out="p")
         return p.agg(F.sqrt(F.avg(F.pow(F.col("p") - F.col("label"), 2)))).first()[0]
 
-    scores = M.cross_validate(gbt, maps, tr, score=rmse, held_folds=[0])
+    scores = M.cross_validate(gbt, maps, tr, score=rmse)
     best = min(range(len(maps)), key=lambda k: (scores[k], k))
     t = M.search_table(tr.sparkSession, maps, scores, "rmse")
     return t, rmse(gbt.copy(maps[best]).fit(tr), te)
