@@ -1,5 +1,6 @@
 """Searches: every point is scored, the same way each time, on folds that don't depend on partitions."""
 
+import numpy as np
 import pytest
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier
 from pyspark.sql import functions as F
@@ -92,3 +93,26 @@ def test_boosting_searches_hold_out_every_fold(parts, monkeypatch):
     got = {r["maxIter"]: r["log_loss"] for r in RM.gbt_scores(tr).collect()}
     assert got[2] == pytest.approx(sum(losses) / 5, abs=1e-9)
     assert RM.random_search_scores(tr, te)[0].first()["rmse"] == pytest.approx(sum(errors) / 5, abs=1e-9)
+
+
+def test_neighbour_shares_equal_brute_force(spark):
+    rng = np.random.default_rng(4)
+    x, y, fold = rng.normal(size=(60, 3)), rng.integers(0, 2, 60).astype(float), np.arange(60) % 5
+    df = M.assemble(spark.createDataFrame([(i, *map(float, x[i]), float(y[i]), int(fold[i])) for i in range(60)],
+                                          "id long, a double, b double, c double, label double, fold int"), ["a", "b", "c"])
+    train, test, k = RM.neighbour_shares(df.filter("id < 45"), df.filter("id >= 45"))
+    got = {r["id"]: r["p_knn"] for r in train.unionByName(test).collect()}
+    assert len(got) == 60 and k in RM.NEIGHBOURS
+    for i in range(60):
+        others = [j for j in range(45) if i >= 45 or fold[j] != fold[i]]
+        near = sorted(others, key=lambda j: (float(np.linalg.norm(x[i] - x[j])), j))[:k]
+        assert got[i] == pytest.approx(y[near].mean())
+
+
+def test_stacking_holds_tuned_bases_and_neighbours(parts, monkeypatch):
+    monkeypatch.setattr(RM, "STRENGTHS", 2)
+    monkeypatch.setattr(RM, "TREE_AXES", {"maxDepth": [1, 3]})
+    monkeypatch.setattr(RM, "MLP_ROUNDS", 3)
+    monkeypatch.setattr(RM, "_mlp_draws", lambda: [{"layers": [len(RM.FEATURES), n, 2], "stepSize": 0.03} for n in (2, 3)])
+    rows = {r["model"]: r["test_accuracy"] for r in RM.stacking_scores(*parts).collect()}
+    assert set(rows) == {"logreg", "tree", "mlp", "knn", "vote", "stack"} and all(0 <= v <= 1 for v in rows.values())
