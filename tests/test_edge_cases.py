@@ -8,6 +8,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
+from tests.conftest import SF_SMALL
 from vistaframe.functions import scalars as X
 from vistaframe.operators import backtest as B
 from vistaframe.operators import features as FE
@@ -228,3 +230,14 @@ def test_blocked_expanding_equals_plain_window(spark, ddof):
     assert plain.keys() == blocked.keys()
     for k, v in plain.items():
         assert (v is None and blocked[k] is None) or blocked[k] == pytest.approx(v, rel=1e-9, abs=1e-12), k
+
+
+def test_parameter_grids_cover_every_ordered_pair(spark):
+    grid = queries()["cross_param_grid_pairs"](spark, SF_SMALL)
+    runs = queries()["backtest_grid_pairs"](spark, SF_SMALL)
+    for df in (grid, runs):
+        per_pair = {(r["first"], r["second"]): r["count"] for r in df.groupBy("first", "second").count().collect()}
+        assert len(per_pair) == 30 and set(per_pair.values()) == {96}
+    best = runs.agg(F.max("ratio")).first()[0]
+    top = queries()["top_k_strategies_pairs"](spark, SF_SMALL).collect()
+    assert len(top) == 5 and max(r["ratio"] for r in top) == best

@@ -9,7 +9,7 @@ from ..operators import stats as T
 from ..oracle import with_
 from ..plans import adapters as A
 from ._base import register
-from .joins import GRID, GRID_SQL
+from .joins import GRID, GRID_SQL, every_pair
 from .windows import RETS, spread, spread_sql
 
 _BUY = "(r.shares = 0 AND r.trade * it.sigma <= abs(it.diff))"
@@ -58,9 +58,7 @@ FROM rets a JOIN rets b ON a.d = b.d AND a.asset <> b.asset WHERE a.r IS NOT NUL
 SELECT first, second, final - 100000 AS profit FROM fin""")
 def pair_backtest(spark, sf):
     """Every ordered pair of assets, each a row that any executor can fold."""
-    from ..operators.pairs import spread_frame
-    pairs = spark.createDataFrame([(a, b) for a in A.ASSETS for b in A.ASSETS if a != b], "first string, second string")
-    bt = B.pair_backtest(spread_frame(A.prices(spark, sf), pairs), hold=5, sell=0, trade=0)
+    bt = B.pair_backtest(every_pair(spark, sf), hold=5, sell=0, trade=0)
     return bt.select("first", "second", "profit")
 
 
@@ -85,3 +83,29 @@ def top_k_strategies(spark, sf):
                            F.col("ratio"), F.col("trade_sigma").cast("int"), F.col("sell_sigma").cast("int"),
                            F.col("hold_time").cast("int"))
     return top.select("hold_time", "sell_sigma", "trade_sigma", "ratio", line.alias("line"))
+
+
+_PAIRS_GRID = _PAIRS.format(params="""SELECT first, second, hold_time AS hold, sell_sigma AS sell, trade_sigma AS trade
+  FROM (SELECT DISTINCT first, second FROM it), (""" + GRID_SQL + """)""")
+
+
+@register("backtest_grid_pairs", _PAIRS_GRID + """
+SELECT first, second, hold AS hold_time, sell AS sell_sigma, trade AS trade_sigma, final / 100000 AS ratio FROM fin""")
+def backtest_grid_pairs(spark, sf):
+    """Every ordered pair of assets x every parameter triple."""
+    g = B.backtest_grid(every_pair(spark, sf), GRID)
+    return g.select("first", "second", "hold_time", "sell_sigma", "trade_sigma", "ratio")
+
+
+@register("top_k_strategies_pairs", _PAIRS_GRID + """
+SELECT first, second, hold AS hold_time, sell AS sell_sigma, trade AS trade_sigma, final / 100000 AS ratio,
+  printf('%s-%s: ratio %.6e: open beyond %d sigma, close below %d sigma, after at least %d days', first, second, final / 100000, CAST(trade AS INT), CAST(sell AS INT), CAST(hold AS INT)) AS line
+FROM fin ORDER BY final / 100000 DESC, hold, sell, trade, first, second LIMIT 5""")
+def top_k_strategies_pairs(spark, sf):
+    """The best of every ordered pair's strategies."""
+    g = B.backtest_grid(every_pair(spark, sf), GRID)
+    top = T.top_k(g, 5, F.col("ratio").desc(), "hold_time", "sell_sigma", "trade_sigma", "first", "second")
+    line = F.format_string("%s-%s: ratio %.6e: open beyond %d sigma, close below %d sigma, after at least %d days",
+                           "first", "second", F.col("ratio"), F.col("trade_sigma").cast("int"), F.col("sell_sigma").cast("int"),
+                           F.col("hold_time").cast("int"))
+    return top.select("first", "second", "hold_time", "sell_sigma", "trade_sigma", "ratio", line.alias("line"))

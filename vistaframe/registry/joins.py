@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..oracle import with_
 from ..operators import joins as J
 from ..operators import series as S
-from ..operators.pairs import align_wide
+from ..operators.pairs import align_wide, spread_frame
 from ..plans import adapters as A
 from ..sources.tables import read_table
 from ._base import r6, register
@@ -62,11 +62,25 @@ FROM (SELECT unnest([5, 10, 15, 20, 25, 30]) AS h), (SELECT unnest([0, 1, 2, 3])
 @register("cross_param_grid", spread_sql(grid=GRID_SQL) + """
 SELECT p.first, p.second, g.* FROM (SELECT DISTINCT 'AF' AS first, 'RO' AS second FROM spread) p, grid g""")
 def cross_param_grid(spark, sf):
-    """Every pair present in the data x 6 x 4 x 4 parameter triples."""
+    """The pair of the original, if present in the data, x 6 x 4 x 4 parameter triples."""
     pairs = spread(spark, sf).select("first", "second").distinct()
     return J.param_grid(pairs, GRID)
 
 
+def every_pair(spark, sf):
+    """The two-asset frame of every ordered pair of assets."""
+    pairs = spark.createDataFrame([(a, b) for a in A.ASSETS for b in A.ASSETS if a != b], "first string, second string")
+    return spread_frame(A.prices(spark, sf), pairs)
+
+
+@register("cross_param_grid_pairs", with_("prices", extra={"rets": RETS, "grid": GRID_SQL}) + """
+SELECT p.first, p.second, g.* FROM (SELECT DISTINCT a.asset AS first, b.asset AS second FROM rets a JOIN rets b
+  ON a.d = b.d AND a.asset <> b.asset WHERE a.r IS NOT NULL AND b.r IS NOT NULL) p, grid g""")
+def cross_param_grid_pairs(spark, sf):
+    """Every ordered pair present in the data x 6 x 4 x 4 parameter triples."""
+    return J.param_grid(every_pair(spark, sf).select("first", "second").distinct(), GRID)
+
+
 @register("pairwise_columns", with_("prices", extra={"rt": RETS}) + """
 SELECT a.d, a.asset AS a, b.asset AS b, round(a.r, 9) + 0.0 AS ra, round(b.r, 9) + 0.0 AS rb
 FROM rt a JOIN rt b ON a.d = b.d AND a.asset <> b.asset WHERE a.r IS NOT NULL AND b.r IS NOT NULL""")
