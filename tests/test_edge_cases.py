@@ -241,3 +241,11 @@ def test_parameter_grids_cover_every_ordered_pair(spark):
     best = runs.agg(F.max("ratio")).first()[0]
     top = queries()["top_k_strategies_pairs"](spark, SF_SMALL).collect()
     assert len(top) == 5 and max(r["ratio"] for r in top) == best
+
+
+def test_pair_summary_has_every_pair_of_numeric_features(spark):
+    rows = queries()["pair_summary_all"](spark, SF_SMALL).collect()
+    assert sum(c.startswith("corr_") for c in rows[0].asDict()) == 6 and sum(c.startswith("mean_") for c in rows[0].asDict()) == 4
+    by_class = {r["income"]: r for r in rows}
+    assert by_class["<=50K"]["corr_age_gain"] is None and by_class["<=50K"]["mean_gain"] == 0  # one value in this class
+    assert abs(by_class[">50K"]["corr_edu_gain"]) <= 1 and by_class[">50K"]["mean_gain"] > 0

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import functions as F
 
 from ..functions import scalars as X
@@ -313,3 +315,26 @@ def pair_summary_by_class(spark, sf):
         r6(F.corr("education_num", "hours_per_week")).alias("corr_edu_hours"),
         r6(F.avg("age")).alias("mean_age"), r6(F.avg("education_num")).alias("mean_edu"),
         r6(F.avg("hours_per_week")).alias("mean_hours"), F.count(F.lit(1)).alias("n"))
+
+
+_NUMERIC = {"age": "age", "edu": "education_num", "hours": "hours_per_week", "gain": "capital_gain"}
+_NUMERIC_PAIRS = list(itertools.combinations(_NUMERIC, 2))
+
+
+@register("pair_summary_all", with_("census") + "SELECT income, " + ", ".join(
+    f"CASE WHEN min({_NUMERIC[a]}) < max({_NUMERIC[a]}) AND min({_NUMERIC[b]}) < max({_NUMERIC[b]}) "
+    f"THEN round(corr({_NUMERIC[a]}, {_NUMERIC[b]}), 6) + 0.0 END AS corr_{a}_{b}" for a, b in _NUMERIC_PAIRS) + ", "
+          + ", ".join(f"round(avg({c}), 6) + 0.0 AS mean_{a}" for a, c in _NUMERIC.items())
+          + ", count(*) AS n FROM census GROUP BY income")
+def pair_summary_all(spark, sf):
+    """``pair_summary_by_class`` over all pairs of the numeric features (one
+    pass); no correlation where a feature has one value in a class."""
+    def corr(a, b):
+        varies = (F.min(a) < F.max(a)) & (F.min(b) < F.max(b))
+        # F.corr divides by zero where a column has one value, also under a condition
+        return F.when(varies, F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)))
+
+    c = A.census(spark, sf)
+    return c.groupBy("income").agg(
+        *[r6(corr(_NUMERIC[a], _NUMERIC[b])).alias(f"corr_{a}_{b}") for a, b in _NUMERIC_PAIRS],
+        *[r6(F.avg(x)).alias(f"mean_{a}") for a, x in _NUMERIC.items()], F.count(F.lit(1)).alias("n"))
