@@ -130,3 +130,31 @@ def test_mixture(spark):
     assert sorted(map(str, kept.collect())) == sorted(map(str, again.collect()))
     assert mixture.sample(docs.limit(0)).count() == 0
     assert mixture.sample(docs).agg(F.count("*")).scalar() is not None
+
+
+def test_mixture_gives_every_small_source_its_target(spark, monkeypatch):
+    """One hot source and 300 of less than 1 % each: each has a target of its own, also when cells are raked by joins."""
+    rng = random.Random(9)
+    names = ["hot"] * 150 + [f"s{k:03d}" for k in range(300)]
+    rows = [(i, " ".join(rng.choices(["topical", "rareword", "of", "it"], k=rng.randint(1, 12))), s, rng.choice(["en", "de", None]))
+            for i, s in enumerate(names * 4)]
+    docs = prepare(spark).createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    got = {r.doc_id: r for r in mixture.calibrate(docs)[0].collect()}
+    own, fitted = {}, {}
+    for _, _, s, _ in rows:
+        own[s] = 0
+    for i, _, s, _ in rows:
+        assert got[i].source_group == s
+        own[s] += got[i].tokens
+        fitted[s] = fitted.get(s, 0) + got[i].tokens * got[i].weight
+    wanted = {s: n ** mixture.SOURCE_TARGETS for s, n in own.items()}
+    for s in own:
+        assert abs(fitted[s] / sum(fitted.values()) - wanted[s] / sum(wanted.values())) < 1e-6
+    monkeypatch.setattr(mixture, "CELLS", 100)
+    monkeypatch.setattr(mixture, "ROUNDS", 3)
+    few, _ = mixture.calibrate(docs)
+    by_joins = {r.doc_id: r.weight for r in few.collect()}
+    monkeypatch.setattr(mixture, "CELLS", 50_000)
+    in_memory = {r.doc_id: r.weight for r in mixture.calibrate(docs)[0].collect()}
+    assert by_joins.keys() == in_memory.keys() == got.keys()
+    assert all(abs(by_joins[i] - w) < 1e-9 * max(w, 1) for i, w in in_memory.items())

@@ -9,15 +9,16 @@ marginals, and no larger sample without repeats has.
 
 Targets are shares of named categories, where ``"*"`` stands for all others
 together and without it the others keep the share they have; or a power: then
-every category of at least 1 % of the tokens (so at most 100) is named and gets
-a share in proportion to that power of its own, and so do the others together.
+every category in the data gets a share in proportion to that power of its own.
 The topic of a document is the one of a few
 topic words that it holds most often (of each language the most widespread
-words below a share, counted over all documents), else "none"; topics get shares in proportion to a
-power of their own. The number of cells is bounded by the named categories.
+words below a share, counted over all documents; a word counts for the language
+that holds it most often), else "none"; topics get shares in proportion to a
+power of their own. The cells that hold documents are a table; up to CELLS of
+them are raked in memory and sent to all tasks, more by grouped sums and joins.
 
 Defined cases: null and empty texts have weight of one token and no topic; a
-null source or language is one of the others; a named category without
+null source or language is ``"*"``, one of the others; a named category without
 documents hands its share to the rest; rows repeated with id and text are kept
 or dropped together; an empty table gives no rows; other columns take no part.
 """
@@ -25,7 +26,7 @@ or dropped together; an empty table gives no rows; other columns take no part.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise
@@ -33,46 +34,59 @@ from .common import materialise
 OTHER, NO_TOPIC = "*", "none"
 SPACE = r"[\x20\x09-\x0D]+"
 SOURCE_TARGETS, LANG_TARGETS = 0.7, 0.9  # powers: large sources shrink, small ones grow
-NAMED_SHARE = 0.01
+CELLS = 50_000  # rows of a table that may go to the driver and to all tasks
 TOPIC_WORDS, TOPIC_POWER = 2, 0.9  # words a language, power of the topics' own shares
 TOPIC_CHARS, TOPIC_SHARE = 5, 0.2  # at least so long, in at most this share of the documents
 
 
+AXES = ("s", "l", "t")
+ROUNDS, TOLERANCE = 200, 1e-10
+
+
 def _words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), SPACE), "")
 
 
-def topic_words(texts: DataFrame, groups: int, per_group: int = TOPIC_WORDS) -> list[str]:
-    """Per group of languages (column ``l``: 0 to ``groups - 1``) the words held by the most documents, among
-    those that are long enough and in at most TOPIC_SHARE of the group's documents."""
-    sizes = {r["l"]: r["count"] for r in texts.groupBy("l").count().collect()}  # a row per group
+def _small(table: DataFrame) -> DataFrame:
+    """A written table, to be broadcast if it has few rows."""
+    return F.broadcast(table) if table.count() <= CELLS else table
+
+
+def topic_words(texts: DataFrame, per_group: int = TOPIC_WORDS) -> list[str]:
+    """Per language (column ``l``) the words held by the most documents, among those that are long enough,
+    in at most TOPIC_SHARE of the language's documents and in no other language in more documents."""
+    sizes = materialise(texts.groupBy("l").agg(F.count("*").alias("docs")), "topic_sizes")
     pairs = texts.select("l", F.explode(F.array_distinct("words")).alias("word"))
-    df = materialise(pairs.filter(F.char_length("word") >= TOPIC_CHARS).groupBy("l", "word").count(), "topic_words")
-    chosen: list[str] = []
-    for k in range(groups):
-        some = df.filter((F.col("l") == k) & (F.col("count") <= TOPIC_SHARE * sizes.get(k, 0)) & ~F.col("word").isin(chosen))
-        chosen += [r["word"] for r in some.orderBy(F.col("count").desc(), "word").limit(per_group).collect()]
-    return chosen
+    held = materialise(pairs.filter(F.char_length("word") >= TOPIC_CHARS).groupBy("l", "word").count(), "topic_words")
+    some = held.join(_small(sizes), "l").filter(F.col("count") <= TOPIC_SHARE * F.col("docs"))
+    order = F.struct(-F.col("count"), "l")
+    own = some.groupBy("word").agg(F.min_by("l", order).alias("l"), F.max("count").alias("n"))
+    rank = F.row_number().over(Window.partitionBy("l").orderBy(F.col("n").desc(), "word"))
+    first = own.withColumn("rank", rank).filter(F.col("rank") <= per_group)
+    return [r["word"] for r in sorted(first.collect(), key=lambda r: (r["l"], r["rank"]))]
 
 
-def rake(cells: np.ndarray, targets: list[np.ndarray], rounds: int = 200, tolerance: float = 1e-10) -> np.ndarray:
-    """Scale the cells until the sums along each axis are the targets (as shares)."""
+def _fit(cells: np.ndarray, places: list[np.ndarray], targets: list[np.ndarray]) -> np.ndarray:
+    """``rake`` over a list of cells, with the category of each on every axis."""
     fitted = cells / cells.sum() if cells.sum() else cells.astype(float)
-    for _ in range(rounds):
+    for _ in range(ROUNDS):
         worst = 0.0
-        for axis, target in enumerate(targets):
-            others = tuple(a for a in range(cells.ndim) if a != axis)
-            now = fitted.sum(axis=others)
+        for at, target in zip(places, targets):
+            now = np.bincount(at, fitted, len(target)).astype(float)
             factor = np.divide(target, now, out=np.ones_like(now), where=now > 0)
             worst = max(worst, float(np.abs(now - target)[now > 0].max(initial=0.0)))
-            shape = [1] * cells.ndim
-            shape[axis] = -1
-            fitted = fitted * factor.reshape(shape)
-        if worst < tolerance:
+            fitted = fitted * factor[at]
+        if worst < TOLERANCE:
             break
     return fitted
 
 
+def rake(cells: np.ndarray, targets: list[np.ndarray]) -> np.ndarray:
+    """Scale the cells until the sums along each axis are the targets (as shares)."""
+    places = [at.ravel() for at in np.indices(cells.shape)]
+    return _fit(cells.ravel(), places, targets).reshape(cells.shape)
+
+
 def _shares(observed: np.ndarray, names: list[str], targets: dict[str, float] | float) -> np.ndarray:
     """Target shares of the categories that have tokens; ``names`` ends with the others."""
     own = observed / max(observed.sum(), 1e-300)
@@ -88,27 +102,66 @@ def _shares(observed: np.ndarray, names: list[str], targets: dict[str, float] |
     return wanted / wanted.sum() if wanted.sum() else own
 
 
-def _names(rows: DataFrame, all_targets: dict[str, dict[str, float] | float]) -> list[list[str]]:
-    """Named categories per column, then the others. At most 100 come from the data."""
-    named = {c: [k for k in t if k != OTHER] if isinstance(t, dict) else [] for c, t in all_targets.items()}
-    open_columns = [c for c, t in all_targets.items() if not isinstance(t, dict)]
-    if open_columns:
-        sums = rows.groupingSets([[c] for c in open_columns], *open_columns).agg(F.sum("tokens").alias("n"))
-        total = rows.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n")).scalar()
-        large = sums.filter(F.col("n") >= NAMED_SHARE * total)
-        for r in large.collect():
-            for c in open_columns:
-                if r[c] is not None:
-                    named[c].append(r[c])
-    return [[*sorted(named[c]), OTHER] for c in all_targets]
+def _category(column: Column, targets: dict[str, float] | float) -> Column:
+    """The value, or the others where only some are named."""
+    value = F.coalesce(column, F.lit(OTHER))
+    return F.when(value.isin(list(targets)), value).otherwise(OTHER) if isinstance(targets, dict) else value
 
 
-def _category(column: Column, names: list[str]) -> Column:
-    """Place of the value among ``names``, which end with the others."""
-    place = F.lit(len(names) - 1)
-    for k, name in enumerate(names[:-1]):
-        place = F.when(column == name, k).otherwise(place)
-    return place
+def _axis(sums: dict[str, float], targets: dict[str, float] | float) -> tuple[list[str], np.ndarray]:
+    """Categories of an axis, the others at the end, and their target shares."""
+    names = [*sorted(({*sums} | ({*targets} if isinstance(targets, dict) else set())) - {OTHER}), OTHER]
+    return names, _shares(np.array([float(sums.get(n, 0)) for n in names]), names, targets)
+
+
+def _weights_in_memory(cells: DataFrame, targets: list) -> DataFrame:
+    rows = sorted(tuple(r) for r in cells.select(*AXES, "n").collect())
+    tokens = np.array([r[3] for r in rows], float)
+    places, shares = [], []
+    for k, target in enumerate(targets):
+        sums: dict[str, float] = {}
+        for r in rows:
+            sums[r[k]] = sums.get(r[k], 0) + r[3]
+        names, share = _axis(sums, target)
+        place = {n: i for i, n in enumerate(names)}
+        places.append(np.array([place[r[k]] for r in rows], int))
+        shares.append(share)
+    weight = _fit(tokens, places, shares) * tokens.sum() / tokens
+    chance = weight / max(weight.max(initial=0.0), 1e-300)
+    return F.broadcast(cells.sparkSession.createDataFrame(
+        [(*r[:3], w, c) for r, w, c in zip(rows, weight.tolist(), chance.tolist())],
+        "s string, l string, t string, weight double, probability double"))
+
+
+def _weights_by_joins(cells: DataFrame, targets: list) -> DataFrame:
+    """The same by grouped sums and joins, written once a round."""
+    spark, total = cells.sparkSession, cells.agg(F.sum("n")).first()[0]
+    goals = []
+    for c, target in zip(AXES, targets):
+        sums = cells.groupBy(c).agg(F.sum("n").alias("n"))
+        if isinstance(target, dict):  # a row per named category
+            names, share = _axis({r[c]: r["n"] for r in sums.collect()}, target)
+            goal = spark.createDataFrame(list(zip(names, share.tolist())), f"{c} string, goal double")
+        else:
+            own = sums.select(c, F.pow(F.col("n") / F.lit(total), F.lit(float(target))).alias("p"))
+            goal = own.select(c, (F.col("p") / F.lit(own.agg(F.sum("p")).first()[0])).alias("goal"))
+        goals.append(goal.checkpoint())
+    fitted = cells.select(*AXES, "n", (F.col("n") / F.lit(total)).alias("f"))
+    for _ in range(ROUNDS):
+        worst = 0.0
+        for c, goal in zip(AXES, goals):
+            held = F.col("now") > 0
+            now = (fitted.groupBy(c).agg(F.sum("f").alias("now")).join(goal, c)
+                   .select(c, F.when(held, F.try_divide("goal", "now")).otherwise(1.0).alias("factor"),
+                           F.when(held, F.abs(F.col("now") - F.col("goal"))).otherwise(0.0).alias("gap"))).checkpoint()
+            worst = max(worst, now.agg(F.max("gap")).first()[0])
+            fitted = fitted.join(_small(now.select(c, "factor")), c).select(*AXES, "n", (F.col("f") * F.col("factor")).alias("f"))
+        fitted = fitted.checkpoint()
+        if worst < TOLERANCE:
+            break
+    weighed = fitted.select(*AXES, (F.col("f") * F.lit(float(total)) / F.col("n")).alias("weight"))
+    most = max(weighed.agg(F.max("weight")).first()[0], 1e-300)
+    return weighed.withColumn("probability", F.col("weight") / F.lit(most)).checkpoint()
 
 
 def calibrate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -123,37 +176,24 @@ def calibrate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
                        docs[source_col].cast("string").alias("source"), docs[lang_col].cast("string").alias("lang"))
     rows = rows.withColumn("words", _words(F.col("text")))
     rows = rows.withColumn("tokens", F.greatest(F.size("words"), F.lit(1)).cast("long"))
-    sizes = materialise(rows.select("source", "lang", "tokens"), "mixture_sizes")
-    names = _names(sizes, {"source": source_targets, "lang": lang_targets})
-    chosen = topic_words(rows.select("words", _category(F.col("lang"), names[1]).alias("l")), len(names[1]), topic_words_each)
-    names.append([*chosen, NO_TOPIC])
-    often = F.array(*[F.size("words") - F.size(F.array_remove("words", w)) for w in chosen], F.lit(0))
-    best = F.array_max("often")
-    # the first of the words held most often; none of them: after the last
-    topic = F.when(best > 0, F.array_position("often", best).cast("int") - 1).otherwise(len(chosen))
+    rows = (rows.withColumn("s", _category(F.col("source"), source_targets))
+            .withColumn("l", _category(F.col("lang"), lang_targets)))
+    chosen = topic_words(rows.select("words", "l"), topic_words_each)
+    # the word held most often, of several the first
+    hits = F.filter("words", lambda w: w.isin(chosen))
+    often = F.transform(F.array_distinct("hits"), lambda w: F.struct(
+        F.size(F.filter("hits", lambda h: h == w)).alias("n"), (-F.array_position(F.lit(chosen or [""]), w)).alias("at"), w.alias("word")))
     draw = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 53)) / F.lit(float(1 << 53))
-    celled = (rows.withColumn("often", often)
-              .select("_all", "doc_id", "tokens", draw.alias("draw"),
-                      _category(F.col("source"), names[0]).alias("s"), _category(F.col("lang"), names[1]).alias("l"),
-                      topic.alias("t")))
+    celled = (rows.withColumn("hits", hits)
+              .select("_all", "doc_id", "tokens", draw.alias("draw"), "s", "l",
+                      F.coalesce(F.array_max(often)["word"], F.lit(NO_TOPIC)).alias("t")))
     if not with_rows:
         celled = materialise(celled.drop("_all"), "mixture_cells")
-    cells = np.zeros([len(n) for n in names])
-    for r in celled.groupBy("s", "l", "t").agg(F.sum("tokens").alias("n")).collect():  # a row per cell
-        cells[r["s"], r["l"], r["t"]] = r["n"]
-    targets = [_shares(cells.sum(axis=(1, 2)), names[0], source_targets),
-               _shares(cells.sum(axis=(0, 2)), names[1], lang_targets),
-               _shares(cells.sum(axis=(0, 1)), names[2], topic_power)]
-    fitted = rake(cells, targets)
-    weight = np.divide(fitted * cells.sum(), cells, out=np.zeros_like(cells), where=cells > 0)
-    chance = weight / max(weight.max(initial=0.0), 1e-300)
-    at = F.col("s") * cells.shape[1] * cells.shape[2] + F.col("l") * cells.shape[2] + F.col("t") + 1
-    out = (celled.withColumn("weight", F.element_at(F.lit(weight.ravel().tolist()), at))
-           .withColumn("probability", F.element_at(F.lit(chance.ravel().tolist()), at))
-           .withColumn("sampled", F.col("draw") < F.col("probability")))
-    pick = lambda c, k: F.element_at(F.lit(names[k]), F.col(c) + 1)
-    return out.select(*(["_all"] if with_rows else []), "doc_id", pick("s", 0).alias("source_group"), pick("l", 1).alias("lang_group"),
-                      pick("t", 2).alias("topic"), "tokens", "weight", "probability", "sampled"), chosen
+    cells = materialise(celled.groupBy(*AXES).agg(F.sum("tokens").alias("n")), "mixture_sums")
+    weights = (_weights_in_memory if cells.count() <= CELLS else _weights_by_joins)(cells, [source_targets, lang_targets, topic_power])
+    out = celled.join(weights, list(AXES)).withColumn("sampled", F.col("draw") < F.col("probability"))
+    return out.select(*(["_all"] if with_rows else []), "doc_id", F.col("s").alias("source_group"), F.col("l").alias("lang_group"),
+                      F.col("t").alias("topic"), "tokens", "weight", "probability", "sampled"), chosen
 
 
 def sample(docs: DataFrame, **options) -> DataFrame:
