@@ -8,6 +8,7 @@ columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vistaframe.llm import bin_slack, exact_dedup, mixture, nb_svm, signature_join
 from vistaframe.llm.bpe import default_tokenizer
@@ -35,10 +36,20 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies, that with the smallest id."""
+    """One document of each component of near copies, that with the smallest
+    id. Where ids repeat, rows are told apart by a hash of id and text."""
     prepare(spark)
-    found = signature_join.similar_components(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
-    return docs.join(found.filter("component_id <> doc_id").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    repeated = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").limit(1).count()
+    row = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")) if repeated else F.col("doc_id").cast("long")
+    keyed = docs.withColumn("_row", row)
+    links = materialise(signature_join.similar_components(keyed, id_col="_row", words=NEAR_WORDS, percent=NEAR_PERCENT)
+                        .filter("component_id <> doc_id").select(F.col("doc_id").alias("_row"), "component_id").distinct(), "near_links")
+    if repeated:  # a component's name is its smallest row, not the row of the smallest id
+        members = links.unionByName(links.select(F.col("component_id").alias("_row"), "component_id").distinct())
+        ids = keyed.select("_row", "doc_id").distinct().join(members, "_row")
+        kept = ids.groupBy("component_id").agg(F.min(F.struct("doc_id", "_row"))["_row"].alias("_row"))
+        links = members.join(kept, "_row", "left_anti")
+    return keyed.join(links.select("_row"), "_row", "left_anti").select(*docs.columns)
 
 
 def target_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

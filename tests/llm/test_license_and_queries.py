@@ -110,3 +110,15 @@ def test_pipeline_on_an_empty_table(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF_SMALL)
         assert docs.count() == 0
+
+
+def test_near_duplicates_of_repeated_ids(spark):
+    """A clean text stays though its id is also that of a near copy; of near copies with one id one stays."""
+    words = [[f"{k}w{i}" for i in range(80)] for k in range(3)]
+    text = lambda k, end="": " ".join(words[k][:-1] + [end or words[k][-1]])
+    rows = [(3, text(0)), (5, text(1)), (5, text(0, "changed")), (7, text(2)), (7, text(2, "changed")), (9, text(2, "other")),
+            (None, text(0))]
+    docs = prepare(spark).createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, SF_SMALL).collect()]
+    assert (5, text(1)) in got and (3, text(0)) in got and (None, text(0)) in got
+    assert len(got) == 4 and sorted(i for i, _ in got if i is not None) == [3, 5, 7]

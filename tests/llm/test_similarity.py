@@ -118,6 +118,26 @@ def test_nearest_equals_brute_force(spark, monkeypatch):
     compare(nearest(prepare(spark), rows, 5), brute_nearest(rows, 5))
 
 
+def test_nearest_counts_a_repeated_id_once(spark, monkeypatch):
+    monkeypatch.setattr(block_ann, "BLOCK", 64)
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=4).round(1).tolist()) for i in range(90)]
+    rows += [(3, rows[3][1])] * 8 + [(3, rng.normal(size=4).tolist()), (7, rows[3][1]), (8, rows[3][1])]
+    rows += [(50 + i, (np.array(rows[6][1]) + 1e-3 * j).tolist()) for i in range(2) for j in range(6)]
+    best = {}
+    for q, v in rows:
+        for c, w in rows:
+            if q % 3 == 0 and c != q:
+                score = float(np.dot(v, w) / (np.linalg.norm(v) * np.linalg.norm(w)))
+                best[q, c] = max(best.get((q, c), -2.0), score)
+    got = nearest(prepare(spark), rows, 5)
+    for q in {q for q, _ in best}:
+        want = sorted((s for (a, _), s in best.items() if a == q), reverse=True)[:5]
+        assert len({c for c, _ in got[q]}) == 5
+        assert np.allclose([s for _, s in got[q]], want, atol=1e-12)
+        assert all(abs(best[q, c] - s) < 1e-12 for c, s in got[q])
+
+
 def test_nearest_of_few_rows(spark):
     compare(nearest(prepare(spark), [(0, [1.0, 0.0]), (1, [0.0, 1.0])], 5), {0: [(1, 0.0)]})
     assert nearest(prepare(spark), [], 5) == {}

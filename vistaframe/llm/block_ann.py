@@ -14,10 +14,11 @@ The result is exact (recall 1).
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components take no part; vectors of different length are never compared; ties
-go to the smaller id; rows repeated with one id are candidates each, and a row
+go to the smaller id; rows that repeat an id are one neighbour and one query, whose
+score with another is the best of all their vectors, and a row
 is never its own query's candidate by id; null ids take no part; an empty table
 gives no rows; other columns take no part. Equal vectors of a block are compared
-once: only their ``k + 1`` smallest ids can be among the ``k`` nearest.
+once: only their ``k + 1`` smallest distinct ids can be among the ``k`` nearest.
 """
 
 from __future__ import annotations
@@ -63,7 +64,8 @@ def cosine(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def _valid_blocks(k: int | None):
     """Block records (dim, pickled ids and vectors) of a partition's rows;
-    with ``k``, of equal vectors in a block only the k + 1 smallest ids."""
+    with ``k``, in the order of ids and of equal vectors in a block only the
+    k + 1 smallest distinct ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
 
@@ -77,6 +79,7 @@ def _valid_blocks(k: int | None):
                 _, same = np.unique(np.ascontiguousarray(x).view(np.dtype((np.void, x.itemsize * dim))).ravel(),
                                     return_inverse=True)
                 by = np.argsort(same, kind="stable")  # ids ascend within equal vectors
+                by = by[np.r_[True, (same[by][1:] != same[by][:-1]) | (ids[by][1:] != ids[by][:-1])]]
                 starts = np.flatnonzero(np.r_[True, same[by][1:] != same[by][:-1]])
                 rank = np.arange(len(by)) - np.repeat(starts, np.diff(np.r_[starts, len(by)]))
                 keep = np.sort(by[rank <= k])
@@ -125,6 +128,7 @@ class _Queries:
     def meet(self, payload: bytes) -> None:
         ids, x = pickle.loads(payload)
         q, scale, error = quantise(x)
+        starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])  # ids ascend
         for at in range(0, len(self.ids), 512):
             to = min(at + 512, len(self.ids))
             near = tile_product(self.q[at:to], q) * (self.scale[at:to, None] * scale[None, :])
@@ -132,6 +136,8 @@ class _Queries:
             bound = eq + error[None, :] + eq * error[None, :]
             other = self.ids[at:to, None] != ids[None, :]
             low = np.where(other, near - bound, -np.inf)
+            if len(starts) < len(ids):  # an id counts once
+                low = np.maximum.reduceat(low, starts, axis=1)
             if low.shape[1] > self.k:
                 kth = np.partition(low, low.shape[1] - self.k, axis=1)[:, -self.k]
                 floor = np.maximum(self.floor[at:to], kth)
@@ -143,6 +149,11 @@ class _Queries:
 
     def _exact(self, a: np.ndarray, b: np.ndarray, ids: np.ndarray, x: np.ndarray) -> None:
         scores = cosine(self.x[a], x[b])
+        order = np.lexsort((-scores, ids[b], a))
+        a, b, scores = a[order], b[order], scores[order]
+        if len(a):  # the best of an id
+            first = np.r_[True, (a[1:] != a[:-1]) | (ids[b][1:] != ids[b][:-1])]
+            a, b, scores = a[first], b[first], scores[first]
         order = np.lexsort((ids[b], -scores, a))
         a, b, scores = a[order], b[order], scores[order]
         starts = np.flatnonzero(np.r_[True, a[1:] != a[:-1]]) if len(a) else np.empty(0, int)
@@ -150,7 +161,12 @@ class _Queries:
         best = rank < self.k
         for i, j, s in zip(a[best].tolist(), ids[b[best]].tolist(), scores[best].tolist()):
             heap = self.heaps[i]
-            if len(heap) < self.k:
+            held = next((n for n, (_, i_held) in enumerate(heap) if i_held == -j), None)
+            if held is not None:
+                if s > heap[held][0]:
+                    heap[held] = (s, -j)
+                    heapq.heapify(heap)
+            elif len(heap) < self.k:
                 heapq.heappush(heap, (s, -j))
             elif (s, -j) > heap[0]:
                 heapq.heapreplace(heap, (s, -j))
@@ -211,6 +227,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec
              .select("dim", "row", "stripe", "side", "payload")
              .mapInArrow(_cells(k), "query_id long, vec_id long, score double"))
     best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id", "score"))), 1, k)
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     # a query has at most k rows per cell of its grid row
     return (found.groupBy("query_id").agg(best.alias("best"))
             .select("query_id", F.posexplode("best").alias("at", "b"))
