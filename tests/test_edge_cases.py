@@ -249,3 +249,23 @@ def test_pair_summary_has_every_pair_of_numeric_features(spark):
     by_class = {r["income"]: r for r in rows}
     assert by_class["<=50K"]["corr_age_gain"] is None and by_class["<=50K"]["mean_gain"] == 0  # one value in this class
     assert abs(by_class[">50K"]["corr_edu_gain"]) <= 1 and by_class[">50K"]["mean_gain"] > 0
+
+
+def test_density_of_narrow_groups(spark):
+    """Values within 1e-5 of each other have a curve, beside a wide group."""
+    rng = random.Random(3)
+    values = {"narrow": [rng.gauss(0, 1) * 1e-6 for _ in range(300)], "wide": [rng.gauss(0, 1) for _ in range(300)]}
+    df = spark.createDataFrame([(g, x) for g, xs in values.items() for x in xs] + [("one", 1.0), ("one", 1.0)], "g string, x double")
+    rows = T.density_curve(df.withColumnRenamed("g", "grp"), "x", "grp", grid_points=16).collect()
+    for g, xs in values.items():
+        s = sorted(xs)
+        sd = math.sqrt(sum((x - sum(xs) / 300) ** 2 for x in xs) / 299)
+        quantile = lambda q: s[int(q * 299)] + (q * 299 - int(q * 299)) * (s[int(q * 299) + 1] - s[int(q * 299)])
+        bw = 0.9 * min(sd, (quantile(0.75) - quantile(0.25)) / 1.34) * 300 ** -0.2
+        got = [r for r in rows if r["grp"] == g]
+        top = max(r["density"] for r in got)
+        assert len(got) == 16
+        for r in got:
+            want = sum(math.exp(-0.5 * ((r["x"] - x) / bw) ** 2) for x in xs) / (300 * bw * math.sqrt(2 * math.pi))
+            assert abs(r["density"] - want) < 0.005 * top
+    assert all(r["density"] is None for r in rows if r["grp"] == "one")

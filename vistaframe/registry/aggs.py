@@ -289,6 +289,22 @@ def density_curve(spark, sf):
     return d.select("asset", F.col("g").cast("bigint").alias("g"), r6("x").alias("x"), r6("density").alias("density"))
 
 
+@register("density_curve_scaled", with_("prices", extra={"lr": LOGRET, "x": "SELECT asset, r FROM lr WHERE r IS NOT NULL", "st": """
+SELECT asset, count(r) AS n, 0.9 * least(stddev_samp(r), CASE WHEN (quantile_cont(r, 0.75) - quantile_cont(r, 0.25)) / 1.34 > 0
+   THEN (quantile_cont(r, 0.75) - quantile_cont(r, 0.25)) / 1.34 ELSE stddev_samp(r) END) * pow(CAST(count(r) AS DOUBLE), -0.2) AS bw,
+  min(r) AS lo, max(r) AS hi FROM x GROUP BY asset""", "b": """
+SELECT asset, lo + (floor((r - lo) / (bw / 50)) + 0.5) * (bw / 50) AS c, count(*) AS k FROM x JOIN st USING (asset) GROUP BY ALL""",
+  "p": """SELECT asset, g, n, bw, lo - 3.0 * bw + g * (hi - lo + 2 * 3.0 * bw) / 63 AS x
+  FROM st, (SELECT range AS g FROM range(64))"""}) + """
+SELECT p.asset, p.g, round(p.x, 6) + 0.0 AS x,
+  round(sum(b.k * exp(-0.5 * ((p.x - b.c) / p.bw) * ((p.x - b.c) / p.bw))) / (p.n * p.bw * sqrt(2 * pi())), 6) + 0.0 AS density
+FROM p JOIN b ON p.asset = b.asset GROUP BY p.asset, p.g, p.x, p.n, p.bw""")
+def density_curve_scaled(spark, sf):
+    """``density_curve`` with bins of a fiftieth of each group's bandwidth."""
+    d = T.density_curve(S.log_return(A.prices(spark, sf), out="r"), "r", "asset", grid_points=64)
+    return d.select("asset", F.col("g").cast("bigint").alias("g"), r6("x").alias("x"), r6("density").alias("density"))
+
+
 @register("trend_by_bin", with_("predictions") + """
 SELECT model, CAST(floor(actual / 10000.0) AS BIGINT) AS bucket, round(avg(actual), 6) + 0.0 AS mean_actual,
   round(avg(predicted), 6) + 0.0 AS mean_predicted, count(*) AS n,
