@@ -151,3 +151,23 @@ def test_bound_holds_for_every_pair():
     exact = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ (y / np.linalg.norm(y, axis=1, keepdims=True)).T
     assert (np.abs(near - exact) <= ea[:, None] + eb[None, :] + ea[:, None] * eb[None, :]).all()
     assert (block_ann.tile_product(a, b) == a.astype("int64") @ b.astype("int64").T).all()
+
+
+def test_an_id_with_several_texts_is_one_node(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(50)) for c in "tu")
+    rows = [(3, a), (5, a), (5, b), (8, b + " x"), (9, "else")]
+    got = sorted(tuple(r) for r in signature_join.similar_components(awkward(prepare(spark), rows)).collect())
+    assert got == [(3, 48, 3), (5, 48, 3), (5, 48, 3), (8, 49, 3), (9, 1, 9)]
+
+
+def test_pairs_of_blocks_keep_own_widths():
+    """A short set among long ones doesn't fold their bitmaps, and pairs without
+    a shared first shingle don't leave the task."""
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 2 ** 64, n, dtype="uint64")) for n in [20] + [1500] * 12]
+    sets.append(np.unique(np.r_[sets[1][:-20], rng.integers(0, 2 ** 64, 20, dtype="uint64")]))
+    members = [(i, i, len(s), signature_join._signature(s), s[:200].view("int64").tolist()) for i, s in enumerate(sets)]
+    assert signature_join._pairs_of_blocks(members, None, 80) == [(1, 13)]
+    assert signature_join._pairs_of_blocks(members[:7], members[7:], 80) == [(1, 13)]
+    apart = [m[:4] + ([i],) for i, m in enumerate(members)]
+    assert signature_join._pairs_of_blocks(apart, None, 80) == []

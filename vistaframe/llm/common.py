@@ -33,6 +33,28 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Written tables of one operator's run. ``release`` deletes those whose
+    last reader has written its own result; what the operator returns may read
+    the rest."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self._spark, self._base, self._paths = spark, scratch_path(spark, "llm", name), {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        if name in self._paths:
+            raise ValueError(f"{name} is written already")
+        path = self._paths[name] = f"{self._base}/{name}"
+        df.write.parquet(path)
+        return self._spark.read.schema(df.schema).parquet(path)
+
+    def release(self, *names: str) -> None:
+        jvm, conf = self._spark.sparkContext._jvm, self._spark.sparkContext._jsc.hadoopConfiguration()
+        for name in names:
+            path = jvm.org.apache.hadoop.fs.Path(self._paths.pop(name))
+            path.getFileSystem(conf).delete(path, True)
+
+
 def id_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The two columns an operator works on, under its own names (other
     columns of ``docs``, whatever their names, take no part); a null text is

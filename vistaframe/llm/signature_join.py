@@ -13,16 +13,20 @@ pass the bound have their sets compared.
    text, however many, without their pairs.
 2. A shingle whose classes are all in one component is done. The classes of the
    others are laid out in blocks, related ones side by side; two blocks meet if
-   they share such a shingle. Over two blocks, signature trees whose nodes hold
-   the OR of their members' bitmaps and their range of sizes are traversed
-   together: a pair of nodes is dropped when no member pair can overlap enough,
-   or when all members are in one component already.
+   they share such a shingle among classes of different components and of sizes
+   that can be linked. Members of a block with bitmaps of one length are one
+   signature tree, whose nodes hold the OR of their members' bitmaps and their
+   range of sizes. Two trees are traversed together, at the shorter of the two
+   lengths: a pair of nodes is dropped when no member pair can overlap enough, or
+   when all members are in one component already. What is left of a pair of
+   leaves must share one of its first shingles.
 
 No caps: every pair of classes that can be linked is linked, or joined already
 by other links. Defined cases: null and empty texts have no shingles and no
 links; a null id takes no part in links and has a null component; rows that
-repeat an id are one node with the links of all its texts; an empty table gives
-no rows; other columns take no part.
+repeat an id are one node with the links of all its texts; texts of any length
+are cut whole; of equal sets the smallest id stands for all; an empty table gives
+no rows; other columns take no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_text, materialise
+from .common import Scratch, id_text
 from .components import components
 from .exact_dedup import bit_set, mark_held, repeated_keys
 
@@ -45,6 +49,7 @@ TABLE_BITS = 24  # hashed frequency table: 16 million counters of two bytes, wha
 SLICE_BITS = 16  # of them in one row while they are summed
 FILTER_ROWS = 1024  # bit sets of 1024 * 4 KB
 BLOCK_SETS = 256
+CHUNK_PAIRS = 64  # pairs that share one copy of a set when they are compared
 MIN_BITS, MAX_BITS, BITS_PER_SHINGLE = 256, 16384, 8  # of a signature: a power of two
 LEAF = 16
 _K = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5], dtype="uint64")
@@ -109,11 +114,13 @@ def _slot(s: np.ndarray) -> np.ndarray:
 def _frequencies(n: int):
     """A task's counts, as compressed slices of the table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, table = Shingler(n), np.zeros(1 << TABLE_BITS, "uint32")
+        shingler, table = Shingler(n), np.zeros(1 << TABLE_BITS, "uint16")
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                table[_slot(shingler.of(text))] += 1  # (slots repeated within one text count once)
-        slices = np.minimum(table, 65535).astype("uint16").reshape(-1, 1 << SLICE_BITS)
+                at = _slot(shingler.of(text))
+                held = table[at]  # (slots repeated within one text count once)
+                table[at] = held + (held < 65535)
+        slices = table.reshape(-1, 1 << SLICE_BITS)
         used = [k for k in range(len(slices)) if slices[k].any()]
         for at in range(0, len(used), 16):
             part = used[at:at + 16]
@@ -212,10 +219,18 @@ def _sets(n: int):
 
 
 def _compare(percent: int):
+    """Rows of a centre's chunk stand together, the centre's own set or sets first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, centre = None, []
         for batch in batches:
-            good = [linked(np.frombuffer(x, "uint64"), np.frombuffer(y, "uint64"), percent)
-                    for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())]
+            good = []
+            for a, chunk, b, items in zip(*(batch.column(c).to_pylist() for c in ("a", "chunk", "b", "items"))):
+                if (a, chunk) != at:
+                    at, centre = (a, chunk), []
+                own = np.frombuffer(items, "uint64")
+                if b is None:
+                    centre.append(own)
+                good.append(b is not None and any(linked(x, own, percent) for x in centre))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
     return run
 
@@ -231,18 +246,20 @@ def _bounded(percent: int):
 
 
 class _Tree:
-    """A signature tree over the members of a block, ordered by size; nodes are
-    (low, high) ranges of them, children are halves."""
-
-    def __init__(self, nodes, groups, sizes, signatures, width: int):
-        order = sorted(range(len(nodes)), key=lambda i: (sizes[i], groups[i]))
-        self.ids = np.array([nodes[i] for i in order])
-        self.groups = np.array([groups[i] for i in order])
-        self.sizes = np.array([sizes[i] for i in order])
-        self.bits = np.stack([_folded(signatures[i], width) for i in order]).view("uint64")
+    """A signature tree over members (node, component, size, signature, first
+    shingles), ordered by size, with bitmaps of ``width`` bytes; nodes are
+    (low, high) ranges of members, children are halves."""
+
+    def __init__(self, members: list[tuple], width: int):
+        members = sorted(members, key=lambda m: (m[2], m[1]))
+        self.ids = np.array([m[0] for m in members])
+        self.groups = np.array([m[1] for m in members])
+        self.sizes = np.array([m[2] for m in members])
+        self.bits = np.stack([_folded(m[3], width) for m in members]).view("uint64")
+        self.firsts = [frozenset(m[4]) for m in members]
         self.count = np.bitwise_count(self.bits).sum(axis=1).astype("int64")
         self.nodes: dict[tuple[int, int], tuple] = {}
-        self._build(0, len(order))
+        self._build(0, len(members))
 
     def _build(self, low: int, high: int) -> None:
         """(OR of the bitmaps, least and largest size, the one component of all members or None)"""
@@ -262,7 +279,8 @@ class _Tree:
 
 
 def _traverse(left: _Tree, right: _Tree, same: bool, percent: int) -> list[tuple[int, int]]:
-    """Pairs of members of different components whose signatures allow a link."""
+    """Pairs of members of different components whose signatures allow a link
+    and who share a first shingle."""
     need = [{k: t.least_common(k, percent) for k in t.nodes} for t in (left, right)]
     found, stack = [], [((0, len(left.ids)), (0, len(right.ids)))]
     while stack:
@@ -289,7 +307,7 @@ def _traverse(left: _Tree, right: _Tree, same: bool, percent: int) -> list[tuple
                 & (left.groups[i, None] != right.groups[None, j])
                 & (left.count[i, None] - common <= n - both) & (right.count[None, j] - common <= m - both))
         for k, h in zip(*(v.tolist() for v in np.nonzero(fits))):
-            if not same or k + a[0] < h + b[0]:
+            if (not same or k + a[0] < h + b[0]) and not left.firsts[k + a[0]].isdisjoint(right.firsts[h + b[0]]):
                 found.append((int(left.ids[k + a[0]]), int(right.ids[h + b[0]])))
     return found
 
@@ -299,13 +317,12 @@ def _cut_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = []
 
     def block() -> pa.RecordBatch:
-        columns = tuple(zip(*held))
         return pa.RecordBatch.from_arrays(
-            [pa.array([pickle.dumps(columns)], pa.binary()), pa.array([list(columns[0])], pa.list_(pa.int64()))],
+            [pa.array([pickle.dumps(held)], pa.binary()), pa.array([[m[0] for m in held]], pa.list_(pa.int64()))],
             names=["payload", "nodes"])
 
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("node", "component", "n", "signature"))):
+        for row in zip(*(batch.column(c).to_pylist() for c in ("node", "component", "n", "signature", "keys"))):
             if len(held) >= BLOCK_SETS:
                 yield block()
                 held = []
@@ -314,37 +331,72 @@ def _cut_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield block()
 
 
+def _by_width(members: list[tuple]) -> dict[int, list[tuple]]:
+    """Members by the length of their bitmaps."""
+    out: dict[int, list[tuple]] = {}
+    for m in members:
+        out.setdefault(len(m[3]), []).append(m)
+    return out
+
+
+def _pairs_of_blocks(x: list[tuple], y: list[tuple] | None, percent: int) -> list[tuple[int, int]]:
+    """Pairs between two blocks, or within one (``y`` None)."""
+    left = _by_width(x)
+    right = left if y is None else _by_width(y)
+    trees: dict[tuple, _Tree] = {}
+
+    def tree(side: int, own: int, width: int) -> _Tree:
+        if (side, own, width) not in trees:
+            trees[side, own, width] = _Tree((left, right)[side][own], width)
+        return trees[side, own, width]
+
+    found = []
+    for v in left:
+        for w in right:
+            low, high = sorted((v, w))
+            if y is None and v > w:
+                continue  # met the other way round
+            largest, least = max(m[2] for p, o in ((left, v), (right, w)) if o == low for m in p[o]), min(
+                m[2] for p, o in ((left, v), (right, w)) if o == high for m in p[o])
+            if 100 * largest < percent * least:
+                continue  # bitmap lengths follow sizes
+            found += _traverse(tree(0, v, low), tree(0 if y is None else 1, w, low), y is None and v == w, percent)
+    return found
+
+
 def _block_pairs(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, x, y in zip(*(batch.column(c).to_pylist() for c in ("i", "j", "x", "y"))):
-                parts = [pickle.loads(p) for p in ((x,) if i == j else (x, y))]
-                width = min(len(s) for p in parts for s in p[3])  # bitmaps of one length
-                trees = [_Tree(*p, width) for p in parts]
-                found = _traverse(trees[0], trees[-1], i == j, percent)
+                found = _pairs_of_blocks(pickle.loads(x), None if i == j else pickle.loads(y), percent)
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()),
                                                       pa.array([f[1] for f in found], pa.int64())], names=["a", "b"])
     return run
 
 
-def _of_nodes(rows: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
+def _of_nodes(rows: DataFrame, nodes: DataFrame, name: str, scratch: Scratch) -> DataFrame:
     """``rows`` (column ``node``) without most of those of other nodes: a bit
     set keeps them out of the shuffle that a join needs."""
-    bits = materialise(bit_set(nodes.distinct().select(F.xxhash64("node").alias("key")), FILTER_ROWS), name)
+    bits = scratch.write(bit_set(nodes.distinct().select(F.xxhash64("node").alias("key")), FILTER_ROWS), name)
     return mark_held(rows, F.xxhash64("node"), bits, FILTER_ROWS, "_in").filter("_in").drop("_in")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int, name: str) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int, name: str, scratch: Scratch) -> DataFrame:
     """The pairs whose sets are linked. Only texts of the ids in question are
-    cut into shingles (a bit set of the ids keeps the others out)."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    bits = materialise(bit_set(ids.select(F.xxhash64("node").alias("key")), FILTER_ROWS), f"{name}_ids")
-    own = mark_held(texts.filter("doc_id is not null"), F.xxhash64("doc_id"), bits, FILTER_ROWS, "_in").filter("_in")
-    sets = materialise(own.select("doc_id", "text").mapInArrow(_sets(words), "node long, items binary"), f"{name}_sets")
-    both = (pairs.join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b")
-            .join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a"))
-    return materialise(both.select("a", "b", "x", "y").mapInArrow(_compare(percent), "a long, b long"), name)
+    cut into shingles. A set goes once to each chunk of pairs that needs it: a
+    node ``a`` with many partners has several chunks."""
+    degree = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CHUNK_PAIRS).alias("chunks"))
+    dealt = scratch.write(pairs.join(degree, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("chunks")).alias("chunk")),
+                          f"{name}_dealt")
+    wanted = (dealt.select("a", "chunk").distinct().select(F.col("a").alias("node"), "a", "chunk", F.lit(None).cast("long").alias("b"))
+              .unionByName(dealt.select(F.col("b").alias("node"), "a", "chunk", "b")))
+    own = _of_nodes(texts.filter("doc_id is not null").withColumn("node", F.col("doc_id")), wanted.select("node"),
+                    f"{name}_ids", scratch)
+    sets = own.select("doc_id", "text").mapInArrow(_sets(words), "node long, items binary")
+    rows = sets.join(wanted, "node").select("a", "chunk", "b", "items").repartition("a", "chunk")
+    rows = rows.sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
+    return scratch.write(rows.mapInArrow(_compare(percent), "a long, b long").distinct(), name)
 
 
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
@@ -352,6 +404,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """``doc_id, n_shingles, component_id`` per row: linked are sets with
     100 * |intersection| >= percent * |union|."""
     spark = docs.sparkSession
+    scratch = Scratch(spark, "signature_join")
     texts = id_text(docs, id_col, text_col)
 
     slices = texts.select("text").mapInArrow(_frequencies(words), "slice int, counts binary")
@@ -359,67 +412,93 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     table = np.zeros(1 << TABLE_BITS, "uint16")
     for r in slices.toLocalIterator():  # 2 bytes a counter in all
         table[r["slice"] << SLICE_BITS:(r["slice"] + 1) << SLICE_BITS] = np.frombuffer(zlib.decompress(r["counts"]), "uint16")
-    rows = materialise(texts.mapInArrow(_signatures(words, percent, spark.sparkContext.broadcast(_ranked(table))),
-                                        "doc_id long, n long, mark binary, firsts array<long>, signature binary"), "signatures")
+    sent = spark.sparkContext.broadcast(_ranked(table))
+    del table
+    rows = scratch.write(texts.mapInArrow(_signatures(words, percent, sent),
+                                          "doc_id long, n long, mark binary, firsts array<long>, signature binary"), "signatures")
     some = rows.filter("n > 0 and doc_id is not null")
     # one row a class: where the mark is surely unique, the row itself, which passes no shuffle
     mark = F.xxhash64("mark")
-    marks = materialise(repeated_keys(some.select(mark.alias("key")), FILTER_ROWS), "repeated_marks")
+    marks = scratch.write(repeated_keys(some.select(mark.alias("key")), FILTER_ROWS), "repeated_marks")
     some = mark_held(some, mark, marks, FILTER_ROWS, "_often")
-    several = materialise(some.filter("_often").groupBy("mark").agg(
+    several = scratch.write(some.filter("_often").groupBy("mark").agg(
         F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("firsts").alias("firsts"),
         F.first("signature").alias("signature")), "classes")
     classes = several.unionByName(some.filter("not _often").select("mark", F.col("doc_id").alias("node"), "n", "firsts", "signature"))
 
     # shingles that several classes have among their first ones, and those classes
     firsts = classes.select("node", "n", F.size("firsts").alias("p"), F.explode("firsts").alias("key"))
-    shared = materialise(firsts.groupBy("key").count().filter("count > 1").select("key"), "shared")
-    bits = materialise(bit_set(shared, FILTER_ROWS), "shared_bits")
+    shared = scratch.write(firsts.groupBy("key").count().filter("count > 1").select("key"), "shared")
+    bits = scratch.write(bit_set(shared, FILTER_ROWS), "shared_bits")
     likely = mark_held(firsts, F.col("key"), bits, FILTER_ROWS, "_shared").filter("_shared").drop("_shared")
-    members = materialise(likely.join(shared, "key"), "members")
+    members = scratch.write(likely.join(shared, "key"), "members")
+    scratch.release("shared", "shared_bits")
 
     # 1. each class against the one of each of its shingles that shares most
     of_node = members.groupBy("node").agg((F.count(F.lit(1)) / F.first("p")).alias("w"))
     weighted = members.join(of_node, "node")
-    centres = materialise(weighted.groupBy("key").agg(F.max(F.struct("w", (-F.col("node")).alias("a"), "n")).alias("c")), "centres")
+    centres = scratch.write(weighted.groupBy("key").agg(F.max(F.struct("w", (-F.col("node")).alias("a"), "n")).alias("c")), "centres")
     pairs = members.join(centres, "key").select((-F.col("c.a")).alias("a"), F.col("node").alias("b"),
                                                 F.col("c.n").alias("n"), F.col("n").alias("m")).filter("a <> b")
     pairs = pairs.filter(100 * F.least("n", "m") >= percent * F.greatest("n", "m")).distinct()
-    pairs = materialise(pairs, "sized_pairs")
-    sides = _of_nodes(classes.select("node", "signature"), pairs.select(F.explode(F.array("a", "b")).alias("node")), "star_nodes")
+    pairs = scratch.write(pairs, "sized_pairs")
+    scratch.release("centres")
+    sides = _of_nodes(classes.select("node", "signature"), pairs.select(F.explode(F.array("a", "b")).alias("node")),
+                      "star_nodes", scratch)
     pairs = pairs.join(sides.select(F.col("node").alias("b"), F.col("signature").alias("y")), "b")
-    pairs = materialise(pairs, "star_pairs").join(sides.select(F.col("node").alias("a"), F.col("signature").alias("x")), "a")
-    hopeful = materialise(pairs.select("a", "b", "x", "y", "n", "m").mapInArrow(_bounded(percent), "a long, b long"), "star_hopeful")
-    stars = _verified(hopeful, texts, words, percent, "star_links")
-    joined = materialise(components(stars), "star_components")
+    pairs = scratch.write(pairs, "star_pairs").join(sides.select(F.col("node").alias("a"), F.col("signature").alias("x")), "a")
+    hopeful = scratch.write(pairs.select("a", "b", "x", "y", "n", "m").mapInArrow(_bounded(percent), "a long, b long").distinct(),
+                            "star_hopeful")
+    scratch.release("sized_pairs", "star_pairs", "star_nodes")
+    stars = _verified(hopeful, texts, words, percent, "star_links", scratch)
+    joined = scratch.write(components(stars), "star_components")
+    scratch.release("star_hopeful", "star_links_dealt", "star_links_ids")
 
     # 2. shingles that still have several components
     known = members.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    known = materialise(known.select("key", "node", "component"), "known")
-    mixed = materialise(known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                        .filter("lo <> hi").select("key", "lo"), "mixed")
-    open_members = materialise(known.join(mixed, "key"), "open_members")
-    open_nodes = open_members.groupBy("node").agg(F.first("component").alias("component"), F.min("lo").alias("lo"))
-    laid = open_nodes.join(_of_nodes(classes.select("node", "n", "signature"), open_members.select("node"), "open_nodes"), "node")
+    known = scratch.write(known.select("key", "node", "n", "component"), "known")
+    mixed = scratch.write(known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                          .filter("lo <> hi").select("key", "lo"), "mixed")
+    open_members = scratch.write(known.join(mixed, "key"), "open_members")
+    scratch.release("members", "star_components", "known", "mixed")
+    # a class has as many open keys as first shingles at most
+    open_nodes = open_members.groupBy("node").agg(F.first("component").alias("component"), F.min("lo").alias("lo"),
+                                                  F.collect_set("key").alias("keys"))
+    laid = open_nodes.join(_of_nodes(classes.select("node", "n", "signature"), open_members.select("node"), "open_nodes", scratch),
+                           "node")
     order = ["lo", "component", "n", "node"]
-    blocks = (laid.repartitionByRange(*order).sortWithinPartitions(*order).select("node", "component", "n", "signature")
+    blocks = (laid.repartitionByRange(*order).sortWithinPartitions(*order).select("node", "component", "n", "signature", "keys")
               .mapInArrow(_cut_blocks, "payload binary, nodes array<long>")
               .withColumn("block", F.monotonically_increasing_id()))
-    blocks = materialise(blocks, "blocks")
-    place = materialise(blocks.select("block", F.explode("nodes").alias("node")), "places")
-    at = open_members.select("key", "node").join(place, "node").select("key", "block").distinct()
-    at = materialise(at, "key_blocks")
-    meet = at.withColumnRenamed("block", "i").join(at.withColumnRenamed("block", "j"), "key").filter("i <= j")
-    meet = materialise(meet.select("i", "j").distinct(), "block_pairs")
+    blocks = scratch.write(blocks, "blocks")
+    place = blocks.select("block", F.explode("nodes").alias("node")).distinct()
+    at = open_members.join(place, "node").groupBy("key", "block").agg(
+        F.min("component").alias("c0"), F.max("component").alias("c1"), F.min("n").alias("n0"), F.max("n").alias("n1"))
+    at = scratch.write(at, "key_blocks")
+    scratch.release("open_members", "open_nodes")
+    side = lambda name: at.select("key", *(F.col(c).alias(f"{name}{c}") for c in ("block", "c0", "c1", "n0", "n1")))
+    meet = side("i").join(side("j"), "key").filter("iblock <= jblock")
+    meet = meet.filter(F.least("ic0", "jc0") < F.greatest("ic1", "jc1"))  # not of one component
+    meet = meet.filter((100 * F.col("in1") >= percent * F.col("jn0")) & (100 * F.col("jn1") >= percent * F.col("in0")))
+    meet = scratch.write(meet.select(F.col("iblock").alias("i"), F.col("jblock").alias("j")).distinct(), "block_pairs")
     loaded = (meet.join(blocks.select(F.col("block").alias("i"), F.col("payload").alias("x")), "i")
               .join(blocks.select(F.col("block").alias("j"), F.col("payload").alias("y")), "j"))
-    near = materialise(loaded.select("i", "j", "x", "y").mapInArrow(_block_pairs(percent), "a long, b long"), "block_hopeful")
-    rest = _verified(near, texts, words, percent, "block_links")
-
-    final = components(stars.unionByName(rest)).withColumnRenamed("node", "_node")
+    near = scratch.write(loaded.select("i", "j", "x", "y").mapInArrow(_block_pairs(percent), "a long, b long").distinct(),
+                         "block_hopeful")
+    scratch.release("blocks", "key_blocks", "block_pairs")
+    rest = _verified(near, texts, words, percent, "block_links", scratch)
+
+    # an id with several texts ties their classes together (more ids may seem repeated: that adds no link)
+    twice = repeated_keys(some.select(F.xxhash64("doc_id").alias("key")), FILTER_ROWS)
+    tied = mark_held(some.filter("_often").select("doc_id", "mark"), F.xxhash64("doc_id"), scratch.write(twice, "repeated_ids"),
+                     FILTER_ROWS, "_twice").filter("_twice").join(several.select("mark", "node"), "mark")
+    tied = tied.select(F.col("doc_id").alias("a"), F.col("node").alias("b")).filter("a <> b")
+    final = scratch.write(components(stars.unionByName(rest).unionByName(tied)), "components").withColumnRenamed("node", "_node")
+    scratch.release("star_links", "block_links", "block_hopeful", "block_links_dealt", "block_links_ids", "repeated_ids")
     # a row whose mark is unique is its class's node; the others look their class up
-    classed = materialise(several.select("mark", "node").join(final, F.col("node") == F.col("_node"), "left").select(
+    classed = scratch.write(several.select("mark", "node").join(final, F.col("node") == F.col("_node"), "left").select(
         "mark", F.coalesce("component", "node").alias("component_id")), "class_components")
+    scratch.release("classes")
     alone = (some.filter("not _often").select("doc_id", "n").join(final, F.col("doc_id") == F.col("_node"), "left")
              .select("doc_id", "n", F.coalesce("component", "doc_id").alias("component_id")))
     linkable = some.filter("_often").select("doc_id", "n", "mark").join(classed, "mark").select(
