@@ -13,7 +13,7 @@ from vistaframe.sources.tables import read_table
 from . import (bin_slack, block_ann, exact_dedup, hmm_lm, license_scan, mixture, nb_svm, signature_join,
                token_files, toxicity_chain)
 from .bpe import default_tokenizer
-from .common import id_remainder, prepare
+from .common import id_remainder, materialise, prepare
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -42,7 +42,7 @@ def op3(spark, sf_dir):
 def op4(spark, sf_dir):
     path = scratch_path(spark, "llm", "token_files")
     token_files.write_token_files(read_table(spark, sf_dir, "documents"), path, default_tokenizer(), end_id=0)
-    digests = token_files.token_digests(token_files.read_token_files(spark, path))
+    digests = materialise(token_files.token_digests(token_files.read_token_files(spark, path)), "token_digests")
     return token_files.with_starts(digests).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

@@ -100,14 +100,15 @@ def read_token_metadata(spark: SparkSession, path: str) -> DataFrame:
 
 def with_starts(rows: DataFrame) -> DataFrame:
     """Add ``start``. One row per file is summed in file order; within a file
-    the running sum is over that file's rows only."""
+    the running sum is over that file's rows only. ``rows`` are read twice: give
+    a scan or a written table."""
     files = rows.groupBy("part").agg(F.sum("n_tokens").alias("_sum"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     files = files.select("part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_base"))
     inside = Window.partitionBy("part").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    # a row per file: its size is bounded by the number of files
+    # a row per file: Spark's own size check decides how it is joined
     joined = rows.withColumn("_in", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
-    return joined.join(F.broadcast(files), "part").withColumn("start", F.col("_base") + F.col("_in")).drop("_base", "_in")
+    return joined.join(files, "part").withColumn("start", F.col("_base") + F.col("_in")).drop("_base", "_in")
 
 
 def token_digests(rows: DataFrame) -> DataFrame:
