@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import oracle_sql, queries
-from scripts.check_oracle import frame_hash
+from scripts.check_oracle import frame_hash, spark_frame
 from tests.conftest import SF_SMALL
 from vistaframe.sources.tables import TABLES
 
@@ -24,7 +24,7 @@ def duck():
 
 @pytest.mark.parametrize("key", KEYS)
 def test_matches_oracle(spark, duck, key):
-    got = queries()[key](spark, SF_SMALL).toPandas()
+    got = spark_frame(queries()[key](spark, SF_SMALL))
     want = duck.execute(oracle_sql()[key]).df()
     n1, c1, h1, r1 = frame_hash(got)
     n2, c2, h2, r2 = frame_hash(want)
@@ -37,3 +37,8 @@ def test_every_query_has_callable():
     q = queries()
     assert set(oracle_sql()) <= set(q)
     assert len(q) >= 100
+
+
+def test_nullable_integers_compare_as_integers(spark, duck):
+    sql = "SELECT * FROM (VALUES (1, CAST(NULL AS BIGINT)), (2, CAST(344 AS BIGINT))) AS t(k, v)"
+    assert frame_hash(spark_frame(spark.sql(sql)))[2] == frame_hash(duck.execute(sql).df())[2]
