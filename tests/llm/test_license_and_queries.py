@@ -122,3 +122,13 @@ def test_near_duplicates_of_repeated_ids(spark):
     got = [tuple(r) for r in corpus_pipeline.near_duplicates(spark, docs, SF_SMALL).collect()]
     assert (5, text(1)) in got and (3, text(0)) in got and (None, text(0)) in got
     assert len(got) == 4 and sorted(i for i, _ in got if i is not None) == [3, 5, 7]
+
+
+def test_near_duplicates_leave_clashing_columns_alone(spark):
+    text = " ".join(f"w{i}" for i in range(60))
+    schema = "doc_id long, text string, _row int, _doc string, component_id long, _often boolean, key string"
+    rows = [(1, text, 7, "a", 9, True, "k"), (2, text + " x", 7, "b", 9, False, "k"), (3, "else", 7, "c", 1, None, None),
+            (4, None, 7, "d", 1, None, None), (5, "", 8, "e", 1, None, None)]
+    docs = prepare(spark).createDataFrame(rows, schema)
+    got = corpus_pipeline.near_duplicates(spark, docs, SF_SMALL)
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect()), key=lambda r: r[0]) == [rows[0], *rows[2:]]

@@ -171,3 +171,24 @@ def test_pairs_of_blocks_keep_own_widths():
     assert signature_join._pairs_of_blocks(members[:7], members[7:], 80) == [(1, 13)]
     apart = [m[:4] + ([i],) for i, m in enumerate(members)]
     assert signature_join._pairs_of_blocks(apart, None, 80) == []
+
+
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_linked_sets_share_a_key(percent):
+    """Any two linked sets have a key in common, at sizes on both sides of class bounds."""
+    rng, keys, missed, met = np.random.default_rng(percent), signature_join.Keys(percent), 0, 0
+    for n in list(range(1, 60)) * 4 + [150, 333, 1000, 2500] * 5:
+        x = np.unique(rng.integers(0, 2 ** 64, n, dtype="uint64"))
+        for lost in {0, 1, n // 20, n * (100 - percent) // 200, n * (100 - percent) // 100}:
+            for new in {0, 1, n // 20, n * (100 - percent) // 200, n * (100 - percent) // percent}:
+                y = np.unique(np.r_[x[rng.permutation(len(x))[lost:]], rng.integers(0, 2 ** 64, new, dtype="uint64")])
+                if len(y) and signature_join.linked(x, y, percent) and not np.array_equal(x, y):
+                    met += 1
+                    missed += not len(np.intersect1d(keys.of(x), keys.of(y)))
+    assert met > 500 and missed == 0
+
+
+def test_few_full_parts_fall_back_on_first_shingles(monkeypatch):
+    """Where no set has enough parts, the first shingles still find every link."""
+    monkeypatch.setattr(signature_join, "PARTS", 0.01)
+    test_linked_sets_share_a_key(80)

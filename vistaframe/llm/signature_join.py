@@ -1,25 +1,31 @@
 """N-gram Jaccard self-join with signature trees; exact, as classes and components.
 
 Documents are sets of word shingles. Equal sets are one class, represented by
-its smallest id. Two linked sets share one of their first shingles under any
-fixed order of all shingles (here: rare ones first, by a hashed frequency table
-of a fixed number of counters over all documents), so only classes that share
-such a shingle are compared. A class has a signature, the bitmap of its
-shingles; two signatures bound the overlap of their sets, and only pairs that
-pass the bound have their sets compared.
-
-1. For each shared shingle, every class against the one among its classes that
-   shares most of its own first shingles. The links found join copies of one
+its smallest id. Linked sets differ in few shingles, at most ``k`` for their
+sizes. Shingles are dealt into about 1.5 * (k + 1) parts by their hash; a
+difference spoils one part, so of a set with more than ``k`` parts that hold
+something, all but ``k`` are the same in a linked set. Under any fixed order of
+parts with their contents (here: fullest first) the first ``k + 1`` of two
+linked sets therefore have one in common; sets with fewer parts keep the first
+shingles under the order of their hashes, too. Only classes that share such a
+key are compared: it stands for several shingles at once, so texts that merely
+share passages or words rarely meet, however many there are.
+A class has a signature, the bitmap of its shingles; two signatures bound the
+overlap of their sets, and only pairs that pass the bound have their sets
+compared.
+
+1. For each shared key, every class against the one among its classes that
+   shares most of its own keys. The links found join copies of one
    text, however many, without their pairs.
-2. A shingle whose classes are all in one component is done. The classes of the
+2. A key whose classes are all in one component is done. The classes of the
    others are laid out in blocks, related ones side by side; two blocks meet if
-   they share such a shingle among classes of different components and of sizes
+   they share such a key among classes of different components and of sizes
    that can be linked. Members of a block with bitmaps of one length are one
    signature tree, whose nodes hold the OR of their members' bitmaps and their
    range of sizes. Two trees are traversed together, at the shorter of the two
    lengths: a pair of nodes is dropped when no member pair can overlap enough, or
    when all members are in one component already. What is left of a pair of
-   leaves must share one of its first shingles.
+   leaves must share a key.
 
 No caps: every pair of classes that can be linked is linked, or joined already
 by other links. Defined cases: null and empty texts have no shingles and no
@@ -33,7 +39,6 @@ from __future__ import annotations
 
 import hashlib
 import pickle
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,8 +50,7 @@ from .common import Scratch, id_text
 from .components import components
 from .exact_dedup import bit_set, mark_held, repeated_keys
 
-TABLE_BITS = 24  # hashed frequency table: 16 million counters of two bytes, whatever the corpus
-SLICE_BITS = 16  # of them in one row while they are summed
+PARTS = 1.5  # of a set, times the most differences plus one
 FILTER_ROWS = 1024  # bit sets of 1024 * 4 KB
 BLOCK_SETS = 256
 CHUNK_PAIRS = 64  # pairs that share one copy of a set when they are compared
@@ -107,47 +111,53 @@ def least_overlap(n, m, percent: int):
     return -(-percent * (n + m) // (100 + percent))
 
 
-def _slot(s: np.ndarray) -> np.ndarray:
-    return (s >> np.uint64(64 - TABLE_BITS)).astype("int64")
-
-
-def _frequencies(n: int):
-    """A task's counts, as compressed slices of the table."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, table = Shingler(n), np.zeros(1 << TABLE_BITS, "uint16")
-        for batch in batches:
-            for text in batch.column("text").to_pylist():
-                at = _slot(shingler.of(text))
-                held = table[at]  # (slots repeated within one text count once)
-                table[at] = held + (held < 65535)
-        slices = table.reshape(-1, 1 << SLICE_BITS)
-        used = [k for k in range(len(slices)) if slices[k].any()]
-        for at in range(0, len(used), 16):
-            part = used[at:at + 16]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.int32()), pa.array([zlib.compress(slices[k].tobytes(), 1) for k in part], pa.binary())],
-                names=["slice", "counts"])
-    return run
-
-
-def _sum_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the slices of a partition, in which they stand in order."""
-    at, total = None, None
+def size_classes(percent: int) -> list[int]:
+    """Least sizes of classes such that linked sets are of one class or of two neighbours."""
+    out = [1]
+    while out[-1] < 1 << 40:
+        out.append(100 * out[-1] // percent + 1)
+    return out
 
-    def out() -> pa.RecordBatch:
-        packed = zlib.compress(np.minimum(total, 65535).astype("uint16").tobytes(), 1)
-        return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([packed], pa.binary())],
-                                          names=["slice", "counts"])
 
-    for batch in batches:
-        for k, packed in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist()):
-            if k != at:
-                if at is not None:
-                    yield out()
-                at, total = k, np.zeros(1 << SLICE_BITS, "uint64")
-            total += np.frombuffer(zlib.decompress(packed), "uint16")
-    if at is not None:
-        yield out()
+class Keys:
+    """``of(set)``: its keys (see above). Pairs of the size class ``c`` and of
+    ``c - 1`` with ``c`` use the parts of ``c``, so a set has those of its own
+    class and, if it can be linked with larger ones there, of the next."""
+
+    def __init__(self, percent: int):
+        self._percent, self._least = percent, np.array(size_classes(percent))
+
+    def differences(self, c: int) -> int:
+        """The most shingles in which linked sets of class ``c`` or ``c - 1`` differ:
+        n + m - 2 * both, with the least overlap of the largest sizes."""
+        return 2 * (int(self._least[c + 1]) - 1) * (100 - self._percent) // (100 + self._percent)
+
+    def _parts(self, s: np.ndarray, c: int, k: int) -> tuple[np.ndarray, bool]:
+        """(keys, whether more than ``k`` parts hold something)"""
+        salt = np.uint64((c * int(_K[1])) & (2 ** 64 - 1))
+        h = _mix(s ^ salt)
+        part = ((h >> np.uint64(32)) * np.uint64(int(PARTS * (k + 1)) + 1)) >> np.uint64(32)
+        order = np.argsort(part, kind="stable")
+        part, h = part[order], _mix(h[order] + _K[2])
+        starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+        keys = _mix(np.add.reduceat(h, starts) * _K[0] + part[starts] + salt)
+        held = np.diff(np.r_[starts, len(s)])
+        return keys[np.lexsort((keys, -held))[:k + 1]], len(starts) > k
+
+    def of(self, s: np.ndarray) -> np.ndarray:
+        n = len(s)
+        if not n:
+            return s
+        c, out, full = int(np.searchsorted(self._least, n, side="right")) - 1, [], True
+        for label in (c, c + 1):
+            k = self.differences(label)
+            if k and (label == c or 100 * n >= self._percent * int(self._least[label])):
+                keys, enough = self._parts(s, label, k)
+                out.append(keys)
+                full = full and enough
+        if not full:
+            out.append(np.sort(_mix(s + _K[0]))[:n - needed(n, self._percent) + 1])
+        return np.unique(np.concatenate(out)) if out else s[:0]
 
 
 def _signature(s: np.ndarray) -> bytes:
@@ -175,32 +185,17 @@ def may_link(x: bytes, y: bytes, n: int, m: int, percent: int) -> bool:
     return (int(np.bitwise_count(a & ~b).sum()) <= n - both) and (int(np.bitwise_count(b & ~a).sum()) <= m - both)
 
 
-def _ranked(table: np.ndarray) -> bytes:
-    """Counts in one byte each, in order (exact up to 127, by their logarithm
-    above), compressed: what every task gets is some megabytes."""
-    counts = np.arange(65536)
-    large = np.minimum(128 + np.log2(np.maximum(counts, 128) / 128.0) * 14, 255).astype("uint8")
-    return zlib.compress(np.where(counts < 128, counts, large).astype("uint8")[table].tobytes(), 1)
-
-
-def _signatures(n: int, percent: int, sent):
-    smallest = next(k for k in range(1, 10_000) if needed(k, percent) < k or needed(k + 1, percent) <= k)
-
+def _signatures(n: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, table = Shingler(n), np.frombuffer(zlib.decompress(sent.value), "uint8")
+        shingler, keys = Shingler(n), Keys(percent)
         for batch in batches:
             sizes, marks, firsts, bitmaps = [], [], [], []
             for text in batch.column("text").to_pylist():
                 s = shingler.of(text)
                 sizes.append(len(s))
                 marks.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                if len(s) < smallest:  # linked with equal sets only
-                    firsts.append([])
-                    bitmaps.append(b"")
-                    continue
-                bitmaps.append(_signature(s))
-                order = np.lexsort((s, table[_slot(s)]))
-                firsts.append(s[order[:len(s) - needed(len(s), percent) + 1]].view("int64"))
+                firsts.append(keys.of(s).view("int64"))  # none: linked with equal sets only
+                bitmaps.append(_signature(s) if len(firsts[-1]) else b"")
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(marks, pa.binary()),
                  pa.array(firsts, pa.list_(pa.int64())), pa.array(bitmaps, pa.binary())],
@@ -246,9 +241,9 @@ def _bounded(percent: int):
 
 
 class _Tree:
-    """A signature tree over members (node, component, size, signature, first
-    shingles), ordered by size, with bitmaps of ``width`` bytes; nodes are
-    (low, high) ranges of members, children are halves."""
+    """A signature tree over members (node, component, size, signature, keys),
+    ordered by size, with bitmaps of ``width`` bytes; nodes are (low, high)
+    ranges of members, children are halves."""
 
     def __init__(self, members: list[tuple], width: int):
         members = sorted(members, key=lambda m: (m[2], m[1]))
@@ -256,7 +251,7 @@ class _Tree:
         self.groups = np.array([m[1] for m in members])
         self.sizes = np.array([m[2] for m in members])
         self.bits = np.stack([_folded(m[3], width) for m in members]).view("uint64")
-        self.firsts = [frozenset(m[4]) for m in members]
+        self.keys = [frozenset(m[4]) for m in members]
         self.count = np.bitwise_count(self.bits).sum(axis=1).astype("int64")
         self.nodes: dict[tuple[int, int], tuple] = {}
         self._build(0, len(members))
@@ -280,7 +275,7 @@ class _Tree:
 
 def _traverse(left: _Tree, right: _Tree, same: bool, percent: int) -> list[tuple[int, int]]:
     """Pairs of members of different components whose signatures allow a link
-    and who share a first shingle."""
+    and who share a key."""
     need = [{k: t.least_common(k, percent) for k in t.nodes} for t in (left, right)]
     found, stack = [], [((0, len(left.ids)), (0, len(right.ids)))]
     while stack:
@@ -307,7 +302,7 @@ def _traverse(left: _Tree, right: _Tree, same: bool, percent: int) -> list[tuple
                 & (left.groups[i, None] != right.groups[None, j])
                 & (left.count[i, None] - common <= n - both) & (right.count[None, j] - common <= m - both))
         for k, h in zip(*(v.tolist() for v in np.nonzero(fits))):
-            if (not same or k + a[0] < h + b[0]) and not left.firsts[k + a[0]].isdisjoint(right.firsts[h + b[0]]):
+            if (not same or k + a[0] < h + b[0]) and not left.keys[k + a[0]].isdisjoint(right.keys[h + b[0]]):
                 found.append((int(left.ids[k + a[0]]), int(right.ids[h + b[0]])))
     return found
 
@@ -407,14 +402,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     scratch = Scratch(spark, "signature_join")
     texts = id_text(docs, id_col, text_col)
 
-    slices = texts.select("text").mapInArrow(_frequencies(words), "slice int, counts binary")
-    slices = slices.repartition("slice").sortWithinPartitions("slice").mapInArrow(_sum_slices, "slice int, counts binary")
-    table = np.zeros(1 << TABLE_BITS, "uint16")
-    for r in slices.toLocalIterator():  # 2 bytes a counter in all
-        table[r["slice"] << SLICE_BITS:(r["slice"] + 1) << SLICE_BITS] = np.frombuffer(zlib.decompress(r["counts"]), "uint16")
-    sent = spark.sparkContext.broadcast(_ranked(table))
-    del table
-    rows = scratch.write(texts.mapInArrow(_signatures(words, percent, sent),
+    rows = scratch.write(texts.mapInArrow(_signatures(words, percent),
                                           "doc_id long, n long, mark binary, firsts array<long>, signature binary"), "signatures")
     some = rows.filter("n > 0 and doc_id is not null")
     # one row a class: where the mark is surely unique, the row itself, which passes no shuffle
@@ -426,7 +414,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.first("signature").alias("signature")), "classes")
     classes = several.unionByName(some.filter("not _often").select("mark", F.col("doc_id").alias("node"), "n", "firsts", "signature"))
 
-    # shingles that several classes have among their first ones, and those classes
+    # keys that several classes have, and those classes
     firsts = classes.select("node", "n", F.size("firsts").alias("p"), F.explode("firsts").alias("key"))
     shared = scratch.write(firsts.groupBy("key").count().filter("count > 1").select("key"), "shared")
     bits = scratch.write(bit_set(shared, FILTER_ROWS), "shared_bits")
@@ -434,7 +422,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     members = scratch.write(likely.join(shared, "key"), "members")
     scratch.release("shared", "shared_bits")
 
-    # 1. each class against the one of each of its shingles that shares most
+    # 1. each class against the one of each of its keys that shares most
     of_node = members.groupBy("node").agg((F.count(F.lit(1)) / F.first("p")).alias("w"))
     weighted = members.join(of_node, "node")
     centres = scratch.write(weighted.groupBy("key").agg(F.max(F.struct("w", (-F.col("node")).alias("a"), "n")).alias("c")), "centres")
@@ -454,14 +442,14 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     joined = scratch.write(components(stars), "star_components")
     scratch.release("star_hopeful", "star_links_dealt", "star_links_ids")
 
-    # 2. shingles that still have several components
+    # 2. keys that still have several components
     known = members.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     known = scratch.write(known.select("key", "node", "n", "component"), "known")
     mixed = scratch.write(known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
                           .filter("lo <> hi").select("key", "lo"), "mixed")
     open_members = scratch.write(known.join(mixed, "key"), "open_members")
     scratch.release("members", "star_components", "known", "mixed")
-    # a class has as many open keys as first shingles at most
+    # a class has as many open keys as keys at most
     open_nodes = open_members.groupBy("node").agg(F.first("component").alias("component"), F.min("lo").alias("lo"),
                                                   F.collect_set("key").alias("keys"))
     laid = open_nodes.join(_of_nodes(classes.select("node", "n", "signature"), open_members.select("node"), "open_nodes", scratch),
