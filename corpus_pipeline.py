@@ -3,6 +3,13 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as
 Parquet and read again as the next one's documents. All but the last return the
 columns of ``documents``.
+
+Defined cases, the same in every stage: a null text is the empty text; a null id
+is an id of its own that is never linked with another; rows repeated with one id
+are rows of their own; an empty table gives an empty table; texts are read whole
+whatever their length; columns besides ``doc_id``, ``text`` and, for the mixture,
+``source`` and ``lang`` take no part and come back unchanged, whatever their names.
+Ties: of equal texts the largest id stays, of near copies the smallest.
 """
 
 from __future__ import annotations
@@ -13,11 +20,13 @@ from pyspark.sql import functions as F
 from vistaframe.llm import bin_slack, exact_dedup, mixture, nb_svm, signature_join
 from vistaframe.llm.bpe import default_tokenizer
 from vistaframe.llm.common import materialise, prepare
+from vistaframe.llm.exact_dedup import mark_held, repeated_keys
 from vistaframe.sources.tables import read_table
 
 QUALITY = 0.3  # documents of a lower score go
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 CAPACITY, END_ID = 1024, 2
+ID_FILTER_ROWS = 256  # bit set of ids: 1 MB
 
 # The first stage learns a classifier and the later ones work on what it keeps: no SQL says that.
 ORACLE_SQL = None
@@ -37,19 +46,26 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies, that with the smallest
-    id. Where ids repeat, rows are told apart by a hash of id and text."""
+    id. Rows of a repeated id are told apart by a hash of id and text; of rows
+    with one id and one text all stay or go together. Rows with a null id or
+    without words stay."""
     prepare(spark)
-    repeated = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").limit(1).count()
-    row = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")) if repeated else F.col("doc_id").cast("long")
-    keyed = docs.withColumn("_row", row)
-    links = materialise(signature_join.similar_components(keyed, id_col="_row", words=NEAR_WORDS, percent=NEAR_PERCENT)
-                        .filter("component_id <> doc_id").select(F.col("doc_id").alias("_row"), "component_id").distinct(), "near_links")
-    if repeated:  # a component's name is its smallest row, not the row of the smallest id
-        members = links.unionByName(links.select(F.col("component_id").alias("_row"), "component_id").distinct())
-        ids = keyed.select("_row", "doc_id").distinct().join(members, "_row")
-        kept = ids.groupBy("component_id").agg(F.min(F.struct("doc_id", "_row"))["_row"].alias("_row"))
-        links = members.join(kept, "_row", "left_anti")
-    return keyed.join(links.select("_row"), "_row", "left_anti").select(*docs.columns)
+    row_hash = F.xxhash64("doc_id", "text")
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_doc"), docs["doc_id"].cast("long").alias("doc_id"),
+                        docs["text"])
+    ids = materialise(repeated_keys(whole.filter("doc_id is not null").select(F.xxhash64("doc_id").alias("key")), ID_FILTER_ROWS),
+                      "near_repeated_ids")
+    # an id taken for a repeated one by chance has a hashed key, too: the kept row follows from the ids either way
+    keyed = mark_held(whole, F.xxhash64("doc_id"), ids, ID_FILTER_ROWS, "_often").withColumn(
+        "_row", F.when(F.col("doc_id").isNotNull(), F.when(F.col("_often"), row_hash).otherwise(F.col("doc_id"))))
+    links = signature_join.similar_components(keyed, id_col="_row", words=NEAR_WORDS, percent=NEAR_PERCENT)
+    links = materialise(links.filter("component_id <> doc_id").select(F.col("doc_id").alias("_row"), "component_id").distinct(),
+                        "near_links")
+    members = links.unionByName(links.select(F.col("component_id").alias("_row"), "component_id").distinct())
+    ranked = keyed.select("_row", "doc_id").distinct().join(members, "_row")
+    kept = ranked.groupBy("component_id").agg(F.min(F.struct("doc_id", "_row"))["_row"].alias("_row"))
+    gone = materialise(members.join(kept, "_row", "left_anti").select("_row"), "near_gone")
+    return keyed.join(gone, "_row", "left_anti").select("_doc.*")
 
 
 def target_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
