@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from vistaframe.session import scratch_path
 from vistaframe.sources.tables import read_table
 
-from . import (bin_slack, block_ann, exact_dedup, hmm_lm, license_scan, mixture, nb_svm, signature_join,
-               token_files, toxicity_chain)
+from . import (bin_slack, block_ann, exact_dedup, hmm_lm, importance_resampling, license_scan, mixture, nb_svm,
+               signature_join, token_files, toxicity_chain)
 from .bpe import default_tokenizer
 from .common import id_remainder, materialise, prepare
 
@@ -98,3 +98,10 @@ def op7(spark, sf_dir):
 @query("op5_mixture")
 def op5(spark, sf_dir):
     return mixture.calibrate(read_table(spark, sf_dir, "documents"))[0]
+
+
+@query("op11_importance_resampling")
+def op11(spark, sf_dir):
+    docs, target = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    return importance_resampling.resample(docs, target, percent=5, least_words=20, seed=42).select(
+        "doc_id", "n_features", "weight", "score", "rank")
