@@ -11,7 +11,7 @@ from vistaframe.session import scratch_path
 from vistaframe.sources.tables import read_table
 
 from . import (bin_slack, block_ann, exact_dedup, hmm_lm, importance_resampling, license_scan, mixture, nb_svm,
-               signature_join, token_files, toxicity_chain)
+               signature_join, token_files, toxicity_chain, vector_codes)
 from .bpe import default_tokenizer
 from .common import id_remainder, materialise, prepare
 
@@ -105,3 +105,9 @@ def op11(spark, sf_dir):
     docs, target = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
     return importance_resampling.resample(docs, target, percent=5, least_words=20, seed=42).select(
         "doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_vector_codes", vector_codes.oracle())
+def op13(spark, sf_dir):
+    return vector_codes.compress(read_table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "code", "error", "label_error", "codebooks_sha256")
