@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vistaframe.session import scratch_path
 from vistaframe.sources.tables import read_table
 
-from . import (bin_slack, block_ann, exact_dedup, hmm_lm, importance_resampling, license_scan, mixture, nb_svm,
+from . import (bin_slack, block_ann, embedding_dedup, exact_dedup, hmm_lm, importance_resampling, license_scan, mixture, nb_svm,
                signature_join, token_files, toxicity_chain, vector_codes)
 from .bpe import default_tokenizer
 from .common import id_remainder, materialise, prepare
@@ -111,3 +111,8 @@ def op11(spark, sf_dir):
 def op13(spark, sf_dir):
     return vector_codes.compress(read_table(spark, sf_dir, "embeddings")).select(
         "vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+@query("op12_embedding_dedup", embedding_dedup.oracle())
+def op12(spark, sf_dir):
+    return embedding_dedup.similar_vectors(read_table(spark, sf_dir, "embeddings"), threshold=0.93)

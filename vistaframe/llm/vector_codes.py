@@ -58,8 +58,11 @@ class Orchard:
     def nearest(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(index, squared distance) per row of ``x``; ties to the smaller index."""
         n, size = len(x), len(self.entries)
+        most = max(int(np.abs(x).max(initial=0)), int(np.abs(self.entries).max(initial=0)))
+        kind = "int32" if (2 * most) ** 2 * x.shape[1] < 1 << 31 else "int64"  # exact either way
+        x, entries = x.astype(kind), self.entries.astype(kind)
         best = np.full(n, self._start)
-        near = ((x - self.entries[self._start]) ** 2).sum(axis=1)
+        near = ((x - entries[self._start]) ** 2).sum(axis=1, dtype="int64")
         visited = np.zeros((n, size), bool)
         visited[:, self._start] = True
         at = np.zeros(n, dtype="int64")  # place in the list of the best entry
@@ -76,7 +79,8 @@ class Orchard:
             if len(row):
                 found = entry[row, col]
                 visited[going[row], found] = True
-                d = ((x[going[row]] - self.entries[found]) ** 2).sum(axis=1)
+                gap = x[going[row]] - entries[found]
+                d = np.einsum("ij,ij->i", gap, gap).astype("int64")
                 order = np.lexsort((found, d, row))
                 first = order[np.r_[True, row[order][1:] != row[order][:-1]]]
                 r, e, d = row[first], found[first], d[first]
