@@ -192,3 +192,13 @@ def test_few_full_parts_fall_back_on_first_shingles(monkeypatch):
     """Where no set has enough parts, the first shingles still find every link."""
     monkeypatch.setattr(signature_join, "PARTS", 0.01)
     test_linked_sets_share_a_key(80)
+
+
+@pytest.mark.parametrize("listed", [64, 1])
+def test_meetings_of_blocks(spark, monkeypatch, listed):
+    """Listed or joined, the same blocks meet where members differ in component and are near in size."""
+    monkeypatch.setattr(signature_join, "KEY_BLOCKS", listed)
+    rows = [(1, 10, 5, 5, 100, 110), (1, 11, 6, 6, 100, 110), (1, 12, 5, 5, 500, 510), (2, 10, 5, 5, 100, 110), (2, 11, 6, 6, 100, 110),
+            (3, 13, 7, 8, 50, 60), (4, 14, 9, 9, 50, 60), (4, 15, 9, 9, 50, 60)]
+    at = prepare(spark).createDataFrame(rows, "key long, block long, c0 long, c1 long, n0 long, n1 long")
+    assert sorted(map(tuple, signature_join._meetings(at, 80).collect())) == [(10, 11), (13, 13)]

@@ -52,7 +52,8 @@ from .exact_dedup import bit_set, mark_held, repeated_keys
 
 PARTS = 1.5  # of a set, times the most differences plus one
 FILTER_ROWS = 1024  # bit sets of 1024 * 4 KB
-BLOCK_SETS = 256
+BLOCK_SETS = 512
+KEY_BLOCKS = 64  # blocks of a key that are listed in one row
 CHUNK_PAIRS = 64  # pairs that share one copy of a set when they are compared
 MIN_BITS, MAX_BITS, BITS_PER_SHINGLE = 256, 16384, 8  # of a signature: a power of two
 LEAF = 16
@@ -394,6 +395,29 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int, name
     return scratch.write(rows.mapInArrow(_compare(percent), "a long, b long").distinct(), name)
 
 
+def _meetings(at: DataFrame, percent: int) -> DataFrame:
+    """Pairs (i, j), i <= j, of blocks that share a key among members who can be
+    linked, from ``key, block, c0, c1, n0, n1``: least and largest component and
+    size of a key's members in a block. The many keys of a group of similar
+    texts lie in the same few blocks: equal lists of blocks are paired once.
+    Keys in more than KEY_BLOCKS blocks are paired by a join."""
+    counted = at.join(at.groupBy("key").agg(F.count(F.lit(1)).alias("held")), "key")
+    lists = counted.filter(F.col("held") <= KEY_BLOCKS).groupBy("key").agg(F.sort_array(F.collect_set("block")).alias("blocks"))
+    pair = F.transform("blocks", lambda b, k: F.transform(F.slice("blocks", k + 1, F.lit(KEY_BLOCKS)),
+                                                          lambda c: F.struct(b.alias("i"), c.alias("j"))))
+    few = lists.select("blocks").distinct().select(F.explode(F.flatten(pair)).alias("p")).select("p.i", "p.j").distinct()
+    whole = at.groupBy("block").agg(F.min("c0").alias("c0"), F.max("c1").alias("c1"), F.min("n0").alias("n0"), F.max("n1").alias("n1"))
+    side = lambda t, name: t.select(*(["key"] if "key" in t.columns else []),
+                                    F.col("block").alias(name), *(F.col(c).alias(f"{name}{c}") for c in ("c0", "c1", "n0", "n1")))
+    few = few.join(side(whole, "i"), "i").join(side(whole, "j"), "j")
+    wide = counted.filter(F.col("held") > KEY_BLOCKS)
+    wide = side(wide, "i").join(side(wide, "j"), "key").filter("i <= j").drop("key")
+    both = few.unionByName(wide)
+    both = both.filter(F.least("ic0", "jc0") < F.greatest("ic1", "jc1"))  # not of one component
+    both = both.filter((100 * F.col("in1") >= percent * F.col("jn0")) & (100 * F.col("jn1") >= percent * F.col("in0")))
+    return both.select("i", "j").distinct()
+
+
 def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3,
                        percent: int = 90) -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row: linked are sets with
@@ -464,11 +488,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         F.min("component").alias("c0"), F.max("component").alias("c1"), F.min("n").alias("n0"), F.max("n").alias("n1"))
     at = scratch.write(at, "key_blocks")
     scratch.release("open_members", "open_nodes")
-    side = lambda name: at.select("key", *(F.col(c).alias(f"{name}{c}") for c in ("block", "c0", "c1", "n0", "n1")))
-    meet = side("i").join(side("j"), "key").filter("iblock <= jblock")
-    meet = meet.filter(F.least("ic0", "jc0") < F.greatest("ic1", "jc1"))  # not of one component
-    meet = meet.filter((100 * F.col("in1") >= percent * F.col("jn0")) & (100 * F.col("jn1") >= percent * F.col("in0")))
-    meet = scratch.write(meet.select(F.col("iblock").alias("i"), F.col("jblock").alias("j")).distinct(), "block_pairs")
+    meet = scratch.write(_meetings(at, percent), "block_pairs")
     loaded = (meet.join(blocks.select(F.col("block").alias("i"), F.col("payload").alias("x")), "i")
               .join(blocks.select(F.col("block").alias("j"), F.col("payload").alias("y")), "j"))
     near = scratch.write(loaded.select("i", "j", "x", "y").mapInArrow(_block_pairs(percent), "a long, b long").distinct(),
