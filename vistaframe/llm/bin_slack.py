@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import encoder
-from .common import id_text, materialise
+from .common import id_text, lean, materialise
 from .token_files import list_array
 
 PIECE_SCHEMA = ("doc_id long, piece int, start long, length long, ids_crc32 long, part int, ord long, "
@@ -143,7 +143,7 @@ def _place(slots: dict[int, tuple]):
 def cut_pieces(docs: DataFrame, tokenizer_file: str, id_col: str = "doc_id", text_col: str = "text",
                end_id: int = 2, capacity: int = 1024) -> DataFrame:
     """The written table of pieces with their ids; (part, length, ord) names a piece."""
-    pieces = id_text(docs, id_col, text_col).mapInArrow(_cut(tokenizer_file, end_id, capacity), PIECE_SCHEMA)
+    pieces = id_text(docs, id_col, text_col).mapInArrow(lean(_cut(tokenizer_file, end_id, capacity)), PIECE_SCHEMA)
     return materialise(pieces, "pieces")
 
 

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +26,26 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _give_back() -> None:
+    """Free memory goes back to the system, where the C library can do that."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):
+        pass
+
+
+def lean(run: Callable) -> Callable:
+    """A task function whose worker, which Spark uses again for later tasks,
+    keeps none of the memory that it needed."""
+    @functools.wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _give_back()
+        yield from run(batches)
+        _give_back()
+    return wrapped
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and read it back.
 

@@ -50,7 +50,7 @@ class NgramFeatures:
         tokens = _TOKEN.findall(text)
         if not tokens:
             return np.empty(0, "uint32")
-        if len(self._memo) > 300_000:
+        if len(self._memo) > 150_000:
             self._memo.clear()
         memo = self._memo
         rows = np.array([memo.get(t) or self._learn(t) for t in tokens], dtype="uint64")

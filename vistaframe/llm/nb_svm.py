@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_remainder, id_text
+from .common import id_remainder, id_text, lean
 from .linear import NgramFeatures, fit, probability
 
 KINDS = ("word", "bigram", "shape")
@@ -44,7 +44,7 @@ def training_features(docs: DataFrame, sample: DataFrame, kinds: tuple[str, ...]
                 names=["doc_id", "features", *labels])
 
     rows = texts.select("doc_id", "text", *labels).mapInArrow(
-        run, "doc_id long, features binary, " + ", ".join(f"{c} int" for c in labels))
+        lean(run), "doc_id long, features binary, " + ", ".join(f"{c} int" for c in labels))
     return rows.groupBy("doc_id").agg(F.min("features").alias("features"), *[F.max(c).alias(c) for c in labels])
 
 
@@ -66,7 +66,7 @@ def train_in_one_task(rows: DataFrame, train) -> object:
             frame = frame.sort_values("doc_id").reset_index(drop=True)  # the same model whatever the partitions
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(frame))], pa.binary())], names=["model"])
 
-    got = rows.select(*names).repartition(1).mapInArrow(run, "model binary").collect()
+    got = rows.select(*names).repartition(1).mapInArrow(lean(run), "model binary").collect()
     return pickle.loads(got[0]["model"]) if got else train(None)
 
 
@@ -103,7 +103,7 @@ def score_quality(docs: DataFrame, model, id_col: str = "doc_id", text_col: str
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())],
                                              names=["doc_id", "score"])
 
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, score double")
+    return id_text(docs, id_col, text_col).mapInArrow(lean(run), "doc_id long, score double")
 
 
 def keep_good(docs: DataFrame, model, threshold: float, text_col: str = "text") -> DataFrame:
@@ -116,7 +116,7 @@ def keep_good(docs: DataFrame, model, threshold: float, text_col: str = "text")
             good = [probability(m, ngrams.of(t or "")) >= threshold for t in batch.column(text_col).to_pylist()]
             yield batch.filter(pa.array(good, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def training_labels(labels: DataFrame, mod: int = 5) -> DataFrame:

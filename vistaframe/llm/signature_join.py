@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, id_text
+from .common import Scratch, id_text, lean
 from .components import components
 from .exact_dedup import bit_set, mark_held, repeated_keys
 
@@ -83,7 +83,7 @@ class Shingler:
         if not words:
             return np.empty(0, "uint64")
         memo = self._memo
-        if len(memo) > 500_000:
+        if len(memo) > 150_000:
             memo.clear()
         found = list(map(memo.get, words))
         if None in found:
@@ -389,10 +389,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int, name
               .unionByName(dealt.select(F.col("b").alias("node"), "a", "chunk", "b")))
     own = _of_nodes(texts.filter("doc_id is not null").withColumn("node", F.col("doc_id")), wanted.select("node"),
                     f"{name}_ids", scratch)
-    sets = own.select("doc_id", "text").mapInArrow(_sets(words), "node long, items binary")
+    sets = own.select("doc_id", "text").mapInArrow(lean(_sets(words)), "node long, items binary")
     rows = sets.join(wanted, "node").select("a", "chunk", "b", "items").repartition("a", "chunk")
     rows = rows.sortWithinPartitions("a", "chunk", F.col("b").asc_nulls_first())
-    return scratch.write(rows.mapInArrow(_compare(percent), "a long, b long").distinct(), name)
+    return scratch.write(rows.mapInArrow(lean(_compare(percent)), "a long, b long").distinct(), name)
 
 
 def _meetings(at: DataFrame, percent: int) -> DataFrame:
@@ -426,7 +426,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     scratch = Scratch(spark, "signature_join")
     texts = id_text(docs, id_col, text_col)
 
-    rows = scratch.write(texts.mapInArrow(_signatures(words, percent),
+    rows = scratch.write(texts.mapInArrow(lean(_signatures(words, percent)),
                                           "doc_id long, n long, mark binary, firsts array<long>, signature binary"), "signatures")
     some = rows.filter("n > 0 and doc_id is not null")
     # one row a class: where the mark is surely unique, the row itself, which passes no shuffle
@@ -459,7 +459,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                       "star_nodes", scratch)
     pairs = pairs.join(sides.select(F.col("node").alias("b"), F.col("signature").alias("y")), "b")
     pairs = scratch.write(pairs, "star_pairs").join(sides.select(F.col("node").alias("a"), F.col("signature").alias("x")), "a")
-    hopeful = scratch.write(pairs.select("a", "b", "x", "y", "n", "m").mapInArrow(_bounded(percent), "a long, b long").distinct(),
+    hopeful = scratch.write(pairs.select("a", "b", "x", "y", "n", "m").mapInArrow(lean(_bounded(percent)), "a long, b long").distinct(),
                             "star_hopeful")
     scratch.release("sized_pairs", "star_pairs", "star_nodes")
     stars = _verified(hopeful, texts, words, percent, "star_links", scratch)
@@ -491,7 +491,7 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     meet = scratch.write(_meetings(at, percent), "block_pairs")
     loaded = (meet.join(blocks.select(F.col("block").alias("i"), F.col("payload").alias("x")), "i")
               .join(blocks.select(F.col("block").alias("j"), F.col("payload").alias("y")), "j"))
-    near = scratch.write(loaded.select("i", "j", "x", "y").mapInArrow(_block_pairs(percent), "a long, b long").distinct(),
+    near = scratch.write(loaded.select("i", "j", "x", "y").mapInArrow(lean(_block_pairs(percent)), "a long, b long").distinct(),
                          "block_hopeful")
     scratch.release("blocks", "key_blocks", "block_pairs")
     rest = _verified(near, texts, words, percent, "block_links", scratch)
