@@ -71,6 +71,20 @@ def test_principal_components(parts):
     assert len(rows) == 13 and abs(rows[-1]["cumulative"] - 1) < 1e-9 and rows[0]["explained"] > 0.5
 
 
+def test_component_shares_equal_the_eigenvalues(spark, parts):
+    x = np.array(parts[0].select(*RM.NUM, *RM.CODED).collect(), float)
+    values = np.sort(np.linalg.eigvalsh(np.cov(x.T)))[::-1]
+    got = [r["explained"] for r in queries()["pca_component_shares"](spark, SF_SMALL).orderBy("component").collect()]
+    assert np.allclose(got, values / values.sum(), atol=1e-9)
+
+
+def test_values_behind_the_keys(spark):
+    rows = queries()["coef_importance_values"](spark, SF_SMALL).collect()
+    assert [r["feature"] for r in rows] == RM.FEATURES and abs(sum(r["importance"] for r in rows) - 1) < 1e-6
+    years = queries()["rf_predicted_years"](spark, SF_SMALL)
+    assert years.columns == ["l_orderkey", "l_linenumber", "year", "predicted_year"] and years.filter("predicted_year is null").count() == 0
+
+
 def test_forest_predictions_are_years(spark):
     pred, (low, high, _) = RM.forest_predictions(spark, SF_SMALL)
     got = pred.agg(F.min("predicted_year"), F.max("predicted_year"), F.count("*")).first()
@@ -113,6 +127,6 @@ def test_stacking_holds_tuned_bases_and_neighbours(parts, monkeypatch):
     monkeypatch.setattr(RM, "STRENGTHS", 2)
     monkeypatch.setattr(RM, "TREE_AXES", {"maxDepth": [1, 3]})
     monkeypatch.setattr(RM, "MLP_ROUNDS", 3)
-    monkeypatch.setattr(RM, "_mlp_draws", lambda: [{"layers": [len(RM.FEATURES), n, 2], "stepSize": 0.03} for n in (2, 3)])
+    monkeypatch.setattr(RM, "_stack_layers", lambda: [{"layers": [len(RM.FEATURES), n, 2]} for n in (2, 3)])
     rows = {r["model"]: r["test_accuracy"] for r in RM.stacking_scores(*parts).collect()}
     assert set(rows) == {"logreg", "tree", "mlp", "knn", "vote", "stack"} and all(0 <= v <= 1 for v in rows.values())

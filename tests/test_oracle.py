@@ -9,8 +9,8 @@ from tests.conftest import SF_SMALL
 from vistaframe.sources.tables import TABLES
 
 # slow by nature: many micro-batches (covered in test_streaming) or many fits (covered in test_models)
-SKIP = {"stream_snapshot_delta", "stream_recover", "stream_filter_items", "logreg_sweep", "tree_random_search",
-        "tree_grid_search", "mlp_classify", "gbt_classify", "random_search", "stacking"}
+SKIP = {"stream_snapshot_delta", "stream_recover", "stream_filter_items", "tree_random_search",
+        "tree_grid_search", "gbt_classify", "random_search", "stacking"}
 KEYS = sorted(k for k in oracle_sql() if k not in SKIP)
 
 

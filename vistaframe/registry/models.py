@@ -12,6 +12,7 @@ import hashlib
 import itertools
 import random
 
+import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier)
@@ -19,6 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
+from ..operators import batched as B
 from ..operators import ensembles as EN
 from ..operators import features as FE
 from ..operators import knn as K
@@ -106,6 +108,12 @@ def pca_shares(train):
     return M.explained_variance(M.assemble(train.drop("features"), cols, "raw"), "raw", len(cols))
 
 
+@register("pca_component_shares")
+def pca_component_shares(spark, sf):
+    """The explained shares behind ``pca_variance`` (no SQL: tested against the eigenvalues)."""
+    return pca_shares(_train_test(spark, sf)[0])
+
+
 STRENGTHS = 15
 
 
@@ -113,21 +121,48 @@ def strengths() -> list[float]:
     return [10 ** (-5 + i * 13 / 14) for i in range(STRENGTHS)]
 
 
+def logreg_models(tr) -> tuple[list[float], np.ndarray, B.Blocks]:
+    """Coefficients per strength and fold left out (the last: none), in one batch of Newton steps."""
+    cs = strengths()
+    blocks = B.Blocks(tr)
+    held = np.tile([*range(M.FOLDS), B.ALL], len(cs))
+    w = B.newton(blocks, np.repeat([1.0 / c for c in cs], M.FOLDS + 1), held)
+    return cs, w.reshape(len(cs), M.FOLDS + 1, -1), blocks
+
+
 def logreg_scores(tr, te):
     """Per inverse strength C = 10^-5 .. 10^8: CV, train and test accuracy."""
-    cs = strengths()
-    lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=100)
-    maps = M.to_param_maps(lr, [{"regParam": r} for r in M.logreg_grid(tr.count(), cs)])
-    cv = M.cross_validate(lr, maps, tr)
-    ev = M.accuracy_evaluator()
-    rows = []
-    for i, (c, m, a) in enumerate(zip(cs, maps, cv)):
-        model = lr.fit(tr, m)
-        rows.append((i, c, m[lr.regParam], a, ev.evaluate(model.transform(tr)), ev.evaluate(model.transform(te))))
+    cs, w, blocks = logreg_models(tr)
+    flat = w.reshape(-1, w.shape[-1])
+    zero = np.zeros((2, M.FOLDS + 1, len(flat)))
+    inside = B.accuracies(blocks.total(B.linear_hits, (flat, M.FOLDS), zero)).reshape(M.FOLDS + 1, len(cs), M.FOLDS + 1)
+    tested = B.Blocks(te)
+    outside = B.accuracies(tested.total(B.linear_hits, (flat, M.FOLDS), zero)).reshape(M.FOLDS + 1, len(cs), M.FOLDS + 1)
+    blocks.release()
+    tested.release()
+    n = tr.count()
+    rows = [(i, c, 1.0 / (c * max(n, 1)), float(np.mean([inside[k, i, k] for k in range(M.FOLDS)])),
+             float(inside[-1, i, -1]), float(outside[-1, i, -1])) for i, c in enumerate(cs)]
     return tr.sparkSession.createDataFrame(
         rows, "step int, c double, regParam double, cv_accuracy double, train_accuracy double, test_accuracy double")
 
 
+@register("logreg_sweep_scores")
+def logreg_sweep_scores(spark, sf):
+    """The accuracies behind ``logreg_sweep`` (no SQL: tested against a twin)."""
+    return logreg_scores(*_train_test(spark, sf))
+
+
+@register("logreg_coefficients")
+def logreg_coefficients(spark, sf):
+    """Coefficient of every feature at every strength, fitted on all train rows."""
+    tr, _ = _train_test(spark, sf)
+    cs, w, blocks = logreg_models(tr)
+    blocks.release()
+    rows = [(i, c, name, float(v)) for i, c in enumerate(cs) for name, v in zip([*FEATURES, "intercept"], w[i, -1])]
+    return spark.createDataFrame(rows, "step int, c double, feature string, coef double")
+
+
 @register("logreg_sweep", _sized(f"SELECT CAST(unnest(range(0, {STRENGTHS})) AS INT) AS step", "step")
           .replace(", n_train", f", {OK}, true AS train_and_test_in_range, n_train"))
 def logreg_sweep(spark, sf):
@@ -158,6 +193,12 @@ def coef_importance(spark, sf):
                     F.lit(abs(total - 1) < 1e-6).alias("importances_sum_to_one"), F.lit(above > 0).alias("some_above_cut"))
 
 
+@register("coef_importance_values")
+def coef_importance_values(spark, sf):
+    """The coefficients and importances behind ``coef_importance`` by feature."""
+    return importances(_train_test(spark, sf)[0])
+
+
 # The full axes. (A least number of rows to split a node has no counterpart in Spark's trees.)
 TREE_AXES = {"maxDepth": list(range(1, 10)), "minInstancesPerNode": [1, 2, 3, 4], "impurity": ["gini", "entropy"]}
 TREE_DRAWS = 20
@@ -187,29 +228,45 @@ def tree_grid_search(spark, sf):
     return _checked(tree_scores(tr, M.full_grid(TREE_AXES)), tr, sorted(TREE_AXES))
 
 
-# layer sizes of the original; l-bfgs has no step size, so that is an axis of gradient descent only
-HIDDEN = [[50, 50, 50], [50, 100, 50], [100]]
-MLP_POINTS = ([{"layers": h, "solver": "l-bfgs", "stepSize": 0.03} for h in HIDDEN]
-              + [{"layers": h, "solver": "gd", "stepSize": x} for h in HIDDEN for x in (0.001, 0.03, 0.1)])
+MLP_AXES = {"hidden": [(50, 50, 50), (50, 100, 50), (100,)], "activation": ["tanh", "relu"], "solver": ["sgd", "adam"],
+            "alpha": [0.01, 0.1]}
 MLP_DRAWS, MLP_ROUNDS = 10, 300
 
 
 def _mlp_draws() -> list[dict]:
-    return [{**m, "layers": [len(FEATURES), *m["layers"], 2]} for m in random.Random(42).sample(MLP_POINTS, MLP_DRAWS)]
+    return M.sample_param_maps(MLP_AXES, MLP_DRAWS)
 
 
-def mlp_scores(tr):
-    mlp = MultilayerPerceptronClassifier(featuresCol="features", labelCol="label", maxIter=MLP_ROUNDS, seed=42)
-    maps = M.to_param_maps(mlp, _mlp_draws())
-    return M.search_table(tr.sparkSession, maps, M.cross_validate(mlp, maps, tr))
+def mlp_networks(tr, rounds: int | None = None) -> tuple[list[B.Network], B.Blocks]:
+    """The networks of all draws and folds, trained in one batch."""
+    nets = [B.Network(m["hidden"], m["activation"], m["solver"], m["alpha"], k) for m in _mlp_draws() for k in range(M.FOLDS)]
+    blocks = B.Blocks(tr)
+    B.train_networks(blocks, nets, rounds or MLP_ROUNDS)
+    return nets, blocks
 
 
-@register("mlp_classify", _sized(_values([(str(m["layers"]), m["solver"], m["stepSize"]) for m in _mlp_draws()],
-                                         ["layers", "solver", "stepSize"]), "layers, solver, CAST(stepSize AS DOUBLE) AS stepSize")
-          .replace(", n_train", f", {OK}, n_train"))
+def mlp_scores(tr):
+    """Mean accuracy over the folds left out, per draw."""
+    nets, blocks = mlp_networks(tr)
+    by_fold = B.network_accuracies(blocks, nets, M.FOLDS)
+    blocks.release()
+    scores = [float(np.mean([by_fold[k, i * M.FOLDS + k] for k in range(M.FOLDS)])) for i in range(len(nets) // M.FOLDS)]
+    rows = [(str(list(m["hidden"])), m["activation"], m["solver"], m["alpha"], x) for m, x in zip(_mlp_draws(), scores)]
+    return tr.sparkSession.createDataFrame(rows, "layers string, activation string, solver string, alpha double, cv_accuracy double")
+
+
+@register("mlp_classify", _sized(_values([(str(list(m["hidden"])), m["activation"], m["solver"], m["alpha"]) for m in _mlp_draws()],
+                                         ["layers", "activation", "solver", "alpha"]),
+                                 "layers, activation, solver, CAST(alpha AS DOUBLE) AS alpha").replace(", n_train", f", {OK}, n_train"))
 def mlp_classify(spark, sf):
     tr, _ = _train_test(spark, sf)
-    return _checked(mlp_scores(tr), tr, ["layers", "solver", "stepSize"])
+    return _checked(mlp_scores(tr), tr, ["layers", "activation", "solver", "alpha"])
+
+
+@register("mlp_scores")
+def mlp_search_scores(spark, sf):
+    """The accuracies behind ``mlp_classify`` (no SQL: gradients are tested numerically)."""
+    return mlp_scores(_train_test(spark, sf)[0])
 
 
 def _subsets_sql() -> str:
@@ -236,13 +293,18 @@ STACK_MODELS = ["logreg", "tree", "mlp", "vote", "stack"]  # the rows of the key
 NEIGHBOURS = list(range(1, 26))
 
 
+def _stack_layers() -> list[dict]:
+    """Spark's own network as base of the stack: the searched layer sizes."""
+    return [{"layers": [len(FEATURES), *h, 2]} for h in MLP_AXES["hidden"]]
+
+
 def tuned_bases(tr):
     """The base learners with the best parameters of their searches (ties: the first)."""
     searches = {
         "logreg": (LogisticRegression(featuresCol="features", labelCol="label", maxIter=100),
                    [{"regParam": r} for r in M.logreg_grid(tr.count(), strengths())]),
         "tree": (DecisionTreeClassifier(featuresCol="features", labelCol="label", seed=42), M.full_grid(TREE_AXES)),
-        "mlp": (MultilayerPerceptronClassifier(featuresCol="features", labelCol="label", maxIter=MLP_ROUNDS, seed=42), _mlp_draws())}
+        "mlp": (MultilayerPerceptronClassifier(featuresCol="features", labelCol="label", maxIter=MLP_ROUNDS, seed=42), _stack_layers())}
     bases = {}
     for name, (est, points) in searches.items():
         maps = M.to_param_maps(est, points)
@@ -408,6 +470,12 @@ def forest_predictions(spark, sf):
             t.filter(F.col("fold") < 7).agg(F.min("year"), F.max("year"), F.avg("year")).first())
 
 
+@register("rf_predicted_years")
+def rf_predicted_years(spark, sf):
+    """The predicted year beside the real one, per held-out row (no SQL: a forest's draws are Spark's own)."""
+    return forest_predictions(spark, sf)[0]
+
+
 @register("rf_predict", """
 SELECT l_orderkey, l_linenumber, CAST(year(l_shipdate) AS DOUBLE) AS year, true AS in_train_range, true AS near_mean_error
 FROM lineitem JOIN part ON l_partkey = p_partkey
