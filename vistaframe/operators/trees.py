@@ -50,7 +50,7 @@ class Binned(Blocks):
         x = vector_to_array(features)
         width = df.select(F.size(x)).head()
         marks = [k / bins for k in range(bins + 1)]
-        found = df.select(x.alias("x")).agg(F.count("*"), *[F.percentile_approx(F.col("x")[k], marks) for k in range(width[0] if width else 0)]).first()
+        found = df.select(x.alias("x")).agg(F.count("*"), *[F.percentile_approx(F.nanvl(F.col("x")[k], F.lit(float("inf"))), marks) for k in range(width[0] if width else 0)]).first()
         cuts = [np.unique(np.array(c, "float64"))[:-1] for c in found[1:]]
         super().__init__(df.coalesce(max(1, -(-found[0] // PART_ROWS))), features, label, fold)
 

@@ -411,6 +411,18 @@ GBT_ROUNDS = [100, 200, 300]
 
 
 def gbt_scores(tr):
+    """With Spark's own learner, a fit per (fold, point): mean log loss over the validation folds for every depth, rate and number of
+    rounds. Boosting with fewer rounds is a prefix of boosting with more, so a
+    (depth, rate) is fitted once, to the largest number."""
+    gbt = GBTClassifier(featuresCol="features", labelCol="label", seed=42, maxIter=max(GBT_ROUNDS))
+    maps = M.to_param_maps(gbt, M.full_grid(GBT_AXES))
+    losses = M.cross_validate(gbt, maps, tr,
+                              score=lambda model, held: [model.evaluateEachIteration(held)[r - 1] for r in GBT_ROUNDS])
+    rows = [(m[gbt.maxDepth], m[gbt.stepSize], r, x) for m, loss in zip(maps, losses) for r, x in zip(GBT_ROUNDS, loss)]
+    return tr.sparkSession.createDataFrame(rows, "maxDepth int, stepSize double, maxIter int, log_loss double")
+
+
+def boosted_losses(tr):
     """Mean log loss over the folds left out for every depth, rate and number of
     rounds. Boosting with fewer rounds is a prefix of boosting with more, so a
     (depth, rate) is boosted once per fold, all of them together."""
@@ -433,7 +445,7 @@ def _left_out(sums: np.ndarray, what: int, point: int, per_point: int = M.FOLDS,
 @register("gbt_search_scores")
 def gbt_search_scores(spark, sf):
     """The log losses behind ``gbt_classify`` (no SQL: tested against a twin)."""
-    return gbt_scores(_train_test(spark, sf)[0])
+    return boosted_losses(_train_test(spark, sf)[0])
 
 
 @register("gbt_classify", _sized(_values([(d, x, r) for d in GBT_AXES["maxDepth"] for x in GBT_AXES["stepSize"] for r in GBT_ROUNDS],
@@ -441,7 +453,7 @@ def gbt_search_scores(spark, sf):
                                  "maxDepth, CAST(stepSize AS DOUBLE) AS stepSize, maxIter, true AS loss_positive, true AS best_below_start"))
 def gbt_classify(spark, sf):
     tr, _ = _train_test(spark, sf)
-    t = gbt_scores(tr)
+    t = boosted_losses(tr)
     best = t.agg(F.min("log_loss")).first()[0]
     n_train, n_fold0 = tr.agg(F.count("*"), F.count_if(F.col("fold") == 0)).first()
     # before the first round: log(2)
@@ -460,6 +472,22 @@ def random_draws() -> list[dict]:
 
 
 def random_search_scores(tr, te):
+    """With Spark's own learner: root mean squared error of the probability, mean of the validation folds, per
+    draw, and of the best draw (fitted on all train rows) on the test rows."""
+    gbt = GBTClassifier(featuresCol="features", labelCol="label", seed=42)
+    maps = M.to_param_maps(gbt, random_draws())
+
+    def rmse(model, held):
+        p = M.positive_probability(model.transform(held), out="p")
+        return p.agg(F.sqrt(F.avg(F.pow(F.col("p") - F.col("label"), 2)))).first()[0]
+
+    scores = M.cross_validate(gbt, maps, tr, score=rmse)
+    best = min(range(len(maps)), key=lambda k: (scores[k], k))
+    t = M.search_table(tr.sparkSession, maps, scores, "rmse")
+    return t, rmse(gbt.copy(maps[best]).fit(tr), te)
+
+
+def boosted_errors(tr, te):
     """Root mean squared error of the probability, mean of the folds left out, per
     draw, and of the best draw on the test rows. Per draw, a model on all train rows
     is boosted beside those of the folds."""
@@ -481,7 +509,7 @@ def random_search_scores(tr, te):
 @register("random_search_errors")
 def random_search_errors(spark, sf):
     """The errors behind ``random_search``, the best draw's test error beside it (no SQL: tested against a twin)."""
-    table, error = random_search_scores(*_train_test(spark, sf))
+    table, error = boosted_errors(*_train_test(spark, sf))
     low = table.agg(F.min("rmse")).first()[0]
     return table.withColumn("test_rmse", F.when(F.col("rmse") == low, F.lit(error)))
 
@@ -492,7 +520,7 @@ def random_search_errors(spark, sf):
 def random_search(spark, sf):
     """Uniform draws of boosting parameters."""
     tr, te = _train_test(spark, sf)
-    t, test_rmse = random_search_scores(tr, te)
+    t, test_rmse = boosted_errors(tr, te)
     n_train, n_fold0 = tr.agg(F.count("*"), F.count_if(F.col("fold") == 0)).first()
     return t.select("maxDepth", "maxIter", "stepSize", F.lit(n_train).cast("long").alias("n_train"),
                     F.lit(n_fold0).cast("long").alias("n_fold0"), F.col("rmse").between(0, 1).alias("in_range"),
