@@ -1,9 +1,13 @@
 """Trees and boosting grown from histograms equal twins that search every split of plain rows."""
 
+import functools
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
+from vistaframe.operators import batched as B
 from vistaframe.operators import models as M
 from vistaframe.operators import trees as T
 from vistaframe.registry import models as RM
@@ -170,3 +174,24 @@ def test_searches_hold_out_every_fold(spark, monkeypatch):
     assert got[2] == pytest.approx(np.mean(losses), abs=1e-6) and got[2] < got[1] < np.log(2)
     table, error = RM.boosted_errors(tr, te)
     assert 0 < table.first()["rmse"] < 0.5 and 0 < error < 0.5
+
+
+def test_shares_come_from_the_model_that_did_not_see_the_row(spark, data):
+    x, y, fold = data
+    df = frame(spark, x, y, fold)
+    blocks = T.Binned(df)
+    forest = T.grow(blocks, [{"maxDepth": 3}], [*range(5), T.ALL])
+    blocks.release()
+    own = np.arange(6)
+    base = functools.partial(T.tree_shares, cuts=blocks.cuts, trees=forest.arrays(own), sums=forest.sums[own], depth=3)
+    lines = functools.partial(B.linear_shares, weights=np.arange(24.0).reshape(6, 4) / 24 - 0.5)
+    got = B.add_shares(df, {"tree": base, "line": lines}, F.col("fold")).collect()
+    trees = [twin_tree(x[fold != k], y[fold != k], 3, "gini", 1, 2) for k in range(5)]
+    weights = np.arange(24.0).reshape(6, 4) / 24 - 0.5
+    for r in got:
+        row, k = [r["a"], r["b"], r["c"]], r["fold"]
+        assert r["p_tree"] == 0.5 or float(r["p_tree"] > 0.5) == trees[k](row, 3)
+        assert r["p_line"] == pytest.approx(1 / (1 + np.exp(-(np.dot(row, weights[k][:3]) + weights[k][3]))))
+    whole = twin_tree(x, y, 3, "gini", 1, 2)
+    for r in B.add_shares(df, {"tree": base}, F.lit(-1)).collect():
+        assert r["p_tree"] == 0.5 or float(r["p_tree"] > 0.5) == whole([r["a"], r["b"], r["c"]], 3)

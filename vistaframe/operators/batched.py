@@ -22,11 +22,13 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel, cloudpickle
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of this module
 
@@ -250,3 +252,31 @@ def train_networks(blocks: Blocks, nets: list[Network], rounds: int, seed: int =
 def network_accuracies(blocks: Blocks, nets: list[Network], folds: int) -> np.ndarray:
     state = ([(n.weights, n.activation, n.held) for n in nets], folds)
     return accuracies(blocks.total(network_hits, state, np.zeros((2, folds + 1, len(nets)))))
+
+
+def share(margin: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(margin, -500, 500)))
+
+
+def linear_shares(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    return share(with_one(x) @ weights.T)
+
+
+def network_shares(x: np.ndarray, nets: list[tuple]) -> np.ndarray:
+    return np.stack([share(margins(x, w, a)[0]) for w, a in nets], axis=1)
+
+
+def add_shares(df: DataFrame, bases: dict[str, Callable], fold: Column, features: str = "features") -> DataFrame:
+    """Adds ``p_<name>``, the probability of label 1 by the model that didn't see the row. A base maps rows to
+    rows x (one column per fold left out, then that of the model of all rows, which serves fold -1)."""
+    fns = list(bases.values())
+
+    @F.pandas_udf(ArrayType(DoubleType()))
+    def shares(vectors: pd.Series, folds: pd.Series) -> pd.Series:
+        x, at = np.array(vectors.tolist(), "float64").reshape(len(vectors), -1), folds.to_numpy()
+        rows = np.arange(len(x))
+        got = np.stack([fn(x)[rows, at] for fn in fns], axis=1) if len(x) else np.zeros((0, len(fns)))
+        return pd.Series(list(got))
+
+    out = df.withColumn("_shares", shares(vector_to_array(features), fold))
+    return out.withColumns({f"p_{k}": F.col("_shares")[i] for i, k in enumerate(bases)}).drop("_shares")

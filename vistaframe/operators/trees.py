@@ -229,11 +229,11 @@ def impurity(sums: np.ndarray, entropy: np.ndarray) -> np.ndarray:
 
 def grow(blocks: Binned, points: list[dict], held: list[int]) -> Forest:
     """A classification tree per (point, held fold), in this order, to depth ``maxDepth``. Points:
-    ``impurity`` (gini or entropy), ``minInstancesPerNode`` and ``minRowsToSplit`` (2, if not given)."""
+    ``impurity`` (gini, if not given, or entropy), ``minInstancesPerNode`` (1) and ``minRowsToSplit`` (2)."""
     held_all = np.tile(held, len(points))
     depths = np.repeat([p["maxDepth"] for p in points], len(held))
-    entropy = np.repeat([p["impurity"] == "entropy" for p in points], len(held))
-    least = np.repeat([p["minInstancesPerNode"] for p in points], len(held))
+    entropy = np.repeat([p.get("impurity", "gini") == "entropy" for p in points], len(held))
+    least = np.repeat([p.get("minInstancesPerNode", 1) for p in points], len(held))
     to_split = np.repeat([p.get("minRowsToSplit", 2) for p in points], len(held))
 
     def gain(models, left, total):
@@ -267,6 +267,14 @@ def tree_accuracies(blocks: Binned, forest: Forest, depth: int, folds: int) -> n
     return np.concatenate(out, axis=2)
 
 
+def tree_shares(x: np.ndarray, cuts: list[np.ndarray], trees: tuple, sums: np.ndarray, depth: int) -> np.ndarray:
+    """Rows x trees: share of class 1 in the node of each row at a depth; 0 without rows learned from."""
+    codes = np.stack([np.searchsorted(c, x[:, k]) for k, c in enumerate(cuts)], axis=1)
+    at = walk(codes, trees, depth)
+    got = sums[np.arange(at.shape[1])[None, :], at]
+    return got[..., 1] / np.maximum(got[..., 0], 1.0)
+
+
 PULL, LEAST_SLOPE = 1.0, 1.0  # penalty of squared leaf values; least second derivative of a child
 
 

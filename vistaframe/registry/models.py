@@ -8,14 +8,14 @@ the scores; those have an exact SQL twin. The functions behind the keys
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import itertools
 import random
 
 import numpy as np
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
-                                       MultilayerPerceptronClassifier)
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
@@ -206,18 +206,26 @@ SPLIT_AXIS = {"minRowsToSplit": list(range(2, 11))}
 TREE_DRAWS = 20
 
 
+def _kind(point: dict) -> tuple:
+    return tuple(sorted((k, v) for k, v in point.items() if k != "maxDepth"))
+
+
+def grown_trees(blocks: T.Binned, maps: list[dict], held: list[int]) -> tuple[list[tuple], T.Forest, np.ndarray]:
+    """Points that differ in depth only are one tree per held fold, read at several depths: (kinds of points,
+    their trees, accuracy by depth, fold and tree)."""
+    deepest, kinds = max(m["maxDepth"] for m in maps), sorted({_kind(m) for m in maps})
+    forest = T.grow(blocks, [{**dict(k), "maxDepth": deepest} for k in kinds], held)
+    return kinds, forest, T.tree_accuracies(blocks, forest, deepest, M.FOLDS)
+
+
 def tree_scores(tr, maps: list[dict]):
-    """Mean accuracy over the folds left out, per point. Points that differ in depth only
-    are one tree per fold, read at several depths."""
-    deepest = max(TREE_AXES["maxDepth"])
-    kinds = sorted({tuple(sorted((k, v) for k, v in m.items() if k != "maxDepth")) for m in maps})
+    """Mean accuracy over the folds left out, per point."""
     blocks = T.Binned(tr)
-    forest = T.grow(blocks, [{**dict(k), "maxDepth": deepest} for k in kinds], list(range(M.FOLDS)))
-    by_fold = T.tree_accuracies(blocks, forest, deepest, M.FOLDS)
+    kinds, _, by_fold = grown_trees(blocks, maps, list(range(M.FOLDS)))
     blocks.release()
 
     def score(m):
-        kind = kinds.index(tuple(sorted((k, v) for k, v in m.items() if k != "maxDepth")))
+        kind = kinds.index(_kind(m))
         return float(np.mean([by_fold[m["maxDepth"] - 1, k, kind * M.FOLDS + k] for k in range(M.FOLDS)]))
 
     names = sorted(maps[0])
@@ -321,22 +329,40 @@ NEIGHBOURS = list(range(1, 26))
 
 
 def _stack_layers() -> list[dict]:
-    """Spark's own network as base of the stack: the searched layer sizes."""
-    return [{"layers": [len(FEATURES), *h, 2]} for h in MLP_AXES["hidden"]]
-
-
-def tuned_bases(tr):
-    """The base learners with the best parameters of their searches (ties: the first)."""
-    searches = {
-        "logreg": (LogisticRegression(featuresCol="features", labelCol="label", maxIter=100),
-                   [{"regParam": r} for r in M.logreg_grid(tr.count(), strengths())]),
-        "tree": (DecisionTreeClassifier(featuresCol="features", labelCol="label", seed=42), M.full_grid(TREE_AXES)),
-        "mlp": (MultilayerPerceptronClassifier(featuresCol="features", labelCol="label", maxIter=MLP_ROUNDS, seed=42), _stack_layers())}
-    bases = {}
-    for name, (est, points) in searches.items():
-        maps = M.to_param_maps(est, points)
-        scores = M.cross_validate(est, maps, tr)
-        bases[name] = est.copy(maps[min(range(len(maps)), key=lambda k: (-scores[k], k))])
+    """The networks that the stack chooses from: the draws of the search."""
+    return [{**m, "layers": [len(FEATURES), *m["hidden"], 2]} for m in _mlp_draws()]
+
+
+def _best(by_point: list[np.ndarray]) -> int:
+    """The point of the best mean accuracy over the folds left out (ties: the first)."""
+    means = [float(np.mean(a)) for a in by_point]
+    return min(range(len(means)), key=lambda k: (-means[k], k))
+
+
+def searched_bases(tr) -> dict:
+    """The best model of each search with those of its folds, as functions from rows to probabilities. The searches
+    have trained a model without each fold and one on all rows, so nothing is fitted again."""
+    held, per, folds = [*range(M.FOLDS), B.ALL], M.FOLDS + 1, range(M.FOLDS)
+    cs, w, blocks = logreg_models(tr)
+    hits = B.accuracies(blocks.total(B.linear_hits, (w.reshape(len(cs) * per, -1), M.FOLDS), np.zeros((2, per, len(cs) * per))))
+    bases = {"logreg": functools.partial(B.linear_shares, weights=w[_best([hits[folds, [i * per + k for k in folds]] for i in range(len(cs))])])}
+
+    maps = M.full_grid(TREE_AXES)
+    binned = T.Binned(tr)
+    kinds, forest, by_fold = grown_trees(binned, maps, held)
+    binned.release()
+    best = maps[_best([by_fold[m["maxDepth"] - 1, folds, [kinds.index(_kind(m)) * per + k for k in folds]] for m in maps])]
+    own = np.arange(per) + kinds.index(_kind(best)) * per
+    bases["tree"] = functools.partial(T.tree_shares, cuts=binned.cuts, trees=forest.arrays(own), sums=forest.sums[own], depth=best["maxDepth"])
+
+    points = _stack_layers()
+    nets = [B.Network(tuple(p["layers"][1:-1]), p.get("activation", "tanh"), p.get("solver", "adam"), p.get("alpha", 0.01), k)
+            for p in points for k in held]
+    B.train_networks(blocks, nets, MLP_ROUNDS)
+    hits = B.network_accuracies(blocks, nets, M.FOLDS)
+    blocks.release()
+    best = _best([hits[folds, [i * per + k for k in folds]] for i in range(len(points))])
+    bases["mlp"] = functools.partial(B.network_shares, nets=[(n.weights, n.activation) for n in nets[best * per:(best + 1) * per]])
     return bases
 
 
@@ -363,24 +389,10 @@ def stacking_scores(tr, te):
     models (the best of each search, and nearest neighbours), of their best
     soft vote, and on the original features. The second level learns from
     out-of-fold probabilities."""
-    bases = tuned_bases(tr)
-
-    def with_probs(df, models):
-        out = df
-        for k, m in models.items():
-            out = M.positive_probability(m.transform(out).select(*out.columns, "probability"), out=f"p_{k}").drop("probability")
-        return out
-
-    def fit(rows):
-        return {k: est.fit(rows) for k, est in bases.items()}
-
-    unseen = None
-    for k in range(M.FOLDS):
-        part = with_probs(tr.filter(F.col("fold") == k), fit(tr.filter(F.col("fold") != k)))
-        unseen = part if unseen is None else unseen.unionByName(part)
+    bases = searched_bases(tr)
     near_train, near_test, _ = neighbour_shares(tr, te)
-    unseen = unseen.join(near_train, "id").checkpoint()
-    tested = with_probs(te, fit(tr)).join(near_test, "id").checkpoint()
+    unseen = B.add_shares(tr, bases, F.col("fold")).join(near_train, "id").checkpoint()
+    tested = B.add_shares(te, bases, F.lit(-1)).join(near_test, "id").checkpoint()
     names = [*bases, "knn"]
     votes = EN.soft_vote_wide(unseen, {k: f"p_{k}" for k in names}, label="label")
     best = votes.orderBy(F.col("accuracy").desc(), "subset").first()["subset"].split("+")
@@ -396,6 +408,12 @@ def stacking_scores(tr, te):
     return tr.sparkSession.createDataFrame([(k, float(row[k])) for k in shown], "model string, test_accuracy double")
 
 
+@register("stacking_accuracies")
+def stacking_accuracies(spark, sf):
+    """The test accuracies behind ``stacking``, the neighbours' among them (no SQL: the parts are tested against twins)."""
+    return stacking_scores(*_train_test(spark, sf))
+
+
 @register("stacking", with_("census", extra=SIZES) + f"SELECT model, n_test, true AS in_range, true AS stack_reaches_majority FROM "
           f"(SELECT unnest({STACK_MODELS!r}) AS model), z")
 def stacking(spark, sf):
