@@ -1,11 +1,14 @@
 import random
 
 import numpy as np
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import awkward
 from vistaframe.llm import linear, mixture, nb_svm, toxicity_chain
-from vistaframe.llm.common import id_remainder, prepare
+from vistaframe.llm.common import id_remainder, materialise, prepare
 
 
 def labelled(seed=3, n=300):
@@ -158,3 +161,42 @@ def test_mixture_gives_every_small_source_its_target(spark, monkeypatch):
     in_memory = {r.doc_id: r.weight for r in mixture.calibrate(docs)[0].collect()}
     assert by_joins.keys() == in_memory.keys() == got.keys()
     assert all(abs(by_joins[i] - w) < 1e-9 * max(w, 1) for i, w in in_memory.items())
+
+
+def test_mixture_budget_survives_a_rare_source(spark, monkeypatch):
+    monkeypatch.setattr(mixture, "ROUNDS", 3)
+    text = "some words of a plain text here"
+    rows = [(i, f"{text} {i}", "big", "en") for i in range(1500)] + [(i, f"{text} {i}", "mid", "en") for i in range(1500, 2000)]
+    plain = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    rare = plain.unionByName(spark.createDataFrame([(9999, "one rare", "rare", "en"), (9998, None, None, None)], plain.schema))
+    kept = {k: {r.doc_id for r in mixture.sample(d, token_share=0.6).collect()} for k, d in (("plain", plain), ("rare", rare))}
+    assert abs(len(kept["plain"]) - 1200) < 100 and 9999 in kept["rare"]
+    assert len(kept["plain"] ^ (kept["rare"] - {9999, 9998})) < 100  # two documents change little
+    out = materialise(mixture.calibrate(rare, token_share=0.6)[0], "mixture_test")
+    total, expected = out.agg(F.sum("tokens"), F.sum(F.col("tokens") * F.col("probability"))).first()
+    assert expected == pytest.approx(0.6 * total) and out.agg(F.max("probability")).first()[0] <= 1
+    shares = {(r.axis, r.category): r for r in mixture.reached(out).collect()}
+    assert shares["source", "rare"].expected < shares["source", "rare"].target  # all there is
+    assert shares["source", "mid"].target > 0.25 and shares["source", "mid"].expected == pytest.approx(shares["source", "mid"].target, abs=0.02)
+    assert sum(r.expected for r in shares.values()) == pytest.approx(3)
+    assert mixture.reached(mixture.calibrate(rare.limit(0), token_share=0.6)[0]).count() == 0
+    in_memory = {r.doc_id: r.probability for r in out.collect()}
+    monkeypatch.setattr(mixture, "CELLS", 1)
+    by_joins = {r.doc_id: r.probability for r in mixture.calibrate(rare, token_share=0.6)[0].collect()}
+    assert in_memory == pytest.approx(by_joins, abs=1e-6)
+
+
+@given(st.lists(st.tuples(st.integers(1, 10**6), st.floats(1e-3, 1e3)), min_size=1, max_size=12), st.floats(0.01, 1.5))
+def test_mixture_scale_meets_the_budget(cells, share):
+    n, w = np.array([c[0] for c in cells], float), np.array([c[1] for c in cells])
+    scale = mixture._scale(lambda s: (n[s * w >= 1].sum(), (n * w)[s * w < 1].sum()), share * n.sum())
+    assert (n * np.minimum(1, scale * w)).sum() == pytest.approx(min(share, 1.0) * n.sum(), rel=1e-6)
+
+
+def test_mixture_ties_and_very_long_text(spark):
+    long = "alpha " * 200_000 + "omega " * 200_000
+    docs = spark.createDataFrame([(1, long, "a", "en"), (2, "omega alpha", "a", "en"), (2, "omega alpha", "a", "en"), (3, "", "b", "en")],
+                                 "doc_id long, text string, source string, lang string")
+    out = mixture.calibrate(docs, token_share=0.5)[0].collect()
+    assert {r.doc_id: r.tokens for r in out} == {1: 400_000, 2: 2, 3: 1} and len(out) == 4
+    assert len({(r.topic, r.sampled) for r in out if r.doc_id == 2}) == 1

@@ -3,9 +3,13 @@
 Documents fall into cells of (source, language, topic). The cells' token sums
 are raked until their marginals are the targets; a cell's calibrated over its
 observed tokens is its weight, and a document is kept with a probability in
-proportion to its cell's weight (the largest weight: 1), decided by a hash of
-its id and text. So the expected tokens of the sample have the target
-marginals, and no larger sample without repeats has.
+proportion to its cell's weight, decided by a hash of its id and text. Without
+``token_share`` the largest weight has probability 1: the expected tokens have
+the target marginals, and no larger sample without repeats has; but one rare
+category can make that sample small. With ``token_share`` the sample is to hold
+this share of all tokens: probabilities are scaled up to it and end at 1, so a
+scarce category is kept whole and the others fill the budget in proportion to
+their weights. ``reached`` reports where that misses a target.
 
 Targets are shares of named categories, where ``"*"`` stands for all others
 together and without it the others keep the share they have; or a power: then
@@ -25,6 +29,8 @@ or dropped together; an empty table gives no rows; other columns take no part.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,6 +41,7 @@ OTHER, NO_TOPIC = "*", "none"
 SPACE = r"[\x20\x09-\x0D]+"
 SOURCE_TARGETS, LANG_TARGETS = 0.7, 0.9  # powers: large sources shrink, small ones grow
 CELLS = 50_000  # rows of a table that may go to the driver and to all tasks
+TOKEN_SHARE = 0.6  # of all tokens, the budget of the query and the pipeline
 TOPIC_WORDS, TOPIC_POWER = 2, 0.9  # words a language, power of the topics' own shares
 TOPIC_CHARS, TOPIC_SHARE = 5, 0.2  # at least so long, in at most this share of the documents
 
@@ -114,7 +121,18 @@ def _axis(sums: dict[str, float], targets: dict[str, float] | float) -> tuple[li
     return names, _shares(np.array([float(sums.get(n, 0)) for n in names]), names, targets)
 
 
-def _weights_in_memory(cells: DataFrame, targets: list) -> DataFrame:
+def _scale(sums: Callable[[float], tuple[float, float]], budget: float) -> float:
+    """s with sum over cells of tokens x min(1, s x weight) = budget, or all cells that have a weight kept whole.
+    ``sums(s)``: tokens of the cells with s x weight >= 1, weight x tokens of the others."""
+    scale = 0.0
+    while True:
+        whole, rest = sums(scale)
+        if rest <= 0 or (budget - whole) / rest <= scale * (1 + 1e-12):
+            return scale
+        scale = (budget - whole) / rest
+
+
+def _weights_in_memory(cells: DataFrame, targets: list, token_share: float | None = None) -> DataFrame:
     rows = sorted(tuple(r) for r in cells.select(*AXES, "n").collect())
     tokens = np.array([r[3] for r in rows], float)
     places, shares = [], []
@@ -127,13 +145,16 @@ def _weights_in_memory(cells: DataFrame, targets: list) -> DataFrame:
         places.append(np.array([place[r[k]] for r in rows], int))
         shares.append(share)
     weight = _fit(tokens, places, shares) * tokens.sum() / tokens
-    chance = weight / max(weight.max(initial=0.0), 1e-300)
+    scale = 1.0 / max(weight.max(initial=0.0), 1e-300)
+    if token_share is not None:
+        scale = _scale(lambda s: (tokens[s * weight >= 1].sum(), (weight * tokens)[s * weight < 1].sum()), token_share * tokens.sum())
+    chance = np.minimum(weight * scale, 1.0)
     return F.broadcast(cells.sparkSession.createDataFrame(
         [(*r[:3], w, c) for r, w, c in zip(rows, weight.tolist(), chance.tolist())],
         "s string, l string, t string, weight double, probability double"))
 
 
-def _weights_by_joins(cells: DataFrame, targets: list) -> DataFrame:
+def _weights_by_joins(cells: DataFrame, targets: list, token_share: float | None = None) -> DataFrame:
     """The same by grouped sums and joins, written once a round."""
     spark, total = cells.sparkSession, cells.agg(F.sum("n")).first()[0]
     goals = []
@@ -159,14 +180,24 @@ def _weights_by_joins(cells: DataFrame, targets: list) -> DataFrame:
         fitted = fitted.checkpoint()
         if worst < TOLERANCE:
             break
-    weighed = fitted.select(*AXES, (F.col("f") * F.lit(float(total)) / F.col("n")).alias("weight"))
-    most = max(weighed.agg(F.max("weight")).first()[0], 1e-300)
-    return weighed.withColumn("probability", F.col("weight") / F.lit(most)).checkpoint()
+    weighed = fitted.select(*AXES, "n", (F.col("f") * F.lit(float(total)) / F.col("n")).alias("weight")).checkpoint()
+
+    def sums(s: float) -> tuple[float, float]:
+        whole = F.col("weight") * F.lit(float(s)) >= 1
+        row = weighed.agg(F.sum(F.when(whole, F.col("n"))), F.sum(F.when(~whole, F.col("n") * F.col("weight")))).first()
+        return float(row[0] or 0), float(row[1] or 0)
+
+    if token_share is None:
+        scale = 1.0 / max(weighed.agg(F.max("weight")).first()[0], 1e-300)
+    else:
+        scale = _scale(sums, token_share * total)
+    return weighed.select(*AXES, "weight", F.least(F.col("weight") * F.lit(scale), F.lit(1.0)).alias("probability")).checkpoint()
 
 
 def calibrate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
               lang_col: str = "lang", source_targets: dict | float = SOURCE_TARGETS, lang_targets: dict | float = LANG_TARGETS,
-              topic_words_each: int = TOPIC_WORDS, topic_power: float = TOPIC_POWER, seed: int = 5, with_rows: bool = False) -> tuple[DataFrame, list[str]]:
+              topic_words_each: int = TOPIC_WORDS, topic_power: float = TOPIC_POWER, seed: int = 5, token_share: float | None = None,
+              with_rows: bool = False) -> tuple[DataFrame, list[str]]:
     """(per row ``doc_id, source_group, lang_group, topic, tokens, weight,
     probability, sampled``; the topic words). ``with_rows`` adds the rows of
     ``docs`` as a struct ``_all``; without it, texts are cut into words once
@@ -190,12 +221,26 @@ def calibrate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     if not with_rows:
         celled = materialise(celled.drop("_all"), "mixture_cells")
     cells = materialise(celled.groupBy(*AXES).agg(F.sum("tokens").alias("n")), "mixture_sums")
-    weights = (_weights_in_memory if cells.count() <= CELLS else _weights_by_joins)(cells, [source_targets, lang_targets, topic_power])
+    rake_cells = _weights_in_memory if cells.count() <= CELLS else _weights_by_joins
+    weights = rake_cells(cells, [source_targets, lang_targets, topic_power], token_share)
     out = celled.join(weights, list(AXES)).withColumn("sampled", F.col("draw") < F.col("probability"))
     return out.select(*(["_all"] if with_rows else []), "doc_id", F.col("s").alias("source_group"), F.col("l").alias("lang_group"),
                       F.col("t").alias("topic"), "tokens", "weight", "probability", "sampled"), chosen
 
 
+def reached(calibrated: DataFrame) -> DataFrame:
+    """Per axis and category of a calibrated table: its target share of the tokens and the share that the sample is
+    expected to hold (both null where nothing has a weight)."""
+    axes = F.array(*[F.struct(F.lit(a).alias("axis"), F.col(c).alias("category"))
+                     for a, c in (("source", "source_group"), ("lang", "lang_group"), ("topic", "topic"))])
+    sums = (calibrated.select(F.explode(axes).alias("_at"), "tokens", "weight", "probability")
+            .groupBy("_at.axis", "_at.category")
+            .agg(F.sum(F.col("tokens") * F.col("weight")).alias("wanted"), F.sum(F.col("tokens") * F.col("probability")).alias("kept")))
+    every = Window.partitionBy("axis")
+    return sums.select("axis", "category", F.try_divide("wanted", F.sum("wanted").over(every)).alias("target"),
+                       F.try_divide("kept", F.sum("kept").over(every)).alias("expected"))
+
+
 def sample(docs: DataFrame, **options) -> DataFrame:
     """The sampled rows of ``docs``, all columns."""
     return calibrate(docs, with_rows=True, **options)[0].filter("sampled").select("_all.*")

@@ -97,7 +97,7 @@ def op7(spark, sf_dir):
 
 @query("op5_mixture")
 def op5(spark, sf_dir):
-    return mixture.calibrate(read_table(spark, sf_dir, "documents"))[0]
+    return mixture.calibrate(read_table(spark, sf_dir, "documents"), token_share=mixture.TOKEN_SHARE)[0]
 
 
 @query("op11_importance_resampling")
