@@ -69,9 +69,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def target_mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample with the target shares of sources, languages and topics."""
+    """A sample of a set share of the tokens, by the target shares of sources,
+    languages and topics; categories too small for their share are kept whole."""
     prepare(spark)
-    return mixture.sample(docs)
+    return mixture.sample(docs, token_share=mixture.TOKEN_SHARE)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
