@@ -17,21 +17,24 @@ def _least(edges: DataFrame) -> DataFrame:
     return materialise(edges.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), "star_least")
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node of the distinct ``edges`` (u > v) has one role: a centre, or a leaf of one centre."""
+    role = lambda c, leaf: F.struct(F.col(c).alias("node"), F.lit(leaf).alias("leaf"))
+    roles = edges.select(F.explode(F.array(role("u", 1), role("v", 0))).alias("r")).groupBy("r.node").agg(
+        F.sum("r.leaf").alias("leaf"), F.min("r.leaf").alias("least"))
+    return roles.filter((F.col("leaf") > 1) | ((F.col("leaf") == 1) & (F.col("least") == 0))).isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """``links`` (a, b: long) -> ``node, component``: the smallest node reachable; nodes without links are absent."""
     edges = materialise(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                         .filter("u <> v").distinct(), "links")
-    state = None
-    while True:
+    while not _are_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = both.join(_least(both), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = materialise(large.distinct(), "large_star")  # u > v throughout
+        large = materialise(large, "large_star")  # u > v throughout; a row per edge at most
         small = large.join(_least(large), "u")
         edges = materialise(small.select("u", F.col("m").alias("v")).unionByName(
             small.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct(), "small_star")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
     return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
