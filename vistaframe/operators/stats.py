@@ -183,6 +183,18 @@ def density_curve(df: DataFrame, value: str, by, grid_points: int = 64, resoluti
     return dens.select(*by, "g", "x", (F.col("s") / (F.col("n") * F.col("bw") * math.sqrt(2 * math.pi))).alias("density"))
 
 
+def smoothed_ecdf(df: DataFrame, value: str, by, grid_points: int = 64) -> DataFrame:
+    """Kernel-smoothed cumulative share per group: the trapezoid sum of
+    ``density_curve`` along its grid, scaled to end at 1. Only the grid is
+    ordered, never the rows. A group of one value has null shares."""
+    by = _cols(by)
+    along = Window.partitionBy(*by).orderBy("g")
+    area = (F.col("density") + F.lag("density").over(along)) / 2 * (F.col("x") - F.lag("x").over(along))
+    d = density_curve(df, value, by, grid_points).withColumn("__area", F.coalesce(area, F.col("density") * 0))
+    total = F.sum("__area").over(Window.partitionBy(*by))
+    return d.select(*by, "g", "x", (F.sum("__area").over(along) / total).alias("cum_share"))
+
+
 # --------------------------------------------------------- co-movement
 def pairwise_long(df: DataFrame, key: str = "asset", time_col: str = "d", value: str = "r",
                   include_self: bool = True) -> DataFrame:
@@ -274,6 +286,52 @@ def trend_by_bin(df: DataFrame, by: str, x: str, y: str, width: float) -> DataFr
                    F.avg((F.col(y) > F.col(x)).cast("double")).alias("share_over")))
 
 
+def local_regression(df: DataFrame, by, x: str, y: str, grid_points: int = 64, share: float = 0.2) -> DataFrame:
+    """Smoothed trend line ``by, g, x, fit, slope, weight``: at each point of
+    an even grid over a group's range of x, a straight line fitted by least
+    squares with tricube weights of the rows within ``share`` of the range.
+
+    A row adds its weighted moments to the grid points it reaches; moments are
+    sums, so tasks combine them before the shuffle and a row of a hot group
+    costs no more than one of any other. Offsets are measured from the grid
+    point in bandwidths, which keeps the normal equations well scaled.
+    Rows with a null or non-finite x or y take no part. Where the rows in reach
+    have one x, the fit is their mean and the slope null; a grid point that no
+    row reaches has a null fit and weight 0. A group of one x has one point.
+    """
+    by = _cols(by)
+    inf = float("inf")
+    finite = lambda c: F.col(c).cast("double").alias(c)
+    rows = df.select(*by, finite(x), finite(y)).filter(
+        (F.abs(F.col(x)) < inf) & (F.abs(F.col(y)) < inf))  # NaN is larger than any number
+    st = rows.groupBy(*by).agg(F.min(x).alias("__lo"), F.max(x).alias("__hi"))
+    st = st.select(*by, "__lo", ((F.col("__hi") - F.col("__lo")) / (grid_points - 1)).alias("__step"),
+                   ((F.col("__hi") - F.col("__lo")) * share).alias("__h"))
+    last = F.when(F.col("__step") > 0, grid_points - 1).otherwise(0)
+    at = lambda edge: F.coalesce(edge / F.nullif(F.col("__step"), F.lit(0.0)), F.lit(0.0))
+    low = F.greatest(F.ceil(at(F.col(x) - F.col("__h") - F.col("__lo"))), F.lit(0))
+    high = F.least(F.floor(at(F.col(x) + F.col("__h") - F.col("__lo"))), last)
+    grid_x = F.col("__lo") + F.col("__g") * F.col("__step")
+    near = (join_back(rows, st, by).filter(low <= high)  # a row between two points may reach none
+            .select(*by, x, y, "__lo", "__step", "__h", F.explode(F.sequence(low, high)).alias("__g"))
+            .withColumn("__u", F.coalesce((F.col(x) - grid_x) / F.nullif(F.col("__h"), F.lit(0.0)), F.lit(0.0))))
+    w = F.pow(1 - F.pow(F.least(F.abs("__u"), F.lit(1.0)), F.lit(3.0)), F.lit(3.0))
+    u, v = F.col("__u"), F.col(y)
+    near = near.withColumn("__w", w)
+    w = F.col("__w")
+    sums = near.groupBy(*by, "__g").agg(F.sum(w).alias("s0"), F.sum(w * u).alias("s1"), F.sum(w * u * u).alias("s2"),
+                                        F.sum(w * v).alias("t0"), F.sum(w * u * v).alias("t1"))
+    points = st.select(*by, "__lo", "__step", "__h", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))).alias("__g"))
+    both = join_back(points, sums, [*by, "__g"], "left")
+    s0, s1, s2, t0, t1 = (F.col(c) for c in ("s0", "s1", "s2", "t0", "t1"))
+    det = s0 * s2 - s1 * s1
+    solvable = det > 1e-9 * s0 * s2
+    return both.select(
+        *by, F.col("__g").alias("g"), grid_x.alias("x"),
+        F.when(solvable, (s2 * t0 - s1 * t1) / det).when(s0 > 0, t0 / s0).alias("fit"),
+        F.when(solvable, (s0 * t1 - s1 * t0) / det / F.col("__h")).alias("slope"), F.coalesce(s0, F.lit(0.0)).alias("weight"))
+
+
 # ---------------------------------------------------------- top-n & pivot
 def top_n_with_other(counts: DataFrame, group: str, token: str, n_col: str = "n", top: int = 9,
                      other: str = "Other", digits: int = 4) -> DataFrame:

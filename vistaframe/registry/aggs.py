@@ -274,6 +274,26 @@ def ecdf_by_group(spark, sf):
     return e.select("income", F.col("age").cast("bigint").alias("age"), "n", r6("cum_share").alias("cum_share"))
 
 
+@register("ecdf_smooth", with_("census", extra={"st": """
+SELECT income, count(age) AS n, 0.9 * least(stddev_samp(age), CASE WHEN (quantile_cont(age, 0.75) - quantile_cont(age, 0.25)) / 1.34 > 0
+   THEN (quantile_cont(age, 0.75) - quantile_cont(age, 0.25)) / 1.34 ELSE stddev_samp(age) END) * pow(CAST(count(age) AS DOUBLE), -0.2) AS bw,
+  min(age) AS lo, max(age) AS hi FROM census GROUP BY income""", "b": """
+SELECT c.income, lo + (floor((age - lo) / (bw / 50)) + 0.5) * (bw / 50) AS c, count(*) AS k
+FROM census c JOIN st ON c.income = st.income GROUP BY ALL""",
+  "p": """SELECT income, g, n, bw, lo - 3.0 * bw + g * (hi - lo + 2 * 3.0 * bw) / 63 AS x
+  FROM st, (SELECT range AS g FROM range(64))""",
+  "d": """SELECT p.income, p.g, p.x, sum(b.k * exp(-0.5 * ((p.x - b.c) / p.bw) * ((p.x - b.c) / p.bw))) AS y
+  FROM p JOIN b ON p.income = b.income GROUP BY p.income, p.g, p.x""",
+  "a": """SELECT income, g, x, coalesce((y + lag(y) OVER w) / 2 * (x - lag(x) OVER w), 0) AS area FROM d
+  WINDOW w AS (PARTITION BY income ORDER BY g)"""}) + """
+SELECT income, g, round(x, 6) + 0.0 AS x, round(sum(area) OVER (PARTITION BY income ORDER BY g ROWS UNBOUNDED PRECEDING)
+  / sum(area) OVER (PARTITION BY income), 6) + 0.0 AS cum_share FROM a""")
+def ecdf_smooth(spark, sf):
+    """``ecdf_by_group`` as a kernel-smoothed curve."""
+    e = T.smoothed_ecdf(A.census(spark, sf), "age", "income", grid_points=64)
+    return e.select("income", F.col("g").cast("bigint").alias("g"), r6("x").alias("x"), r6("cum_share").alias("cum_share"))
+
+
 @register("density_curve", with_("prices", extra={"lr": LOGRET, "x": "SELECT asset, r FROM lr WHERE r IS NOT NULL", "st": """
 SELECT asset, count(r) AS n, 0.9 * least(stddev_samp(r), CASE WHEN (quantile_cont(r, 0.75) - quantile_cont(r, 0.25)) / 1.34 > 0
    THEN (quantile_cont(r, 0.75) - quantile_cont(r, 0.25)) / 1.34 ELSE stddev_samp(r) END) * pow(CAST(count(r) AS DOUBLE), -0.2) AS bw,
@@ -316,6 +336,22 @@ def trend_by_bin(spark, sf):
                     r6("share_over").alias("share_over"))
 
 
+@register("trend_smooth", with_("predictions", extra={
+    "st": "SELECT model, min(actual) AS lo, (max(actual) - min(actual)) / 63 AS step, (max(actual) - min(actual)) * 0.2 AS h FROM predictions GROUP BY model",
+    "p": "SELECT model, g, lo + g * step AS x, h FROM st, (SELECT range AS g FROM range(64))",
+    "w": """SELECT p.model, g, x, h, predicted AS y, (actual - x) / h AS u, pow(1 - pow(abs((actual - x) / h), 3), 3) AS w
+  FROM p JOIN predictions r ON r.model = p.model AND abs(r.actual - p.x) < p.h""",
+    "m": """SELECT model, g, x, h, sum(w) AS s0, sum(w * u) AS s1, sum(w * u * u) AS s2, sum(w * y) AS t0, sum(w * u * y) AS t1
+  FROM w GROUP BY model, g, x, h"""}) + """
+SELECT model, g, round(x, 4) + 0.0 AS x, round((s2 * t0 - s1 * t1) / (s0 * s2 - s1 * s1), 4) + 0.0 AS fit,
+  round((s0 * t1 - s1 * t0) / (s0 * s2 - s1 * s1) / h, 6) + 0.0 AS slope, round(s0, 4) + 0.0 AS weight FROM m""")
+def trend_smooth(spark, sf):
+    """Predicted over actual as a smoothed line per model."""
+    t = T.local_regression(A.predictions(spark, sf), "model", "actual", "predicted", grid_points=64, share=0.2)
+    return t.select("model", "g", *[r6(c, 4).alias(c) for c in ("x", "fit")], r6("slope").alias("slope"),
+                    r6("weight", 4).alias("weight"))
+
+
 @register("pair_summary_by_class", with_("census") + """
 SELECT income, round(corr(age, education_num), 6) + 0.0 AS corr_age_edu, round(corr(age, hours_per_week), 6) + 0.0 AS corr_age_hours,
   round(corr(education_num, hours_per_week), 6) + 0.0 AS corr_edu_hours, round(avg(age), 6) + 0.0 AS mean_age,
