@@ -104,3 +104,74 @@ def test_long_deltas_make_numbered_messages(spark):
     got = SN.alerts(delta, part_items=10).orderBy("part").collect()
     assert [r["part"] for r in got] == [0, 1, 2]
     assert [len(r["message"].split(",")) for r in got] == [10, 10, 5]
+
+
+def sent(spark, base):
+    return sorted((tuple(r) for r in SN.read_alerts(spark, f"{base}/out").collect()), key=str)
+
+
+def log(spark, base):
+    return sorted((tuple(r) for r in SN.read_alert_log(spark, f"{base}/out").collect()), key=str)
+
+
+@pytest.fixture(scope="module")
+def want_alerts(spark, want):
+    return sorted((tuple(r) for r in SN.alerts(spark.createDataFrame(want, SN.SCHEMA)).select(
+        "site", "snapshot", "part", "message", "stamp").collect()), key=str)
+
+
+def test_alerts_are_there_after_each_batch(spark, want_alerts):
+    base = tempfile.mkdtemp(prefix="vf-stream-")
+    by_day = [[r for r in ROWS if r[1] == d] for d in DAYS if any(r[1] == d for r in ROWS)]
+    for k, rows in enumerate(by_day):
+        write_files(spark, base, [rows])
+        run(spark, base, 1, with_alerts=True)
+        assert sent(spark, base) == [a for a in want_alerts if a[1] <= rows[0][1]], k
+    assert {r[5] for r in log(spark, base)} == {"send"}  # nothing came late
+
+
+def test_late_pieces_retract_alerts(spark):
+    base = tempfile.mkdtemp(prefix="vf-stream-")
+    write_files(spark, base, [[("s", DAYS[0], "a")], [("s", DAYS[2], "a"), ("s", DAYS[2], "b")]])
+    run(spark, base, 1, with_alerts=True)
+    assert [a[1:4] for a in sent(spark, base)] == [(DAYS[0], 0, "s update! a"), (DAYS[2], 0, "s update! b")]
+    write_files(spark, base, [[("s", DAYS[1], "b"), ("s", DAYS[1], "c")]])  # between the two: b was new there, a is new after it
+    run(spark, base, 1, with_alerts=True)
+    assert [a[1:4] for a in sent(spark, base)] == [
+        (DAYS[0], 0, "s update! a"), (DAYS[1], 0, "s update! b, c"), (DAYS[2], 0, "s update! a")]
+    assert [(r[3], r[5]) for r in log(spark, base) if r[6] == 2 and r[1] == DAYS[2]] == [
+        ("s update! a", "send"), ("s update! b", "retract")]
+    write_files(spark, base, [[("s", DAYS[1], "a")]])  # now nothing is new on the third day
+    run(spark, base, 1, with_alerts=True)
+    assert [a[1:4] for a in sent(spark, base)] == [(DAYS[0], 0, "s update! a"), (DAYS[1], 0, "s update! b, c")]
+
+
+def test_alerts_however_polls_arrive(spark, want_alerts):
+    base = tempfile.mkdtemp(prefix="vf-stream-")
+    rows = list(ROWS)
+    random.Random(9).shuffle(rows)
+    write_files(spark, base, [rows[i:i + 3] for i in range(0, len(rows), 3)])
+    run(spark, base, 1, with_alerts=True)
+    assert sent(spark, base) == want_alerts
+
+
+@pytest.mark.parametrize("step", ["after_stage", "after_delta"])
+def test_replay_sends_nothing_twice(spark, want_alerts, step):
+    """Killed between staging and commit: nothing of the batch is readable;
+    after the commit: the replay adds nothing."""
+    base = tempfile.mkdtemp(prefix="vf-stream-")
+    write_files(spark, base, [[r for r in ROWS if r[1] == d] for d in DAYS[:4]])
+    killed = []
+
+    def kill(batch_id):
+        if batch_id == 2 and not killed:
+            killed.append(log(spark, base))
+            raise RuntimeError("killed")
+
+    with pytest.raises(Exception, match="killed"):
+        run(spark, base, 1, with_alerts=True, **{step: kill})
+    assert max((r[6] for r in killed[0]), default=-1) < (2 if step == "after_stage" else 3)
+    run(spark, base, 1, with_alerts=True)
+    assert sent(spark, base) == [a for a in want_alerts if a[1] <= DAYS[3]]
+    whole = log(spark, base)
+    assert len(whole) == len(set(r[:6] for r in whole)) and set(killed[0]) <= set(whole)

@@ -14,9 +14,9 @@ from .text import BLACKLIST
 STEP_POLLS = 6  # polls that arrive together, fewer than the state keeps
 
 
-def _stream(spark, sf, tag, max_files, steps_at_once):
+def _stream(spark, sf, tag, max_files, steps_at_once, with_alerts=False):
     """Polls arrive in steps of STEP_POLLS dates; a run of the stream follows
-    every ``steps_at_once`` steps, from the same checkpoint."""
+    every ``steps_at_once`` steps, from the same checkpoint. -> output folder"""
     base = scratch_path(spark, f"stream-{tag}")
     snap = A.snapshots(spark, sf)
     snap.write.parquet(f"{base}/source")  # the table is scanned once, not per step
@@ -26,8 +26,9 @@ def _stream(spark, sf, tag, max_files, steps_at_once):
     for k, step in enumerate(steps):
         SN.write_poll_files(source, f"{base}/polls", step, files=3)
         if (k + 1) % steps_at_once == 0 or k + 1 == len(steps):
-            SN.start_delta_query(spark, f"{base}/polls", f"{base}/out", f"{base}/ckpt", max_files=max_files).awaitTermination()
-    return SN.read_output(spark, f"{base}/out")
+            SN.start_delta_query(spark, f"{base}/polls", f"{base}/out", f"{base}/ckpt", max_files=max_files,
+                                 with_alerts=with_alerts).awaitTermination()
+    return f"{base}/out"
 
 
 @register("stream_filter_items", delta_sql(False).split("nums AS")[0].rstrip().rstrip(",") + """
@@ -42,7 +43,7 @@ def stream_filter_items(spark, sf):
 
 @register("stream_snapshot_delta", delta_sql(True) + "SELECT * FROM delta")
 def stream_snapshot_delta(spark, sf):
-    return _stream(spark, sf, "delta", max_files=1, steps_at_once=1)
+    return SN.read_output(spark, _stream(spark, sf, "delta", max_files=1, steps_at_once=1))
 
 
 @register("stream_alert_sink", delta_sql(True) + f"""
@@ -51,12 +52,12 @@ SELECT site, snapshot, CAST(part AS INT) AS part, site || ' update! ' || array_t
 FROM (SELECT *, (row_number() OVER (PARTITION BY site, snapshot ORDER BY item) - 1) // {SN.ALERT_ITEMS} AS part FROM delta)
 GROUP BY site, snapshot, part""")
 def stream_alert_sink(spark, sf):
-    return SN.alerts(_stream(spark, sf, "alerts", max_files=3, steps_at_once=1)).select(
-        "site", "snapshot", "part", "message", "stamp")
+    """The messages that the stream itself has sent and not retracted."""
+    return SN.read_alerts(spark, _stream(spark, sf, "alerts", max_files=3, steps_at_once=1, with_alerts=True))
 
 
 @register("stream_recover", delta_sql(True) + "SELECT * FROM delta")
 def stream_recover(spark, sf):
     """Three steps of polls per run: the stream stops and starts again from
     its checkpoint, and the result equals a single uninterrupted run."""
-    return _stream(spark, sf, "recover", max_files=2, steps_at_once=3)
+    return SN.read_output(spark, _stream(spark, sf, "recover", max_files=2, steps_at_once=3))

@@ -19,6 +19,11 @@ batch reads the newest version older than itself, so a replayed batch (after a
 lost executor or a restart, also between the writes of one batch) recomputes
 the same output and overwrites its own partition. Versions that no replay can
 need are removed. State and deltas are ordinary distributed DataFrames.
+
+Alerts leave the stream with each batch, in two steps: the batch's messages are
+staged under its id, then a commit row makes them readable. A message that a
+late piece changes is retracted in the batch that sends its replacement. A
+replayed batch finds its commit and sends nothing again.
 """
 
 from __future__ import annotations
@@ -120,13 +125,43 @@ def alerts(delta: DataFrame, stamp_format: str = "dd/MM/yyyy HH:mm:ss", part_ite
                     F.date_format(F.col("snapshot").cast("timestamp"), stamp_format).alias("stamp"))
 
 
+def changed_alerts(delta: DataFrame, polls: DataFrame, state: DataFrame | None, part_items: int = ALERT_ITEMS) -> DataFrame:
+    """What a batch has to say: messages of its ``delta`` not sent before
+    (``send``), and those sent before for one of its ``polls`` that hold no more
+    (``retract``). What was sent follows from the state before the batch: a poll
+    that is not late has the one before it there, if it had one."""
+    new = alerts(delta, part_items=part_items)
+    if state is None:
+        return new.withColumn("action", F.lit("send"))
+    renamed = polls.select(F.col("site").alias("__s"), F.col("snapshot").alias("__t"))
+    before = anti_join_previous(state, skip_empty=True).select("site", "snapshot", "item")
+    before = before.join(renamed, before["site"].eqNullSafe(renamed["__s"]) & (before["snapshot"] == renamed["__t"]), "left_semi")
+    old = alerts(before, part_items=part_items)
+    return new.subtract(old).withColumn("action", F.lit("send")).unionByName(
+        old.subtract(new).withColumn("action", F.lit("retract")))
+
+
+def _send_alerts(changes: DataFrame, out_dir: str, batch_id: int, after_stage=None) -> None:
+    spark = changes.sparkSession
+    commit = f"{out_dir}/alert_commits/batch={batch_id}"
+    if path_exists(spark, f"{commit}/_SUCCESS"):
+        return
+    changes.write.mode("overwrite").parquet(f"{out_dir}/alerts/batch={batch_id}")
+    if after_stage:
+        after_stage(batch_id)
+    spark.range(1).select(F.current_timestamp().alias("at")).coalesce(1).write.mode("overwrite").parquet(commit)
+
+
 def start_delta_query(spark: SparkSession, polls_dir: str, out_dir: str, checkpoint: str,
                       max_files: int | None = 1, available_now: bool = True,
-                      processing_time: str = "90 seconds", keep_polls: int = KEEP_POLLS, after_delta=None):
+                      processing_time: str = "90 seconds", keep_polls: int = KEEP_POLLS, after_delta=None,
+                      with_alerts: bool = False, after_stage=None):
     """Start the change-detection stream. Outputs (parquet, one partition per
-    batch id): ``{out}/polls`` (versions), ``{out}/delta``, ``{out}/late``;
-    state under ``{out}/state``. ``after_delta(batch_id)`` runs between the
-    writes of output and state (for tests of recovery)."""
+    batch id): ``{out}/polls`` (versions), ``{out}/delta``, ``{out}/late``,
+    if asked for ``{out}/alerts`` with ``{out}/alert_commits``; state under
+    ``{out}/state``. ``after_delta(batch_id)`` runs between the writes of output
+    and state, ``after_stage(batch_id)`` between the two steps of the alerts
+    (for tests of recovery)."""
     state_dir = f"{out_dir}/state"
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -137,6 +172,10 @@ def start_delta_query(spark: SparkSession, polls_dir: str, out_dir: str, checkpo
         late.write.mode("overwrite").parquet(f"{out_dir}/late/batch={batch_id}")
         delta.write.mode("overwrite").parquet(f"{out_dir}/delta/batch={batch_id}")
         polls.write.mode("overwrite").parquet(f"{out_dir}/polls/batch={batch_id}")
+        if with_alerts:  # from what was just written: nothing is computed twice
+            written = [spark.read.schema(t.schema).parquet(f"{out_dir}/{n}/batch={batch_id}") for n, t in
+                       (("delta", delta), ("polls", polls))]
+            _send_alerts(changed_alerts(*written, prev), out_dir, batch_id, after_stage)
         if after_delta:
             after_delta(batch_id)
         new_state.write.mode("overwrite").parquet(f"{state_dir}/v={batch_id}")
@@ -148,6 +187,27 @@ def start_delta_query(spark: SparkSession, polls_dir: str, out_dir: str, checkpo
     return w.start()
 
 
+ALERT_SCHEMA = "site STRING, snapshot DATE, part INT, message STRING, stamp STRING"
+
+
+def read_alert_log(spark: SparkSession, out_dir: str) -> DataFrame:
+    """Every committed ``send`` and ``retract``, with its batch."""
+    if not path_exists(spark, f"{out_dir}/alert_commits"):
+        return spark.createDataFrame([], ALERT_SCHEMA + ", action STRING, batch INT")
+    commits = spark.read.schema("at TIMESTAMP, batch INT").parquet(f"{out_dir}/alert_commits").select("batch").distinct()
+    log = spark.read.schema(ALERT_SCHEMA + ", action STRING, batch INT").parquet(f"{out_dir}/alerts")
+    return log.join(commits, "batch", "left_semi").select(
+        "site", "snapshot", "part", "message", "stamp", "action", "batch")
+
+
+def read_alerts(spark: SparkSession, out_dir: str) -> DataFrame:
+    """The messages that hold: per part of a poll the last one sent, unless it
+    was retracted since."""
+    newest = F.max(F.struct("batch", (F.col("action") == "send").alias("sent"), "message", "stamp")).alias("m")
+    live = read_alert_log(spark, out_dir).groupBy("site", "snapshot", "part").agg(newest).filter("m.sent")
+    return live.select("site", "snapshot", "part", "m.message", "m.stamp")
+
+
 def read_output(spark: SparkSession, out_dir: str) -> DataFrame:
     """New items, each poll's in its latest version."""
     if not path_exists(spark, f"{out_dir}/polls"):
