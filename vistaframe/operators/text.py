@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructType
+
+from ..functions.html import Rule, elements
 
 # Fixed token classes of the built-in tagger, tested in this order.
 TOKEN_CLASSES = [
@@ -53,6 +59,33 @@ def extract_elements(df: DataFrame, html: str, pattern: str, out: str = "element
     return df.select(*keep, F.explode(F.regexp_extract_all(F.col(html), F.lit(pattern), 1)).alias(out))
 
 
+def select_elements(df: DataFrame, page: str, rules: list[Rule], keep=()) -> DataFrame:
+    """One row per element of the page that a rule names: the ``keep`` columns,
+    ``kind, ord`` (place among the page's named elements), ``element`` (inner
+    HTML) and ``text``. Nested and malformed pages are read as they stand (see
+    ``functions.html``); a null page has no elements. Rows stay where they are:
+    no shuffle."""
+    base = df.select(*keep, F.col(page).alias("__page"))
+    kept = len(base.columns) - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, out = [], []
+            for k, text in enumerate(batch.column(kept)):
+                for n, e in enumerate(elements(text.as_py() or "", rules)):
+                    rows.append(k)
+                    out.append((n, *e))
+            taken = batch.select(range(kept)).take(pa.array(rows, pa.int64()))
+            kinds = [pa.array([o[i] for o in out], t) for i, t in ((1, pa.string()), (0, pa.int32()), (2, pa.string()), (3, pa.string()))]
+            yield pa.RecordBatch.from_arrays([*taken.columns, *kinds], names=names)
+
+    schema = StructType(base.schema.fields[:kept])
+    for name, kind in (("kind", StringType()), ("ord", IntegerType()), ("element", StringType()), ("text", StringType())):
+        schema = schema.add(name, kind)
+    names = schema.fieldNames()
+    return base.mapInArrow(run, schema)
+
+
 def char_first_positions(df: DataFrame, text: str, keep=()) -> DataFrame:
     """For every character position, the 0-based index of the first
     occurrence of that character in the string."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalars as X
+from ..functions.html import Rule
 from ..oracle import with_
 from ..operators import joins as J
 from ..operators import stats as T
@@ -97,6 +98,19 @@ def extract_elements(spark, sf):
     return ads.unionByName(links)
 
 
+ELEMENTS = [Rule("ad", "div", cls="ad"), Rule("link", "a", parent="li")]
+
+
+@register("select_elements", f"""
+SELECT page_id, 'ad' AS kind, unnest(regexp_extract_all(html, '(?s){AD}', 1)) AS element FROM pages
+UNION ALL SELECT page_id, 'link', unnest(regexp_extract_all(html, '(?s){LINK}', 1)) FROM pages""")
+def select_elements(spark, sf):
+    """``extract_elements`` by tag, class and parent instead of a pattern; elements
+    of several lines, which the pattern there misses, are among them."""
+    p = TX.select_elements(read_table(spark, sf, "pages"), "html", ELEMENTS, keep=["page_id"])
+    return p.select("page_id", "kind", "element")
+
+
 @register("math_functions", with_("prices") + """
 SELECT d, asset, round(ln(close), 6) + 0.0 AS ln_close, round(sqrt(close), 6) + 0.0 AS sqrt_close,
   CAST(ceil(close) AS BIGINT) AS ceil_close, round_even(ln(close), 4) + 0.0 AS ln_close_4,
