@@ -202,3 +202,30 @@ def test_meetings_of_blocks(spark, monkeypatch, listed):
             (3, 13, 7, 8, 50, 60), (4, 14, 9, 9, 50, 60), (4, 15, 9, 9, 50, 60)]
     at = prepare(spark).createDataFrame(rows, "key long, block long, c0 long, c1 long, n0 long, n1 long")
     assert sorted(map(tuple, signature_join._meetings(at, 80).collect())) == [(10, 11), (13, 13)]
+
+
+@pytest.mark.parametrize("classes,tile", [(0, 16), (2, 1), (1000, 16)])
+def test_components_however_keys_are_paired(spark, monkeypatch, classes, tile):
+    """Classes paired one by one, in tiles of blocks, or both ways: the same components."""
+    monkeypatch.setattr(signature_join, "BLOCK_SETS", 4)
+    monkeypatch.setattr(signature_join, "KEY_CLASSES", classes)
+    monkeypatch.setattr(signature_join, "TILE_BLOCKS", tile)
+    rows = corpus(78)
+    got = {r.doc_id: (r.n_shingles, r.component_id)
+           for r in signature_join.similar_components(awkward(prepare(spark), rows), words=3, percent=80).collect()}
+    assert got == components(rows, 3, 80)
+
+
+def test_a_block_is_copied_once_a_tile(spark):
+    """64 blocks that all meet, in 2080 pairs: a copy per pair would be 4096 or more of them."""
+    ids = [(p << 33) + k for p in range(8) for k in range(8)]
+    blocks = prepare(spark).createDataFrame([(i, b"x") for i in ids], "block long, payload binary")
+    meet = spark.createDataFrame([(i, j) for i in ids for j in ids if i <= j], "i long, j long")
+    rows = signature_join._tiles(meet, blocks).collect()
+    asked = [r for r in rows if r.block is None]
+    assert sorted((p.i, p.j) for r in asked for p in r.pairs) == sorted((i, j) for i in ids for j in ids if i <= j)
+    held = {}
+    for r in rows:
+        held.setdefault((r.ti, r.tj), set()).add(r.block)
+    assert all({p.i, p.j} <= held[r.ti, r.tj] for r in asked for p in r.pairs)
+    assert len(asked) > 100 and len(rows) - len(asked) < 1300

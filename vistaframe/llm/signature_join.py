@@ -17,10 +17,12 @@ compared.
 1. For each shared key, every class against the one among its classes that
    shares most of its own keys. The links found join copies of one
    text, however many, without their pairs.
-2. A key whose classes are all in one component is done. The classes of the
-   others are laid out in blocks, related ones side by side; two blocks meet if
-   they share such a key among classes of different components and of sizes
-   that can be linked. Members of a block with bitmaps of one length are one
+2. A key whose classes are all in one component is done. The classes of another
+   that few have are paired one by one, and pairs that pass the bound compared. The
+   classes of the rest are laid out in blocks, related ones side by side; two blocks
+   meet if they share such a key among classes of different components and of sizes
+   that can be linked. Blocks meet in tiles of neighbours, so that one is copied once
+   per tile and not once per block that it meets. Members of a block with bitmaps of one length are one
    signature tree, whose nodes hold the OR of their members' bitmaps and their
    range of sizes. Two trees are traversed together, at the shorter of the two
    lengths: a pair of nodes is dropped when no member pair can overlap enough, or
@@ -53,7 +55,9 @@ from .exact_dedup import bit_set, mark_held, repeated_keys
 PARTS = 1.5  # of a set, times the most differences plus one
 FILTER_ROWS = 1024  # bit sets of 1024 * 4 KB
 BLOCK_SETS = 512
+KEY_CLASSES = 16  # classes of a key that are paired one by one
 KEY_BLOCKS = 64  # blocks of a key that are listed in one row
+TILE_BLOCKS = 16  # blocks on each side of a tile, about
 CHUNK_PAIRS = 64  # pairs that share one copy of a set when they are compared
 MIN_BITS, MAX_BITS, BITS_PER_SHINGLE = 256, 16384, 8  # of a signature: a power of two
 LEAF = 16
@@ -361,16 +365,46 @@ def _pairs_of_blocks(x: list[tuple], y: list[tuple] | None, percent: int) -> lis
 
 
 def _block_pairs(percent: int):
+    """Rows of a tile stand together, its pairs of blocks first, then the blocks."""
+    def found(pairs: list, members: dict) -> Iterator[pa.RecordBatch]:
+        for i, j in pairs:
+            links = _pairs_of_blocks(members[i], None if i == j else members[j], percent)
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in links], pa.int64()),
+                                                  pa.array([x[1] for x in links], pa.int64())], names=["a", "b"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, pairs, members = None, [], {}
         for batch in batches:
-            for i, j, x, y in zip(*(batch.column(c).to_pylist() for c in ("i", "j", "x", "y"))):
-                found = _pairs_of_blocks(pickle.loads(x), None if i == j else pickle.loads(y), percent)
-                if found:
-                    yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.int64()),
-                                                      pa.array([f[1] for f in found], pa.int64())], names=["a", "b"])
+            for ti, tj, block, asked, payload in zip(*(batch.column(c).to_pylist() for c in ("ti", "tj", "block", "pairs", "payload"))):
+                if (ti, tj) != at:
+                    yield from found(pairs, members)
+                    at, pairs, members = (ti, tj), [], {}
+                if block is None:
+                    pairs = [(p["i"], p["j"]) for p in asked]
+                else:
+                    members[block] = pickle.loads(payload)
+        yield from found(pairs, members)
     return run
 
 
+def _tiles(meet: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Rows for ``_block_pairs``: a block goes once to each tile of (i, j) that needs it. A block's id is its
+    partition and its place there, so neighbours in the layout fall into one tile."""
+    place = (1 << 33) - 1
+    count, most = blocks.agg(F.count(F.lit(1)), F.max(F.col("block").bitwiseAND(F.lit(place))) + 1).first()
+    size = min(TILE_BLOCKS, max(1, count // TILE_BLOCKS))  # few blocks: small tiles, for the sake of many tasks
+    parts = max(1, size // (most or 1))  # neighbouring partitions of few blocks each are one tile
+    tile = lambda c: F.expr(f"(shiftright({c}, 33) div {parts}) * {place + 1} + ({c} & {place}) div {size}")
+    placed = meet.select("i", "j", tile("i").alias("ti"), tile("j").alias("tj"))
+    asked = placed.groupBy("ti", "tj").agg(F.collect_list(F.struct("i", "j")).alias("pairs"))
+    needed_blocks = placed.select("ti", "tj", F.explode(F.array("i", "j")).alias("block")).distinct()
+    rows = needed_blocks.join(blocks.select("block", "payload"), "block").unionByName(asked, allowMissingColumns=True)
+    partitions = int(meet.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.select("ti", "tj", "block", "pairs", "payload").repartition(partitions, "ti", "tj").sortWithinPartitions(
+        "ti", "tj", F.col("block").asc_nulls_first())
+
+
 def _of_nodes(rows: DataFrame, nodes: DataFrame, name: str, scratch: Scratch) -> DataFrame:
     """``rows`` (column ``node``) without most of those of other nodes: a bit
     set keeps them out of the shuffle that a join needs."""
@@ -378,6 +412,29 @@ def _of_nodes(rows: DataFrame, nodes: DataFrame, name: str, scratch: Scratch) ->
     return mark_held(rows, F.xxhash64("node"), bits, FILTER_ROWS, "_in").filter("_in").drop("_in")
 
 
+def _pairs_of_keys(members: DataFrame, percent: int) -> DataFrame:
+    """``a, b, n, m``: classes of different components and of near sizes that share a key, from ``key, node,
+    component, n`` of keys that at most KEY_CLASSES classes have. Equal lists of classes are paired once."""
+    lists = members.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("node", "component", "n"))).alias("held"))
+    pair = F.transform("held", lambda x, k: F.transform(F.slice("held", k + 2, F.lit(KEY_CLASSES)),
+                                                        lambda y: F.struct(x.alias("x"), y.alias("y"))))
+    pairs = lists.select("held").distinct().select(F.explode(F.flatten(pair)).alias("p")).filter("p.x.component <> p.y.component")
+    pairs = pairs.select(*(F.col(f"p.{c}").alias(name) for c, name in (("x.node", "a"), ("y.node", "b"), ("x.n", "n"), ("y.n", "m"))))
+    return pairs.filter(100 * F.least("n", "m") >= percent * F.greatest("n", "m")).distinct()
+
+
+def _hopeful(pairs: DataFrame, classes: DataFrame, percent: int, name: str, scratch: Scratch) -> DataFrame:
+    """The written ``pairs`` (a, b, n, m) whose signatures allow a link."""
+    sides = _of_nodes(classes.select("node", "signature"), pairs.select(F.explode(F.array("a", "b")).alias("node")),
+                      f"{name}_nodes", scratch)
+    half = pairs.join(sides.select(F.col("node").alias("b"), F.col("signature").alias("y")), "b")
+    both = scratch.write(half, f"{name}_pairs").join(sides.select(F.col("node").alias("a"), F.col("signature").alias("x")), "a")
+    hopeful = scratch.write(both.select("a", "b", "x", "y", "n", "m").mapInArrow(lean(_bounded(percent)), "a long, b long").distinct(),
+                            f"{name}_hopeful")
+    scratch.release(f"{name}_pairs", f"{name}_nodes")
+    return hopeful
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int, name: str, scratch: Scratch) -> DataFrame:
     """The pairs whose sets are linked. Only texts of the ids in question are
     cut into shingles. A set goes once to each chunk of pairs that needs it: a
@@ -455,13 +512,8 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     pairs = pairs.filter(100 * F.least("n", "m") >= percent * F.greatest("n", "m")).distinct()
     pairs = scratch.write(pairs, "sized_pairs")
     scratch.release("centres")
-    sides = _of_nodes(classes.select("node", "signature"), pairs.select(F.explode(F.array("a", "b")).alias("node")),
-                      "star_nodes", scratch)
-    pairs = pairs.join(sides.select(F.col("node").alias("b"), F.col("signature").alias("y")), "b")
-    pairs = scratch.write(pairs, "star_pairs").join(sides.select(F.col("node").alias("a"), F.col("signature").alias("x")), "a")
-    hopeful = scratch.write(pairs.select("a", "b", "x", "y", "n", "m").mapInArrow(lean(_bounded(percent)), "a long, b long").distinct(),
-                            "star_hopeful")
-    scratch.release("sized_pairs", "star_pairs", "star_nodes")
+    hopeful = _hopeful(pairs, classes, percent, "star", scratch)
+    scratch.release("sized_pairs")
     stars = _verified(hopeful, texts, words, percent, "star_links", scratch)
     joined = scratch.write(components(stars), "star_components")
     scratch.release("star_hopeful", "star_links_dealt", "star_links_ids")
@@ -469,10 +521,14 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # 2. keys that still have several components
     known = members.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
     known = scratch.write(known.select("key", "node", "n", "component"), "known")
-    mixed = scratch.write(known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                          .filter("lo <> hi").select("key", "lo"), "mixed")
-    open_members = scratch.write(known.join(mixed, "key"), "open_members")
+    mixed = scratch.write(known.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("held"))
+                          .filter("lo <> hi").select("key", "lo", "held"), "mixed")
+    all_open = scratch.write(known.join(mixed, "key"), "all_open")
     scratch.release("members", "star_components", "known", "mixed")
+    few = scratch.write(_pairs_of_keys(all_open.filter(F.col("held") <= KEY_CLASSES), percent), "few_sized")
+    few = _hopeful(few, classes, percent, "few", scratch)
+    scratch.release("few_sized")
+    open_members = all_open.filter(F.col("held") > KEY_CLASSES)
     # a class has as many open keys as keys at most
     open_nodes = open_members.groupBy("node").agg(F.first("component").alias("component"), F.min("lo").alias("lo"),
                                                   F.collect_set("key").alias("keys"))
@@ -487,13 +543,11 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     at = open_members.join(place, "node").groupBy("key", "block").agg(
         F.min("component").alias("c0"), F.max("component").alias("c1"), F.min("n").alias("n0"), F.max("n").alias("n1"))
     at = scratch.write(at, "key_blocks")
-    scratch.release("open_members", "open_nodes")
+    scratch.release("all_open", "open_nodes")
     meet = scratch.write(_meetings(at, percent), "block_pairs")
-    loaded = (meet.join(blocks.select(F.col("block").alias("i"), F.col("payload").alias("x")), "i")
-              .join(blocks.select(F.col("block").alias("j"), F.col("payload").alias("y")), "j"))
-    near = scratch.write(loaded.select("i", "j", "x", "y").mapInArrow(lean(_block_pairs(percent)), "a long, b long").distinct(),
+    near = scratch.write(_tiles(meet, blocks).mapInArrow(lean(_block_pairs(percent)), "a long, b long").unionByName(few).distinct(),
                          "block_hopeful")
-    scratch.release("blocks", "key_blocks", "block_pairs")
+    scratch.release("blocks", "key_blocks", "block_pairs", "few_hopeful")
     rest = _verified(near, texts, words, percent, "block_links", scratch)
 
     # an id with several texts ties their classes together (more ids may seem repeated: that adds no link)
