@@ -91,3 +91,29 @@ def test_search_scores(spark, monkeypatch):
     monkeypatch.setattr(RM, "MLP_ROUNDS", 40)
     rows = RM.mlp_scores(tr).collect()
     assert len(rows) == 10 and max(r.cv_accuracy for r in rows) >= RM._majority(tr) - 0.02
+
+
+def test_equal_rows_are_one_row(spark):
+    """Rows that come often are held once, with their number by fold; the networks are those of the plain rows."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 3, (600, 2)).astype(float)
+    y = (x[:, 0] + rng.normal(size=600) > 1).astype(float)
+    rows = [(*map(float, r), float(v), int(k)) for r, v, k in zip(x, y, np.arange(600) % 5)]
+    df = M.assemble(spark.createDataFrame(rows, "a double, b double, label double, fold int"), ["a", "b"])
+    plain, counted = B.Blocks(df.repartition(3)), B.Counted(df.repartition(3))
+    held = counted._rdd.collect()
+    assert sum(len(b[0]) for b in held) == len({r[:3] for r in rows}) and sum(b[2].sum() for b in held) == 600
+    nets = [[B.Network((6,), a, s, 0.01, k) for a, s in (("tanh", "adam"), ("relu", "sgd")) for k in (0, 3, B.ALL)] for _ in range(2)]
+    for blocks, some in zip((plain, counted), nets):
+        B.train_networks(blocks, some, 20)
+    for a, b in zip(*nets):
+        assert all(np.allclose(v, w, atol=1e-8) for v, w in zip(a.weights, b.weights))
+    assert np.allclose(B.network_accuracies(plain, nets[0], 5), B.network_accuracies(counted, nets[0], 5))
+
+
+def test_counted_of_no_rows(spark):
+    df = M.assemble(spark.createDataFrame([], "a double, label double, fold int"), ["a"])
+    nets = [B.Network((2,), "tanh", "adam", 0.01, 0)]
+    blocks = B.Counted(df)
+    B.train_networks(blocks, nets, 2)
+    assert B.network_accuracies(blocks, nets, 5).max() == 0

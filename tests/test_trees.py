@@ -195,3 +195,27 @@ def test_shares_come_from_the_model_that_did_not_see_the_row(spark, data):
     whole = twin_tree(x, y, 3, "gini", 1, 2)
     for r in B.add_shares(df, {"tree": base}, F.lit(-1)).collect():
         assert r["p_tree"] == 0.5 or float(r["p_tree"] > 0.5) == whole([r["a"], r["b"], r["c"]], 3)
+
+
+def test_rows_of_the_same_bins_are_one_unit(spark, data, monkeypatch):
+    """A unit per code; what jobs send to the driver are splits, not histograms."""
+    monkeypatch.setattr(T, "PART_ROWS", 40)
+    monkeypatch.setattr(T, "CHUNK", 8)
+    x, y, fold = data
+    blocks = T.Binned(frame(spark, x, y, fold).repartition(4))
+    held = blocks._rdd.collect()
+    assert sum(len(b[0]) for b in held) == len({tuple(r) for r in x}) and sum(b[1].sum() for b in held) == 160
+    seen, before = [], T.Binned.chosen
+    monkeypatch.setattr(T.Binned, "chosen", lambda self, state, nodes, pick: seen.append((nodes, before(self, state, nodes, pick))) or seen[-1][1])
+    T.grow(blocks, [{"maxDepth": 4}], list(range(5)))
+    assert len(seen) == 4
+    for nodes, found in seen:
+        assert sum(len(f[0]) for f in found) == nodes and all(a.size <= 2 * len(f[0]) for f in found for a in f)
+    blocks.release()
+
+
+def test_features_counted_together():
+    sizes = [60, 25, 2, 2, 1, 13, 2, 64]
+    groups = T.joint_features(sizes)
+    assert sorted(k for g in groups for k in g) == list(range(8)) and len(groups) < 8
+    assert all(len(g) == 1 or np.prod([sizes[k] for k in g]) <= T.JOINT for g in groups)

@@ -4,7 +4,7 @@ Every model of a search, (fold, parameters), sees the same rows. So one job per
 step serves them all: tasks hold blocks of rows as matrices, get the parameters
 of all models, and send sums of fixed size (gradients, Gram matrices, losses,
 hits), which are added up in a tree over the tasks. The driver holds parameters
-only. Blocks come from a written checkpoint, so a lost executor costs a re-read.
+only. Networks get equal rows once, with their number (``Counted``). Blocks come from a written checkpoint, so a lost executor costs a re-read.
 
 ``newton``: logistic regressions by Newton steps on sums over rows. ``Networks``:
 multi-layer perceptrons by full-batch gradient steps (momentum with a rate that
@@ -26,7 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark import StorageLevel, cloudpickle
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
@@ -36,6 +36,24 @@ BLOCK_ROWS = 4096
 ALL = -1  # "fold" of a model that is fitted on all rows
 
 
+def vectors(column: pa.Array) -> np.ndarray:
+    """rows x values of lists of one length; null: NaN."""
+    values = column.flatten()
+    x = values.cast(pa.float64()).fill_null(float("nan")).to_numpy(zero_copy_only=False)
+    return x.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
+
+
+def few_parts(spark: SparkSession, rows: int, least: int) -> int:
+    """Parts for jobs that many steps repeat: one a core, if each has ``least`` rows; more when parts get very long."""
+    return max(1, min(-(-rows // least), max(spark.sparkContext.defaultParallelism, -(-rows // (least << 7)))))
+
+
+def fold_counts(fold: Column, folds: int, kinds: list[Column]) -> Column:
+    """Number of rows by fold (first the negative ones, then fold 0, 1, ...) and kind, in one array."""
+    inside = [fold < 0, *[fold == k for k in range(folds)]]
+    return F.array(*[F.count_if(i & k) for i in inside for k in kinds])
+
+
 class Blocks:
     """Rows as (features, label, fold) matrices, some thousand rows each."""
 
@@ -68,6 +86,44 @@ class Blocks:
         self._rdd.unpersist()
 
 
+class Counted(Blocks):
+    """Equal rows once, as (features, label, rows by fold) matrices: what a network does with a row it does with
+    all that equal it. The columns by fold: the negative ones, then fold 0, 1, ..."""
+
+    def __init__(self, df: DataFrame, features: str = "features", label: str = "label", fold: str = "fold"):
+        rows = df.select(vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y"), F.col(fold).cast("int").alias("f"))
+        rows = rows.filter("x is not null and y is not null and f is not null")
+        self.spark = df.sparkSession
+        count, top = rows.agg(F.count(F.lit(1)), F.max("f")).first()
+        parts = few_parts(self.spark, count, BLOCK_ROWS // 4)
+        counted = rows.groupBy("x", "y").agg(fold_counts(F.col("f"), max(top if top is not None else 0, 0) + 1, [F.lit(True)]).alias("t"))
+        counted = counted.repartition(parts, "x", "y").sortWithinPartitions("x", "y")
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held, count = [], 0
+
+            def out() -> pa.RecordBatch:
+                t = pa.Table.from_batches(held).combine_chunks()
+                x, y, t = (t.column(c).chunk(0) for c in ("x", "y", "t"))
+                block = (vectors(x), y.to_numpy(), vectors(t))
+                return pa.RecordBatch.from_arrays([pa.array([pickle.dumps(block)], pa.binary())], names=["block"])
+
+            for batch in batches:
+                for at in range(0, batch.num_rows, BLOCK_ROWS // 4):
+                    part = batch.slice(at, BLOCK_ROWS // 4)
+                    if count + part.num_rows > BLOCK_ROWS // 4:
+                        yield out()
+                        held, count = [], 0
+                    held, count = held + [part], count + part.num_rows
+            if count:
+                yield out()
+
+        self._rdd = (counted.mapInArrow(cut, "block binary").checkpoint().rdd.map(lambda r: pickle.loads(r[0]))
+                     .persist(StorageLevel.MEMORY_AND_DISK))
+        self._depth = 2  # the sums of networks are long: a few of them meet before the driver
+        self.features = next(iter(self._rdd.map(lambda b: b[0].shape[1]).take(1)), 0)
+
+
 def with_one(x: np.ndarray) -> np.ndarray:
     return np.concatenate([x, np.ones((len(x), 1))], axis=1)
 
@@ -168,32 +224,42 @@ def margins(x: np.ndarray, weights: list[np.ndarray], activation: str) -> tuple[
     return a[:, 0], got
 
 
-def gradient(x: np.ndarray, y: np.ndarray, weights: list[np.ndarray], activation: str) -> tuple[float, np.ndarray]:
-    """Sum of the log losses and its gradient, flat."""
+def gradient(x: np.ndarray, y: np.ndarray, weights: list[np.ndarray], activation: str,
+             times: np.ndarray | float = 1.0) -> tuple[float, np.ndarray]:
+    """Sum of the log losses and its gradient, flat; a row counts ``times``."""
     margin, got = margins(x, weights, activation)
     slope, grads = ACTIVATIONS[activation][1], []
-    back = (1.0 / (1.0 + np.exp(-np.clip(margin, -60, 60))) - y)[:, None]
+    back = ((1.0 / (1.0 + np.exp(-np.clip(margin, -60, 60))) - y) * times)[:, None]
     for k in range(len(weights) - 1, -1, -1):
         grads.append(np.concatenate([got[k].T @ back, back.sum(axis=0, keepdims=True)]))
         if k:
             back = (back @ weights[k][:-1].T) * slope(got[k])
-    return float((np.logaddexp(0.0, margin) - y * margin).sum()), np.concatenate([g.ravel() for g in reversed(grads)])
+    return float(((np.logaddexp(0.0, margin) - y * margin) * times).sum()), np.concatenate([g.ravel() for g in reversed(grads)])
+
+
+def times_of(f: np.ndarray, held: int) -> np.ndarray:
+    """How often each row counts for a model: ``f`` has the rows' folds, or their numbers by fold."""
+    if f.ndim == 1:
+        return (f != held).astype("float64")
+    return f.sum(axis=1) - (f[:, held + 1] if 0 <= held < f.shape[1] - 1 else 0.0)
 
 
 def network_sums(x, y, f, nets):
     """Rows, loss and gradient of every network, one after the other."""
     out = []
     for weights, activation, held in nets:
-        use = f != held
-        loss, grad = gradient(x[use], y[use], weights, activation)
-        out.append(np.r_[float(use.sum()), loss, grad])
+        times = times_of(f, held)
+        use = times > 0
+        loss, grad = gradient(x[use], y[use], weights, activation, times[use])
+        out.append(np.r_[float(times.sum()), loss, grad])
     return np.concatenate(out)
 
 
 def network_hits(x, y, f, state):
     nets, folds = state
     right = np.stack([(margins(x, w, a)[0] > 0) == (y > 0.5) for w, a, _ in nets], axis=1).astype("float64")
-    inside = np.stack([f == k for k in range(folds)] + [np.ones(len(f), bool)]).astype("float64")
+    every = times_of(f, ALL - 1)  # of no fold
+    inside = np.stack([every - times_of(f, k) for k in range(folds)] + [every])
     return np.stack([inside @ right, np.repeat(inside.sum(axis=1)[:, None], len(nets), axis=1)])
 
 

@@ -275,7 +275,7 @@ def _mlp_draws() -> list[dict]:
 def mlp_networks(tr, rounds: int | None = None) -> tuple[list[B.Network], B.Blocks]:
     """The networks of all draws and folds, trained in one batch."""
     nets = [B.Network(m["hidden"], m["activation"], m["solver"], m["alpha"], k) for m in _mlp_draws() for k in range(M.FOLDS)]
-    blocks = B.Blocks(tr)
+    blocks = B.Counted(tr)
     B.train_networks(blocks, nets, rounds or MLP_ROUNDS)
     return nets, blocks
 
@@ -358,6 +358,8 @@ def searched_bases(tr) -> dict:
     points = _stack_layers()
     nets = [B.Network(tuple(p["layers"][1:-1]), p.get("activation", "tanh"), p.get("solver", "adam"), p.get("alpha", 0.01), k)
             for p in points for k in held]
+    blocks.release()
+    blocks = B.Counted(tr)
     B.train_networks(blocks, nets, MLP_ROUNDS)
     hits = B.network_accuracies(blocks, nets, M.FOLDS)
     blocks.release()
