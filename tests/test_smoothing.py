@@ -83,3 +83,20 @@ def test_smoothed_ecdf(spark):
     for row in rows:
         exact = np.mean([0.5 * (1 + math.erf((row["x"] - v) / bw / math.sqrt(2))) for v in values])
         assert row["cum_share"] == pytest.approx(exact, abs=5e-3)
+
+
+def test_rows_are_not_copied_per_grid_point(spark, monkeypatch):
+    """Moments are added up inside tasks, whatever the kinds of groups and however small the tables that a task holds."""
+    monkeypatch.setattr(T, "MOMENT_ROWS", 7)
+    monkeypatch.setattr(T, "MOMENT_CELLS", 30)
+    r = random.Random(11)
+    points = {(a, b): [(r.uniform(0, 5), r.gauss(0, 1)) for _ in range(30)] for a in ("p", None) for b in (1, 2, None)}
+    df = spark.createDataFrame([(*k, *p) for k, ps in points.items() for p in ps], "a string, b int, x double, y double").repartition(3)
+    curve = T.local_regression(df, ["a", "b"], "x", "y", grid_points=12, share=0.4)
+    assert "Generate explode(sequence(cast(__low" not in curve._jdf.queryExecution().toString() and "MapInArrow" in curve._jdf.queryExecution().toString()
+    got = curve.collect()
+    assert len(got) == 12 * len(points)
+    for k, ps in points.items():
+        rows = sorted((r for r in got if (r["a"], r["b"]) == k), key=lambda r: r["g"])
+        for row, (gx, fit, slope) in zip(rows, direct(ps, 12, 0.4)):
+            assert row["x"] == pytest.approx(gx) and row["fit"] == pytest.approx(fit, abs=1e-8)

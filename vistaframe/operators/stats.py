@@ -9,12 +9,19 @@ once and inlined - never a window over all rows.
 from __future__ import annotations
 
 import math
+import sys
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from .keys import join_back
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of this module
+
 
 def _cols(x):
     return [x] if isinstance(x, str) else list(x)
@@ -286,13 +293,73 @@ def trend_by_bin(df: DataFrame, by: str, x: str, y: str, width: float) -> DataFr
                    F.avg((F.col(y) > F.col(x)).cast("double")).alias("share_over")))
 
 
+MOMENTS = ["s0", "s1", "s2", "t0", "t1"]  # sums of w, w * u, w * u^2, w * y, w * u * y
+MOMENT_ROWS, MOMENT_CELLS = 8192, 1 << 18  # rows that are added up together; grid points that a task holds at most
+
+
+def _moments(by: list[str], grid_points: int):
+    """Rows with the grid points that they reach (from __low to __high) -> sums per group and grid point."""
+    def run(batches):
+        held, count, sums = [], 0, {}
+
+        def add():
+            t = pa.Table.from_batches(held).combine_chunks()
+            group = np.zeros(t.num_rows, "int64")
+            for c in by:  # groups of this table, numbered
+                codes = t.column(c).chunk(0).dictionary_encode(null_encoding="encode")
+                group = group * len(codes.dictionary) + codes.indices.to_numpy()
+                group = np.unique(group, return_inverse=True)[1]
+            first = np.unique(group, return_index=True)[1] if by else np.zeros(1, "int64")
+            keys = list(zip(*(t.column(c).take(pa.array(first)).to_pylist() for c in by))) if by else [()]
+            x, y, lo, step, h, low, high = (t.column(c).to_numpy() for c in ("__x", "__y", "__lo", "__step", "__h", "__low", "__high"))
+            cells = len(keys) * grid_points
+            out = np.zeros((5, cells))
+            for j in range(int((high - low).max()) + 1):
+                at = np.flatnonzero(low + j <= high)
+                g, reach, v = low[at] + j, h[at], y[at]
+                u = np.where(reach > 0, (x[at] - (lo[at] + g * step[at])) / np.where(reach > 0, reach, 1.0), 0.0)
+                a = np.minimum(np.abs(u), 1.0)
+                w = 1.0 - a * a * a
+                w = w * w * w
+                cell, wu, wv = group[at] * grid_points + g, w * u, w * v
+                for k, weight in enumerate((w, wu, wu * u, wv, wv * u)):
+                    out[k] += np.bincount(cell, weight, cells)
+            for key, mine in zip(keys, out.reshape(5, len(keys), grid_points).transpose(1, 0, 2)):
+                sums[key] = sums[key] + mine if key in sums else mine
+
+        def out():
+            keys, g = list(sums), np.tile(np.arange(grid_points), len(sums))
+            every = np.concatenate(list(sums.values()), axis=1)
+            some = np.flatnonzero(every[0] != 0)  # no weight: nothing else either
+            owner = pa.array(some // grid_points)
+            fields = [pa.array([k[i] for k in keys], schema.field(c).type).take(owner) for i, c in enumerate(by)]
+            return pa.RecordBatch.from_arrays([*fields, pa.array(g[some], pa.int64()), *(pa.array(m[some]) for m in every)],
+                                              names=[*by, "__g", *MOMENTS])
+
+        for batch in batches:
+            schema = batch.schema
+            held.append(batch)
+            count += batch.num_rows
+            if count >= MOMENT_ROWS:
+                add()
+                held, count = [], 0
+                if len(sums) * grid_points > MOMENT_CELLS:
+                    yield out()
+                    sums = {}
+        if count:
+            add()
+        if sums:
+            yield out()
+    return run
+
+
 def local_regression(df: DataFrame, by, x: str, y: str, grid_points: int = 64, share: float = 0.2) -> DataFrame:
     """Smoothed trend line ``by, g, x, fit, slope, weight``: at each point of
     an even grid over a group's range of x, a straight line fitted by least
     squares with tricube weights of the rows within ``share`` of the range.
 
-    A row adds its weighted moments to the grid points it reaches; moments are
-    sums, so tasks combine them before the shuffle and a row of a hot group
+    A row adds its weighted moments to the grid points it reaches, as arrays inside
+    Arrow batches; moments are sums, so tasks combine them before the shuffle and a row of a hot group
     costs no more than one of any other. Offsets are measured from the grid
     point in bandwidths, which keeps the normal equations well scaled.
     Rows with a null or non-finite x or y take no part. Where the rows in reach
@@ -312,15 +379,12 @@ def local_regression(df: DataFrame, by, x: str, y: str, grid_points: int = 64, s
     low = F.greatest(F.ceil(at(F.col(x) - F.col("__h") - F.col("__lo"))), F.lit(0))
     high = F.least(F.floor(at(F.col(x) + F.col("__h") - F.col("__lo"))), last)
     grid_x = F.col("__lo") + F.col("__g") * F.col("__step")
-    near = (join_back(rows, st, by).filter(low <= high)  # a row between two points may reach none
-            .select(*by, x, y, "__lo", "__step", "__h", F.explode(F.sequence(low, high)).alias("__g"))
-            .withColumn("__u", F.coalesce((F.col(x) - grid_x) / F.nullif(F.col("__h"), F.lit(0.0)), F.lit(0.0))))
-    w = F.pow(1 - F.pow(F.least(F.abs("__u"), F.lit(1.0)), F.lit(3.0)), F.lit(3.0))
-    u, v = F.col("__u"), F.col(y)
-    near = near.withColumn("__w", w)
-    w = F.col("__w")
-    sums = near.groupBy(*by, "__g").agg(F.sum(w).alias("s0"), F.sum(w * u).alias("s1"), F.sum(w * u * u).alias("s2"),
-                                        F.sum(w * v).alias("t0"), F.sum(w * u * v).alias("t1"))
+    near = (join_back(rows, st, by).withColumns({"__low": low.cast("int"), "__high": high.cast("int")})
+            .filter("__low <= __high")  # a row between two points may reach none
+            .select(*by, F.col(x).alias("__x"), F.col(y).alias("__y"), "__lo", "__step", "__h", "__low", "__high"))
+    parts = near.mapInArrow(_moments(by, grid_points), StructType(
+        [rows.schema[c] for c in by] + [StructField("__g", LongType())] + [StructField(c, DoubleType()) for c in MOMENTS]))
+    sums = parts.groupBy(*by, "__g").agg(*[F.sum(c).alias(c) for c in MOMENTS])
     points = st.select(*by, "__lo", "__step", "__h", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))).alias("__g"))
     both = join_back(points, sums, [*by, "__g"], "left")
     s0, s1, s2, t0, t1 = (F.col(c) for c in ("s0", "s1", "s2", "t0", "t1"))
