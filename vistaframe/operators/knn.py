@@ -4,8 +4,9 @@ Exact neighbours of all queries among all reference rows take work in
 proportion to queries x rows. Both sides are cut into blocks; a grid of cells
 (group of query blocks x stripe of reference rows) is dealt out evenly, so no
 task holds more than one group of queries and one block of rows at a time,
-whatever the data. In a cell, a matrix product gives all distances up to
-rounding; pairs that can be among the first k are computed again in index
+whatever the data. There are as few stripes as keep all cores busy: a row is copied to
+each group, a query's bests to each stripe. In a cell, a matrix product gives all distances up to
+rounding; pairs that can be among the first k, given the k best so far, are computed again in index
 order, and each query keeps its k best. The cells' bests are merged by query.
 """
 
@@ -20,25 +21,29 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of this module
 
 BLOCK = 1024  # rows of one block
-QUERY_BLOCKS = 4  # query blocks of one cell
-STRIPE_ROWS = 16_384  # reference rows of one stripe, about
+QUERY_BLOCKS = 16  # query blocks of one cell, at most, about
+CELLS = 3  # cells a core, about
+MET_QUERIES = 2048  # queries that meet a block at a time
+EXACT_PAIRS = 1 << 16  # pairs that are computed again at a time
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (id, group, vec) -> pickled blocks (ids, groups, matrix)."""
-    held = []
+    """Rows (id, group, vec) -> pickled blocks (ids, groups, matrix in the vectors' own precision)."""
+    held, kind = [], "float64"
 
     def out(rows) -> pa.RecordBatch:
         ids, groups, vecs = zip(*rows)
-        block = (np.array(ids, "int64"), np.array([-1 if g is None else g for g in groups], "int64"), np.array(vecs, "float64"))
+        block = (np.array(ids, "int64"), np.array([-1 if g is None else g for g in groups], "int64"), np.array(vecs, kind))
         return pa.RecordBatch.from_arrays([pa.array([int(ids[0])], pa.int64()), pa.array([pickle.dumps(block)], pa.binary())],
                                           names=["first", "payload"])
 
     for batch in batches:
+        kind = "float32" if pa.types.is_float32(batch.schema.field("vec").type.value_type) else "float64"
         held += zip(*(batch.column(c).to_pylist() for c in ("id", "grp", "vec")))
         while len(held) >= BLOCK:
             yield out(held[:BLOCK])
@@ -48,38 +53,65 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class _Cell:
-    """The queries of a cell with their k best rows so far."""
+    """The queries of a cell with their k best rows so far, nearest first."""
 
     def __init__(self, payloads: list[bytes], k: int):
         parts = [pickle.loads(p) for p in payloads]
-        self.ids, self.groups, self.x = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        self.ids, self.groups, x = (np.concatenate([p[i] for p in parts]) for i in range(3))
+        self.x = x.astype("float64")
         self.square = (self.x * self.x).sum(axis=1)
         self.k = k
-        self.best = [[] for _ in self.ids]  # (distance, row id), nearest first
+        self.far = np.full((len(self.ids), k), np.inf)
+        self.near_ids = np.full((len(self.ids), k), np.iinfo("int64").max)
 
     def meet(self, payload: bytes, exclude: bool) -> None:
         ids, groups, y = pickle.loads(payload)
+        y = y.astype("float64")
         square = (y * y).sum(axis=1)
-        near = self.square[:, None] + square[None, :] - 2 * (self.x @ y.T)
-        slack = 1e-9 * (self.square[:, None] + square[None, :]) + 1e-300
-        if exclude:
-            near = np.where(self.groups[:, None] == groups[None, :], np.inf, near)
-        k = min(self.k, len(ids))
-        bound = np.partition(near + slack, k - 1, axis=1)[:, k - 1]
-        for i, row in enumerate(near - slack <= bound[:, None]):
-            at = np.flatnonzero(row & np.isfinite(near[i]))
-            if len(self.best[i]) == self.k:
-                at = at[near[i, at] - slack[i, at] <= self.best[i][-1][0] ** 2]
-            if len(at):
-                diff = self.x[i] - y[at]
-                exact = np.sqrt(np.cumsum(diff * diff, axis=1)[:, -1])  # summed in index order
-                self.best[i] = sorted(self.best[i] + list(zip(exact.tolist(), ids[at].tolist())))[:self.k]
+        finite = square[np.isfinite(square)]
+        most = float(finite.max()) if len(finite) else 0.0
+        for start in range(0, len(self.ids), MET_QUERIES):
+            part = slice(start, start + MET_QUERIES)
+            near = self.x[part] @ y.T
+            near *= -2.0
+            near += square
+            near += self.square[part, None]
+            if exclude:
+                near[self.groups[part, None] == groups[None, :]] = np.inf
+            slack = 1e-9 * (self.square[part] + most) + 1e-300  # of both roundings, at least
+            bound = self.far[part, -1] ** 2
+            fresh = np.flatnonzero(np.isinf(bound))  # fewer than k rows so far
+            if len(fresh) and len(ids) > self.k:
+                bound[fresh] = np.fmin(bound[fresh], np.partition(near[fresh], self.k - 1, axis=1)[:, self.k - 1] + slack[fresh])
+            query, row = np.nonzero(near <= (bound + slack)[:, None])
+            if len(fresh):
+                real = np.isfinite(near[query, row])
+                query, row = query[real], row[real]
+            if len(query):
+                self._keep(query + start, y, ids, row)
+
+    def _keep(self, query: np.ndarray, y: np.ndarray, ids: np.ndarray, row: np.ndarray) -> None:
+        exact = np.empty(len(query))
+        for at in range(0, len(query), EXACT_PAIRS):
+            some = slice(at, at + EXACT_PAIRS)
+            diff = self.x[query[some]] - y[row[some]]
+            exact[some] = np.sqrt(np.cumsum(diff * diff, axis=1)[:, -1])  # summed in index order
+        met = np.unique(query)
+        owner = np.concatenate([np.repeat(met, self.k), query])
+        far = np.concatenate([self.far[met].ravel(), exact])
+        own = np.concatenate([self.near_ids[met].ravel(), ids[row]])
+        order = np.lexsort((own, far, owner))
+        owner = owner[order]
+        order = order[np.arange(len(owner)) - np.searchsorted(owner, owner) < self.k]  # each of them has k at least
+        self.far[met], self.near_ids[met] = far[order].reshape(-1, self.k), own[order].reshape(-1, self.k)
 
     def rows(self) -> pa.RecordBatch:
-        found = [(int(q), r, d) for q, best in zip(self.ids, self.best) for d, r in best]
-        cols = list(zip(*found)) or [(), (), ()]
-        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
-                                           pa.array(cols[2], pa.float64())], names=["q_id", "r_id", "dist"])
+        found = np.isfinite(self.far)
+        some = found.any(axis=1)
+        ends = pa.array(np.r_[0, np.cumsum(found[some].sum(axis=1))].astype("int32"))
+        lists = pa.ListArray.from_arrays(ends, pa.StructArray.from_arrays(
+            [pa.array(self.far[found]), pa.array(self.near_ids[found])], names=["dist", "r_id"]))
+        return pa.RecordBatch.from_arrays([pa.array(self.ids[some]), lists], names=["q_id", "best"])
 
 
 def _cells(k: int, exclude: bool):
@@ -113,10 +145,13 @@ def knn(ref: DataFrame, query: DataFrame, k: int, id_col: str = "vec_id", vec: s
 
     def blocks(df):
         return df.select(F.col(id_col).cast("long").alias("id"), group.alias("grp"),
-                         F.col(vec).cast("array<double>").alias("vec")).mapInArrow(_blocks, "first long, payload binary")
+                         (F.col(vec) if single else F.col(vec).cast("array<double>")).alias("vec")).mapInArrow(
+                             _blocks, "first long, payload binary")
 
-    stripes = max(spark.sparkContext.defaultParallelism, -(-ref.count() // STRIPE_ROWS))
-    groups = max(1, -(-query.count() // (BLOCK * QUERY_BLOCKS)))
+    single = ref.schema[vec].dataType == query.schema[vec].dataType == ArrayType(FloatType())
+    cores, wanted = spark.sparkContext.defaultParallelism, -(-query.count() // BLOCK)
+    groups = max(1, min(wanted, max(cores, -(-wanted // QUERY_BLOCKS))))
+    stripes = max(1, min(-(-CELLS * cores // groups), -(-ref.count() // BLOCK)))
     place = lambda n, salt: F.pmod(F.xxhash64("first", F.lit(salt)), F.lit(n)).cast("int")
     asked = blocks(query).select(place(groups, 1).alias("g"), F.explode(F.sequence(F.lit(0), F.lit(stripes - 1))).alias("s"),
                                  F.lit(0).alias("side"), "first", "payload")
@@ -124,8 +159,8 @@ def knn(ref: DataFrame, query: DataFrame, k: int, id_col: str = "vec_id", vec: s
                                F.lit(1).alias("side"), "first", "payload")
     cells = asked.unionByName(given).select((F.col("g") * stripes + F.col("s")).alias("cell"), "side", "first", "payload")
     found = (cells.repartition(stripes * groups, "cell").sortWithinPartitions("cell", "side", "first")
-             .select("cell", "side", "payload").mapInArrow(_cells(k, exclude_same is not None), "q_id long, r_id long, dist double"))
-    best = F.slice(F.array_sort(F.collect_list(F.struct("dist", "r_id"))), 1, k)  # k per stripe at most
+             .select("cell", "side", "payload").mapInArrow(_cells(k, exclude_same is not None), "q_id long, best array<struct<dist double, r_id long>>"))
+    best = F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, k)  # k per stripe at most
     return (found.groupBy("q_id").agg(best.alias("b")).select("q_id", F.posexplode("b").alias("p", "b"))
             .select("q_id", F.col("b.r_id").alias("r_id"), F.col("b.dist").alias("dist"), (F.col("p") + 1).cast("int").alias("rank")))
 
