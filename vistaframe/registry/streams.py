@@ -19,7 +19,8 @@ def _stream(spark, sf, tag, max_files, steps_at_once, with_alerts=False):
     every ``steps_at_once`` steps, from the same checkpoint. -> output folder"""
     base = scratch_path(spark, f"stream-{tag}")
     snap = A.snapshots(spark, sf)
-    snap.write.parquet(f"{base}/source")  # the table is scanned once, not per step
+    # the table is scanned once, not per step; a step reads the files of its own polls
+    snap.repartitionByRange("snapshot").sortWithinPartitions("snapshot").write.parquet(f"{base}/source")
     source = spark.read.schema(SN.SCHEMA).parquet(f"{base}/source")
     dates = [r[0] for r in source.select("snapshot").distinct().orderBy("snapshot").collect()]  # the calendar
     steps = [dates[i:i + STEP_POLLS] for i in range(0, len(dates), STEP_POLLS)]

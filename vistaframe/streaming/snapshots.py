@@ -90,22 +90,36 @@ def split_late(batch: DataFrame, state: DataFrame | None, keep_polls: int = KEEP
     return known.filter(~late).select(*batch.columns), known.filter(late).select(*batch.columns)
 
 
+def _of_polls(rows: DataFrame, polls: DataFrame, how: str) -> DataFrame:
+    """The rows of these polls (``left_semi``) or of others (``left_anti``); a null site is a site, a null time no poll."""
+    renamed = polls.select(F.col("site").alias("__s"), F.col("snapshot").alias("__t"))
+    return rows.join(renamed, rows["site"].eqNullSafe(renamed["__s"]) & (rows["snapshot"] == renamed["__t"]), how)
+
+
 def delta_batch(batch: DataFrame, state: DataFrame | None, keep_polls: int = KEEP_POLLS):
     """``(polls, delta, new_state)`` of a batch given the state: the polls
     whose delta is computed anew, their new items, the polls kept per site."""
-    cur = batch.select("site", "snapshot", "item")
-    combined = (cur if state is None else cur.unionByName(state.select("site", "snapshot", "item"))).distinct()
+    cur = batch.select("site", "snapshot", "item").distinct()
+    mine = cur.select("site", "snapshot").distinct()
+    if state is not None:  # its rows are distinct: only polls that the batch adds to can repeat one
+        kept = state.select("site", "snapshot", "item")
+        added_to = _of_polls(kept, mine, "left_semi")
+        cur = cur.unionByName(added_to).distinct()
+        combined = cur.unionByName(_of_polls(kept, mine, "left_anti"))
+    else:
+        combined = cur
     present = combined.filter(F.col("item").isNotNull()).select("site", "snapshot").distinct()
-    touched = cur.filter(F.col("item").isNotNull()).select("site", "snapshot", F.lit(True).alias("__touched")).distinct()
+    touched = batch.filter(F.col("item").isNotNull()).select("site", "snapshot", F.lit(True).alias("__touched")).distinct()
     by_time = Window.partitionBy("site").orderBy("snapshot")
     same = (present["site"].eqNullSafe(touched["site"])) & (present["snapshot"] == touched["snapshot"])
     marked = present.join(touched, same, "left").select(present["site"], present["snapshot"], "__touched")
-    polls = (marked.withColumn("__before", F.lag("__touched").over(by_time))
-             .filter(F.coalesce("__touched", F.lit(False)) | F.coalesce("__before", F.lit(False)))
-             .select("site", "snapshot"))
-    delta = anti_join_previous(combined, skip_empty=True).select("site", "snapshot", "item")
-    renamed = polls.select(F.col("site").alias("__s"), F.col("snapshot").alias("__t"))
-    delta = delta.join(renamed, delta["site"].eqNullSafe(renamed["__s"]) & (delta["snapshot"] == renamed["__t"]), "left_semi")
+    anew = F.coalesce("__touched", F.lit(False)) | F.coalesce(F.lag("__touched").over(by_time), F.lit(False))
+    marked = marked.withColumn("__anew", anew).withColumn("__next", F.coalesce(F.lead("__anew").over(by_time), F.lit(False)))
+    polls = marked.filter("__anew").select("site", "snapshot")
+    # a poll's delta takes its own rows and those of the one before it
+    compared = _of_polls(combined, marked.filter("__anew or __next").select("site", "snapshot"), "left_semi")
+    delta = anti_join_previous(compared, skip_empty=True).select("site", "snapshot", "item")
+    delta = _of_polls(delta, polls, "left_semi")
     newest = Window.partitionBy("site").orderBy(F.col("snapshot").desc())
     last = (present.withColumn("__rk", F.row_number().over(newest)).filter(F.col("__rk") <= keep_polls)
             .select(F.col("site").alias("__s"), F.col("snapshot").alias("__t")))
