@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tests.llm.helpers import awkward, components
 from vistaframe.llm import block_ann, signature_join
 from vistaframe.llm import components as cc
-from vistaframe.llm.common import prepare
+from vistaframe.llm.common import Scratch, prepare
 
 
 def corpus(seed):
@@ -229,3 +229,31 @@ def test_a_block_is_copied_once_a_tile(spark):
         held.setdefault((r.ti, r.tj), set()).add(r.block)
     assert all({p.i, p.j} <= held[r.ti, r.tj] for r in asked for p in r.pairs)
     assert len(asked) > 100 and len(rows) - len(asked) < 1300
+
+
+@pytest.mark.parametrize("listed", [64, 1])
+def test_a_joined_group_meets_only_what_else_has_its_keys(spark, monkeypatch, listed):
+    """40 blocks of one component share a key with a block of another: 40 meetings by that key, not 820 more."""
+    monkeypatch.setattr(signature_join, "KEY_BLOCKS", listed)
+    rows = [(1, b, 5, 5, 100, 110) for b in range(40)] + [(1, 40, 6, 6, 100, 110)]
+    rows += [(100 + b, b, 5, 7, 100, 110) for b in range(40)]  # each block holds another component, too
+    at = prepare(spark).createDataFrame(rows, "key long, block long, c0 long, c1 long, n0 long, n1 long")
+    assert sorted(map(tuple, signature_join._meetings(at, 80).collect())) == sorted(
+        [(b, 40) for b in range(40)] + [(b, b) for b in range(40)])
+
+
+def test_blocks_are_full_however_many_partitions(spark, monkeypatch):
+    """Blocks follow the number of classes: 40 partitions of a few classes each are no 40 blocks."""
+    monkeypatch.setattr(signature_join, "BLOCK_SETS", 30)
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: prepare(spark).conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        members = spark.range(100).selectExpr("id % 7 AS key", "id AS node", "10 + id % 3 AS n", "id % 5 AS component", "id % 2 AS lo")
+        places = signature_join._places(members.unionAll(members), Scratch(spark, "test")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    order = sorted(range(100), key=lambda i: (i % 2, i % 5, 10 + i % 3, i))
+    assert {r.node: r.block for r in places} == {i: k // 30 for k, i in enumerate(order)} and len(places) == 100

@@ -19,7 +19,7 @@ compared.
    text, however many, without their pairs.
 2. A key whose classes are all in one component is done. The classes of another
    that few have are paired one by one, and pairs that pass the bound compared. The
-   classes of the rest are laid out in blocks, related ones side by side; two blocks
+   classes of the rest are laid out in full blocks, related ones side by side; two blocks
    meet if they share such a key among classes of different components and of sizes
    that can be linked. Blocks meet in tiles of neighbours, so that one is copied once
    per tile and not once per block that it meets. Members of a block with bitmaps of one length are one
@@ -45,7 +45,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, id_text, lean
@@ -313,20 +313,20 @@ def _traverse(left: _Tree, right: _Tree, same: bool, percent: int) -> list[tuple
 
 
 def _cut_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Consecutive rows of a range partition -> blocks."""
-    held = []
+    """Rows of a block stand together -> one row a block."""
+    at, held = None, []
 
     def block() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([pickle.dumps(held)], pa.binary()), pa.array([[m[0] for m in held]], pa.list_(pa.int64()))],
-            names=["payload", "nodes"])
+        return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([pickle.dumps(held)], pa.binary())],
+                                          names=["block", "payload"])
 
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("node", "component", "n", "signature", "keys"))):
-            if len(held) >= BLOCK_SETS:
-                yield block()
-                held = []
-            held.append(row)
+        for number, *row in zip(*(batch.column(c).to_pylist() for c in ("block", "node", "component", "n", "signature", "keys"))):
+            if number != at:
+                if held:
+                    yield block()
+                at, held = number, []
+            held.append(tuple(row))
     if held:
         yield block()
 
@@ -389,17 +389,13 @@ def _block_pairs(percent: int):
 
 
 def _tiles(meet: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Rows for ``_block_pairs``: a block goes once to each tile of (i, j) that needs it. A block's id is its
-    partition and its place there, so neighbours in the layout fall into one tile."""
-    place = (1 << 33) - 1
-    count, most = blocks.agg(F.count(F.lit(1)), F.max(F.col("block").bitwiseAND(F.lit(place))) + 1).first()
-    size = min(TILE_BLOCKS, max(1, count // TILE_BLOCKS))  # few blocks: small tiles, for the sake of many tasks
-    parts = max(1, size // (most or 1))  # neighbouring partitions of few blocks each are one tile
-    tile = lambda c: F.expr(f"(shiftright({c}, 33) div {parts}) * {place + 1} + ({c} & {place}) div {size}")
-    placed = meet.select("i", "j", tile("i").alias("ti"), tile("j").alias("tj"))
+    """Rows for ``_block_pairs``: a block goes once to each tile of (i, j) that needs it. Blocks are numbered in
+    the order of the layout, so neighbours fall into one tile."""
+    size = min(TILE_BLOCKS, max(1, blocks.count() // TILE_BLOCKS))  # few blocks: small tiles, for the sake of many tasks
+    placed = meet.select("i", "j", F.expr(f"i div {size}").alias("ti"), F.expr(f"j div {size}").alias("tj"))
     asked = placed.groupBy("ti", "tj").agg(F.collect_list(F.struct("i", "j")).alias("pairs"))
     needed_blocks = placed.select("ti", "tj", F.explode(F.array("i", "j")).alias("block")).distinct()
-    rows = needed_blocks.join(blocks.select("block", "payload"), "block").unionByName(asked, allowMissingColumns=True)
+    rows = needed_blocks.join(blocks, "block").unionByName(asked, allowMissingColumns=True)
     partitions = int(meet.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return rows.select("ti", "tj", "block", "pairs", "payload").repartition(partitions, "ti", "tj").sortWithinPartitions(
         "ti", "tj", F.col("block").asc_nulls_first())
@@ -452,24 +448,51 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int, name
     return scratch.write(rows.mapInArrow(lean(_compare(percent)), "a long, b long").distinct(), name)
 
 
+def _places(open_members: DataFrame, scratch: Scratch) -> DataFrame:
+    """The written ``node, block``: BLOCK_SETS consecutive classes of the layout are a block, however many
+    partitions they are sorted in."""
+    order = ["lo", "component", "n", "node"]
+    nodes = open_members.groupBy("node").agg(F.first("component").alias("component"), F.min("lo").alias("lo"), F.first("n").alias("n"))
+    at = F.monotonically_increasing_id()  # the partition, and the place there
+    sorted_in = scratch.write(nodes.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        "node", F.shiftright(at, 33).alias("part"), at.bitwiseAND(F.lit((1 << 33) - 1)).alias("pos")), "layout")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    base = sorted_in.groupBy("part").count().select("part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
+    placed = scratch.write(sorted_in.join(base, "part").select("node", F.expr(f"(base + pos) div {BLOCK_SETS}").alias("block")), "places")
+    scratch.release("layout")
+    return placed
+
+
 def _meetings(at: DataFrame, percent: int) -> DataFrame:
     """Pairs (i, j), i <= j, of blocks that share a key among members who can be
     linked, from ``key, block, c0, c1, n0, n1``: least and largest component and
-    size of a key's members in a block. The many keys of a group of similar
-    texts lie in the same few blocks: equal lists of blocks are paired once.
-    Keys in more than KEY_BLOCKS blocks are paired by a join."""
-    counted = at.join(at.groupBy("key").agg(F.count(F.lit(1)).alias("held")), "key")
-    lists = counted.filter(F.col("held") <= KEY_BLOCKS).groupBy("key").agg(F.sort_array(F.collect_set("block")).alias("blocks"))
-    pair = F.transform("blocks", lambda b, k: F.transform(F.slice("blocks", k + 1, F.lit(KEY_BLOCKS)),
-                                                          lambda c: F.struct(b.alias("i"), c.alias("j"))))
+    size of a key's members in a block. Where a key's members in two blocks are all
+    of the component that has most such blocks of the key, the key doesn't pair
+    these two: a large group that is joined already is paired with what else has
+    its keys, and not with itself. The many keys of a group of similar texts lie in
+    the same few blocks: equal lists of blocks are paired once. Keys in more than
+    KEY_BLOCKS blocks are paired by a join."""
+    pure = at.filter("c0 = c1").groupBy("key", "c0").agg(F.count(F.lit(1)).alias("blocks"))
+    main = pure.groupBy("key").agg(F.max(F.struct("blocks", "c0"))["c0"].alias("main"))
+    held = at.groupBy("key").agg(F.count(F.lit(1)).alias("held"))
+    counted = at.join(held, "key").join(main, "key", "left").withColumn(
+        "joined", F.coalesce((F.col("c0") == F.col("c1")) & (F.col("c0") == F.col("main")), F.lit(False)))
+    lists = counted.filter(F.col("held") <= KEY_BLOCKS).groupBy("key").agg(
+        F.sort_array(F.collect_set(F.struct("block", "joined"))).alias("blocks"))
+    pair = F.transform("blocks", lambda b, k: F.transform(
+        F.filter(F.slice("blocks", k + 1, F.lit(KEY_BLOCKS)), lambda c: ~(b["joined"] & c["joined"])),
+        lambda c: F.struct(b["block"].alias("i"), c["block"].alias("j"))))
     few = lists.select("blocks").distinct().select(F.explode(F.flatten(pair)).alias("p")).select("p.i", "p.j").distinct()
     whole = at.groupBy("block").agg(F.min("c0").alias("c0"), F.max("c1").alias("c1"), F.min("n0").alias("n0"), F.max("n1").alias("n1"))
-    side = lambda t, name: t.select(*(["key"] if "key" in t.columns else []),
+    side = lambda t, name: t.select(*(["key", F.col("joined").alias(f"{name}joined")] if "key" in t.columns else []),
                                     F.col("block").alias(name), *(F.col(c).alias(f"{name}{c}") for c in ("c0", "c1", "n0", "n1")))
     few = few.join(side(whole, "i"), "i").join(side(whole, "j"), "j")
     wide = counted.filter(F.col("held") > KEY_BLOCKS)
-    wide = side(wide, "i").join(side(wide, "j"), "key").filter("i <= j").drop("key")
-    both = few.unionByName(wide)
+    # a block that is not joined against all of its key; two of these meet in both orders, so one is left out
+    wide = side(wide.filter("not joined"), "x").join(side(wide, "y"), "key").filter("yjoined or x <= y")
+    ends = lambda name, first: [F.when(F.col("x") <= F.col("y"), F.col(f"{first}{c}")).otherwise(
+        F.col(f"{'y' if first == 'x' else 'x'}{c}")).alias(f"{name}{c}") for c in ("", "c0", "c1", "n0", "n1")]
+    both = few.unionByName(wide.select(*ends("i", "x"), *ends("j", "y")))
     both = both.filter(F.least("ic0", "jc0") < F.greatest("ic1", "jc1"))  # not of one component
     both = both.filter((100 * F.col("in1") >= percent * F.col("jn0")) & (100 * F.col("jn1") >= percent * F.col("in0")))
     return both.select("i", "j").distinct()
@@ -529,21 +552,17 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     few = _hopeful(few, classes, percent, "few", scratch)
     scratch.release("few_sized")
     open_members = all_open.filter(F.col("held") > KEY_CLASSES)
+    place = _places(open_members, scratch)
     # a class has as many open keys as keys at most
-    open_nodes = open_members.groupBy("node").agg(F.first("component").alias("component"), F.min("lo").alias("lo"),
-                                                  F.collect_set("key").alias("keys"))
-    laid = open_nodes.join(_of_nodes(classes.select("node", "n", "signature"), open_members.select("node"), "open_nodes", scratch),
-                           "node")
-    order = ["lo", "component", "n", "node"]
-    blocks = (laid.repartitionByRange(*order).sortWithinPartitions(*order).select("node", "component", "n", "signature", "keys")
-              .mapInArrow(_cut_blocks, "payload binary, nodes array<long>")
-              .withColumn("block", F.monotonically_increasing_id()))
-    blocks = scratch.write(blocks, "blocks")
-    place = blocks.select("block", F.explode("nodes").alias("node")).distinct()
+    open_nodes = open_members.groupBy("node").agg(F.first("component").alias("component"), F.collect_set("key").alias("keys"))
+    laid = open_nodes.join(place, "node").join(
+        _of_nodes(classes.select("node", "n", "signature"), place.select("node"), "open_nodes", scratch), "node")
+    laid = laid.select("block", "node", "component", "n", "signature", "keys").repartition("block").sortWithinPartitions("block", "n", "node")
+    blocks = scratch.write(laid.mapInArrow(_cut_blocks, "block long, payload binary"), "blocks")
     at = open_members.join(place, "node").groupBy("key", "block").agg(
         F.min("component").alias("c0"), F.max("component").alias("c1"), F.min("n").alias("n0"), F.max("n").alias("n1"))
     at = scratch.write(at, "key_blocks")
-    scratch.release("all_open", "open_nodes")
+    scratch.release("all_open", "open_nodes", "places")
     meet = scratch.write(_meetings(at, percent), "block_pairs")
     near = scratch.write(_tiles(meet, blocks).mapInArrow(lean(_block_pairs(percent)), "a long, b long").unionByName(few).distinct(),
                          "block_hopeful")
