@@ -50,11 +50,10 @@ def sentinel_to_null(spark, sf):
 
 @register("scan_text_docs", "SELECT doc_id, text FROM documents")
 def scan_text_docs(spark, sf):
-    """One file per document, the id taken from the file's location."""
+    """One file per document, the id taken from the file's name."""
     path = scratch_path(spark, "docs")
     FS.write_documents(read_table(spark, sf, "documents"), path, "doc_id", "text")
-    docs = FS.read_documents(spark, path, "doc_id", "text")
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return FS.read_documents(spark, path, "doc_id", "text")
 
 
 @register("scan_date_range", with_(extra={"prices": """

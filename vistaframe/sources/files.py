@@ -3,12 +3,21 @@ file text, persisted results. Paths may be local, HDFS or object store."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import itertools
+import sys
+from collections.abc import Callable, Iterator
 
+from pyarrow import fs
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import path_exists
+from ..session import local_path, path_exists
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of this module
+
+DOCUMENT, NO_ID = "doc-", "no-id"  # of files' names
+FOLDER_FILES = 500
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> str:
@@ -35,20 +44,44 @@ def write_delimited_lines(df: DataFrame, path: str, sep: str = ", ", null_token:
     return path
 
 
+def _write_files(uri: str):
+    def run(rows: Iterator) -> None:
+        files, base = fs.FileSystem.from_uri(uri)
+        part, folder = TaskContext.get().partitionId(), ""
+        for k, (doc_id, same) in enumerate(itertools.groupby(rows, key=lambda r: r[0])):
+            if k % FOLDER_FILES == 0:
+                folder = f"{base}/part-{part:05d}-{k // FOLDER_FILES:05d}"
+                files.create_dir(folder)
+            name = NO_ID if doc_id is None else f"{DOCUMENT}{doc_id}"
+            with files.open_output_stream(f"{folder}/{name}.txt") as out:
+                for _, text in same:
+                    out.write(f"{text or ''}\n".encode())
+    return run
+
+
 def write_documents(df: DataFrame, path: str, id_col: str, text_col: str) -> str:
-    """One file per document; the id is the directory name of the file
-    (``{id_col}=<id>``), the file body is the text."""
-    (df.select(id_col, text_col).repartition(id_col)
-       .write.mode("overwrite").partitionBy(id_col).text(path))
+    """One file per document, whose name has the id (a whole number) and whose
+    body is the text and a line feed; rows of one id share a file. A task writes
+    FOLDER_FILES files into each of its folders; a task that runs again writes
+    the same files again. ``path`` is on a file system that pyarrow opens (local, HDFS, object
+    stores), shared by the driver and the executors."""
+    uri = path if "://" in path else local_path(path)
+    files, base = fs.FileSystem.from_uri(uri)
+    files.create_dir(base)
+    files.delete_dir_contents(base)
+    keyed = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    keyed.repartition("id").sortWithinPartitions("id").foreachPartition(_write_files(uri))
     return path
 
 
 def read_documents(spark: SparkSession, path: str, id_col: str, text_col: str = "text") -> DataFrame:
-    """Whole files as rows; the text writer added one trailing newline, which
-    is removed again."""
-    raw = spark.read.text(path, wholetext=True)
-    body = F.expr("substring(value, 1, length(value) - 1)")
-    return raw.select(F.col(id_col), body.alias(text_col))
+    """Whole files as rows, the id from the file's name, without the line feed
+    at the end."""
+    raw = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+    name = F.col("_metadata.file_name")
+    # a file without an id: null
+    doc_id = F.when(name.startswith(DOCUMENT), F.regexp_extract(name, f"^{DOCUMENT}(-?[0-9]+)", 1)).cast("long")
+    return raw.select(doc_id.alias(id_col), F.expr("substring(value, 1, length(value) - 1)").alias(text_col))
 
 
 def compute_or_load(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
