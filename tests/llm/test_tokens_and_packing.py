@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tests.llm.helpers import awkward
-from vistaframe.llm import bin_slack, token_files
+from vistaframe.llm import bin_slack, bpe, token_files
 from vistaframe.llm.bpe import WordMemoEncoder, default_tokenizer
 from vistaframe.llm.common import prepare
 from vistaframe.session import scratch_path
@@ -39,6 +39,17 @@ def test_memo_encoder_equals_tokenizer(plain):
         assert [t for t, g in zip(texts, got) if g != raw(plain(t))] == []
 
 
+def test_plain_words_go_straight_to_the_model(plain, monkeypatch):
+    """A word of letters is neither matched nor cut into pieces; words of the generation before are not encoded again."""
+    monkeypatch.setattr(bpe, "_LETTERS_THEN_MARKS", None)
+    monkeypatch.setattr(bpe, "MEMO_WORDS", 3)
+    coder = WordMemoEncoder(default_tokenizer())
+    coder._memo["\nsome"] = raw(plain("\nsome"))
+    assert coder.encode(["some plain words Here"]) == [raw(plain("some plain words Here"))]
+    monkeypatch.setattr(coder, "_tokenize", None)
+    assert coder.encode(["some Here words"]) == [raw(plain("some Here words"))]
+
+
 @pytest.mark.parametrize("coding", ["dictionary", "delta"])
 def test_token_files_round_trip(spark, plain, coding):
     docs = awkward(prepare(spark), ROWS)

@@ -30,6 +30,23 @@ def byte_symbols() -> list[str]:
     return [chr(b if b in shown else next(rest)) for b in range(256)]
 
 
+class _Loose(Exception):
+    """White space that doesn't stand alone, or of another kind."""
+
+
+class _Words(dict):
+    """Ids of words after a blank; with a line feed before it, of a line's first word. A word not met yet is
+    looked up when it is asked for."""
+
+    def __init__(self, learn):
+        super().__init__()
+        self._learn = learn
+
+    def __missing__(self, key: str) -> bytes:
+        self[key] = got = self._learn(key)
+        return got
+
+
 class WordMemoEncoder:
     """``encode(texts)`` gives, per text, its ids as little-endian unsigned
     32-bit integers in one ``bytes``. Equal to encoding each text whole with
@@ -39,71 +56,68 @@ class WordMemoEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores are Spark's
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(tokenizer_file)
-        self._model = self._tok.model
+        self._tokenize = self._tok.model.tokenize
         self._symbols = {b: s for b, s in enumerate(byte_symbols())}
         self._feed = self._whole("\n")
         self._blank = self._symbols[ord(" ")]
         self._raw = [k.to_bytes(4, "little") for k in range(self._tok.get_vocab_size())]
         self._old: dict[str, bytes] = {}  # the generation before
         self._marks: dict[str, bytes] = {}
-        self._memo: dict[str, bytes] = {}  # words after a blank; with a line feed before it, a line's first word
+        self._memo = _Words(self._learn)
 
     def _whole(self, text: str) -> bytes:
         return np.asarray(self._tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _word(self, lead: str, word: str) -> bytes:
+    def _direct(self, piece: str) -> bytes:
+        """Ids of one piece, written in the symbols of its bytes."""
+        raw = self._raw
+        found = self._tokenize(piece)
+        return raw[found[0].id] if len(found) == 1 else b"".join([raw[t.id] for t in found])
+
+    def _learn(self, key: str) -> bytes:
         """Letters form one piece with the blank before them and marks after
         them another, so both go to the model directly; words of any other
         make go through the whole tokenizer."""
+        if (got := self._old.get(key)) is not None:
+            return got
+        if key.isascii() and key.isalpha():  # letters stand for themselves
+            return self._direct(self._blank + key)
+        first = key[:1] == "\n"
+        word = key[1:] if first else key
         m = _LETTERS_THEN_MARKS.fullmatch(word)
         if m is None:
-            return self._whole(lead + word)
+            if word.split() != [word]:
+                raise _Loose
+            return self._feed + self._whole(word) if first else self._whole(" " + word)
         letters, marks = m.groups()
-        if not marks:
-            return self._direct(lead, word)
-        got = (self._memo.get(letters) or self._old.get(letters)) if lead else self._direct("", letters)
-        if got is None:
-            self._memo[letters] = got = self._direct(lead, letters)
-        after = self._marks.get(marks)
-        if after is None:
-            self._marks[marks] = after = self._direct("", marks)
-        return got + after
-
-    def _direct(self, lead: str, word: str) -> bytes:
-        if word.isascii():  # letters and marks stand for themselves
-            mapped = self._blank + word if lead else word
+        if not first and marks:
+            got = self._memo[letters]
         else:
-            mapped = (lead + word).encode().decode("latin-1").translate(self._symbols)
-        return b"".join([self._raw[t.id] for t in self._model.tokenize(mapped)])
-
-    def _learn(self, key: str) -> bytes | None:
-        """None: there is white space that doesn't stand alone, or of another kind."""
-        got = self._old.get(key)
-        if got is None:
-            word = key[1:] if key[:1] == "\n" else key
-            if word.split() != [word]:
-                return None
-            got = self._word(" ", word) if word is key else self._feed + self._word("", word)
-        self._memo[key] = got
+            lead = "" if first else self._blank
+            got = self._direct(lead + (letters if letters.isascii() else letters.encode().decode("latin-1").translate(self._symbols)))
+            if first:
+                got = self._feed + got
+        if marks:
+            after = self._marks.get(marks)
+            if after is None:
+                self._marks[marks] = after = self._direct(marks)  # ASCII stands for itself
+            got += after
         return got
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self._memo) > MEMO_WORDS:
-            self._memo, self._old = {}, self._memo
+            self._old, self._memo = dict(self._memo), _Words(self._learn)
             self._marks.clear()
         return [self._text(t) for t in texts]
 
     def _text(self, text: str) -> bytes:
         if not text:
             return b""
-        keys = ("\n" + text.replace("\n", " \n")).split(" ")
-        ids = list(map(self._memo.get, keys))
-        if None in ids:
-            for k, x in enumerate(ids):
-                if x is None and (x := self._learn(keys[k])) is None:
-                    return self._whole(text)
-                ids[k] = x
-        return b"".join(ids)[len(self._feed):]
+        try:
+            ids = b"".join(map(self._memo.__getitem__, ("\n" + text.replace("\n", " \n")).split(" ")))
+        except _Loose:
+            return self._whole(text)
+        return ids[len(self._feed):]
 
 
 def encoder(tokenizer_file: str) -> WordMemoEncoder:
