@@ -130,3 +130,10 @@ def test_stacking_holds_tuned_bases_and_neighbours(parts, monkeypatch):
     monkeypatch.setattr(RM, "_stack_layers", lambda: [{"layers": [len(RM.FEATURES), n, 2]} for n in (2, 3)])
     rows = {r["model"]: r["test_accuracy"] for r in RM.stacking_scores(*parts).collect()}
     assert set(rows) == {"logreg", "tree", "mlp", "knn", "vote", "stack"} and all(0 <= v <= 1 for v in rows.values())
+
+
+def test_the_stacks_neighbours_are_found_by_region(parts, monkeypatch):
+    """All pairs of rows would not end on large tables."""
+    monkeypatch.setattr(RM.K, "knn", None)
+    near_train, near_test, _ = RM.neighbour_shares(*parts)
+    assert near_train.count() == parts[0].count() and near_test.count() == parts[1].count()

@@ -373,17 +373,17 @@ def neighbour_shares(tr, te):
     rows: the share of label 1 among the k nearest train rows, and the k of the
     best out-of-fold accuracy (ties: the smallest)."""
     tr, te = (d.select("id", "label", "fold", vector_to_array("features").alias("vector")) for d in (tr, te))
-    unseen = K.knn(tr, tr, max(NEIGHBOURS), id_col="id", vec="vector", exclude_same="fold").checkpoint()
-    by_k = K.predictions_by_k(unseen, tr, NEIGHBOURS, id_col="id").groupBy("k").agg(
-        F.count_if(F.col("predicted") == F.col("actual")).alias("hits"))
-    best = by_k.agg(F.max_by("k", F.struct("hits", -F.col("k")))).first()[0]
-    labels = tr.select(F.col("id").alias("r_id"), "label")
+    unseen = K.labels_in_order(K.knn_by_region(tr, tr, max(NEIGHBOURS), id_col="id", vec="vector", exclude_same="fold"),
+                               tr, id_col="id").checkpoint()
+    best = K.hits_by_k(unseen, tr, NEIGHBOURS, id_col="id").agg(F.max_by("k", F.struct("hits", -F.col("k")))).first()[0]
 
-    def shares(neigh):
-        near = neigh.filter(F.col("rank") <= best).join(labels, "r_id")
-        return near.groupBy(F.col("q_id").alias("id")).agg(F.avg("label").alias("p_knn"))
+    def shares(near):
+        some = F.filter("near", lambda v: (v["rank"] <= best) & v["label"].isNotNull())
+        total = F.aggregate(some, F.lit(0.0), lambda a, v: a + v["label"])
+        return near.select(F.col("q_id").alias("id"), F.try_divide(total, F.size(some)).alias("p_knn"))
 
-    return shares(unseen), shares(K.knn(tr, te, best, id_col="id", vec="vector")), best
+    tested = K.knn_by_region(tr, te, best, id_col="id", vec="vector")
+    return shares(unseen), shares(K.labels_in_order(tested, tr, id_col="id")), best
 
 
 def stacking_scores(tr, te):
